@@ -110,7 +110,6 @@ def word_hashes(w: Words) -> np.ndarray:
     """One 64-bit hash per word: a polynomial over byte values, mixed with the length."""
     if not len(w.start):
         return np.zeros(0, _U)
-    n = len(w.data)
     out = np.empty(len(w.start), _U)
     step = 1 << 22  # keeps the working set small, whatever the batch holds
     lo = 0
@@ -122,7 +121,6 @@ def word_hashes(w: Words) -> np.ndarray:
         s, e = w.start[lo:hi] - a, w.end[lo:hi] - a
         out[lo:hi] = (total[e] - total[s]) * _powers(_WORD_BASE, b - a + 1, True)[s] + (e - s).astype(_U)
         lo = hi
-    assert n >= 0
     return mix(out)
 
 

@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marisight.llm.media_columns import op7_media_columns
 from marisight.llm.sentencepiece_codec import op9_sentencepiece
+from marisight.llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op7_media_columns": op7_media_columns,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
