@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
 from marisight.llm.sentencepiece_codec import op9_sentencepiece
+from marisight.llm.source_mixing import op8_source_mixing
 from marisight.llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_maxscore": op5_maxscore,
     "op7_media_columns": op7_media_columns,
+    "op8_source_mixing": op8_source_mixing,
     "op9_sentencepiece": op9_sentencepiece,
 }
 
