@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marisight.llm.jaccard_join import op3_jaccard_join
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
 from marisight.llm.sentencepiece_codec import op9_sentencepiece
@@ -14,6 +15,7 @@ from marisight.llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_maxscore": op5_maxscore,
     "op7_media_columns": op7_media_columns,
     "op8_source_mixing": op8_source_mixing,
