@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marisight.llm.jaccard_join import op3_jaccard_join
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
+from marisight.llm.page_differencing import op6_page_differencing
 from marisight.llm.sentencepiece_codec import op9_sentencepiece
 from marisight.llm.source_mixing import op8_source_mixing
 from marisight.llm.substring_dedup import op1_substring_dedup
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_maxscore": op5_maxscore,
+    "op6_page_differencing": op6_page_differencing,
     "op7_media_columns": op7_media_columns,
     "op8_source_mixing": op8_source_mixing,
     "op9_sentencepiece": op9_sentencepiece,
