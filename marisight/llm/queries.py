@@ -10,6 +10,7 @@ from marisight.llm.jaccard_join import op3_jaccard_join
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
 from marisight.llm.page_differencing import op6_page_differencing
+from marisight.llm.ppm_scoring import op10_ppm_scoring
 from marisight.llm.quality_fm import op2_quality_fm
 from marisight.llm.sentencepiece_codec import op9_sentencepiece
 from marisight.llm.source_mixing import op8_source_mixing
@@ -17,6 +18,7 @@ from marisight.llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op10_ppm_scoring": op10_ppm_scoring,
     "op2_quality_fm": op2_quality_fm,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_maxscore": op5_maxscore,
