@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marisight.llm.extendible_sharding import OP4_SQL, op4_extendible_sharding
 from marisight.llm.jaccard_join import op3_jaccard_join
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ppm_scoring": op10_ppm_scoring,
     "op2_quality_fm": op2_quality_fm,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_extendible_sharding": op4_extendible_sharding,
     "op5_maxscore": op5_maxscore,
     "op6_page_differencing": op6_page_differencing,
     "op7_media_columns": op7_media_columns,
@@ -29,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_extendible_sharding": OP4_SQL,
     "op5_maxscore": OP5_SQL,
 }
