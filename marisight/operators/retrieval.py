@@ -278,7 +278,7 @@ def expanded(rows: DataFrame, chunks: DataFrame, most_documents: int = 5, around
     first = first.withColumn("doc_rank", F.row_number().over(Window.partitionBy("query_id").orderBy("m.rank"))).where(F.col("doc_rank") <= most_documents)
     centre = F.coalesce(F.col("m.chunk_index"), F.lit(0)).cast("int").alias("matched_chunk_index")
     first = first.select("query_id", "doc_rank", "storage_path", centre)
-    window = F.explode(F.sequence(F.greatest(F.col("matched_chunk_index") - around, F.lit(0)), F.col("matched_chunk_index") + around)).cast("int").alias("chunk_index")
+    window = F.explode(F.sequence(F.greatest(F.col("matched_chunk_index") - around, F.lit(0)), F.col("matched_chunk_index") + around)).alias("chunk_index")
     near = first.select("*", window).join(chunks.select("storage_path", F.col("chunk_index").cast("int").alias("chunk_index"), "chunk_text", "title"), ["storage_path", "chunk_index"])
     part = F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_text", "title")))
     out = near.groupBy("query_id", "doc_rank", "storage_path", "matched_chunk_index").agg(part.alias("parts"))

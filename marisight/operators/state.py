@@ -174,7 +174,7 @@ def remaining(limit: int, used: Column) -> Column:
 def accepted_attachments(files: DataFrame, most: int = 5, most_bytes: int = 10 << 20) -> DataFrame:
     """Attachments of each message in order: too large ones and repeats of (name, size) drop out, then the first five stay."""
     rows = files.where(F.col("size") <= most_bytes).withColumn("_again", F.row_number().over(Window.partitionBy("message_id", "name", "size").orderBy("pos"))).where("_again = 1")
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("message_id").orderBy("pos"))).where(F.col("_n") <= most).drop("_again", "_n")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy("message_id").orderBy("pos", "name", "size"))).where(F.col("_n") <= most).drop("_again", "_n")
 
 
 def violations(rows: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
