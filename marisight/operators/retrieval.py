@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from marisight.functions.vectors import jaccard, lexemes, word_set
 
@@ -80,7 +81,7 @@ def vector_pool(index: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     return _top(_in_blocks(queries, search), n, F.desc("similarity"), F.asc("id")).withColumnRenamed("_r", "vrank")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def cover_density(positions: pd.Series, terms: pd.Series, n_terms: pd.Series) -> pd.Series:
     """Sum over minimal covers of 0.1 / (1 + words in the cover that are no query term)."""
 
