@@ -24,7 +24,7 @@ def text_key(text: str = "text") -> Column:
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).bitwiseAND(0x7FFFFFFF)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each holds about ``most`` bytes of column ``text`` (one row at least)."""
     for batch in batches:
         n = batch.num_rows

@@ -36,6 +36,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def _inverse(b: int) -> int:
     return pow(b, -1, 1 << 64)
 
@@ -111,7 +115,7 @@ def word_hashes(w: Words) -> np.ndarray:
     if not len(w.start):
         return np.zeros(0, _U)
     out = np.empty(len(w.start), _U)
-    step = 1 << 22  # keeps the working set small, whatever the batch holds
+    step = 1 << 19  # keeps the working set small, whatever the batch holds
     lo = 0
     while lo < len(w.start):
         hi = max(lo + 1, int(np.searchsorted(w.start, w.start[lo] + step)))
