@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, text, urls
-from marisight.operators import chunking, links, state
+from marisight.operators import chunking, links, listings, state
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds, html_blocks
 from marisight.streaming import jobs
@@ -170,6 +170,26 @@ def crawl_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.candidates(_with_files(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).groupBy("content_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("canonical_url").alias("n_urls"))
 
 
+def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's navigation read as a listing: items of a list with their links."""
+    rule = listings.Rule(listings.Spot("li"), inside=listings.Spot("nav"))
+    return listings.listing(table(spark, sf_dir, "pages").select("page_id", "url", "html"), rule).select("page_id", "title", "link", "published_at")
+
+
+def footer_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's footer with the heading that stands before it."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    under = listings.carried(pages, listings.Spot("h1"), listings.Spot("footer"))
+    return under.select("page_id", "header")
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offset pages of a listing per customer, as many as it has orders of ten."""
+    n = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.ceil(F.count(F.lit(1)) / 10).cast("int").alias("n"))
+    base = F.concat(F.lit("https://x.example/list?c="), F.col("o_custkey").cast("string"))
+    return n.select("o_custkey", F.explode(listings.offset_pages(base, F.col("n"), 10)).alias("url"))
+
+
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as RSS feeds per customer segment and read again."""
     rows = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -408,7 +428,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         url_functions, url_resolution, storage_manifest, date_labels, message_functions, document_pieces, document_sections, document_chunks, page_blocks, page_chunks, page_text, page_links,
-        page_document_links, crawl_candidates, feed_items, sitemap_pages, catalog_resources, event_properties, brand_tables, statistics_rows, classified_fetches, run_summary, upserted_state,
+        page_document_links, page_listing, footer_headings, listing_pages, crawl_candidates, feed_items, sitemap_pages, catalog_resources, event_properties, brand_tables, statistics_rows, classified_fetches, run_summary, upserted_state,
         pending_objects, active_state, latest_versions, merged_listings, conversation_list, message_history, messages_with_citations, visible_citations, after_deletion, daily_usage, quota_decisions,
         attachments, violations, streamed_usage, streamed_feedback,
     )
@@ -454,6 +474,8 @@ WITH {_LINES}, g AS (SELECT doc_id, section_no, any_value(section_heading) AS se
 SELECT doc_id, section_no, section_heading, n_blocks, md5(t) AS md5, CAST(nullif(least(length(t), 3000), 0) AS INTEGER) AS parent_chars FROM g""",
     "page_links": f"WITH {_ANCHORS} SELECT page_id, pos, href, label, root || href AS link FROM b",
     "page_document_links": f"WITH {_ANCHORS} SELECT page_id, pos, root || '/files/' || substr(href, 2) || '.pdf' AS link, label FROM b WHERE regexp_full_match(href, '/[a-z]{{4,}}') QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1",
+    "page_listing": f"WITH {_ANCHORS} SELECT page_id, label AS title, root || href AS link, '' AS published_at FROM b QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1",
+    "listing_pages": "WITH n AS (SELECT o_custkey, CAST(ceil(count(*) / 10.0) AS BIGINT) AS n FROM orders GROUP BY 1), p AS (SELECT o_custkey, unnest(range(0, n)) AS i FROM n) SELECT o_custkey, 'https://x.example/list?c=' || o_custkey || CASE WHEN i = 0 THEN '' ELSE '&start=' || (i * 10) END AS url FROM p",
     "crawl_candidates": f"""
 WITH {_ANCHORS}, k AS (SELECT DISTINCT page_id, 'https://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || '/files/' || substr(href, 2) || '.pdf' AS u FROM b WHERE regexp_full_match(href, '/[a-z]{{4,}}')),
 o AS (SELECT CASE WHEN regexp_matches(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '\\.html$') THEN 'text/html' ELSE 'application/octet-stream' END AS content_type, 'https' || regexp_replace(regexp_replace(url, '#.*$', ''), '^https?', '') AS u FROM pages)

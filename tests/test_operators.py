@@ -129,3 +129,27 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], POOL)
     assert retrieval.deduplicated(empty).count() == 0 and retrieval.adaptive_cutoff(empty).count() == 0
     assert chunking.chunks(spark.createDataFrame([], BLOCKS)).count() == 0
+
+
+LISTING = """<table class="com-content-category__table x"><tbody><tr><td class="list-title"><a href="/a/1">First</a></td><td class="list-date">3 Mac 2024</td></tr>
+<tr><td><a href="javascript:x">no</a></td></tr><tr><td><a href="/a/1">again</a></td></tr><tr><td><a href="/a/2">Second</a></td><td class="list-date">bad</td></tr></tbody></table>
+<h2>2023</h2><a href="p1">P1</a><h2>2022</h2><a href="p2">P2</a><a rel="next" href="?start=10">more</a>"""
+
+
+def test_listings(spark):
+    from marisight.operators import listings
+
+    pages = spark.createDataFrame([(1, "https://h/list", LISTING), (2, "https://h/x", None)], "page_id long, url string, html string")
+    got = [(r.title, r.link, r.published_at) for r in listings.listing(pages, listings.SITES["moh"]).orderBy("pos").collect()]
+    assert got == [("First", "https://h/a/1", "2024-03-03"), ("Second", "https://h/a/2", "")]
+    under = [(r.header, r.text) for r in listings.carried(pages, listings.Spot("h2"), listings.Spot("a")).where("header is not null").orderBy("pos").collect()]
+    assert under == [("2023", "P1"), ("2022", "P2"), ("2022", "more")]
+    assert [r.next_url for r in listings.next_page(pages).collect()] == ["https://h/list?start=10"]
+    one = spark.range(1)
+    assert one.select(listings.offset_pages(F.lit("https://h/l?x=1"), F.lit(3), 20).alias("u")).first().u == ["https://h/l?x=1", "https://h/l?x=1&start=20", "https://h/l?x=1&start=40"]
+    assert one.select(listings.year_pages(F.lit("/{year}/"), F.lit(2020), F.lit(2022)).alias("u")).first().u == ["/2022/", "/2021/", "/2020/"]
+
+
+def test_crawl(spark):
+    links_ = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "e")], "url string, link string")
+    assert sorted((r.url, r.level) for r in links.crawl(spark.createDataFrame([("a",)], "url string"), links_).collect()) == [("a", 0), ("b", 1), ("c", 2)]
