@@ -39,6 +39,8 @@ from marisight.llm._batches import key_of, longs, slices, text_key
 
 ANCHOR = 8
 WINDOW = 20
+#: bytes of text that a task works on at a time
+_SLICE = 4 << 20
 
 _CANDIDATE, _KNOWN, _EXPAND, _MARKER = 0, 1, 2, 3
 _ROW = "anchor long, block long, doc long, loc long, n int, state int, ref long"
@@ -76,6 +78,24 @@ def _firsts(a: np.ndarray, b: np.ndarray, order: np.ndarray) -> tuple[np.ndarray
     return first, order[first] == order, by
 
 
+def _known(owner: np.ndarray, d: np.ndarray, loc: np.ndarray, n: np.ndarray, ref_doc: np.ndarray, ref_loc: np.ndarray) -> list[np.ndarray]:
+    """Known factors, each run of marks that goes on both here and in its reference as one row."""
+    by = np.lexsort((loc, owner))
+    owner, d, loc, n, ref_doc, ref_loc = (x[by] for x in (owner, d, loc, n, ref_doc, ref_loc))
+    head, total = _run_on(owner, loc, n, ref_doc, ref_loc)
+    d, loc = d[head], loc[head]
+    return [_spread(d, loc), ref_doc[head], d, loc, total, np.full(len(head), _KNOWN), ref_loc[head]]
+
+
+def _run_on(owner: np.ndarray, pos: np.ndarray, n: np.ndarray, ref_doc: np.ndarray, ref_pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of marks in text order: where a factor starts, and how many windows it runs on for."""
+    go = np.zeros(len(pos), bool)
+    if len(pos):
+        go[1:] = (owner[1:] == owner[:-1]) & (pos[1:] == pos[:-1] + n[:-1]) & (ref_doc[1:] == ref_doc[:-1]) & (ref_pos[1:] == ref_pos[:-1] + n[:-1])
+    head = np.flatnonzero(~go)
+    return head, np.add.reduceat(n, head) if len(head) else n[:0]
+
+
 def _places(batch: pa.RecordBatch, at: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each row: document key, checksum, rank in document order (equal for repeated rows)."""
     doc, check = longs(batch.column(at)), longs(batch.column(at + 1))
@@ -90,7 +110,7 @@ def _blocks(window: int):
     """Pass 1: blocks of each document; later copies inside a slice become known factors at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, _SLICE):
             doc, check, rank = _places(batch)
             w = W.words(batch.column(2))
             h, row = W.word_hashes(w), w.row_of()
@@ -113,7 +133,7 @@ def _blocks(window: int):
             d, loc = doc[r], (check[r] << 32) | pos
             first, is_first, _ = _firsts(a, b, (rank[r] << 32) | pos)
             later = np.flatnonzero(~is_first)
-            parts = [[_spread(d[later], loc[later]), d[first[later]], d[later], loc[later], n[later], np.full(len(later), _KNOWN), loc[first[later]]]]
+            parts = [_known(r[later], d[later], loc[later], n[later], d[first[later]], loc[first[later]])]
             keep = np.flatnonzero(is_first)
             # anchors that stand in several blocks of this slice: their windows are checked anyway
             by = keep[np.lexsort((b[keep], a[keep]))]
@@ -138,7 +158,7 @@ def _windows(window: int):
     """Pass 2: at factor boundaries each window stands for itself; known factors pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 3):
+        for batch in slices(batches, 3, _SLICE):
             doc, check, rank = _places(batch, 1)
             w = W.words(batch.column(3))
             h = W.word_hashes(w)
@@ -150,7 +170,7 @@ def _windows(window: int):
             d, base = doc[owner], check[owner] << 32
             known = np.flatnonzero(state == _KNOWN)
             loc = base | pos
-            parts = [[_spread(d[known], loc[known]), ref_doc[known], d[known], loc[known], n[known], np.full(len(known), _KNOWN), ref_loc[known]]]
+            parts = [_known(owner[known], d[known], loc[known], n[known], ref_doc[known], ref_loc[known])]
             check_here = np.flatnonzero(state == _EXPAND)
             if len(check_here) and len(h) >= window:
                 count = n[check_here]
@@ -165,7 +185,7 @@ def _windows(window: int):
                 first, is_first, _ = _firsts(a, b, (rank[owner[each]] << 32) | p)
                 later, keep = np.flatnonzero(~is_first), np.flatnonzero(is_first)
                 zero = np.zeros(len(keep), np.int64)
-                parts.append([_spread(dd[later], ll[later]), dd[first[later]], dd[later], ll[later], np.ones(len(later)), np.full(len(later), _KNOWN), ll[first[later]]])
+                parts.append(_known(owner[each][later], dd[later], ll[later], np.ones(len(later), np.int64), dd[first[later]], ll[first[later]]))
                 parts.append([a[keep], b[keep], dd[keep], ll[keep], np.ones(len(keep)), np.full(len(keep), _CANDIDATE), zero])
             yield _emit(parts)
 
@@ -216,7 +236,7 @@ def _cut(window: int, names: list[str], text: str):
     """Pass 3: factors of each document, put together greedily, and what is left of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 3):
+        for batch in slices(batches, 3, _SLICE):
             w = W.words(batch.column(3))
             marks = batch.column(0)
             covered = np.zeros(len(w.start) + 1, np.int64)
@@ -232,13 +252,8 @@ def _cut(window: int, names: list[str], text: str):
             np.add.at(covered, begin, 1)
             np.add.at(covered, begin + n - 1 + window, -1)
             gone = np.cumsum(covered[:-1]) > 0
-            # a factor runs on while the next mark continues both here and in its reference
-            go = np.zeros(len(by), bool)
-            if len(by):
-                go[1:] = (owner[1:] == owner[:-1]) & (pos[1:] == pos[:-1] + n[:-1]) & (ref_doc[1:] == ref_doc[:-1]) & (ref_loc[1:] == ref_loc[:-1] + n[:-1])
-            head = np.flatnonzero(~go)
-            last = np.r_[head[1:], len(by)] - 1 if len(head) else head
-            words = pos[last] + n[last] - 1 + window - pos[head]
+            head, total = _run_on(owner, pos, n, ref_doc, ref_loc)
+            words = total - 1 + window
             factors = pa.StructArray.from_arrays(
                 [pa.array(pos[head].astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(ref_doc[head]), pa.array((ref_loc[head] & 0x7FFFFFFF).astype(np.int32))], names=["start", "words", "ref_doc", "ref_start"]
             )
@@ -247,16 +262,15 @@ def _cut(window: int, names: list[str], text: str):
             removed = np.where(w.counts > 0, removed, 0)
             kept = []
             raw = w.data.tobytes()
-            s, e = w.start.tolist(), w.end.tolist()
             for i in range(batch.num_rows):
                 lo, hi = int(w.first[i]), int(w.first[i + 1])
                 if removed[i] == hi - lo:
                     kept.append("")
                 elif not removed[i]:
-                    kept.append(b" ".join(raw[s[lo] : e[hi - 1]].split()).decode())
+                    kept.append(b" ".join(raw[w.start[lo] : w.end[hi - 1]].split()).decode())
                 else:
-                    left = (np.flatnonzero(~gone[lo:hi]) + lo).tolist()
-                    kept.append(b" ".join([raw[s[j] : e[j]] for j in left]).decode())
+                    left = np.flatnonzero(~gone[lo:hi]) + lo
+                    kept.append(b" ".join([raw[a:b] for a, b in zip(w.start[left].tolist(), w.end[left].tolist())]).decode())
             new = {"n_words": pa.array(w.counts.astype(np.int64)), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.string()), "factors": pa.ListArray.from_arrays(pa.array(offsets), factors)}
             yield pa.RecordBatch.from_arrays([*[batch.column("__text" if c == text else c) for c in names], *new.values()], names=[*names, *new])
 
