@@ -78,7 +78,7 @@ def listing_title(title: Column) -> Column:
 
 def date_and_title(text: Column) -> Column:
     """(date, title) of a cell that holds a date line and a title line."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     dated = lambda x: x.rlike(r"^\d{1,2}\s+\p{L}+\s+\d{4}$")
     return F.struct(F.coalesce(F.try_element_at(F.filter(lines, dated), F.lit(1)), F.lit("")).alias("date"), F.array_join(F.filter(lines, lambda x: ~dated(x)), " ").alias("title"))
 

@@ -323,3 +323,18 @@ def answer_context(index: DataFrame, queries: DataFrame, as_of: Column, match_co
     rows = rows.withColumn("rank", F.row_number().over(again))
     rows = reranked(rows, lexical_scores(rows, queries), match_count)
     return adaptive_cutoff(recency_boosted(rows, as_of), most=match_count)
+
+
+def expanded_queries(questions: DataFrame, answers: DataFrame, most: int = 2) -> DataFrame:
+    """(question_id, query_no, query_text): each question and up to two other phrasings, a line each of a
+    generator's answer (question_id, answer); empty lines and repeats of the question drop out."""
+    lines = F.filter(F.transform(F.split("answer", "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    met = questions.join(answers, "question_id", "left")
+    others = F.slice(F.filter(F.array_distinct(F.coalesce(lines, F.array().cast("array<string>"))), lambda x: x != F.col("query_text")), 1, most)
+    return met.select("question_id", F.posexplode(F.concat(F.array("query_text"), others)).alias("query_no", "query_text"))
+
+
+def linked_marks(answers: DataFrame, cited: DataFrame) -> DataFrame:
+    """(message_id, pos, citation_index, document_id) of the [n] marks of answers; unknown marks have no document."""
+    marks = answers.select("message_id", F.posexplode(F.transform(F.regexp_extract_all("text", F.lit(r"\[(\d+)\]"), 1), lambda x: x.cast("int"))).alias("pos", "citation_index"))
+    return marks.join(cited.select("message_id", "citation_index", "document_id"), ["message_id", "citation_index"], "left")

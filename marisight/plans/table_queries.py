@@ -396,7 +396,11 @@ def streamed_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, lambda e: jobs.feedback_stream(e.select(F.col("event_id").alias("message_id"), rating.alias("rating")).where("rating is not null"), cited), "complete")
 
 
-_MONTH_NAMES = "['" + "','".join(dates.MONTHS[m][0] for m in range(1, 13)) + "']"
+def streamed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's kinds of events once, as versions of one object, from a stream of all events."""
+    return _streamed(spark, sf_dir, lambda e: jobs.fingerprints(e.select(F.col("user_id").cast("string").alias("storage_path"), F.col("event_type").alias("version_token"))), "append")
+
+
 _FETCHES = """
 f AS (SELECT doc_id AS seq, source AS slug, 'https://x.example/' || (doc_id // 2) AS canonical_url, sha256(coalesce(text, '')) AS sha256, 'gov-docs/' || doc_id AS spaces_path, doc_id AS loaded_at FROM documents)
 """
@@ -430,7 +434,7 @@ QUERIES = {
         url_functions, url_resolution, storage_manifest, date_labels, message_functions, document_pieces, document_sections, document_chunks, page_blocks, page_chunks, page_text, page_links,
         page_document_links, page_listing, footer_headings, listing_pages, crawl_candidates, feed_items, sitemap_pages, catalog_resources, event_properties, brand_tables, statistics_rows, classified_fetches, run_summary, upserted_state,
         pending_objects, active_state, latest_versions, merged_listings, conversation_list, message_history, messages_with_citations, visible_citations, after_deletion, daily_usage, quota_decisions,
-        attachments, violations, streamed_usage, streamed_feedback,
+        attachments, violations, streamed_usage, streamed_feedback, streamed_fingerprints,
     )
 }
 
@@ -515,5 +519,6 @@ b AS (SELECT * FROM a WHERE size <= 10485760 QUALIFY row_number() OVER (PARTITIO
 SELECT doc_id AS key, 'language' AS rule FROM documents WHERE lang NOT IN ('en', 'fr', 'de') UNION ALL SELECT doc_id, 'length' FROM documents WHERE n_chars <> length(text)
 UNION ALL SELECT doc_id, 'size' FROM documents WHERE n_chars >= 20000 UNION ALL SELECT doc_id, 'source' FROM documents WHERE NOT regexp_matches(source, '^src[0-9]$')""",
     "streamed_usage": "SELECT CAST(ts AS DATE) AS usage_date, user_id, count(*) AS request_count, CAST(sum(CASE WHEN event_type = 'view' THEN 800 ELSE 1200 END) AS BIGINT) AS tokens_budgeted FROM events GROUP BY 1, 2",
+    "streamed_fingerprints": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS storage_path, event_type AS version_token FROM events",
     "streamed_feedback": "SELECT event_id % 197 AS document_id, count(*) FILTER (WHERE event_type = 'purchase') AS positive_count, count(*) FILTER (WHERE event_type = 'error') AS negative_count, CAST(sum(CASE event_type WHEN 'purchase' THEN 1 ELSE -1 END) AS BIGINT) AS net_score FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1",
 }

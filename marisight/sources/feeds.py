@@ -128,3 +128,27 @@ def statistics(rows: DataFrame, sort: str = "date", limit: int = 10, start: str
     if end is not None:
         rows = rows.where(F.col(sort) <= F.lit(end))
     return rows.orderBy(F.col(sort).desc()).limit(min(limit, 100))
+
+
+def tree_links(trees: DataFrame, xml: str = "xml") -> DataFrame:
+    """(tree columns, pos, id, text, link): items of tree XML, with the address in their text or user data."""
+    items = F.regexp_extract_all(_bare(F.col(xml)), F.lit(r"(<item\s[^>]*>)"), 1)
+    rows = trees.select(*[c for c in trees.columns if c != xml], F.posexplode(items).alias("pos", "i"))
+    attribute = lambda name: F.regexp_extract("i", rf'\b{name}="([^"]*)"', 1)
+    link = F.regexp_extract(F.replace(attribute("text"), F.lit("&quot;"), F.lit('"')), r"""((?:https?://|/)[^\s"'<>&]+\.pdf)""", 1)
+    return rows.select(*[c for c in trees.columns if c != xml], "pos", attribute("id").alias("id"), attribute("text").alias("text"), link.alias("link"))
+
+
+def first_list_with(json: Column, key: str, lists: tuple[str, ...], element: str) -> Column:
+    """Of the named lists of a JSON object the first whose first element has the key, as array<element>."""
+    return F.coalesce(*[F.when(F.get_json_object(json, f"$.{name}[0].{key}").isNotNull(), F.from_json(F.get_json_object(json, f"$.{name}"), f"array<{element}>")) for name in lists])
+
+
+def catalog_text(title: Column, description: Column, columns: Column, frequency: Column, category: Column) -> Column:
+    """What is indexed of a dataset: its titles, description, columns, frequency and category, a line each."""
+    return F.concat_ws("\n", title, description, F.concat(F.lit("Columns: "), F.array_join(columns, ", ")), F.concat(F.lit("Frequency: "), frequency), F.concat(F.lit("Category: "), category))
+
+
+def usable_downloads(rows: DataFrame, content: str = "content", least: int = 10) -> DataFrame:
+    """Downloads whose payload is no mere error stub."""
+    return rows.where(F.octet_length(content) >= least)

@@ -31,9 +31,11 @@ def session_stream(events: DataFrame, gap: str = "30 minutes", late: str = "1 ho
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("events")).select("user_id", F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "events")
 
 
-def fingerprints(files: DataFrame, late: str = "7 days") -> DataFrame:
-    """Each (path, version) once: what an incremental indexer has to parse."""
-    return files.withWatermark("modified", late).dropDuplicatesWithinWatermark(["storage_path", "version_token"])
+def fingerprints(files: DataFrame, late: str | None = None) -> DataFrame:
+    """Each (storage_path, version_token) once: what an incremental indexer has to parse.  With ``late``, repeats
+    are recognised for that long behind column ``modified`` and older ones leave the state."""
+    key = ["storage_path", "version_token"]
+    return files.dropDuplicates(key) if late is None else files.withWatermark("modified", late).dropDuplicatesWithinWatermark(key)
 
 
 def run_available(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:

@@ -153,3 +153,15 @@ def test_listings(spark):
 def test_crawl(spark):
     links_ = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "e")], "url string, link string")
     assert sorted((r.url, r.level) for r in links.crawl(spark.createDataFrame([("a",)], "url string"), links_).collect()) == [("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_small_sources(spark):
+    tree = spark.createDataFrame([(1, '<tree id="0"><item id="a" text="&quot;x&quot; /files/h.pdf"/><item id="b" text="none"/></tree>')], "k int, xml string")
+    assert [(r.id, r.link) for r in feeds.tree_links(tree).collect()] == [("a", "/files/h.pdf"), ("b", "")]
+    row = spark.createDataFrame([('{"x":[{"q":1}],"y":[{"id":"7"}]}',)], "j string").select(feeds.first_list_with(F.col("j"), "id", ("x", "y"), "struct<id:string>").alias("l")).first()
+    assert [e.id for e in row.l] == ["7"]
+    asked = spark.createDataFrame([(1, "q"), (2, "p")], "question_id int, query_text string")
+    answers = spark.createDataFrame([(1, "q\n\n a \nb\nc")], "question_id int, answer string")
+    assert sorted((r.question_id, r.query_no, r.query_text) for r in retrieval.expanded_queries(asked, answers).collect()) == [(1, 0, "q"), (1, 1, "a"), (1, 2, "b"), (2, 0, "p")]
+    marks = retrieval.linked_marks(spark.createDataFrame([(1, "x [2] y [9]")], "message_id int, text string"), spark.createDataFrame([(1, 2, 5)], "message_id int, citation_index int, document_id int"))
+    assert {(r.pos, r.citation_index, r.document_id) for r in marks.collect()} == {(0, 2, 5), (1, 9, None)}
