@@ -37,7 +37,7 @@ STAT_BINS = 16
 FACTORS = 8
 TRAIN_ROWS = 12_000
 THRESHOLD = 0.3
-_EPOCHS, _BATCH, _RATE = 12, 256, 0.08
+_EPOCHS, _LEAST_STEPS, _BATCH, _RATE = 12, 200, 256, 0.08
 _MARKS = b"!*#$%&|.,"
 _STATS = 3 + len(_MARKS) + 6
 SIZE = WORD_BINS + _STATS * STAT_BINS
@@ -129,7 +129,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int
     model.factors = rng.normal(0, 0.05, (SIZE, FACTORS)).astype(np.float32)
     g_linear, g_factors = np.full(SIZE, 1e-6), np.full((SIZE, FACTORS), 1e-6)
     g_bias = 1e-6
-    for _ in range(_EPOCHS):
+    for _ in range(max(_EPOCHS, -(-_LEAST_STEPS * _BATCH // len(rows)))):  # few rows are seen more often
         order = rng.permutation(len(rows))
         for lo in range(0, len(order), _BATCH):
             ids = order[lo : lo + _BATCH]
