@@ -42,7 +42,7 @@ def directory(rows: DataFrame, first_bit: int, limit: int) -> DataFrame:
     nodes = nodes.withColumn("fits", (F.col("bytes") <= limit) | (F.col("docs") == 1))
     # along each slot's path from the root: the first bucket that fits, or the deepest one
     path = paths.select("stem", "slot", "depth", "prefix").join(nodes, ["stem", "depth", "prefix"])
-    first = F.min_by(F.struct("depth", "prefix", "fits", "bytes", "docs"), F.when(F.col("fits"), F.col("depth")).otherwise(F.col("depth") + 2 * STEP - 2 * F.col("depth") + STEP))
+    first = F.min_by(F.struct("depth", "prefix", "fits", "bytes", "docs"), F.when(F.col("fits"), F.col("depth")).otherwise(3 * STEP - F.col("depth")))
     return path.groupBy("stem", "slot").agg(first.alias("b")).select("stem", "slot", "b.*")
 
 

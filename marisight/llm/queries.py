@@ -10,6 +10,7 @@ from marisight.llm.extendible_sharding import OP4_SQL, op4_extendible_sharding
 from marisight.llm.jaccard_join import op3_jaccard_join
 from marisight.llm.maxscore import OP5_SQL, op5_maxscore
 from marisight.llm.media_columns import op7_media_columns
+from marisight.llm.oracle_sql import OP1_SQL, OP3_SQL
 from marisight.llm.page_differencing import op6_page_differencing
 from marisight.llm.ppm_scoring import op10_ppm_scoring
 from marisight.llm.quality_fm import op2_quality_fm
@@ -31,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op3_jaccard_join": OP3_SQL,
     "op4_extendible_sharding": OP4_SQL,
     "op5_maxscore": OP5_SQL,
 }
