@@ -303,4 +303,4 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words of every whole document without repeated 20-word windows; see the module."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = remove_repeats(docs, keep=["doc_id"])
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"), F.size("factors").alias("n_factors"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
