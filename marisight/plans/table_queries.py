@@ -43,7 +43,7 @@ def storage_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(n, F.lit(365)).cast("int"))
     name = F.concat(F.lit("report_no-"), n.cast("string"), F.element_at(F.array(*[F.lit(x) for x in (".pdf", ".html", ".csv", ".txt", ".docx")]), (F.pmod(n, F.lit(5)) + 1).cast("int")))
     seven = F.concat_ws("/", F.lit("gov-docs"), "source", F.lit("raw"), F.date_format(day, "yyyy/MM/dd"), name)
-    five = F.concat_ws("/", F.lit("polisi/gov-my"), "source", F.date_format(day, "yyyy-MM"), name)
+    five = F.concat_ws("/", F.lit("archive/gov-my"), "source", F.date_format(day, "yyyy-MM"), name)
     four = F.concat_ws("/", F.lit("gov-my"), "source", F.date_format(day, "yyyy-MM"), name)
     key = F.when(n % 4 == 0, seven).when(n % 4 == 1, five).when(n % 4 == 2, four).otherwise(F.concat(F.lit("other/"), name))
     sha = F.when(n % 3 == 0, F.sha2(F.col("text").cast("binary"), 256))
@@ -453,7 +453,7 @@ WITH p AS (SELECT page_id, url, regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1)
 SELECT page_id, root || '/a/b.pdf' AS root, regexp_replace(url, '#.*$', '') || '#part' AS fragment, root || path || '?q=1' AS query, scheme || '://other.example/x' AS scheme, 'https://other.example/y' AS whole, root || '/b/c' AS up FROM p""",
     "storage_manifest": """
 WITH d AS (SELECT doc_id AS n, source, text, n_chars, DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS day, ['.pdf', '.html', '.csv', '.txt', '.docx'][CAST(doc_id % 5 AS INTEGER) + 1] AS ext FROM documents),
-k AS (SELECT *, 'report_no-' || n || ext AS name, CASE n % 4 WHEN 0 THEN 'gov-docs/' || source || '/raw/' || strftime(day, '%Y/%m/%d') || '/' WHEN 1 THEN 'polisi/gov-my/' || source || '/' || strftime(day, '%Y-%m') || '/' WHEN 2 THEN 'gov-my/' || source || '/' || strftime(day, '%Y-%m') || '/' END AS folder FROM d)
+k AS (SELECT *, 'report_no-' || n || ext AS name, CASE n % 4 WHEN 0 THEN 'gov-docs/' || source || '/raw/' || strftime(day, '%Y/%m/%d') || '/' WHEN 1 THEN 'archive/gov-my/' || source || '/' || strftime(day, '%Y-%m') || '/' WHEN 2 THEN 'gov-my/' || source || '/' || strftime(day, '%Y-%m') || '/' END AS folder FROM d)
 SELECT folder || name AS storage_path, source AS agency, strftime(day, '%Y-%m') AS year_month, name AS file_name, substr(ext, 2) AS file_type,
   CASE WHEN n % 3 = 0 THEN sha256(text) ELSE 'e' || n END AS version_token, n_chars AS size, 'report no ' || n AS title FROM k WHERE folder IS NOT NULL AND ext <> '.txt'""",
     "date_labels": """

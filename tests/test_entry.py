@@ -1,8 +1,23 @@
 """The driver contract."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parent.parent
+
 
 def test_entry_and_registry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_without_the_corpus_operators(tmp_path):
+    """Everything else imports and registers when their subpackage and the pipeline are gone."""
+    shutil.copytree(ROOT / "marisight", tmp_path / "marisight", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'hybrid_search' in q and not any(k.startswith('op') or k == 'pipeline' for k in q)"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
