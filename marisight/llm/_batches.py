@@ -24,8 +24,9 @@ def text_key(text: str = "text") -> Column:
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).bitwiseAND(0x7FFFFFFF)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each holds about ``most`` bytes of column ``text`` (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that each holds about ``most`` bytes of column ``text`` and at most ``rows`` rows
+    (one row at least)."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -34,7 +35,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20) ->
         total, lo = np.cumsum(sizes), 0
         while lo < n:
             base = total[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(total, base + most, side="right")))
+            hi = min(lo + rows, max(lo + 1, int(np.searchsorted(total, base + most, side="right"))))
             yield batch.slice(lo, hi - lo)
             lo = hi
 
