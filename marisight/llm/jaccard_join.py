@@ -11,7 +11,8 @@ two documents link when it is at most 1 - ``percent``/100.  Regions become small
    document within the radius - is its first n - ceil(percent * n / 100) + 1 shingles: linked
    documents share one of these.  Regions with one document end here; of regions with the same
    documents one is kept.
-2. *Regions in sketch space.*  A document's parity sketch (2048 bits; each element flips one) has a
+2. *Regions in sketch space.*  A document's parity sketch (2048 bits, and 8192 for long ones; each
+   element flips one) has a
    Hamming distance that never exceeds the symmetric difference, and linked sets differ by at most
    (100 - percent)(|A| + |B|) / (100 + percent) elements.  Within a region pairs beyond that are
    excluded; what remains connected makes the smaller regions of step 3.
@@ -46,6 +47,8 @@ from marisight.llm._shared import written
 SHINGLE = 4
 PERCENT = 85
 BITS = 2048
+#: sets over this size also have a sketch of WIDE bits; the short one would be full of their differences
+LONG, WIDE = 4096, 8192
 #: members of a region, or documents of a sketch region, that one task compares
 REGION = 4096
 #: a shingle in one of so many documents (and in MIN_FREQUENT) goes to the end of the order
@@ -84,7 +87,7 @@ def frequent_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
     FREQUENT_ONE_IN times a document's mean length of them, whatever the corpus; they only affect order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 16 << 20):
+        for batch in slices(batches, 0):
             _, v = _shingles(batch.column(0), k)
             bins = (v & np.uint64((1 << 22) - 1)).astype(np.int64)
             often = v[np.bincount(bins, minlength=1 << 22)[bins] > 2]
@@ -97,84 +100,108 @@ def frequent_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
 
+def _sketches(v: np.ndarray, row: np.ndarray, m: int, bits: int = BITS) -> np.ndarray:
+    """Parity sketch of each of m sets."""
+    odd = np.bincount(row * bits + (v % np.uint64(bits)).astype(np.int64), minlength=m * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(m, bits), axis=1)
+
+
+def _wide_sketches(v: np.ndarray, first: np.ndarray, n: np.ndarray) -> list[bytes | None]:
+    """Wide sketches of the long sets, none of the others."""
+    out: list[bytes | None] = [None] * len(n)
+    for i in np.flatnonzero(n > LONG):
+        values = v[first[i] : first[i + 1]]
+        out[i] = _sketches(values, np.zeros(len(values), np.int64), 1, WIDE).tobytes()
+    return out
+
+
 def _profile(k: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 4 << 20):
             doc, m = longs(batch.column(0)), batch.num_rows
             v, row, first = _sets(batch.column(1), k, frequent)
             n = np.diff(first)
-            bits = np.bincount(row * BITS + (v % np.uint64(BITS)).astype(np.int64), minlength=m * BITS).astype(np.uint8) & 1
-            sketch = np.packbits(bits.reshape(m, BITS), axis=1)
+            sketch = _sketches(v, row, m)
             one, two = W.signed(W.spans(v, first[:-1], first[1:])), W.signed(W.spans(W.mix(v), first[:-1], first[1:]))
             # of equal sets in this slice only the one of the smallest id stands in regions
             by = np.lexsort((doc, two, one, n))
             lead = np.ones(m, bool)
             lead[1:] = (n[by][1:] != n[by][:-1]) | (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])
-            stands = np.zeros(m, bool)
+            stands, rep = np.zeros(m, bool), np.empty(m, np.int64)
             stands[by[lead]] = True
+            rep[by] = doc[by[lead]][np.cumsum(lead) - 1]
             size = np.where(stands & (n > 0), n - (percent * n + 99) // 100 + 1, 0)
             at = np.repeat(first[:-1], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
             cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(W.signed(v[at])))
             raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), m, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(n), pa.array(one), pa.array(two), raw, cells], names=["doc", "n", "one", "two", "sketch", "cells"])
+            wide = pa.array(_wide_sketches(v, first, n), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(n), pa.array(rep), pa.array(stands), pa.array(one), pa.array(two), raw, wide, cells], names=["doc", "n", "rep", "stands", "one", "two", "sketch", "wide", "cells"])
 
     return run
 
 
-class _Forest:
-    """Union-find over 0 … n-1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
-def _near(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+def _near(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int, wide: np.ndarray | None = None) -> np.ndarray:
     """Whether the sketches of pairs (a, b) leave a link possible."""
     out = np.empty(len(a), bool)
     for lo in range(0, len(a), 1 << 15):
         i, j = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
         apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64)
         out[lo : lo + (1 << 15)] = (100 + percent) * np.maximum(apart, np.abs(n[i] - n[j])) <= (100 - percent) * (n[i] + n[j])
+    if wide is not None:
+        for at in np.flatnonzero(out & (n[a] > LONG) & (n[b] > LONG)):
+            i, j = a[at], b[at]
+            apart = int(np.bitwise_count(wide[i] ^ wide[j]).sum())
+            out[at] = (100 + percent) * apart <= (100 - percent) * int(n[i] + n[j])
     return out
 
 
-def _region_links(sketch: np.ndarray, n: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of one region that sketches leave possible."""
+def _forest(sketch: np.ndarray, n: np.ndarray, percent: int, sets: list[np.ndarray] | None = None, wide: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links of one region: pairs that sketches leave possible or, with sets, exact links.
+
+    Each member in turn is the pivot, in order of size.  It meets the later members that its size
+    window, the triangle inequality over earlier pivots and the sketches leave, and that aren't
+    connected with it yet.
+    """
     m = len(n)
-    forest, out = _Forest(m), []
+    radius = 1 - percent / 100 + 1e-9
     order = np.argsort(n, kind="stable")
-    open_ = np.ones(m, bool)
-    for at in range(m - 1):
-        i = int(order[at])
-        # sizes bound the window; members in the tree of i already need no look
-        hi = int(np.searchsorted(n[order], (100 * n[i]) // percent, side="right"))
-        rest = order[at + 1 : hi]
-        if not len(rest):
-            continue
-        if not open_[rest].any() and len({forest.root(int(x)) for x in rest} | {forest.root(i)}) == 1:
-            continue
-        for j in rest[_near(sketch, n, np.full(len(rest), i), rest, percent)]:
-            if forest.join(i, int(j)):
-                out.append((i, int(j)))
-                open_[j] = False
+    sketch, n = sketch[order], n[order]
+    wide = None if wide is None else wide[order]
+    far = np.searchsorted(n, (100 * n) // percent, side="right")
+    label = np.arange(m)
+    pivots: list[np.ndarray] = []
+    out: list[tuple[int, int]] = []
+    for i in range(m - 1):
+        other = np.flatnonzero(label[i + 1 : far[i]] != label[i]) + i + 1
+        for away in pivots:  # unknown distances (nan) exclude nothing
+            if len(other):
+                other = other[~(np.abs(away[other] - away[i]) > radius)]
+        if len(other):
+            other = other[_near(sketch, n, np.full(len(other), i), other, percent, wide)]
+        if sets is not None and len(other):
+            pivot, met = sets[order[i]], [sets[j] for j in order[other]]
+            flat = np.concatenate(met)
+            at = np.minimum(np.searchsorted(pivot, flat), len(pivot) - 1)
+            size = n[other]
+            common = np.add.reduceat((pivot[at] == flat).astype(np.int64), np.cumsum(size) - size)
+            union = size + n[i] - common
+            if len(pivots) < 16 and len(other) > 32:
+                away = np.full(m, np.nan)
+                away[i], away[other] = 0.0, 1 - common / union
+                pivots.append(away)
+            other = other[100 * common >= percent * union]
+        for j in other:
+            if label[j] != label[i]:
+                out.append((int(order[i]), int(order[j])))
+                label[label == label[j]] = label[i]
     return out
 
 
 def _regions(percent: int):
-    """Sorted rows (cell, left, right, doc, n, sketch) in, possible links (a, b) out."""
+    """Sorted rows (cell, left, right, doc, n, sketch, wide) in, possible links (a, b) out."""
 
-    def flush(doc: np.ndarray, n: np.ndarray, sketch: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def flush(doc: np.ndarray, n: np.ndarray, sketch: np.ndarray, wide: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = np.r_[starts[1:], len(doc)]
         size = ends - starts
         found: list[np.ndarray] = []
@@ -183,10 +210,10 @@ def _regions(percent: int):
             if len(s):
                 i, j = np.triu_indices(width, 1)
                 a, b = (s[:, None] + i).ravel(), (s[:, None] + j).ravel()
-                ok = _near(sketch, n, a, b, percent)
+                ok = _near(sketch, n, a, b, percent, wide)
                 found.append(np.stack([a[ok], b[ok]]))
         for s, e in zip(starts[size > 8].tolist(), ends[size > 8].tolist()):
-            links = _region_links(sketch[s:e], n[s:e], percent)
+            links = _forest(sketch[s:e], n[s:e], percent, None, wide[s:e])
             if links:
                 found.append(np.array(links).T + s)
         pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
@@ -197,9 +224,9 @@ def _regions(percent: int):
 
         def emit(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
             cols = [np.concatenate(x) for x in zip(*parts)]
-            key, doc, n, sketch = cols
+            key, doc, n, sketch, wide = cols
             new = np.r_[True, (key[1:] != key[:-1]).any(1)]
-            a, b = flush(doc, n, sketch, np.flatnonzero(new))
+            a, b = flush(doc, n, sketch, wide, np.flatnonzero(new))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
@@ -208,7 +235,9 @@ def _regions(percent: int):
             key = np.stack([longs(batch.column(i)) for i in range(3)], 1)
             raw = batch.column(5).cast(pa.large_binary())
             bits = np.frombuffer(raw.buffers()[2], np.uint64)[raw.offset * (BITS // 64) : (raw.offset + len(raw)) * (BITS // 64)].reshape(-1, BITS // 64)
-            part = (key, longs(batch.column(3)), longs(batch.column(4)), bits)
+            wide = np.empty(batch.num_rows, object)
+            wide[:] = [None if x is None else np.frombuffer(x, np.uint64) for x in batch.column(6).to_pylist()]
+            part = (key, longs(batch.column(3)), longs(batch.column(4)), bits, wide)
             turn = np.flatnonzero((key[1:] != key[:-1]).any(1))
             if held and not len(turn) and (held[-1][0][-1] == key[0]).all():
                 held.append(part)
@@ -224,57 +253,30 @@ def _regions(percent: int):
     return run
 
 
-def _exact_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the exact links among sets, by pivots and the triangle inequality."""
-    m = len(sets)
-    n = np.array([len(s) for s in sets])
-    flat, start = np.concatenate(sets), np.cumsum(n) - n
-    radius = 1 - percent / 100 + 1e-9
-    label = np.arange(m)
-    done = np.zeros(m, bool)
-    away = np.zeros((0, m))
-    out: list[tuple[int, int]] = []
-    for i in range(m):
-        done[i] = True
-        other = np.flatnonzero(~done & (label != label[i]))
-        if len(other) and len(away):
-            other = other[(np.abs(away[:, other] - away[:, i : i + 1]) <= radius).all(0)]
-        if not len(other):
-            continue
-        at = np.minimum(np.searchsorted(sets[i], flat), n[i] - 1)
-        common = np.add.reduceat((sets[i][at] == flat).astype(np.int64), start)
-        union = n + n[i] - common
-        if len(away) < 64:
-            away = np.concatenate([away, (1 - common / union)[None]])
-        for j in other[100 * common[other] >= percent * union[other]]:
-            if label[j] != label[i]:
-                out.append((i, int(j)))
-                label[label == label[j]] = label[i]
-    return out
-
-
 def _exact(k: int, percent: int):
     """Sorted rows (root, left, right, doc, text) in, exact links (a, b) out."""
     none = np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, docs, sets = None, [], []
+        now, docs, sets, bits = None, [], [], []
 
         def links() -> pa.RecordBatch:
-            pairs = _exact_links(sets, percent) if len(sets) > 1 else []
+            pairs = _forest(np.stack(bits), np.array([len(x) for x in sets]), percent, sets) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([docs[i] for i, _ in pairs], pa.int64()), pa.array([docs[j] for _, j in pairs], pa.int64())], names=["a", "b"])
 
-        for batch in slices(batches, 4):
-            v, _, first = _sets(batch.column(4), k, none)
+        for batch in slices(batches, 4, 4 << 20):
+            v, row, first = _sets(batch.column(4), k, none)
+            sketch = _sketches(v, row, batch.num_rows).view(np.uint64)
             keys = list(zip(*(longs(batch.column(i)).tolist() for i in range(3))))
             doc = longs(batch.column(3)).tolist()
             for i, key in enumerate(keys):
                 if key != now:
                     if sets:
                         yield links()
-                    now, docs, sets = key, [], []
+                    now, docs, sets, bits = key, [], [], []
                 docs.append(doc[i])
                 sets.append(v[first[i] : first[i + 1]].copy())
+                bits.append(sketch[i])
         if sets:
             yield links()
 
@@ -295,11 +297,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_shingles, component_id) for each row of docs."""
     base = docs.select(key_of(doc_id).alias("__doc"), F.col(text).alias("__text"))
     frequent = frequent_shingles(base, shingle, docs.count())
-    profile = written(base.mapInArrow(_profile(shingle, percent, frequent), "doc long, n long, one long, two long, sketch binary, cells array<long>"), "profile")
+    profile = written(base.mapInArrow(_profile(shingle, percent, frequent), "doc long, n long, rep long, stands boolean, one long, two long, sketch binary, wide binary, cells array<long>"), "profile")
 
-    # equal sets, wherever they are
-    same = profile.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    equal = profile.where("n > 0").join(same, ["n", "one", "two"]).where(F.col("doc") != F.col("lead")).select(F.col("doc").alias("a"), F.col("lead").alias("b"))
+    # equal sets: with their slice's representative, and representatives with the smallest one of all slices
+    leads = profile.where("n > 0 AND stands").select("doc", "n", "one", "two")
+    same = leads.groupBy("n", "one", "two").agg(F.min("doc").alias("lead"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    apart = leads.join(same, ["n", "one", "two"]).where(F.col("doc") != F.col("lead")).select(F.col("doc").alias("a"), F.col("lead").alias("b"))
+    equal = written(profile.where("n > 0 AND doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b")).unionByName(apart), "equal")
 
     # step 1: regions with two documents or more, one of each membership
     cells = profile.select("doc", F.explode("cells").alias("cell"))
@@ -308,11 +312,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     part = lambda i: F.sum(F.shiftrightunsigned(F.xxhash64("doc", F.lit(i)), 32)).alias(f"m{i}")
     prints = shared.groupBy("cell", "members").agg(*[part(i) for i in range(3)])
     kept = prints.groupBy("members", "m0", "m1", "m2").agg(F.min("cell").alias("cell")).select("cell")
-    members = shared.join(kept, "cell").distinct()
+    members = shared.join(kept, "cell").distinct().join(equal.select(F.col("a").alias("doc")).distinct(), "doc", "left_anti")
 
     # step 2: what sketches leave possible
-    rows = members.join(profile.where(F.size("cells") > 0).select("doc", "n", "sketch"), "doc")
-    rows = _blocks(rows, "cell", "members").select("cell", "left", "right", "doc", "n", "sketch")
+    rows = members.join(profile.where(F.size("cells") > 0).select("doc", "n", "sketch", "wide"), "doc")
+    rows = _blocks(rows, "cell", "members").select("cell", "left", "right", "doc", "n", "sketch", "wide")
     possible = rows.repartition("cell", "left", "right").sortWithinPartitions("cell", "left", "right", "n", "doc").mapInArrow(_regions(percent), "a long, b long")
     regions = written(components(possible.where("a <> b")), "regions")
 
