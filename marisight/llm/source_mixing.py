@@ -163,7 +163,8 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", wei
     ends = F.col("start") + F.col("size")
     spans = rows.select("*", F.explode_outer(F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((ends - 1) / block)))).alias("block"))
     spans = spans.withColumn("from", F.greatest(F.col("start") - F.col("block") * block, F.lit(0))).withColumn("to", F.least(ends - F.col("block") * block, F.lit(block)))
-    met = spans.join(taken, ["skey", "block"], "left")
+    # the planner takes the mix for as small as the table of sources that it unfolds from; it grows with the corpus
+    met = spans.join(taken.hint("merge"), ["skey", "block"], "left")
     part = F.greatest(F.least(F.col("to"), F.col("cut")) - F.col("from"), F.lit(0))
     words = F.coalesce(F.col("times") * (F.col("to") - F.col("from")), F.lit(0)) + F.coalesce(F.when(F.col("cut").isNotNull(), part), F.lit(0))
     out = met.groupBy("doc_id", "skey", "bucket", "turn", "size").agg(F.sum(words).cast("long").alias("taken"))
