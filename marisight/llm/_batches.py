@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 4 << 20, ro
             hi = min(lo + rows, max(lo + 1, int(np.searchsorted(total, base + most, side="right"))))
             yield batch.slice(lo, hi - lo)
             lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Returns what a finished pass has freed to the system: workers live on, and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def longs(column: pa.Array) -> np.ndarray:

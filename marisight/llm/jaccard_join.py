@@ -117,7 +117,7 @@ def _wide_sketches(v: np.ndarray, first: np.ndarray, n: np.ndarray) -> list[byte
 
 def _profile(k: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 4 << 20):
+        for batch in slices(batches, 1, 2 << 20):
             doc, m = longs(batch.column(0)), batch.num_rows
             v, row, first = _sets(batch.column(1), k, frequent)
             n = np.diff(first)
