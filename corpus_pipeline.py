@@ -37,16 +37,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words; where it takes part of a document, the row holds
-    its first words, so that each source's words come to its target."""
-    mixed, _ = source_mixing.mix_sources(docs)
-    taken = mixed.where(F.col("taken") > 0).select("doc_id", "size", "taken")
-    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
-    rows = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    out = docs.join(taken.select("doc_id", F.explode(rows).alias("_first")), "doc_id")
-    words = F.split(F.trim(F.regexp_replace("text", "[ \\t-\\r]+", " ")), " ")
-    text = F.when(F.col("_first") == 0, F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.greatest("_first", F.lit(1))), " "))
-    out = out.withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.col("_first") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
+    the blocks that were drawn, so that each source's words come to its target."""
+    out = source_mixing.mixed_texts(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,7 +113,7 @@ def packed(sized: DataFrame, block: int = BLOCK) -> DataFrame:
     sums = bucketed.groupBy("skey", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("skey", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("skey", "bucket").orderBy("doc_id", "size")
+    inside = Window.partitionBy("skey", "bucket").orderBy("doc_id", "size", "row")
     rows = bucketed.select(
         "*",
         (F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).alias("inner"),
@@ -151,10 +151,11 @@ def slots(per: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, se
     return stretches.select(*names).mapInArrow(run, "skey string, block long, shard long, place long, cut long")
 
 
-def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(documents, slots).  Documents: doc_id, size, source_size, target and taken; slots: see ``slots``."""
+def _drawn(docs: DataFrame, text: str, source: str, weights: tuple[int, ...], most: int, block: int, shard_slots: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(spans, targets, slots).  Spans: the part of each block that each row of docs (by ``row``) fills, ``from`` its
+    first word to ``to``, with the ``times`` that the whole block is taken and the words of it last taken, ``cut``."""
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    sized = sizes(docs.select("doc_id", F.col(source).cast("string").alias("source"), F.col(text).alias("text")))
+    sized = sizes(docs.select("row", "doc_id", F.col(source).cast("string").alias("source"), F.col(text).alias("text")))
     sized = written(sized.withColumn("skey", key), "sizes")
     per = written(targets(sized, "source", weights, most), "targets")
     chosen = slots(per, block, shard_slots, seed)
@@ -164,14 +165,66 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", wei
     spans = rows.select("*", F.explode_outer(F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((ends - 1) / block)))).alias("block"))
     spans = spans.withColumn("from", F.greatest(F.col("start") - F.col("block") * block, F.lit(0))).withColumn("to", F.least(ends - F.col("block") * block, F.lit(block)))
     # the planner takes the mix for as small as the table of sources that it unfolds from; it grows with the corpus
-    met = spans.join(taken.hint("merge"), ["skey", "block"], "left")
+    return spans.join(taken.hint("merge"), ["skey", "block"], "left"), per, chosen
+
+
+def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(documents, slots).  Documents: doc_id, size, source_size, target and taken; slots: see ``slots``."""
+    met, per, chosen = _drawn(docs.withColumn("row", F.monotonically_increasing_id()), text, source, weights, most, block, shard_slots, seed)
     part = F.greatest(F.least(F.col("to"), F.col("cut")) - F.col("from"), F.lit(0))
     words = F.coalesce(F.col("times") * (F.col("to") - F.col("from")), F.lit(0)) + F.coalesce(F.when(F.col("cut").isNotNull(), part), F.lit(0))
-    out = met.groupBy("doc_id", "skey", "bucket", "turn", "size").agg(F.sum(words).cast("long").alias("taken"))
+    out = met.groupBy("row", "doc_id", "skey", "size").agg(F.sum(words).cast("long").alias("taken"))
     out = out.join(per.select("skey", "source_size", "target"), "skey").select("doc_id", "size", "source_size", "target", "taken")
     return out, chosen
 
 
+def _copies(text: int):
+    """Rows as often as their spans are taken, each with the words of its spans in the text's order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            w, names = W.words(batch.column(text)), batch.schema.names[:-1]
+            data, rows, texts = w.data.tobytes(), [], []
+            listed = batch.column(len(names))
+            fields, ends = listed.flatten().flatten(), np.cumsum(np.asarray(listed.value_lengths(), dtype=np.int64))
+            lo, hi, times, cut = (longs(f) for f in fields)
+            for row in range(batch.num_rows):
+                mine = slice(ends[row - 1] if row else 0, ends[row])
+                by, base = np.argsort(lo[mine]), int(w.first[row])
+                a, b, t, c = (x[mine][by] for x in (lo, hi, times, cut))
+                for copy in range(1, int((t + (c > 0)).max()) + 1):
+                    here = (t >= copy) | ((t + 1 == copy) & (c > 0))
+                    first, last = a[here], np.where(t >= copy, b, a + c)[here]
+                    rows.append(row)
+                    if (last - first).sum() == w.counts[row]:
+                        texts.append(batch.column(text)[row].as_py())
+                        continue
+                    new = np.r_[True, first[1:] != last[:-1]]  # spans that meet are one run, with the separators that the text has
+                    opens, closes = first[new] + base, last[np.r_[new[1:], True]] + base - 1
+                    texts.append(b"\n".join(data[x:y] for x, y in zip(w.start[opens].tolist(), w.end[closes].tolist(), strict=True)).decode())
+            index = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(i).type) if i == text else batch.column(i).take(index) for i in range(len(names))], names=names)
+
+    return run
+
+
+def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """The words that the mix takes of docs, in docs' columns.
+
+    The n-th row of a document holds its spans that are taken n times or more: all of it is the text as it is, of
+    others the runs of adjacent spans, a line feed between them.  Rows are told apart by a key of their own, so ids
+    may be null or repeat."""
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    met, _, _ = _drawn(keyed.select(F.col("__row").alias("row"), "doc_id", source, text), text, source, weights, most, block, shard_slots, seed)
+    lo = F.col("block") * block + F.col("from") - F.col("start")
+    cut = F.coalesce(F.greatest(F.least(F.col("to"), F.col("cut")) - F.col("from"), F.lit(0)), F.lit(0))
+    cut = F.when(F.col("cut").isNull(), 0).otherwise(cut)
+    spans = met.where("times is not null").select("row", lo.cast("long").alias("lo"), (lo + F.col("to") - F.col("from")).cast("long").alias("hi"), F.col("times").cast("long").alias("times"), cut.cast("long").alias("cut"))
+    spans = spans.where("times + cut > 0").groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("lo", "hi", "times", "cut")).alias("__spans"))
+    rows = keyed.join(spans, "__row").select(*docs.columns, "__spans")
+    return rows.mapInArrow(_copies(docs.columns.index(text)), docs.schema)
+
+
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3 by source; see the module."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")

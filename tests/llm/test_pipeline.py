@@ -6,12 +6,13 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute
 
 import corpus_pipeline
-from marisight.llm import sentencepiece_codec
+from marisight.llm import sentencepiece_codec, source_mixing
 from marisight.llm._shared import written
 
 SF = "/root/testdata/sf0.01"
@@ -70,6 +71,28 @@ def test_mixing(stages):
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes) and max(times.values()) <= 4
 
 
+def test_mixing_takes_the_drawn_blocks(spark):
+    """Each drawn block's words arrive as often as the slots say, whatever ids are null or repeat."""
+    sizes = {"a": 1000, "b": 333, "c": 77}
+    ids = {"a": [None, 7, 7, 7, 1, 2], "b": [None, 7, 3], "c": [4]}
+    rows = [(d, " ".join(f"{s}{i}_{j}" for j in range(sizes[s] - i)), 0, s) for s in ids for i, d in enumerate(ids[s])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, source string")
+    met, _, _ = source_mixing._drawn(docs.withColumn("row", F.monotonically_increasing_id()), "text", "source", source_mixing.WEIGHTS, source_mixing.MOST, source_mixing.BLOCK, source_mixing.SHARD_SLOTS, source_mixing.SEED)
+    texts, want = {r.row: brute.words(r.text) for r in docs.withColumn("row", F.monotonically_increasing_id()).collect()}, Counter()
+    for r in met.where("times is not null").collect():
+        at = r.block * source_mixing.BLOCK + r["from"] - r.start
+        for n, words in ((r.times, r.to - r["from"]), (1, min(r.to, r.cut or 0) - r["from"])):
+            for w in texts[r.row][at : at + max(words, 0)]:
+                want[w] += n
+    got = corpus_pipeline.mixing(spark, docs, SF).collect()
+    assert Counter(w for r in got for w in brute.words(r.text)) == want
+    assert all(r.n_chars == len(r.text) for r in got)
+    tail = {w for t in texts.values() for w in t[len(t) // 2 :]}
+    taken = Counter(w[0] for w in want if w in tail)
+    assert all(taken[s] > 0.3 * sum(w[0] == s for w in tail) for s in "ab")  # tails take part, also where half is taken
+    assert {r.doc_id for r in got} >= {None, 7}
+
+
 def test_encoding(stages):
     library = sentencepiece_codec.PieceModel(sentencepiece_codec.default_model_path()).library
     want = Counter((r.doc_id, len(library.encode(r.text))) for r in stages["mixing"].collect())
