@@ -5,17 +5,18 @@ longest context seen in training; if the context has not seen it, an escape is c
 shorter context tries, down to the uniform order.  Escapes are estimated by method C (as often as the
 context has distinct followers) and symbols that a longer context would have coded are excluded from
 the shorter ones.  As a context's followers are followers of every suffix of it, exclusion only needs
-two sums per context, computed once; so the pretrained trie becomes a table, and documents are scored
-a batch at a time by looking up each position's context and byte.  The code length of a document adds
-up to its log10 probability.
+two sums per context, computed once; so the pretrained trie is one table of contexts per order.  The
+code length of a document adds up to its log10 probability.
 
 A document's bytes are its lower-cased words joined by one space, then one line feed as the end; it
 starts in the context of line feeds.
 
-The trie is bounded by ``MAX_LEAVES`` strings of ORDER + 1 bytes, the most frequent ones: the count
-from which strings stay is read off a histogram over all of them.  Word counts for the base score are
-exact at any vocabulary: the ``COMMON_WORDS`` most frequent go to the tasks (bounded), all others are
-joined by word hash after counting inside each slice.
+The tables hold all strings.  What most bytes cost travels to the tasks: that of the ``MAX_LEAVES``
+most frequent strings of ORDER + 1 bytes, from the count that is read off a histogram over all of them.
+All other strings of a document, rare or unseen, are counted inside each slice; each distinct one is
+joined with the tables order by order (a context has at most 256 followers, a string at most 256 longer
+ones by one byte, so no key is large).  Word counts for the base score are exact at any vocabulary in
+the same way: the ``COMMON_WORDS`` most frequent go to the tasks, all others are joined by word hash.
 
 Defined results: null and empty texts are the end alone; null ids count as training rows; without
 training rows every byte costs the uniform order and N is 0; repeated rows count and score each.
@@ -131,102 +132,91 @@ class _Hash:
         return out
 
 
-def _fold(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of n by key, keys in order."""
-    by = np.argsort(keys, kind="stable")
-    keys, n = keys[by], n[by]
-    head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[head], np.add.reduceat(n, head) if len(head) else n[:0]
-
-
-class Trie:
-    """Counts of all contexts up to the order, and the sums that escapes and exclusion need."""
-
-    def __init__(self, leaves: np.ndarray, n: np.ndarray, order: int):
-        self.order = order
-        self.levels = []  # per order 0 …: contexts, their totals and followers, and (context, byte) counts
-        grams, counts = leaves.astype(_U), n.astype(np.float64)
-        for k in range(order, -1, -1):
-            grams, counts = _fold(grams & _U((1 << (8 * (k + 1))) - 1), counts)
-            context, total = _fold(grams >> _U(8), counts)
-            _, kinds = _fold(grams >> _U(8), np.ones(len(grams)))
-            self.levels.insert(0, {"grams": grams, "counts": counts, "contexts": context, "total": total, "kinds": kinds})
-        for k, level in enumerate(self.levels):
-            if k:  # what the next shorter context loses by excluding this one's followers
-                below = self.levels[k - 1]
-                at = np.searchsorted(below["grams"], level["grams"] & _U((1 << (8 * k)) - 1))
-                _, level["lost"] = _fold(level["grams"] >> _U(8), below["counts"][at])
-            if k == order:  # most bytes are coded right here
-                where = np.searchsorted(level["contexts"], level["grams"] >> _U(8))
-                level["cost"] = np.log10(level["counts"] / (level["total"] + level["kinds"])[where])
-                del level["counts"]
-        self.index: _Hash | None = None
-
-    def costs(self, grams: np.ndarray) -> np.ndarray:
-        """log10 probability of the last byte of each string of order + 1 bytes after the others."""
-        if self.index is None:  # built once in each worker
-            self.index = _Hash(self.levels[-1]["grams"])
-        found = self.index.find(grams)
-        out = np.zeros(len(grams))
-        hit = found >= 0
-        out[hit] = self.levels[-1]["cost"][found[hit]]
-        todo = np.flatnonzero(~hit)
-        lost, gone = np.zeros(len(todo)), np.zeros(len(todo))
-        for k in range(self.order, -1, -1):
-            if not len(todo):
-                break
-            level = self.levels[k]
-            if not len(level["contexts"]):
-                continue
-            gram = grams[todo] & _U((1 << (8 * (k + 1))) - 1)
-            at = np.minimum(np.searchsorted(level["contexts"], gram >> _U(8)), len(level["contexts"]) - 1)
-            known = level["contexts"][at] == gram >> _U(8)
-            to = np.minimum(np.searchsorted(level["grams"], gram), len(level["grams"]) - 1)
-            coded = known & (level["grams"][to] == gram)
-            kinds = level["kinds"][at] - gone
-            whole = level["total"][at] - lost + kinds
-            with np.errstate(divide="ignore", invalid="ignore"):
-                if coded.any():
-                    out[todo[coded]] += np.log10(level["counts"][to[coded]] / whole[coded])
-                escape = known & ~coded & (whole > 0)
-                out[todo[escape]] += np.log10(kinds[escape] / whole[escape])
-            if k:
-                lost = np.where(known, level["lost"][at], 0.0)
-                gone = np.where(known, level["kinds"][at], 0.0)
-            else:
-                gone = np.where(known, level["kinds"][at], 0.0)
-            todo, lost, gone = todo[~coded], lost[~coded], gone[~coded]
-        if len(todo):
-            out[todo] -= np.log10(np.maximum(256 - gone, 1))
-        return out
-
+def _lists(keys: np.ndarray, row: np.ndarray, rows: int, name: str) -> pa.Array:
+    """Of each row the distinct keys and how often each occurs."""
+    by = np.lexsort((keys, row))
+    keys, row = keys[by], row[by]
+    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])]) if len(by) else np.zeros(0, np.int64)
+    times = np.diff(np.r_[new, len(by)])
+    offsets = np.searchsorted(row[new], np.arange(rows + 1)).astype(np.int32)
+    listed = pa.StructArray.from_arrays([pa.array(W.signed(keys[new])), pa.array(times.astype(np.int32))], names=[name, "times"])
+    return pa.ListArray.from_arrays(pa.array(offsets), listed)
 
-def _score(trie: Trie, common: np.ndarray, counts: np.ndarray):
-    order = trie.order
 
+def _score(order: int, hot: np.ndarray, costs: np.ndarray, common: np.ndarray, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Hash(common)
+        leaves, words = _Hash(hot), _Hash(common)
         for batch in slices(batches, 0, 1 << 20):
+            m = batch.num_rows
             w = W.words(batch.column(0), lower=True)
             grams, first = _coded(*_stream(w, order), order)
-            total = np.r_[0.0, np.cumsum(trie.costs(grams))]
+            found = leaves.find(grams)
+            cost = np.zeros(len(grams))
+            cost[found >= 0] = costs[found[found >= 0]]
+            total = np.r_[0.0, np.cumsum(cost)]
+            left = np.flatnonzero(found < 0)
+            asked = _lists(grams[left], np.searchsorted(first, left, side="right") - 1, m, "gram")
             h, row = W.word_hashes(w), w.row_of()
             found = words.find(h)
             known = found >= 0
-            m = batch.num_rows
             base = np.bincount(row[known], weights=np.log10(counts[found[known]] + 1.0), minlength=m).astype(np.float64)
-            rest = np.flatnonzero(~known)
-            by = rest[np.lexsort((h[rest], row[rest]))]
-            new = np.flatnonzero(np.r_[True, (h[by][1:] != h[by][:-1]) | (row[by][1:] != row[by][:-1])]) if len(by) else np.zeros(0, np.int64)
-            times = np.diff(np.r_[new, len(by)])
-            offsets = np.searchsorted(row[by][new], np.arange(m + 1)).astype(np.int32)
-            rare = pa.StructArray.from_arrays([pa.array(W.signed(h[by][new])), pa.array(times.astype(np.int32))], names=["word", "times"])
+            rare = _lists(h[~known], row[~known], m, "word")
             made = [w.counts.astype(np.int64) + 1, np.bincount(row[known], minlength=m), base, total[first[1:]] - total[first[:-1]]]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(x) for x in made], pa.ListArray.from_arrays(pa.array(offsets), rare)], names=["doc_id", "n_tokens", "n_common", "common_score", "score", "rare"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(x) for x in made], rare, asked], names=["doc_id", "n_tokens", "n_common", "common_score", "hot_score", "rare", "asked"])
 
     return run
 
 
+def _suffix(k: int) -> Column:
+    """The last k + 1 bytes of a string, as a number."""
+    return F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1).cast("long"))
+
+
+def _contexts(leaves: DataFrame, order: int) -> list[DataFrame]:
+    """Per order 0 …: each context with its total, distinct followers, the counts of each follower, and what the
+    next shorter context loses by excluding these followers."""
+    levels = [leaves]
+    for k in range(order - 1, -1, -1):
+        levels.insert(0, written(levels[0].groupBy(_suffix(k).alias("gram")).agg(F.sum("n").alias("n")), f"order{k}"))
+    out = []
+    for k, level in enumerate(levels):
+        level = level.withColumn("below", F.lit(0).cast("long"))
+        if k:
+            below = levels[k - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("n_below"))
+            level = level.withColumn("suffix", _suffix(k - 1)).join(below, "suffix").select("gram", "n", F.col("n_below").alias("below"))
+        follower = F.struct(F.col("gram").bitwiseAND(F.lit(255).cast("long")).cast("int").alias("byte"), "n")
+        per = level.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(
+            F.sum("n").alias(f"total{k}"), F.count(F.lit(1)).alias(f"kinds{k}"), F.sum("below").alias(f"lost{k}"), F.map_from_entries(F.collect_list(follower)).alias("followers")
+        )
+        out.append(written(per, f"contexts{k}"))
+    return out
+
+
+def _costs(asked: DataFrame, contexts: list[DataFrame]) -> DataFrame:
+    """(gram, cost): log10 probability of the last byte of each asked string after the others."""
+    known: DataFrame | None = None
+    for k, per in enumerate(contexts):
+        grams = asked.select(_suffix(k).alias("gram")).distinct() if k < len(contexts) - 1 else asked
+        met = grams.withColumn("context", F.shiftrightunsigned("gram", 8)).join(per, "context", "left")
+        byte = F.col("gram").bitwiseAND(F.lit(255).cast("long")).cast("int")
+        zero = lambda c: F.coalesce(c, F.lit(0)).cast("double")
+        met = met.select("gram", zero(F.try_element_at("followers", byte)).alias(f"n{k}"), *[zero(F.col(f"{c}{k}")).alias(f"{c}{k}") for c in ("total", "kinds", "lost")])
+        if known is not None:
+            shorter = known.withColumnRenamed("gram", "suffix")
+            met = met.withColumn("suffix", _suffix(k - 1)).join(shorter, "suffix").drop("suffix")
+        known = met
+    top, cost = len(contexts) - 1, F.lit(0.0)
+    for k in range(top, -1, -1):
+        lost, gone = (F.col(f"{c}{k + 1}") if k < top else F.lit(0.0) for c in ("lost", "kinds"))
+        kinds = F.col(f"kinds{k}") - gone
+        whole = F.col(f"total{k}") - lost + kinds
+        here = F.when(F.col(f"n{k}") > 0, F.log10(F.col(f"n{k}") / whole)).when((F.col(f"kinds{k}") > 0) & (whole > 0), F.log10(kinds / whole)).otherwise(0.0)
+        # a string seen in training has all its suffixes seen: one order longer tells whether the byte is coded yet
+        cost = cost + (here if k == top else F.when(F.col(f"n{k + 1}") > 0, 0.0).otherwise(here))
+    uniform = F.when(F.col("n0") > 0, 0.0).otherwise(-F.log10(F.greatest(256 - F.col("kinds0"), F.lit(1.0))))
+    return known.select("gram", (cost + uniform).alias("cost"))
+
+
 def _bounded(table: DataFrame, most: int) -> DataFrame:
     """The rows of the highest counts, at most ``most`` of them, equal counts together."""
     steps = table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("n"))
@@ -240,10 +230,11 @@ def _bounded(table: DataFrame, most: int) -> DataFrame:
 
 
 def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    got = table.select("key", "n").toArrow()
-    key, n = longs(got["key"].combine_chunks()).view(_U), longs(got["n"].combine_chunks())
+    """The keys and values of a bounded table of two columns."""
+    got = table.toArrow()
+    key, value = longs(got.column(0).combine_chunks()).view(_U), np.asarray(got.column(1).combine_chunks())
     by = np.argsort(key)
-    return key[by].copy(), n[by].copy()
+    return key[by].copy(), value[by].copy()
 
 
 def language_scores(docs: DataFrame, training: Column, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES, common_words: int = COMMON_WORDS) -> DataFrame:
@@ -253,21 +244,28 @@ def language_scores(docs: DataFrame, training: Column, text: str = "text", order
     totals = counts.where(F.col("kind") == _WORD).agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     n_training = docs.where(training).count()
     vocabulary, tokens = totals[0] + (n_training > 0), totals[1] + n_training
-    trie = Trie(*_arrays(_bounded(counts.where(F.col("kind") == _GRAM), max_leaves)), order)
+    leaves = counts.where(F.col("kind") == _GRAM).select(F.col("key").alias("gram"), "n")
+    contexts = _contexts(leaves, order)
+    hot = _bounded(leaves, max_leaves).withColumn("context", F.shiftrightunsigned("gram", 8))
+    hot = hot.join(contexts[-1].select("context", f"total{order}", f"kinds{order}"), "context")
+    hot, costs = _arrays(hot.select("gram", F.log10(F.col("n") / (F.col(f"total{order}") + F.col(f"kinds{order}"))).alias("cost")))
     words = counts.where(F.col("kind") == _WORD)
     common = _bounded(words, common_words)
-    key, n = _arrays(common)
-    schema = "doc_id long, n_tokens long, n_common long, common_score double, score double, rare array<struct<word:long,times:int>>"
-    rows = docs.select(F.col(text).alias("t"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(_score(trie, key, n), schema)
+    key, n = _arrays(common.select("key", "n"))
+    schema = "doc_id long, n_tokens long, n_common long, common_score double, hot_score double, rare array<struct<word:long,times:int>>, asked array<struct<gram:long,times:int>>"
+    rows = docs.select(F.col(text).alias("t"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(_score(order, hot, costs, key, n), schema)
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
     asked = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     met = asked.join(words.select(F.col("key").alias("word"), F.col("n")), "word")
     more = met.groupBy("row").agg(F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_score"))
-    out = rows.drop("rare").join(more, "row", "left")
+    open_ = rows.select("row", F.explode("asked").alias("r")).select("row", "r.gram", "r.times")
+    costly = _costs(written(open_.select("gram").distinct(), "asked"), contexts)
+    coded = open_.join(costly, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("open_score"))
+    out = rows.drop("rare", "asked").join(more, "row", "left").join(coded, "row", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     end_known = F.lit(1 if n_training else 0)
     base = F.col("common_score") + F.coalesce("rare_score", F.lit(0.0)) + F.lit(float(np.log10(n_training + 1.0))) - F.col("n_tokens") * F.lit(float(np.log10(tokens + vocabulary + 1.0)))
-    return out.select("doc_id", "n_tokens", (F.col("n_common") + zero("n_rare") + end_known).cast("long").alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return out.select("doc_id", "n_tokens", (F.col("n_common") + zero("n_rare") + end_known).cast("long").alias("n_known"), F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("hot_score") + F.coalesce("open_score", F.lit(0.0))).alias("score"))
 
 
 def op10_ppm_scoring(spark, sf_dir: str) -> DataFrame:

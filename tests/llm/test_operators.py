@@ -382,6 +382,18 @@ def test_op10_brute(spark, sf_dir):
     assert [got[d].score for d, _ in some] == pytest.approx(want, rel=1e-9)
 
 
+def test_op10_rare_strings_count(spark):
+    """Scores don't depend on how many strings travel to the tasks: strings beyond them are joined."""
+    rng = random.Random(10)
+    rows = [(i, " ".join("".join(rng.choice("abcd\u00e9") for _ in range(rng.randrange(1, 7))) for _ in range(40))) for i in range(40)]
+    rows += [(40, "zz \U0001f600 unseen"), (41, None)]
+    train = [(d, t) for d, t in rows if d < 30]
+    want = brute.ppm([" ".join(brute.words(t)).encode() for _, t in train], [" ".join(brute.words(t)).encode() for _, t in rows], 5)
+    for most in (0, 20, 4_000_000):
+        out = ppm_scoring.language_scores(spark.createDataFrame(rows, DOCS), F.col("doc_id") < 30, max_leaves=most).orderBy("doc_id").collect()
+        assert [r.score for r in out] == pytest.approx(want, rel=1e-9)
+
+
 def test_op10_edges(spark):
     out = ppm_scoring.language_scores(docs_of(spark, EDGES), F.col("doc_id") < 3, order=2).collect()
     assert len(out) == len(EDGES) and all(r.score < 0 for r in out)
