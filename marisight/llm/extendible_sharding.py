@@ -46,19 +46,20 @@ def directory(rows: DataFrame, first_bit: int, limit: int) -> DataFrame:
     return path.groupBy("stem", "slot").agg(first.alias("b")).select("stem", "slot", "b.*")
 
 
-def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
-    """(doc_id, n_bytes, shard, depth, part): the shard of each row is its hash prefix in bits, and its part."""
+def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_bytes, shard, depth, part) and the columns to ``keep``: the shard of each row is its hash prefix in
+    bits, and its part."""
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), key.alias("hash"), F.lit("").alias("stem"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), key.alias("hash"), F.lit("").alias("stem"), *keep)
     rows = written(rows, "hashed")
     done = None
     for bit in range(0, HASH_BITS, STEP):
         split = rows.withColumn("slot", _digits(bit)).join(directory(rows, bit, limit), ["stem", "slot"])
         label = F.concat("stem", F.expr(f"case when depth = 0 then '' else substring(lpad(bin(slot), {STEP}, '0'), 1, depth) end"))
-        split = written(split.select("doc_id", "n_bytes", "hash", label.alias("stem"), (F.lit(bit) + F.col("depth")).cast("int").alias("depth"), "fits"), "split")
-        fitting = split.where("fits").select("doc_id", "n_bytes", F.col("stem").alias("shard"), "depth", F.lit(0).cast("long").alias("part"))
+        split = written(split.select("doc_id", "n_bytes", "hash", label.alias("stem"), (F.lit(bit) + F.col("depth")).cast("int").alias("depth"), "fits", *keep), "split")
+        fitting = split.where("fits").select("doc_id", "n_bytes", F.col("stem").alias("shard"), "depth", F.lit(0).cast("long").alias("part"), *keep)
         done = fitting if done is None else done.unionByName(fitting)
-        rows = split.where(~F.col("fits")).select("doc_id", "n_bytes", "hash", "stem")
+        rows = split.where(~F.col("fits")).select("doc_id", "n_bytes", "hash", "stem", *keep)
         if rows.isEmpty():
             return done
     # one hash, several rows: rows over half the limit alone, others by a running sum of half the limit
@@ -68,13 +69,15 @@ def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: i
     run = Window.partitionBy("stem", "lane").orderBy("n_bytes").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     order = Window.partitionBy("stem", "lane").orderBy("n_bytes")
     part = F.when(small, F.floor(F.greatest(F.sum("n_bytes").over(run) - 1, F.lit(0)) * 2 / limit)).otherwise(-F.row_number().over(order))
-    cut = lanes.select("doc_id", "n_bytes", F.col("stem").alias("shard"), F.lit(HASH_BITS).alias("depth"), ((F.col("lane") + 1) * F.lit(1 << 40) + part).cast("long").alias("part"))
+    cut = lanes.select("doc_id", "n_bytes", F.col("stem").alias("shard"), F.lit(HASH_BITS).alias("depth"), ((F.col("lane") + 1) * F.lit(1 << 40) + part).cast("long").alias("part"), *keep)
     return done.unionByName(cut)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
-    """Writes docs as one folder per shard under path; returns what was written."""
-    placed = docs.join(shards(docs, limit=limit).select("doc_id", "shard", "part").distinct(), "doc_id")
+    """Writes docs, each row once, as one folder per shard under path; returns what was written.  Rows are told
+    apart by a key of their own, so ids may be null or repeat."""
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    placed = keyed.join(shards(keyed, limit=limit, keep=("__row",)).select("__row", "shard", "part"), "__row").drop("__row")
     placed.repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
     return docs.sparkSession.read.parquet(path)
 

@@ -190,6 +190,13 @@ def test_op4_limits_and_repeats(spark, tmp_path):
     assert extendible_sharding.write_shards(small, str(tmp_path / "out"), 50).count() == 20
 
 
+def test_op4_writes_each_row_once(spark, tmp_path):
+    rows = [(None, "n" * 30), (None, "m" * 30), *[(7, f"{i:02}" * 10) for i in range(12)], (8, "x"), (9, None)]
+    frame = spark.createDataFrame(rows, DOCS)
+    back = extendible_sharding.write_shards(frame, str(tmp_path / "out"), 50)
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter(rows)
+
+
 def test_op5_edges(spark):
     nan = float("nan")
     rows = [(0, [1.0, -0.5]), (1, [1.0, -0.5]), (1, [1.0, -0.5]), (2, None), (3, [nan, 1.0]), (4, [None, 1.0]), (5, [0.25, 0.0]), (None, [1.0, 1.0]), (20, [float("inf"), 0.0]), (40, [-1.0, 0.1])]
