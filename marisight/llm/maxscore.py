@@ -1,33 +1,46 @@
 """Exact top-k search by MaxScore over integer vectors.
 
-A *term* is a dimension; its postings in a shard are the shard's values there.  With the smallest
-contribution of each term subtracted, contributions are never negative and each term has an upper
-bound per query and shard.  As in MaxScore, terms are ranked by bound; the leading ones are
-*essential*: their postings are traversed for every row.  The rest are *non-essential*: their bounds
-together say how much a row could still gain, and they are probed only for rows that stay
-competitive with the k-th best score known so far.  Shards answer independently and are merged.
-
-Queries and rows meet in blocks: each (query block, shard) pair is one group of bounded size, so the
-work is dealt out evenly and nothing is broadcast.
-
-Defined results: rows whose vector is null, or holds null or non-finite components, take no part;
-so do queries and rows without an id and vectors whose length differs from the majority's first
-seen in a group; ties go to the smaller id; repeated rows of one id are separate candidates; fewer
-than k rows give fewer results; an empty table gives none.
+A *term* is a dimension.  A shard of rows keeps two posting lists per term, one for queries with a
+positive and one for those with a negative weight there: the rows that score more than the shard's
+least contribution, with how much more per unit of weight.  So contributions are never negative, and
+each term has an upper bound per query and shard: its weight times the list's largest entry.
+
+Each query searches each shard as MaxScore does:
+
+1. Terms are ranked by bound.  The postings of the leading few are traversed, and the k best rows so
+   far are scored in full: their least score is the *threshold* that a row has to reach.
+2. The threshold splits the query's terms.  *Non-essential* are the lowest bounds that together stay
+   under it: a row in none of the other lists can't be among the best.  The postings of all the
+   *essential* terms are traversed.
+3. Non-essential terms are probed in order of bound, only in rows that are still *competitive*, whose
+   score so far and the bounds left reach the threshold, which rises as probed rows are completed.
+
+Shards answer independently and their answers are merged.  Each row goes to one shard per
+``QUERY_LANE`` queries; a task holds one shard and lets its queries stream through, so memory is that
+of a shard whatever the number of queries, and nothing is broadcast.
+
+Defined results: rows whose vector is null, or holds null or non-finite components, take no part; so
+do queries and rows without an id; vectors are compared with those of their own length only; ties go
+to the smaller id; repeated rows of one id are separate candidates; fewer than k rows give fewer
+results; an empty table gives none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marisight.llm._batches import longs
+
 K = 20
 SHARD_ROWS = 8192
-QUERY_ROWS = 1024
-#: at least so many queries and rows are scored at a time
-_ESSENTIAL_STEP = 16
+QUERY_LANE = 1 << 16
+#: terms traversed before the first threshold
+_FIRST_TERMS = 4
 
 
 def quantised(vector: Column, levels: int = 64) -> Column:
@@ -41,71 +54,126 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, lambda x: F.coalesce(whole(x.cast("double")), F.lit(False))), F.lit(False))
 
 
-def max_score(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Top k of one shard for a block of queries: (query number, row number, score), the query's own row left out."""
-    order_rows = np.argsort(row_ids, kind="stable")
-    rows, row_ids = rows[order_rows], row_ids[order_rows]
-    low, high = rows.min(0), rows.max(0)
-    least = np.minimum(queries * low, queries * high)
-    bound = np.maximum(queries * low, queries * high) - least  # what a term can add above its least
-    base = least.sum(1)
-    out_q, out_r, out_s = [], [], []
-    rank = np.argsort(-bound.sum(0), kind="stable")  # one term order for the block, best bounds first
-    q, r = queries[:, rank].astype(np.float64), rows[:, rank].astype(np.float64)
-    least, bound = least[:, rank], bound[:, rank]
-    left = bound.sum(1)
-    got = np.zeros((len(q), len(r)))  # exact: integers below 2**53
-    alive = np.ones(len(r), bool)
-    terms, at = q.shape[1], 0
-    own = row_ids[None, :] == query_ids[:, None]
-    while at < terms:
-        to = min(terms, at + _ESSENTIAL_STEP)
-        live = np.flatnonzero(alive)
-        got[:, live] += q[:, at:to] @ r[live, at:to].T - least[:, at:to].sum(1)[:, None]
-        left = left - bound[:, at:to].sum(1)
-        at = to
-        if at >= terms or len(live) <= k + 1:
-            continue
-        part = np.where(own[:, live], -1.0, got[:, live])
-        floor = np.partition(part, len(live) - k, axis=1)[:, len(live) - k]  # a lower bound of the k-th best
-        alive[live] = (part + left[:, None] >= floor[:, None]).any(0)
-    live = np.flatnonzero(alive)
-    final = np.where(own[:, live], -np.inf, got[:, live])
-    m = min(k, len(live))
-    if m == 0:
-        return np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    floor = np.partition(final, len(live) - m, axis=1)[:, len(live) - m]
-    for i in range(len(q)):
-        near = np.flatnonzero((final[i] >= floor[i]) & np.isfinite(final[i]))
-        best = near[np.lexsort((row_ids[live[near]], -final[i][near]))][:k]
-        out_q.append(np.full(len(best), i))
-        out_r.append(row_ids[live[best]])
-        out_s.append(final[i][best] + base[i])
-    return np.concatenate(out_q), np.concatenate(out_r), np.rint(np.concatenate(out_s)).astype(np.int64)
-
-
-def search(queries: DataFrame, rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+class Shard:
+    """Posting lists of a shard's rows, which are ordered by id."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        by = np.argsort(ids, kind="stable")
+        self.rows, self.ids = rows[by], ids[by]
+        self.low, self.high = self.rows.min(0), self.rows.max(0)
+        self.width = self.high - self.low
+        #: per sign and term: (row numbers, entries); None instead of numbers where all rows stand in the list
+        self.postings = [[self._list(c - lo) for c, lo in zip(self.rows.T, self.low)], [self._list(hi - c) for c, hi in zip(self.rows.T, self.high)]]
+
+    @staticmethod
+    def _list(gain: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+        at = np.flatnonzero(gain)
+        return (None, gain) if 2 * len(at) > len(gain) else (at, gain[at])
+
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(row numbers, scores) of the k best rows but the query's own, and the postings touched for them."""
+        size, negative = np.abs(query), query < 0
+        base = int((query * np.where(negative, self.high, self.low)).sum())
+        bound = size * self.width
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        left = np.r_[np.cumsum(bound[order][::-1])[::-1], 0]  # what the terms from each on can add
+        score = np.zeros(len(self.ids), np.int64)
+        mine = slice(*np.searchsorted(self.ids, [own, own + 1]))
+        touched = 0
+
+        def traverse(terms: np.ndarray) -> int:
+            met = 0
+            for t in terms:
+                at, gain = self.postings[int(negative[t])][t]
+                score[slice(None) if at is None else at] += size[t] * gain
+                met += len(gain)
+            return met
+
+        def probe(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
+            return self.rows[rows[:, None], terms] @ query[terms] - (query[terms] * np.where(negative[terms], self.high[terms], self.low[terms])).sum()
+
+        def best(rows: np.ndarray, value: np.ndarray) -> np.ndarray:
+            """The k best of rows in order: rows ascend by id, so equals keep their order."""
+            if len(rows) > k:
+                near = value >= np.partition(value, len(rows) - k)[len(rows) - k]
+                rows, value = rows[near], value[near]
+            return rows[np.argsort(-value, kind="stable")][:k]
+
+        others = len(score) - (mine.stop - mine.start)
+        done = min(_FIRST_TERMS, len(order))
+        touched += traverse(order[:done])
+        live = np.r_[np.arange(mine.start), np.arange(mine.stop, len(score))]
+        threshold = 0
+        if others > k:
+            first = best(live, score[live])
+            threshold = int((score[first] + probe(first, order[done:])).min())
+            touched += len(first) * (len(order) - done)
+            essential = min(int(np.searchsorted(-left, -threshold, side="right")), len(order))  # the terms from there on stay under it
+            if essential > done:
+                touched += traverse(order[done:essential])
+                done = essential
+            live = live[score[live] + left[done] >= threshold]
+        while done < len(order) and len(live):
+            to = min(len(order), done + max(1, (len(order) - done) // 4))
+            score[live] += probe(live, order[done:to])
+            touched += len(live) * (to - done)
+            done = to
+            if len(live) > k:
+                floor = int(np.partition(score[live], len(live) - k)[len(live) - k])  # k rows have so much already
+                threshold = max(threshold, floor)
+                live = live[score[live] + left[done] >= threshold]
+        live = best(live, score[live])
+        return live, score[live] + base, touched
+
+
+def _searched(k: int):
+    """Rows sorted by (width, shard, lane, is_query) in: each shard's rows are followed by its queries."""
+
+    def vectors(batch: pa.RecordBatch, width: int) -> np.ndarray:
+        return longs(batch.column(5).flatten()).reshape(-1, width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, shard = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([longs(batch.column(i)) for i in range(4)], 1)
+            cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, len(key)]
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                width, number, lane, is_query = key[lo].tolist()
+                part = batch.slice(lo, hi - lo)
+                if (width, number, lane) != now:
+                    now, held, shard = (width, number, lane), [], None
+                if not is_query:
+                    held.append((vectors(part, width), longs(part.column(4))))
+                    continue
+                if shard is None and held:
+                    shard, held = Shard(*(np.concatenate(x) for x in zip(*held))), []
+                if shard is None:  # no rows of this length
+                    continue
+                who, found = longs(part.column(4)), []
+                for q, own in zip(vectors(part, width), who.tolist()):
+                    rows, score, _ = shard.search(q, own, k)
+                    found.append((np.full(len(rows), own), shard.ids[rows], score))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["query_id", "vec_id", "score"])
+
+    return run
+
+
+def search(queries: DataFrame, rows: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_lane: int = QUERY_LANE) -> DataFrame:
     """The k best rows of each query by integer inner product: (query_id, rank, vec_id, score).
 
     Both frames have (vec_id, vector array<long>); a row with the query's own id is no candidate.
     """
-    n_rows, n_queries = rows.count(), queries.count()
-    shards, blocks = max(1, -(-n_rows // shard_rows)), max(1, -(-n_queries // query_rows))
-    number = lambda column, n: F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-    left = queries.select(F.col("vec_id").alias("id"), "vector", number("vec_id", blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    right = rows.select(F.col("vec_id").alias("id"), "vector", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), number("vec_id", shards).alias("shard"))
-
-    def one(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if len(q) and len(r):
-            width = len(q["vector"].iloc[0])
-            q, r = q[q["vector"].map(len) == width], r[r["vector"].map(len) == width]
-        if not len(q) or not len(r):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        who = q["id"].to_numpy(np.int64)
-        i, ids, score = max_score(np.stack(q["vector"].to_numpy()).astype(np.int64), who, np.stack(r["vector"].to_numpy()).astype(np.int64), r["id"].to_numpy(np.int64), k)
-        return pd.DataFrame({"query_id": who[i], "vec_id": ids, "score": score})
-
-    found = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(one, "query_id long, vec_id long, score long")
+    shards, lanes = max(1, -(-rows.count() // shard_rows)), max(1, -(-queries.count() // query_lane))
+    dealt = lambda many: F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(many)).cast("int")  # noqa: E731  rows of one id spread too
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    made = lambda frame, shard, lane, kind: frame.select(F.size("vector").alias("width"), shard.alias("shard"), lane.alias("lane"), F.lit(kind).alias("is_query"), F.col("vec_id").cast("long").alias("id"), "vector")
+    left = made(rows.withColumn("_s", dealt(shards)), F.col("_s"), every(lanes), 0)
+    right = made(queries.withColumn("_l", dealt(lanes)), every(shards), F.col("_l"), 1)
+    met = left.unionByName(right).repartition(min(shards * lanes, 1 << 15), "width", "shard", "lane").sortWithinPartitions("width", "shard", "lane", "is_query")
+    found = met.mapInArrow(_searched(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
