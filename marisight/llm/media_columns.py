@@ -6,11 +6,17 @@ keyed by the SHA-256 digest of their bytes; a join on the digest resolves the re
 reference carries its position and caption, those stay aligned whatever order the join returns.
 
 The stored form is a binary grey map (PGM, ``P5``): one 8-bit sample per payload byte in rows of 64,
-lossless by construction.  Features are computed from the bytes that are read back from that form.
+lossless by construction.  ``stored_media`` writes (digest, stored bytes) to a table, without moving
+payloads between tasks: a payload is stored once by each task that meets it.  Features are computed
+from the bytes read back from that table, and only those small rows are dealt out by digest.
+
+A digest that very many references share is no hot key: references whose digest has more than
+``HOT_SHARE`` of them (so there are at most that many such digests, and their list can be broadcast)
+are dealt over parts, and the payload's row is repeated for each part.
 
 Defined results: null texts are empty, an empty payload is one row of zero samples; pages without
 media have an empty reference list; references without a stored payload keep null payload columns;
-equal payloads are stored once; null HTML gives an empty sequence.
+equal payloads give one row of media; null HTML gives an empty sequence.
 """
 
 from __future__ import annotations
@@ -31,6 +37,8 @@ from marisight.llm._batches import slices
 from marisight.llm._shared import written
 
 ROW = 64
+#: a digest is hot with more than one in so many references (and ``HOT_LEAST``); there are at most so many hot ones
+HOT_SHARE, HOT_LEAST = 10_000, 1000
 _TOKEN = re.compile(r"<!--.*?-->|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -159,18 +167,46 @@ def references(pages: DataFrame, sequence: str = "sequence") -> DataFrame:
     return pages.select(*names, F.explode(F.filter(sequence, lambda s: s["kind"] == "media")).alias("_ref")).select(*names, "_ref.position", "_ref.digest", "_ref.caption")
 
 
-def resolve(refs: DataFrame, media: DataFrame) -> DataFrame:
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose digest this task hasn't met yet."""
+    met: set[bytes] = set()
+    for batch in batches:
+        new = []
+        for d in batch.column(0).to_pylist():
+            key = bytes.fromhex(d)
+            new.append(key not in met)
+            met.add(key)
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
+def stored_media(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """(digest, stored) of all payloads, written to the shared folder and read back."""
+    rows = payloads.select(F.sha2(payload, 256).alias("digest"), store(F.col(payload)).alias("stored"))
+    return written(rows.mapInArrow(_once, rows.schema), "media")
+
+
+def described(media: DataFrame) -> DataFrame:
+    """One row per digest: the features of its stored bytes."""
+    found = features(media)
+    return found.groupBy("digest").agg(*[F.first(c).alias(c) for c in found.columns if c != "digest"])
+
+
+def resolve(refs: DataFrame, media: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
     """References with the columns of their payload; ``media`` holds one row per digest."""
-    return refs.join(media, "digest", "left")
+    counts = refs.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.count(F.lit(1)).alias("__n"))
+    most = max(hot_least, refs.count() // HOT_SHARE)
+    hot = F.broadcast(counts.where(F.col("__n") > most).select("digest", F.ceil(F.col("__n") / most).cast("int").alias("__parts")))
+    parts = F.coalesce("__parts", F.lit(1))
+    spread = refs.join(hot, "digest", "left").withColumn("__part", F.floor(F.rand(7) * parts).cast("int")).drop("__parts")
+    copies = media.join(hot, "digest", "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return spread.join(copies, ["digest", "__part"], "left").drop("__part")
 
 
 def op7_media_columns(spark, sf_dir: str) -> DataFrame:
     """Every whole document as a payload behind an interleaved page that refers to it by digest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = docs.select("doc_id", padded(F.col("text")).alias("payload"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"))
-    # the narrow pass stores, reads back and reduces each payload; only small rows are dealt out
-    media = features(held.select(F.sha2("payload", 256).alias("digest"), store(F.col("payload")).alias("stored"))).groupBy("digest")
-    media = written(media.agg(*[F.first(c).alias(c) for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")]), "media")
+    media = written(described(stored_media(held)), "features")
     page = F.concat(F.lit("<p>payload</p><figure><img src=\"sha256:"), F.sha2("payload", 256), F.lit("\"><figcaption>"), F.col("n_bytes").cast("string"), F.lit(" bytes</figcaption></figure>"))
-    refs = references(sequences(held.select("doc_id", "n_bytes", page.alias("html"))).drop("html"))
+    refs = written(references(sequences(held.select("doc_id", "n_bytes", page.alias("html"))).drop("html")), "references")
     return resolve(refs, media).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
