@@ -5,18 +5,25 @@ one.  So each page is paired with the page of its host whose path has the longes
 among its two neighbours in path order; the text lines (blocks) of the two are aligned by longest
 common subsequence, and the lines they share are template and go.
 
-Two findings shape what is deleted.  An article may rightly be equal to its neighbour's (mirrors,
-copies): lines inside an ``<article>`` or main element are therefore never deleted for being shared.
-And template slots may hold text that no other page has (adverts, footers with a page's own text):
-lines in elements that are boilerplate by name or role go whether shared or not, as do lines outside
-the article where a page has one.  Pages without such an element are judged by differencing alone.
+The alignment sees every line of a page, menus and footers included.  What it can't decide is told by
+the page's own marks:
+
+* An article may rightly be equal to its neighbour's (mirrors, copies), so lines inside an ``<article>``
+  or main element stay although they are shared.
+* Template slots may hold text that no other page has (adverts, footers with a page's own text).  Such
+  unshared lines go where an element around them is boilerplate by tag or by name.  A name counts
+  outside an article by its last part (``user-comments``, ``ad-slot``), inside one only if it is the
+  whole name (``share``, not ``article-header``); names of headings don't count.
+* All other unshared lines are main text, unless the page has an article that holds more text than they
+  do; an article of less text is a teaser among others.
 
 Neighbours are found without collecting a host anywhere: (host, path) is range partitioned, each
 partition looks at its own order, and only its first and last entries are passed on.
 
-Defined results: null or empty HTML gives an empty text; pages alone on their host have no partner
-and lose only boilerplate elements, as do pages whose lines all stand in their partner; null URLs form a host of their own; of equal rows one stands for
-all in the pairing, and all get its result; unclosed elements end with the page.
+Defined results: null or empty HTML gives an empty text; pages alone on their host have no partner and
+lose only boilerplate elements, as do pages whose lines all stand in their partner; null URLs form a
+host of their own; of equal rows one stands for all in the pairing, and all get its result; elements
+whose ends are left out end as HTML ends them, unclosed ones with the page.
 """
 
 from __future__ import annotations
@@ -30,47 +37,81 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from marisight.llm._batches import slices
 from marisight.llm._shared import written
 
 _TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|template|noscript|title|textarea|svg|iframe)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:svg|iframe)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(script|style|template|noscript|title|textarea|svg|iframe)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
-_CLASSES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _MAIN = frozenset(("article", "main"))
+#: an element that one of these opens first ends: what it is, and what it never looks beyond
+_ENDED_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+_ENDED_BY = {name: (frozenset(ends.split()), frozenset(walls)) for name, (ends, walls) in _ENDED_BY.items()}
+#: an end tag looks for its element no further than these
+_WALLS = frozenset("table td th caption".split())
+_LIST_WALLS = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table",)), "th": frozenset(("table",)), "table": frozenset()}
 #: elements that never hold an article's own text
 _FRAME = frozenset("nav footer aside form button select dialog menu".split())
-#: whole words in class, id or role that name menus, headers, footers, sidebars, notices, adverts, forms, comments
+#: names of menus, headers, footers, sidebars, notices, adverts, forms and comments in class, id or role
 _FRAME_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer contentinfo sidebar complementary aside notice notices cookie cookies consent alert popup modal "
     "ad ads advert adverts advertisement sponsor sponsored promo form search newsletter subscribe login share social comment comments disqus reply replies related".split()
 )
-_WORD = re.compile(r"[a-z0-9]+")
-
-
-def blocks(page: str) -> tuple[list[str], list[bool], bool]:
-    """Text blocks of a page in order, outside boilerplate elements; whether each is in the article; whether
-    there is an article."""
+#: parts of names that say where or how something stands, not what it is
+_LAYOUT_WORDS = frozenset("container wrapper wrap box bar slot unit block area section list left right inner outer top bottom buttons links content".split())
+_PART = re.compile(r"[a-z0-9]+")
+#: where a line stands: inside an article, in a boilerplate element, or in neither
+_ARTICLE, _BOILERPLATE, _OPEN = 0, 1, 2
+
+
+def _named_frame(name: str, attributes: str, in_article: bool) -> bool:
+    if name in _HEADINGS:
+        return False
+    for key, a, b, c in _ATTRIBUTE.findall(attributes):
+        if key.lower() not in ("class", "id", "role"):
+            continue
+        for whole in (a or b or c).lower().split():
+            if whole in _FRAME_WORDS:
+                return True
+            parts = [] if in_article else _PART.findall(whole)
+            while len(parts) > 1 and parts[-1] in _LAYOUT_WORDS:
+                parts.pop()
+            if parts and parts[-1] in _FRAME_WORDS:
+                return True
+    return False
+
+
+def blocks(page: str) -> tuple[list[str], list[int]]:
+    """Text blocks of a page in order, and where each stands."""
     texts: list[str] = []
-    inside: list[bool] = []
-    open_: list[tuple[str, bool]] = []  # block elements that matter, with whether they are frame
-    frame = main = at = 0
-    any_main = False
+    places: list[int] = []
+    open_: list[tuple[str, bool, bool]] = []  # block elements: name, is boilerplate, is an article
+    frames = mains = at = 0
     held: list[str] = []
 
     def flush() -> None:
         if held:
             said = " ".join(_html.unescape("".join(held)).split())
             held.clear()
-            if said and not frame:
+            if said:
                 texts.append(said)
-                inside.append(main > 0)
+                places.append(_BOILERPLATE if frames else _ARTICLE if mains else _OPEN)
+
+    def close(to: int) -> None:
+        nonlocal frames, mains
+        for _, frame, main in open_[to:]:
+            frames -= frame
+            mains -= main
+        del open_[to:]
 
     for m in _TOKENS.finditer(page):
         if m.start() > at:
@@ -89,35 +130,42 @@ def blocks(page: str) -> tuple[list[str], list[bool], bool]:
         if name in _VOID:
             continue
         if m[2]:
+            walls = _LIST_WALLS.get(name, _WALLS)
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == name:
-                    for gone, was_frame in open_[k:]:
-                        frame -= was_frame
-                        main -= gone in _MAIN and not was_frame
-                    del open_[k:]
+                    close(k)
+                    break
+                if open_[k][0] in walls:
                     break
             continue
-        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
-            is_frame = False
-            if m[4]:
-                is_frame = _named_frame(m[4])
-            if not is_frame:
-                continue  # their ends are often left out; only blocks begin with them
-        else:
-            is_frame = name in _FRAME or (name == "header" and not main) or bool(m[4] and name not in _MAIN and name not in ("html", "body") and _named_frame(m[4]))
-        if name in _MAIN and not is_frame:
-            main += 1
-            any_main = any_main or not frame
-        frame += is_frame
-        open_.append((name, is_frame))
+        if open_ and open_[-1][0] == "p":  # a paragraph ends where the next block begins
+            close(len(open_) - 1)
+        if name in _ENDED_BY:
+            ends, walls = _ENDED_BY[name]
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k][0] in walls:
+                    break
+                if open_[k][0] in ends:
+                    close(k)
+                    if name != "tr":
+                        break
+        main = name in _MAIN
+        frame = name in _FRAME or (name == "header" and not mains) or bool(m[4] and not main and name not in ("html", "body") and _named_frame(name, m[4], mains > 0))
+        frames += frame
+        mains += main
+        open_.append((name, frame, main))
     if at < len(page):
         held.append(page[at:])
     flush()
-    return texts, inside, any_main
+    return texts, places
 
 
-def _named_frame(attributes: str) -> bool:
-    return any(w in _FRAME_WORDS for a, b, c in _CLASSES.findall(attributes) for w in _WORD.findall((a or b or c).lower()))
+def kept_lines(texts: list[str], places: list[int], shared: list[bool]) -> list[bool]:
+    """Which lines are main text: the article's, or all that are neither shared nor boilerplate."""
+    own = [place == _OPEN and not common for place, common in zip(places, shared)]
+    inside = [place == _ARTICLE for place in places]
+    size = lambda marks: sum(len(t) for t, here in zip(texts, marks) if here)
+    return [a or b for a, b in zip(inside, own)] if size(own) > size(inside) else inside
 
 
 def shared_lines(a: list[int], b: list[int]) -> list[bool]:
@@ -181,7 +229,7 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         best = (near, other["rk"])
             keys.append(rk)
             partners.append(best and best[1])
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(partners, pa.string())], names=["rk", "partner"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, batch.column(2).type), pa.array(partners, batch.column(2).type)], names=["rk", "partner"])
 
 
 def nearest_pages(keys: DataFrame) -> DataFrame:
@@ -195,7 +243,7 @@ def nearest_pages(keys: DataFrame) -> DataFrame:
     ends = ends.select("part", F.lag("last").over(parts).alias("came"), F.lead("first").over(parts).alias("comes"))
     rows = dealt.select("part", "host", "path", "rk", F.lag(me).over(order).alias("before"), F.lead(me).over(order).alias("after")).join(ends, "part")
     rows = rows.select("host", "path", "rk", F.coalesce("before", "came").alias("before"), F.coalesce("after", "comes").alias("after"))
-    return rows.mapInArrow(_nearest, "rk string, partner string")
+    return rows.mapInArrow(_nearest, StructType([StructField(c, keys.schema["rk"].dataType) for c in ("rk", "partner")]))
 
 
 def _extract(names: list[str]):
@@ -203,11 +251,11 @@ def _extract(names: list[str]):
         for batch in slices(batches, 0):
             texts, dropped = [], []
             for page, partner in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                said, inside, any_main = blocks(page or "")
+                said, places = blocks(page or "")
                 common = shared_lines([_line_hash(t) for t in said], partner) if partner else [False] * len(said)
                 if all(common):  # a copy tells nothing about the template
                     common = [False] * len(said)
-                keep = [here if any_main else not gone for here, gone in zip(inside, common)]
+                keep = kept_lines(said, places, common)
                 texts.append(" ".join(t for t, k in zip(said, keep) if k))
                 dropped.append(sum(1 for k, gone in zip(keep, common) if gone and not k))
             yield pa.RecordBatch.from_arrays([*[batch.column("__" + c) for c in names], pa.array(texts, pa.string()), pa.array(dropped, pa.int64())], names=[*names, "text", "n_shared"])
@@ -220,12 +268,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: list[s
     differencing removed."""
     names = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_shared")]
     nothing = F.lit("")
-    whole = F.md5(F.concat_ws("\x00", F.coalesce(F.col(url), nothing), F.coalesce(F.col(html), nothing)))
+    whole = F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(url), nothing), F.coalesce(F.col(html), nothing))))
     keyed = pages.select(F.col(html).alias("page"), whole.alias("rk"), F.col(url).alias("address"), *[F.col(c).alias("__" + c) for c in names])
     host = F.lower(F.coalesce(F.regexp_extract("address", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), nothing))
     path = F.coalesce(F.regexp_extract("address", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1), nothing)
     paths = keyed.select("rk", host.alias("host"), path.alias("path")).dropDuplicates(["rk"])
-    lines = keyed.select("rk", "page").mapInArrow(_line_hashes, StructType([StructField("rk", StringType()), StructField("lines", ArrayType(LongType()))]))
+    lines = keyed.select("rk", "page").mapInArrow(_line_hashes, StructType([StructField("rk", BinaryType()), StructField("lines", ArrayType(LongType()))]))
     lines = lines.groupBy("rk").agg(F.first("lines").alias("lines"))  # equal rows have equal lines
     pairs = nearest_pages(paths).where(F.col("partner").isNotNull())
     beside = pairs.join(lines.withColumnRenamed("rk", "partner"), "partner").select("rk", "lines")
