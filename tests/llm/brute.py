@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -97,6 +98,86 @@ def ppm(train, texts, order):
     return out
 
 
+def grey_feature(payload, row=64):
+    """Statistics of the samples, one by one."""
+    n, counts = len(payload), Counter(payload)
+    mean = sum(payload) / n
+    dev = math.sqrt(sum((x - mean) ** 2 for x in payload) / n)
+    bits = -sum(c / n * math.log2(c / n) for c in counts.values())
+    steps = [abs(payload[i + row] - payload[i]) for i in range(n - row)]
+    change = sum(steps) / len(steps) if steps else 0.0
+    return f"mean={mean:.4f};dev={dev:.4f};bits={bits + 0.0:.4f};levels={len(counts)};change={change:.4f}"
+
+
+class _Lines(HTMLParser):
+    """Lines of a page without articles, each with whether an advert, comment or side element is around it."""
+
+    def __init__(self):
+        super().__init__()
+        self.lines, self.text, self.marks = [], [], []
+
+    def end_line(self):
+        said = " ".join("".join(self.text).split())
+        if said:
+            self.lines.append((said, any(self.marks)))
+        self.text = []
+
+    def handle_starttag(self, tag, attrs):
+        self.end_line()
+        if tag in ("div", "ul"):
+            self.marks.append(dict(attrs).get("class") in ("ad", "ad-slot", "user-comments", "sidebar"))
+        self.skip = tag == "title"
+
+    def handle_endtag(self, tag):
+        self.end_line()
+        if tag in ("div", "ul"):
+            self.marks.pop()
+        self.skip = False
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.text.append(data)
+
+
+def main_texts(pages):
+    """page_id -> text: lines that the page of the host with the nearest path doesn't share in order."""
+    parsed = {}
+    for page, _, html in pages:
+        p = _Lines()
+        p.feed(html)
+        p.end_line()
+        parsed[page] = p.lines
+    out = {}
+    for page, url, _ in pages:
+        host, path = re.match(r"http://([^/]*)(.*)", url).groups()
+        best = None
+        before = [(u, p) for p, u, _ in pages if u.startswith(f"http://{host}/") and u < url]
+        after = [(u, p) for p, u, _ in pages if u.startswith(f"http://{host}/") and u > url]
+        for u, p in ([max(before)] if before else []) + ([min(after)] if after else []):
+            other = re.match(r"http://[^/]*(.*)", u)[1]
+            near = next((i for i, (x, y) in enumerate(zip(path, other)) if x != y), min(len(path), len(other)))
+            if best is None or near > best[0]:
+                best = (near, p)
+        a, b = [t for t, _ in parsed[page]], [t for t, _ in parsed[best[1]]] if best else []
+        length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                length[i][j] = length[i + 1][j + 1] + 1 if a[i] == b[j] else max(length[i + 1][j], length[i][j + 1])
+        shared, i, j = set(), 0, 0
+        while i < len(a) and j < len(b):
+            if a[i] == b[j]:
+                shared.add(i)
+                i, j = i + 1, j + 1
+            elif length[i + 1][j] >= length[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        if len(shared) == len(a):
+            shared = set()
+        out[page] = " ".join(t for k, (t, frame) in enumerate(parsed[page]) if k not in shared and not frame)
+    return out
+
+
 def mix_targets(sizes, most=3):
     """source -> target; sizes in code-point order with null last."""
     names = list(sizes)

@@ -208,6 +208,38 @@ def test_op5_edges(spark):
     assert maxscore.search(empty, empty).count() == 0
 
 
+def test_op5_postings():
+    """Sparse, dense, tied and empty shards against full products; sparse ones touch few postings."""
+    rng = np.random.default_rng(0)
+    sparse = np.where(rng.random((2000, 30)) < 0.1, rng.integers(-5, 50, (2000, 30)), 0)
+    for rows, most in ((sparse, 0.5), (rng.integers(-60, 60, (500, 64)), 1.0), (rng.integers(0, 2, (200, 3)), 1.0), (np.zeros((50, 4), int), 0.0), (rng.integers(-3, 3, (15, 4)), 1.0)):
+        ids = rng.permutation(len(rows)) // 2
+        shard, touched = maxscore.Shard(rows, ids), 0
+        for i in range(0, len(rows), 7):
+            at, score, met = shard.search(rows[i], int(ids[i]), 20)
+            full, others = shard.rows @ rows[i], np.flatnonzero(shard.ids != ids[i])
+            want = others[np.lexsort((others, -full[others]))][:20]
+            assert at.tolist() == want.tolist() and score.tolist() == full[want].tolist()
+            touched += met
+        assert touched <= most * len(range(0, len(rows), 7)) * rows.size * 1.05
+
+
+def test_op5_lengths_and_lanes(spark):
+    """Vectors meet those of their own length only, in whatever order they come."""
+    rows = [(i, [i % 5 - 2] * (2 + (i % 7 == 3))) for i in range(60)]
+    want = {}
+    for q, v in rows[::20]:
+        same = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v)))[:3]
+        want[q] = [(i, -s) for s, i in same]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id long, vector array<long>")
+        out = maxscore.search(frame.where("vec_id % 20 = 0"), frame, k=3, shard_rows=16, query_lane=1).orderBy("query_id", "rank").collect()
+        got = {}
+        for r in out:
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert got == want
+
+
 # --- 6 ---------------------------------------------------------------------------------------------
 
 
@@ -234,6 +266,40 @@ def test_op6_differencing_and_edges(spark):
     assert page_differencing.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_op6_marks_of_pages():
+    """Implied ends, names of elements and attributes, self-closed elements."""
+
+    def main_text(page, beside=None):
+        texts, places = page_differencing.blocks(page)
+        shared = page_differencing.shared_lines([hash(t) for t in texts], [hash(t) for t in page_differencing.blocks(beside)[0]]) if beside else [False] * len(texts)
+        return [t for t, k in zip(texts, page_differencing.kept_lines(texts, places, shared)) if k]
+
+    assert main_text('<article><h1>T</h1><p class="share">Share<p>Body one.<p>Body two.</article>') == ["T", "Body one.", "Body two."]
+    assert main_text('<article><div class="article-header">H</div><section id="cookie-recipes">C</section><div data-id="form">F</div><h2 id="search">S</h2></article>') == ["H", "C", "F", "S"]
+    assert main_text('<ul class=menu><li>a<li>b</ul><p>x<svg/>y<iframe/>z<div class="user-comments">c</div><div class=ad-slot>q</div><section id=cookie-recipes>r</section>') == ["xyz", "r"]
+    assert main_text("<table><tr><td>1<td class=ad>2<td>3<tr><td>4</table>") == ["1", "3", "4"]
+    assert main_text("<li class=menu><ul><li>x</li></ul>y</li>z") == ["z"]
+    # a teaser is not the article; what the neighbour shares goes
+    teaser = "<article>short</article><div>{0} is the main text of this page</div><div>Site name and its slogan</div>"
+    assert main_text(teaser.format("one"), teaser.format("two")) == ["short", "one is the main text of this page"]
+
+
+def test_op6_second_version(spark):
+    """Pages without articles against a plain version on the standard library's parser, neighbours by brute force."""
+    rng = random.Random(6)
+    menus = [[f"item {i} {j}" for j in range(6)] for i in range(3)]
+    rows = []
+    for n in range(120):
+        host, kind = f"h{n % 3}", n % 2
+        own = [f"own {n} line {j} " + "w " * rng.randrange(30) for j in range(rng.randrange(1, 8))]
+        body = "".join(f"<p>{t}" if rng.random() < 0.5 else f"<div data-id='ad'>{t}</div>" for t in own)
+        lists = "".join(f"<li>{t}" for t in menus[n % 3])
+        side = f"<div class='{rng.choice(['ad', 'ad-slot', 'user-comments', 'sidebar'])}'>noise {n}</div>" if rng.random() < 0.5 else ""
+        rows.append((n, f"http://{host}/{'ab'[kind]}/{n:03}", f"<title>t</title><div id=top>{'Banner ' + host}</div><ul>{lists}</ul>{body}{side}<div>The end of {host}</div>"))
+    got = {r.page_id: r.text for r in page_differencing.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == brute.main_texts(rows)
+
+
 def test_op6_lcs():
     rng = random.Random(0)
 
@@ -274,6 +340,23 @@ def test_op7_round_trip(spark, sf_dir):
         payload = raw + bytes(-len(raw) % 64 if raw else 64)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert r.caption == f"{len(raw)} bytes" and r.position == 1
+        stored = b"P5\n64 %d\n255\n" % (len(payload) // 64) + payload
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r.feature == brute.grey_feature(payload)
+
+
+def test_op7_hot_digests(spark):
+    """A payload that most references share is dealt over parts, and resolves like any other."""
+    refs = spark.createDataFrame([(i, None if i % 50 == 0 else "hot" if i % 5 else f"d{i % 7}") for i in range(400)], "k int, digest string")
+    media = spark.createDataFrame([("hot", 1), *[(f"d{i}", i + 2) for i in range(6)]], "digest string, value int")
+    want = {r.k: None if r.digest is None else 1 if r.digest == "hot" else {f"d{i}": i + 2 for i in range(6)}.get(r.digest) for r in refs.collect()}
+    assert {r.k: r.value for r in media_columns.resolve(refs, media, hot_least=20).collect()} == want
+
+
+def test_op7_stored_media(spark):
+    payloads = spark.createDataFrame([(b"a" * 64,), (b"a" * 64,), (b"b" * 128,)], "payload binary").coalesce(1)
+    rows = media_columns.stored_media(payloads).collect()
+    assert sorted((r.digest, bytes(media_columns.samples(bytes(r.stored)))) for r in rows) == sorted((hashlib.sha256(x).hexdigest(), x) for x in (b"a" * 64, b"b" * 128))
 
 
 def test_op7_sequences(spark):
