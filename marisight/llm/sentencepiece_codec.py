@@ -7,7 +7,8 @@ changed meanwhile are skipped.  What stays outside the vocabulary falls back to
 
 No piece of such a vocabulary holds a space mark after another character, and none holds a line
 feed, so merges never cross the start of a run of space marks or a line feed.  Texts are therefore
-cut there, and the agenda runs once per distinct cut in a worker; a bounded memo keeps the result.
+cut there, and the agenda runs once per distinct cut in a worker; a bounded memo keeps the result.  For
+each Arrow batch the library encodes every cut that was new, in one call, and must give the same ids.
 Both facts are verified against the vocabulary when a model is loaded.
 
 Defined results: null and empty texts have no ids and decode to the empty text; texts of any length
@@ -20,7 +21,6 @@ import gc
 import heapq
 import os
 import re
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -35,8 +35,6 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 MARK = "▁"
 #: distinct cuts kept by one worker before its memo starts again
 MEMO_ENTRIES = 400_000
-#: of new cuts, one in so many is also encoded by the library and compared
-CHECK_ONE_IN = 64
 _CUTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -68,6 +66,7 @@ class PieceModel:
             raise ValueError("pieces of this vocabulary cross spaces or lines; it can't be cut there")
         self.newline = (self.bytes[10],)
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.fresh: list[tuple[str, tuple[int, ...]]] = []
 
     def merge(self, text: str) -> list[str]:
         """Pieces of one cut, by the agenda."""
@@ -137,12 +136,20 @@ class PieceModel:
                 self.memo.clear()
             if len(word) < 256:
                 self.memo[word] = found
-            if word and hash_one_in(word, CHECK_ONE_IN):
-                check = self.library.encode(word)
-                if tuple(check) != found:
-                    raise AssertionError(f"agenda and library differ on {word!r}: {found} and {check}")
+            if word:
+                self.fresh.append((word, found))
         return found
 
+    def check(self) -> None:
+        """Compares what has been encoded since the last check with the library: all new cuts, in one call."""
+        fresh, self.fresh = self.fresh, []
+        lead = self.library.encode("\n")
+        for (said, found), ids in zip(fresh, self.library.encode([said for said, _ in fresh]) if fresh else ()):
+            if said[0] == "\n":  # a line start: what the library puts before it goes
+                ids = ids[len(lead) :] if ids[: len(lead)] == lead else None
+            if ids is None or tuple(ids) != found:
+                raise AssertionError(f"agenda and library differ on {said!r}: {found} and {ids}")
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, as the library gives them without begin, end or sampling."""
         if not text:
@@ -154,8 +161,11 @@ class PieceModel:
                 parts.append(self.newline)
             if spaced or line[:1] == " " or line[-1:] == " ":
                 whole = line.replace(" ", MARK)
+                begun = len(parts)
                 for cut in _CUTS.findall(whole if k else MARK + whole):
                     parts.append(self.marked(cut[1:]) if cut[0] == MARK and MARK not in cut[1:] else self.cut_ids(cut))
+                if line:
+                    self.fresh.append(("\n" + line if k else line, tuple(chain.from_iterable(parts[begun:]))))
                 continue
             words = line.split(" ")
             if k:
@@ -175,13 +185,10 @@ class PieceModel:
             found = self.cut_ids(word)
             if len(word) < 256:
                 self.memo["\n" + word] = found
+            self.fresh.append(("\n" + word, found))
         return found
 
 
-def hash_one_in(text: str, n: int) -> bool:
-    return zlib.crc32(text.encode()) % n == 0
-
-
 _LOADED: dict[str, PieceModel] = {}
 
 
@@ -211,8 +218,11 @@ def encode_and_decode(df: DataFrame, text: str = "text", path: str | None = None
             for lo in range(0, whole.num_rows, 512):  # ids of 512 texts at a time are Python objects
                 batch = whole.slice(lo, 512)
                 gc.disable()  # the memo has no cycles, and its tuples are many
-                rows = [m.encode(t or "") for t in batch.column(at).to_pylist()]
-                gc.enable()
+                try:
+                    rows = [m.encode(t or "") for t in batch.column(at).to_pylist()]
+                    m.check()
+                finally:
+                    gc.enable()
                 offsets = np.zeros(len(rows) + 1, np.int32)
                 np.cumsum([len(r) for r in rows], out=offsets[1:])
                 flat = np.fromiter(chain.from_iterable(rows), np.int32, int(offsets[-1]))

@@ -438,6 +438,11 @@ def test_op9_strange_texts():
     for _ in range(3000):
         text = "".join(rng.choices(parts, k=rng.randrange(9)))
         assert model.encode(text) == model.library.encode(text)
+    model.check()
+    for said, ids in (("word", (1, 2)), ("\nword", (3,)), ("a  b", (4,))):
+        model.fresh.append((said, ids))
+        with pytest.raises(AssertionError):
+            model.check()
     for text in ("ab" * 40, "internationalisation" * 5):
         assert model.merge_short("▁" + text) == model.merge_long("▁" + text)
 
