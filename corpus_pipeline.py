@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 ``documents``.  Between stages the rows are written as Parquet and read again, so no stage's lineage
-reaches into the one before.  Ids are expected to be unique in the table that the pipeline starts from.
+reaches into the one before.
+
+Defined results: empty tables stay empty; null and empty texts are judged by the classifier like others,
+are no near duplicates, lose nothing and have no words to mix; rows with a null id are never near
+duplicates of others that go; rows that share an id are one document to the near-duplicate stage and
+separate ones to the mix; further columns, whatever their names, pass through to the last stage.
 """
 
 from __future__ import annotations
@@ -17,21 +22,21 @@ from marisight.llm._shared import written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on this corpus's labels, rejects go."""
     model = quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_fm.score(docs, model).where(F.col("predicted") == 1).select(*docs.columns)
+    return quality_fm.score(docs, model, prefix="__").where(F.col("__predicted") == 1).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    classes = jaccard_join.near_duplicates(docs)
+    """Of each group of documents linked at 0.8 of their five-word shingles the one with the smallest id stays."""
+    classes = jaccard_join.near_duplicates(docs, shingle=5, percent=80)
     gone = classes.where(F.col("doc_id") != F.coalesce("component_id", F.col("doc_id") - 1)).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated passages go; texts without any stay as they are."""
-    out = substring_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))
-    cut = out.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("kept_text").cast("long")))
+    out = substring_dedup.remove_repeats(docs, prefix="__")
+    whole = F.col("__n_removed") == 0
+    cut = out.withColumn("text", F.when(whole, F.col("text")).otherwise(F.col("__kept_text"))).withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("__kept_text").cast("long")))
     return cut.select(*docs.columns)
 
 

@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     """Fit on at most ``most`` labelled rows of docs, none of them held out."""
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(most)
-    rows = docs.select("doc_id", F.col(text).alias("t")).join(F.broadcast(chosen), "doc_id").select("t", "doc_id", "y")
+    rows = docs.select("doc_id", F.col(text).alias("t")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("t").alias("t")).select("t", "doc_id", "y")  # one text of an id that repeats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, 1 << 20):
@@ -184,18 +184,20 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     return fit([pairs[i] for i in order], y[order].astype(float))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """docs' columns (or ``keep``) with ``score`` and ``predicted``."""
-    names = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """docs' columns (or ``keep``) with ``score`` and ``predicted``, which stand for columns of docs of these names;
+    with a ``prefix`` before them those stay."""
+    made = (prefix + "score", prefix + "predicted")
+    names = [c for c in (docs.columns if keep is None else keep) if c not in made]
     rows = docs.select(F.col(text).alias("__t"), *[F.col(c).alias("__" + c) for c in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, 1 << 20):
             logit, _ = model.sums(*features(batch.column(0)), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sigmoid(logit))], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sigmoid(logit))], names=[*names, made[0]])
 
-    out = rows.mapInArrow(run, StructType([*docs.select(*names).schema.fields, StructField("score", DoubleType())]))
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = rows.mapInArrow(run, StructType([*docs.select(*names).schema.fields, StructField(made[0], DoubleType())]))
+    return out.withColumn(made[1], (F.col(made[0]) >= threshold).cast("int"))
 
 
 def op2_quality_fm(spark, sf_dir: str) -> DataFrame:

@@ -232,7 +232,7 @@ def _by_document(marks: DataFrame) -> DataFrame:
     return marks.groupBy("doc", "check").agg(F.collect_list("mark").alias("marks"))
 
 
-def _cut(window: int, names: list[str], text: str):
+def _cut(window: int, names: list[str], text: str, made: list[str]):
     """Pass 3: factors of each document, put together greedily, and what is left of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,12 +248,13 @@ def _cut(window: int, names: list[str], text: str):
             use = np.flatnonzero(state == _KNOWN)
             by = use[np.lexsort((pos[use], owner[use]))]
             owner, pos, n, ref_doc, ref_loc = owner[by], pos[by], n[by], ref_doc[by], ref_loc[by]
-            begin = w.first[owner] + pos
-            np.add.at(covered, begin, 1)
-            np.add.at(covered, begin + n - 1 + window, -1)
-            gone = np.cumsum(covered[:-1]) > 0
+            # greedily: a factor runs on while the next block's reference goes on where this one's ended
             head, total = _run_on(owner, pos, n, ref_doc, ref_loc)
             words = total - 1 + window
+            begin = w.first[owner[head]] + pos[head]
+            np.add.at(covered, begin, 1)
+            np.add.at(covered, begin + words, -1)
+            gone = np.cumsum(covered[:-1]) > 0  # factors are duplicate spans
             factors = pa.StructArray.from_arrays(
                 [pa.array(pos[head].astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(ref_doc[head]), pa.array((ref_loc[head] & 0x7FFFFFFF).astype(np.int32))], names=["start", "words", "ref_doc", "ref_start"]
             )
@@ -271,21 +272,22 @@ def _cut(window: int, names: list[str], text: str):
                 else:
                     left = np.flatnonzero(~gone[lo:hi]) + lo
                     kept.append(b" ".join([raw[a:b] for a, b in zip(w.start[left].tolist(), w.end[left].tolist())]).decode())
-            new = {"n_words": pa.array(w.counts.astype(np.int64)), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.string()), "factors": pa.ListArray.from_arrays(pa.array(offsets), factors)}
-            yield pa.RecordBatch.from_arrays([*[batch.column("__text" if c == text else c) for c in names], *new.values()], names=[*names, *new])
+            new = [pa.array(w.counts.astype(np.int64)), pa.array(removed), pa.array(kept, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), factors)]
+            yield pa.RecordBatch.from_arrays([*[batch.column("__text" if c == text else c) for c in names], *new], names=[*names, *made])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
     """docs with ``n_words``, ``n_removed``, ``kept_text`` and ``factors`` (start, words, ref_doc, ref_start).
 
     ``kept_text`` holds the words that no repeated window covers, joined by one space.  ``keep`` names
-    the columns of docs to return (all of them unless given).
+    the columns of docs to return (all of them unless given).  The made columns stand for columns of docs
+    of these names; with a ``prefix`` before them those stay.
     """
     if window < 2 * ANCHOR:
         raise ValueError(f"a window has at least {2 * ANCHOR} words")
-    made = ("n_words", "n_removed", "kept_text", "factors")
+    made = [prefix + c for c in _MADE.names]
     names = [c for c in (docs.columns if keep is None else keep) if c not in made]
     keyed = docs.select(key_of(doc_id).alias("__doc"), text_key(text).alias("__check"), F.col(text).alias("__text"), *[F.col(c) for c in names if c != text])
     blocks = keyed.select("__doc", "__check", "__text").mapInArrow(_blocks(window), _ROW)
@@ -295,8 +297,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     asked = keyed.join(inner, on(inner), "inner").select("marks", *keyed.columns)
     final = _by_document(_marks(asked.mapInArrow(_windows(window), _ROW)))
     joined = keyed.join(final, on(final), "left").select("marks", *keyed.columns)
-    schema = StructType([*docs.select(*names).schema.fields, *_MADE.fields])
-    return joined.mapInArrow(_cut(window, names, text), schema)
+    schema = StructType([*docs.select(*names).schema.fields, *[StructField(m, f.dataType) for m, f in zip(made, _MADE.fields)]])
+    return joined.mapInArrow(_cut(window, names, text, made), schema)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -40,9 +40,9 @@ def shingles(text, k=4):
     return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
 
 
-def classes(rows, percent=85):
+def classes(rows, percent=85, k=4):
     """doc_id -> (set size, smallest linked id)."""
-    sets = {d: shingles(t) for d, t in rows}
+    sets = {d: shingles(t, k) for d, t in rows}
     up = {d: d for d in sets}
 
     def root(x):

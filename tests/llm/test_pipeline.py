@@ -46,7 +46,7 @@ def test_quality(spark, stages):
 
 def test_near_duplicates(stages):
     before = [(r.doc_id, r.text) for r in stages["quality"].collect()]
-    classes = brute.classes(before)
+    classes = brute.classes(before, percent=80, k=5)
     assert set(rows(stages["near_duplicates"])) == {d for d, (_, c) in classes.items() if d == c}
 
 
@@ -99,5 +99,36 @@ def test_encoding(stages):
     assert want == Counter((r.doc_id, r.n_tokens) for r in stages["encoding"].collect())
 
 
+def test_edges(spark):
+    """Null, empty and repeated rows and columns of any name go through every stage but the last."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, words, "en", "a", 1), (None, None, None, None, None), (1, "", "en", "a", 0), (2, words, "en", None, 1), (2, words, "en", None, 1), (3, "x " * 5000, "en", "b", 1), (4, "one two", "en", "b", 7)]
+    docs = spark.createDataFrame(rows, schema)
+    clashing = ("score", "predicted", "n_words", "n_removed", "kept_text", "factors", "row", "size", "taken", "bucket", "start", "turn", "_first", "block", "component_id")
+    for i, name in enumerate(clashing):
+        docs = docs.withColumn(name, F.lit(float(i)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns
+        kept = after.collect()
+        assert all(r[c] == float(i) for r in kept for i, c in enumerate(clashing)), name
+        none = stage(spark, docs.where("false"), SF)
+        assert none.columns == docs.columns and none.count() == 0
+        if name == "near_duplicates":  # the null id comes first; rows without words are no copies
+            assert Counter(r.doc_id for r in kept) == {None: 2, 1: 1, 3: 1, 4: 1}
+        if name == "repeated_passages":
+            texts = {r.doc_id: r.text for r in kept if r.text != words}
+            assert texts[1] == "" and texts[2] == "" and texts[3] == "x" and texts[4] == "one two"
+        if name == "mixing":
+            sizes = Counter()
+            for r in kept:
+                sizes[r.source] += len(brute.words(r.text))
+            want = brute.mix_targets({"a": 60, "b": 5002, None: 120})
+            assert all(abs(sizes[s] - want[s]) <= 1 for s in want)
+    last = corpus_pipeline.encoding(spark, docs, SF).collect()
+    assert len(last) == len(rows) and all(r.n_tokens == 0 for r in last if r.doc_id == 1)
+
+
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages["encoding"].count()
