@@ -6,15 +6,22 @@ take is shared again among the others by weight until none is above (water filli
 the sources ordered by the share at which they fill up).
 
 Each source's words, its documents in a fixed hash order, are packed end to end into blocks of
-``block`` words.  The mix is a sequence of slots dealt to output shards of ``shard_slots`` slots: a
-pseudorandom permutation of all slots says which source fills which slot, so each shard's source
-counts are a multinomial draw, conditioned on the totals (which makes the targets exact).  The slots
-of a source run through pseudorandom permutations of its block indices, another one on each round,
-and are joined with the blocks by index.  A source's last slot is cut to the words still wanted.
-
-Nothing is drawn twice: permutations are functions of indices and seed, so reruns and recomputed
-tasks agree.  Sources may be few and huge: documents and slots are dealt out by hash and by index
-range, never by source alone.
+``block`` words.  The mix is a sequence of output shards of ``shard_slots`` slots (the last may be
+shorter):
+
+1. Each shard's source counts are a multinomial draw: each of its slots draws a source with the
+   sources' shares of all slots as probabilities.
+2. Over all shards a source then has some slots too many or too few.  Of its drawn slots those too many
+   are given up, evenly spread over all that it drew, and sources with too few take the slots given up,
+   dealt out by a pseudorandom permutation.  So shards stay full and every source's slots come to its
+   rounded target; a shard's counts differ from its draw by about the relative error of the draw.
+3. The slots of a source, in shard order, run through pseudorandom permutations of its block indices,
+   another one on each round, and are joined with the blocks by index.  A source's last slot is cut to
+   the words still wanted.
+
+Nothing is drawn twice: draws and permutations are functions of indices and seed, so reruns and
+recomputed tasks agree.  Sources may be few and huge: documents and slots are dealt out by hash and by
+index range, never by source alone, and running numbers over shards are taken in two levels.
 
 Defined results: a null text has size 0; documents of size 0 are never taken; a null source is a
 source of its own, last in order; repeated rows are separate documents; the sources' table (a row
@@ -43,8 +50,12 @@ MOST = 3
 SEED = 20_240_229
 #: documents of a source are ordered inside so many hash buckets; only bucket sums are ordered as a whole
 BUCKETS = 4096
-#: slots that one row stands for until it is exploded
-_STRETCH = 4096
+#: running numbers are taken inside groups of so many shards, and over the sums of such groups
+_GROUP = 4096
+#: draws are looked up in so many equal parts of the sources' shares
+_PARTS = 1 << 16
+#: slots that one task unfolds
+_UNFOLD = 1 << 18
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -122,33 +133,77 @@ def packed(sized: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.join(sums, ["skey", "bucket"]).withColumn("start", F.col("ahead") + F.col("inner")).drop("inner", "ahead")
 
 
+def _running(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """rows, one per ``keys`` and ``shard``, with ``name``: the sum of ``value`` over the shards before."""
+    grouped = rows.withColumn("_g", F.floor(F.col("shard") / _GROUP))
+    before = lambda w: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = grouped.groupBy(*keys, "_g").agg(F.sum(value).alias(value))
+    sums = sums.select(*keys, "_g", before(Window.partitionBy(*keys or [F.lit(0)]).orderBy("_g")).alias("_ahead"))
+    inside = grouped.withColumn("_in", before(Window.partitionBy(*keys, "_g").orderBy("shard")))
+    return inside.join(sums, [*keys, "_g"]).withColumn(name, (F.col("_ahead") + F.col("_in")).cast("long")).drop("_g", "_in", "_ahead")
+
+
+def shard_counts(made: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, number, count): the slots of each source in each shard, drawn and brought to the sources' totals.
+    ``made`` has a row per source: number, its slots ``all``, and ``ahead``, those of the sources before."""
+    spark = made.sparkSession
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(total))
+    part = lambda u: F.floor(u * (_PARTS / total)).cast("int")
+    draws = spark.range(total).select(F.floor(F.col("id") / shard_slots).alias("shard"), draw.alias("u")).withColumn("part", part(F.col("u")))
+    shares = made.select("number", F.col("ahead").alias("lo"), (F.col("ahead") + F.col("all")).alias("hi"))
+    shares = shares.select("*", F.explode(F.sequence(part(F.col("lo")), part(F.col("hi") - 1))).alias("part"))
+    met = draws.join(shares, (draws["part"] == shares["part"]) & (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
+    drawn = written(met.groupBy("shard", "number").agg(F.count(F.lit(1)).alias("count")), "drawn")
+    # of the slots too many those go at which the kept ones' running share makes no step
+    had = made.select("number", "all").join(drawn.groupBy("number").agg(F.sum("count").alias("had")), "number", "left").withColumn("had", F.coalesce("had", F.lit(0)))
+    rows = _running(drawn, ["number"], "count", "at").join(had, "number")
+    kept = lambda x: (x.cast("decimal(38,0)") * F.col("all") / F.col("had")).cast("decimal(38,10)")
+    some = (F.floor(kept(F.col("at") + F.col("count"))) - F.floor(kept(F.col("at")))).cast("long")
+    rows = written(rows.select("shard", "number", "count", F.when(F.col("had") > F.col("all"), some).otherwise(F.col("count")).alias("kept")), "kept")
+    free = rows.groupBy("shard").agg(F.sum(F.col("count") - F.col("kept")).alias("free")).where("free > 0")
+    free = _running(free, [], "free", "first").select("shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("free") - 1)).alias("turn"))
+    short = had.where(F.col("had") < F.col("all")).withColumn("lacks", F.col("all") - F.col("had"))
+    order = Window.orderBy("number")  # a row per source
+    short = short.select("number", "lacks", F.coalesce(F.sum("lacks").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("lacks").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("every"))
+    short = short.select("number", "every", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("lacks") - 1)).alias("place"))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            every, place = longs(batch.column(1)), longs(batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(permute(place, every, W.mix(np.full(len(place), seed + 1, np.uint64))))], names=["number", "turn"])
+
+    gained = short.mapInArrow(dealt, "number long, turn long").join(free, "turn").groupBy("shard", "number").agg(F.count(F.lit(1)).alias("kept"))
+    return rows.select("shard", "number", "kept").unionByName(gained).groupBy("shard", "number").agg(F.sum("kept").alias("count")).where(F.col("count") > 0)
+
+
 def slots(per: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """The mix: (skey, block, shard, place, cut) per slot; ``cut`` is the words taken, null for the whole block."""
-    made = plan(per, block, seed).withColumn("all", F.col("blocks") * F.col("rounds") + F.col("slots"))
+    made = plan(per, block, seed).withColumn("all", F.col("blocks") * F.col("rounds") + F.col("slots")).where(F.col("all") > 0)
     in_order = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    made = made.withColumn("ahead", F.coalesce(F.sum("all").over(in_order), F.lit(0))).withColumn("total", F.sum("all").over(whole)).where(F.col("all") > 0)
-    stretches = made.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / _STRETCH))).alias("stretch"))
-    stretches = stretches.repartition("skey", "stretch")
-    names = ["skey", "number", "blocks", "rounds", "slots", "cut", "all", "ahead", "total", "stretch"]
+    made = written(made.withColumn("ahead", F.coalesce(F.sum("all").over(in_order), F.lit(0))), "plan")  # a row per source
+    total = made.agg(F.coalesce(F.sum("all"), F.lit(0))).first()[0]
+    names = ["skey", "number", "blocks", "rounds", "slots", "cut", "all", "shard", "count", "begin", "ordinal"]
+    if not total:
+        return made.select("skey", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("place"), "cut").where("false")
+    counts = _running(shard_counts(made, total, shard_slots, seed), ["number"], "count", "begin").repartition(max(1, -(-total // _UNFOLD)), "shard")
+    before = Window.partitionBy("shard").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("ordinal", F.coalesce(F.sum("count").over(before), F.lit(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 16):
-                part = batch.slice(lo, 16)
-                number, blocks, rounds, begun, cut, every, ahead, total, stretch = (longs(part.column(i)) for i in range(1, 10))
-                count = np.minimum(every - stretch * _STRETCH, _STRETCH)
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                number, blocks, _, begun, cut, every, shard, count, begin, ordinal = (longs(part.column(i)) for i in range(1, 11))
                 row = np.repeat(np.arange(part.num_rows), count)
-                k = stretch[row] * _STRETCH + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                turn = k // blocks[row]
-                index = permute(k % blocks[row], blocks[row], seeds(seed, number[row], turn))
-                place = permute(ahead[row] + k, total[row], W.mix(np.full(len(k), seed, np.uint64)))
+                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                k = begin[row] + step
+                index = permute(k % blocks[row], blocks[row], seeds(seed, number[row], k // blocks[row]))
+                size = np.minimum(total - shard[row] * shard_slots, shard_slots)
+                place = permute(ordinal[row] + step, size, seeds(seed, shard[row], np.zeros(len(row), np.int64)))
                 last = (k == every[row] - 1) & (begun[row] > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), pa.array(index), pa.array(place // shard_slots), pa.array(place % shard_slots), pa.array(cut[row], mask=~last)], names=["skey", "block", "shard", "place", "cut"]
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(index), pa.array(shard[row]), pa.array(place), pa.array(cut[row], mask=~last)], names=["skey", "block", "shard", "place", "cut"])
 
-    return stretches.select(*names).mapInArrow(run, "skey string, block long, shard long, place long, cut long")
+    return counts.join(F.broadcast(made) if made.count() <= _PARTS else made, "number").select(*names).mapInArrow(run, "skey string, block long, shard long, place long, cut long")
 
 
 def _drawn(docs: DataFrame, text: str, source: str, weights: tuple[int, ...], most: int, block: int, shard_slots: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -158,7 +213,7 @@ def _drawn(docs: DataFrame, text: str, source: str, weights: tuple[int, ...], mo
     sized = sizes(docs.select("row", "doc_id", F.col(source).cast("string").alias("source"), F.col(text).alias("text")))
     sized = written(sized.withColumn("skey", key), "sizes")
     per = written(targets(sized, "source", weights, most), "targets")
-    chosen = slots(per, block, shard_slots, seed)
+    chosen = written(slots(per, block, shard_slots, seed), "slots")
     taken = chosen.groupBy("skey", "block").agg(F.count(F.when(F.col("cut").isNull(), 1)).alias("times"), F.max("cut").alias("cut"))
     rows = packed(sized, block)
     ends = F.col("start") + F.col("size")
@@ -225,6 +280,43 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", wei
     return rows.mapInArrow(_copies(docs.columns.index(text)), docs.schema)
 
 
+def _pieces(block: int):
+    """Each document's words as the pieces of its source's blocks that they fill."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0):
+            w, start = W.words(batch.column(0)), longs(batch.column(2))
+            data, rows, index, at, said = w.data.tobytes(), [], [], [], []
+            for row in range(batch.num_rows):
+                first, n = int(w.first[row]), int(w.counts[row])
+                spelt = [data[a:b].decode() for a, b in zip(w.start[first : first + n].tolist(), w.end[first : first + n].tolist(), strict=True)]
+                lo = 0
+                while lo < n:
+                    here = int(start[row]) + lo
+                    hi = min(n, lo + block - here % block)
+                    rows.append(row)
+                    index.append(here // block)
+                    at.append(here % block)
+                    said.append(" ".join(spelt[lo:hi]))
+                    lo = hi
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(rows, pa.int64())), pa.array(index, pa.int64()), pa.array(at, pa.int64()), pa.array(said, pa.string())], names=["skey", "block", "at", "said"])
+
+    return run
+
+
+def mixture(docs: DataFrame, text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """The mix itself, slot by slot: (shard, place, skey, block, text), the words of each drawn block joined by spaces."""
+    keyed = written(docs.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", source, text), "keyed")
+    spans, _, chosen = _drawn(keyed, text, source, weights, most, block, shard_slots, seed)
+    starts = spans.where(F.col("size") > 0).groupBy("row").agg(F.first("skey").alias("skey"), F.first("start").cast("long").alias("start"))
+    rows = keyed.join(starts, "row").select(F.col(text).alias("text"), "skey", "start")
+    pieces = rows.mapInArrow(_pieces(block), "skey string, block long, at long, said string")
+    blocks = pieces.groupBy("skey", "block").agg(F.array_sort(F.collect_list(F.struct("at", "said"))).alias("parts"))  # at most a block's words
+    words = F.array_join(F.col("parts.said"), " ")
+    met = chosen.join(blocks.select("skey", "block", words.alias("text")), ["skey", "block"])
+    return met.select("shard", "place", "skey", "block", F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(F.slice(F.split("text", " "), F.lit(1), F.col("cut").cast("int")), " ")).alias("text"))
+
+
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3 by source; see the module."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
