@@ -212,15 +212,14 @@ def test_op5_postings():
     """Sparse, dense, tied and empty shards against full products; sparse ones touch few postings."""
     rng = np.random.default_rng(0)
     sparse = np.where(rng.random((2000, 30)) < 0.1, rng.integers(-5, 50, (2000, 30)), 0)
-    for rows, most in ((sparse, 0.5), (rng.integers(-60, 60, (500, 64)), 1.0), (rng.integers(0, 2, (200, 3)), 1.0), (np.zeros((50, 4), int), 0.0), (rng.integers(-3, 3, (15, 4)), 1.0)):
+    for rows, most in ((sparse, 0.5), (rng.integers(-60, 60, (500, 64)), 1.0), (rng.integers(0, 2, (200, 3)), 1.0), (np.zeros((50, 4), int), 0.0), (rng.integers(-3, 3, (15, 4)), 1.0), (rng.integers(-(10**6), 10**6, (300, 40)), 1.0), (rng.integers(-(10**8), 10**8, (90, 4)), 1.0)):
         ids = rng.permutation(len(rows)) // 2
-        shard, touched = maxscore.Shard(rows, ids), 0
-        for i in range(0, len(rows), 7):
-            at, score, met = shard.search(rows[i], int(ids[i]), 20)
+        shard = maxscore.Shard(rows, ids)
+        found, touched = shard.search(rows[::7], ids[::7], 20)
+        for i, (at, score) in zip(range(0, len(rows), 7), found, strict=True):
             full, others = shard.rows @ rows[i], np.flatnonzero(shard.ids != ids[i])
             want = others[np.lexsort((others, -full[others]))][:20]
             assert at.tolist() == want.tolist() and score.tolist() == full[want].tolist()
-            touched += met
         assert touched <= most * len(range(0, len(rows), 7)) * rows.size * 1.05
 
 
@@ -400,6 +399,45 @@ def test_op8_shards_and_permutation(spark):
     assert len(set(places)) == len(places) and max(Counter(s for s, _ in places).values()) == 50
 
 
+def test_op8_draws(spark):
+    """Counts per shard scatter like a multinomial draw, and sources have exactly their slots."""
+    made = spark.createDataFrame([(0, 6000, 0), (1, 3000, 6000), (2, 1000, 9000), (3, 7, 10_000)], "number long, all long, ahead long")
+    counts = source_mixing.shard_counts(made, 10_007, 100, 5).collect()
+    per, shards = Counter(), Counter()
+    for r in counts:
+        per[r.number] += r["count"]
+        shards[r.shard] += r["count"]
+    assert per == {0: 6000, 1: 3000, 2: 1000, 3: 7}
+    assert len(shards) == 101 and all(n == (100 if s < 100 else 7) for s, n in shards.items())
+    for number, share in ((0, 0.6), (1, 0.3), (2, 0.1)):
+        got = np.array([r["count"] for r in counts if r.number == number and r.shard < 100])
+        assert 0.6 < got.std() / math.sqrt(100 * share * (1 - share)) < 1.4
+    again = source_mixing.shard_counts(made, 10_007, 100, 5).collect()
+    assert sorted(again) == sorted(counts)
+
+
+def test_op8_mixture(spark):
+    """Blocks of words in slots, against the blocks of each source's word stream."""
+    rows = [(i, " ".join(f"{'abc'[i % 3]}{i}.{j}" for j in range(5 + 37 * (i % 11))), "abc"[i % 3]) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS + ", source string")
+    out = source_mixing.mixture(docs, block=10, shard_slots=50).collect()
+    assert len({(r.shard, r.place) for r in out}) == len(out)
+    texts, taken = dict((d, t.split()) for d, t, _ in rows), Counter()
+    first = {}
+    for r in out:
+        said = r.text.split()
+        assert 0 < len(said) <= 10 and {w[0] for w in said} == {r.skey[1]}
+        whole = first.setdefault((r.skey, r.block), said)
+        assert said[: len(whole)] == whole[: len(said)]
+        for w in said:
+            taken[int(w[1:].split(".")[0])] += 1
+        for x, y in zip(said, said[1:]):  # words of one document stand as in its text
+            if x.split(".")[0] == y.split(".")[0]:
+                assert int(y.split(".")[1]) == int(x.split(".")[1]) + 1
+    got = {r.doc_id: r.taken for r in source_mixing.mix_sources(docs, block=10, shard_slots=50)[0].collect()}
+    assert got == {d: taken[d] for d in texts}
+
+
 def test_op8_edges(spark):
     rows = [(None, "a b c", None), (1, None, "x"), (1, "b c " * 15, "x"), (1, "b c " * 15, "x"), (2, "", "y"), (3, "b", "y")]
     out = source_mixing.mix_sources(docs_of(spark, rows, DOCS + ", source string"))[0].collect()
