@@ -2,28 +2,29 @@
 
 An *index* has a row per chunk (id, title, agency, storage_path, chunk_index, chunk_text,
 published_at, embedding); *queries* have (query_id, query_text, embedding).  Every ranking is a window
-over one question's own, bounded pool; the pools come out of the two searches, each of which keeps at
-most n rows per question and input batch before anything is shuffled.
+over one question's own, bounded pool.  The vector search deals questions and rows out in blocks that
+meet pairwise; the word search starts from each question's rarest word, so only chunks with that word
+are looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from marisight.functions.vectors import jaccard, lexemes, word_set
 
 RRF_K = 60
 #: similarity that a chunk found by words alone counts as
 FTS_FLOOR = 0.50
-#: questions whose vectors or words are sent to all tasks at a time; more are searched in turns
+#: up to so many questions their rarest words are broadcast; those of more are shuffled
 QUERY_BLOCK = 10_000
+#: questions and rows that one task compares at a time
+VECTOR_QUERIES, VECTOR_ROWS = 1000, 8192
 
 
 def pool_size(match_count: int) -> int:
@@ -34,86 +35,92 @@ def _top(rows: DataFrame, n: int, *order: Column) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("_r") <= n)
 
 
-def _in_blocks(queries: DataFrame, search) -> DataFrame:
-    """search(block) over blocks of at most about QUERY_BLOCK questions, united."""
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    out = None
-    for b in range(blocks):
-        part = search(queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b))
-        out = part if out is None else out.unionByName(part)
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Vectors as rows of ``width`` columns, zero where they are shorter or a component is missing."""
+    listed = column.combine_chunks()
+    counts = np.diff(np.asarray(listed.offsets))
+    flat = np.nan_to_num(np.asarray(listed.flatten(), dtype=np.float64))
+    out = np.zeros((len(counts), width))
+    out[np.repeat(np.arange(len(counts)), counts), np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)] = flat
     return out
 
 
+def _nearest(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of a block of questions and a shard of rows: the n most similar rows of each question."""
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        who, ids, found = np.asarray(asked["id"]), np.asarray(rows["id"]), []
+        if len(who) and len(ids):
+            width = int(max(np.max(t["embedding"].combine_chunks().value_lengths()) for t in (asked, rows)))
+            by_id = np.argsort(ids, kind="stable")
+            ids, dense, matrix = ids[by_id], _matrix(rows["embedding"], width)[by_id], _matrix(asked["embedding"], width)
+            scale = np.sqrt((matrix**2).sum(1))[:, None] * np.sqrt((dense**2).sum(1))[None]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                sim = np.where(scale > 0, (matrix @ dense.T) / scale, 0.0)
+            m = min(n, len(ids))
+            least = np.partition(sim, len(ids) - m, axis=1)[:, len(ids) - m]
+            for i in range(len(who)):
+                near = np.flatnonzero(sim[i] >= least[i])  # ids ascend, so equals keep their order
+                best = near[np.argsort(-sim[i, near], kind="stable")][:m]
+                found.append((np.full(m, who[i]), ids[best], sim[i, best]))
+        made = [np.concatenate(x) for x in zip(*found)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table([pa.array(x) for x in made], names=["query_id", "id", "similarity"])
+
+    return run
+
+
 def vector_pool(index: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     """(query_id, id, similarity, vrank): the n most cosine-similar rows of each question.
 
     Rows without an embedding take no part; a vector of norm 0 has similarity 0, and vectors of other
-    lengths than the question's are compared over the shorter length.
+    lengths than the question's count as zero where they are shorter.  Blocks of questions and shards of
+    rows meet in groups of bounded size, each of which passes on n rows a question.
     """
-    rows = index.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", F.col("embedding").cast("array<double>").alias("embedding"))
-
-    def search(block: DataFrame) -> DataFrame:
-        asked = block.where(F.col("embedding").isNotNull()).select("query_id", F.col("embedding").cast("array<double>")).toPandas()
-        ids = asked["query_id"].to_numpy(np.int64)
-        width = max((len(v) for v in asked["embedding"]), default=0)
-        matrix = np.zeros((len(ids), width))
-        for i, v in enumerate(asked["embedding"]):
-            matrix[i, : len(v)] = v
-        size = np.sqrt((matrix**2).sum(1))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows or not len(ids):
-                    continue
-                column, who = batch.column(1), np.asarray(batch.column(0))
-                counts = np.diff(np.asarray(column.offsets))
-                flat = np.nan_to_num(np.asarray(column.flatten(), dtype=np.float64))
-                dense = np.zeros((len(who), max(width, int(counts.max()))))
-                dense[np.repeat(np.arange(len(who)), counts), np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)] = flat
-                scale = size[:, None] * np.sqrt((dense**2).sum(1))[None]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    sim = np.where(scale > 0, (matrix @ dense[:, :width].T) / scale, 0.0)
-                by = np.lexsort((np.broadcast_to(who, sim.shape), -sim), axis=1)[:, :n]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, by.shape[1])), pa.array(who[by].ravel()), pa.array(np.take_along_axis(sim, by, 1).ravel())], names=["query_id", "id", "similarity"])
-
-        return rows.mapInArrow(run, "query_id long, id long, similarity double")
-
-    return _top(_in_blocks(queries, search), n, F.desc("similarity"), F.asc("id")).withColumnRenamed("_r", "vrank")
-
-
-@F.pandas_udf(DoubleType())
-def cover_density(positions: pd.Series, terms: pd.Series, n_terms: pd.Series) -> pd.Series:
+    whole = lambda t, c: t.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select(F.col(c).cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    rows, asked = whole(index, "id"), whole(queries, "query_id")
+    shards, blocks = max(1, -(-rows.count() // VECTOR_ROWS)), max(1, -(-asked.count() // VECTOR_QUERIES))
+    number = lambda many: F.pmod(F.xxhash64("id"), F.lit(many)).cast("int")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    left = asked.select("id", "embedding", number(blocks).alias("block"), every(shards).alias("shard"))
+    right = rows.select("id", "embedding", every(blocks).alias("block"), number(shards).alias("shard"))
+    near = left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInArrow(_nearest(n), "query_id long, id long, similarity double")
+    return _top(near, n, F.desc("similarity"), F.asc("id")).withColumnRenamed("_r", "vrank")
+
+
+def cover_density(positions: Column | str, terms: Column | str, n_terms: Column | str) -> Column:
     """Sum over minimal covers of 0.1 / (1 + words in the cover that are no query term)."""
+    positions, terms, n_terms = (F.col(c) if isinstance(c, str) else c for c in (positions, terms, n_terms))
+    met = F.array_sort(F.transform(F.arrays_zip(positions.alias("pos"), terms.alias("term")), lambda x: F.struct(x["pos"].cast("int").alias("pos"), x["term"].cast("long").alias("term"))))
+    zero = F.struct(F.array().cast("array<struct<term:bigint,pos:int,k:int>>").alias("last"), F.lit(0).alias("k"), F.lit(-1).alias("previous"), F.lit(0.0).alias("total"))
 
-    def one(pos: np.ndarray, term: np.ndarray, n: int) -> float:
-        by = np.argsort(pos, kind="stable")
-        last: dict[int, int] = {}
-        total, previous = 0.0, -1
-        places = [int(pos[i]) for i in by]
-        for k, i in enumerate(by):
-            last[term[i]] = k
-            if len(last) == n:
-                first = min(last.values())
-                if places[first] > previous:  # the shortest cover that starts here
-                    previous = places[first]
-                    total += 0.1 / (1 + places[k] - places[first] - (k - first))
-        return total
+    def step(state: Column, x: Column) -> Column:
+        # the latest place of each term met so far, the longest ago first
+        last = F.concat(F.filter(state["last"], lambda y: y["term"] != x["term"]), F.array(F.struct(x["term"].alias("term"), x["pos"].alias("pos"), state["k"].alias("k"))))
+        first = F.element_at(last, 1)
+        cover = (F.size(last) == n_terms) & (first["pos"] > state["previous"])  # the shortest cover that starts there
+        gain = 0.1 / (1 + x["pos"] - first["pos"] - (state["k"] - first["k"]))
+        return F.struct(last.alias("last"), (state["k"] + 1).alias("k"), F.when(cover, first["pos"]).otherwise(state["previous"]).alias("previous"), (state["total"] + F.when(cover, gain).otherwise(0.0)).alias("total"))
 
-    return pd.Series([one(p, t, n) for p, t, n in zip(positions, terms, n_terms)], dtype="float64")
+    return F.aggregate(met, zero, step, lambda state: state["total"])
 
 
 def fts_matches(index: DataFrame, queries: DataFrame, columns: tuple[str, ...] = ("chunk_text",)) -> DataFrame:
-    """(query_id, id, fts_rank) of chunks that hold every lexeme of the question, by cover density."""
-
-    def search(block: DataFrame) -> DataFrame:
-        asked = block.select("query_id", F.array_distinct(lexemes(F.col("query_text"))).alias("terms")).where(F.size("terms") > 0)
-        wanted = asked.select("query_id", F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-        words = index.select("id", F.posexplode(lexemes(F.concat_ws(" ", *columns))).alias("pos", "term"))
-        met = words.join(F.broadcast(wanted), "term")  # bounded: the words of one block of questions
-        per = met.groupBy("query_id", "id", "n_terms").agg(F.collect_list("pos").alias("pos"), F.collect_list(F.xxhash64("term")).alias("term"), F.count_distinct("term").alias("found"))
-        return per.where(F.col("found") == F.col("n_terms")).select("query_id", "id", cover_density("pos", "term", "n_terms").alias("fts_rank"))
+    """(query_id, id, fts_rank) of chunks that hold every lexeme of the question, by cover density.
 
-    return _in_blocks(queries, search)
+    Words are counted over all chunks; each question meets only the chunks with its rarest word, and
+    places of words are taken of full matches alone.  Questions with a word that no chunk has drop out.
+    """
+    docs = index.select("id", lexemes(F.concat_ws(" ", *columns)).alias("words")).select("id", "words", F.array_distinct("words").alias("kinds"))
+    asked = queries.select("query_id", F.array_distinct(lexemes(F.col("query_text"))).alias("terms")).where(F.size("terms") > 0)
+    counts = docs.select(F.explode("kinds").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    wanted = asked.select("query_id", "terms", F.explode("terms").alias("term")).join(counts, "term", "left")
+    rarest = wanted.groupBy("query_id").agg(F.first("terms").alias("terms"), F.min_by("term", F.struct(F.coalesce("n", F.lit(0)), "term")).alias("term"))
+    if queries.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK:
+        rarest = F.broadcast(rarest)
+    met = docs.select("id", "words", F.explode("kinds").alias("term")).join(rarest, "term").where(F.size(F.array_except("terms", "words")) == 0)
+    place = F.transform("words", lambda w, i: F.struct(i.alias("pos"), F.array_position("terms", w).alias("term")))
+    met = met.select("query_id", "id", F.size("terms").alias("n_terms"), F.filter(place, lambda x: x["term"] > 0).alias("places"))
+    return met.select("query_id", "id", cover_density(F.col("places.pos"), F.col("places.term"), F.col("n_terms")).alias("fts_rank"))
 
 
 def fts_pool(index: DataFrame, queries: DataFrame, n: int, columns: tuple[str, ...] = ("chunk_text",)) -> DataFrame:
@@ -141,10 +148,13 @@ def ranked(rows: DataFrame, n: int, *order: Column) -> DataFrame:
     return _top(rows, n, *(order or (F.desc("rrf_score"), F.asc("id")))).withColumnRenamed("_r", "rank")
 
 
-def hybrid(index: DataFrame, queries: DataFrame, match_count: int = 5, agency: str | None = None, date_from: str | None = None, date_to: str | None = None, k: int = RRF_K) -> DataFrame:
-    """(query_id, rank, id, similarity, fts_rank, rrf_score): vector and word search, fused."""
-    rows, n = filtered(index, agency, date_from, date_to), pool_size(match_count)
-    return ranked(fused(vector_pool(rows, queries, n), fts_pool(rows, queries, n), k), max(match_count, 1))
+def hybrid(index: DataFrame, queries: DataFrame, match_count: int = 5, agency: str | None = None, date_from: str | None = None, date_to: str | None = None, k: int = RRF_K, texts: DataFrame | None = None) -> DataFrame:
+    """(query_id, rank, id, similarity, fts_rank, rrf_score): vector and word search, fused.
+
+    ``texts`` may give the words' side of the index by itself, where vectors are kept apart from it."""
+    n = pool_size(match_count)
+    rows, words = (filtered(x, agency, date_from, date_to) for x in (index, index if texts is None else texts))
+    return ranked(fused(vector_pool(rows, queries, n), fts_pool(words, queries, n), k), max(match_count, 1))
 
 
 def feedback_scores(citations: DataFrame, feedback: DataFrame) -> DataFrame:
@@ -184,40 +194,34 @@ def merged(lists: DataFrame, limit: int, k: int = RRF_K) -> DataFrame:
     return out.select(*key, "rank", "rrf_score", "b.similarity", "b.fts_rank")
 
 
+def _survivors(alive: Column, conflicts: Column, eff: Column) -> Column:
+    """Which entries of a list stay: each in turn drops its weaker or equal later conflicts, up to the
+    first stronger one, to which it gives way."""
+
+    def step(alive: Column, i: Column) -> Column:
+        met = F.filter(conflicts[i], lambda j: alive[j])
+        stronger = F.array_min(F.filter(met, lambda j: eff[j] > eff[i]))
+        beaten = F.filter(met, lambda j: stronger.isNull() | (j < stronger))
+        gone = F.when(stronger.isNull(), beaten).otherwise(F.array_append(beaten, i))
+        return F.when(alive[i], F.transform(alive, lambda a, m: a & ~F.array_contains(gone, m))).otherwise(alive)
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(eff) - 1), alive, step)
+
+
 def deduplicated(rows: DataFrame, document: str = "id", overlap: float = 0.70) -> DataFrame:
     """Ranked rows (query_id, rank, <document>, chunk_index, chunk_text, similarity, fts_rank) of bounded
     pools without near copies: first of adjacent chunks of one document, then of chunks whose word sets
     overlap, the one with the higher effective similarity stays (the earlier of equals), in list order."""
-    rows = rows.withColumn("_eff", effective())
-    names = [f.name for f in rows.drop("_eff").schema.fields]
-
-    def pool(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank", kind="stable").reset_index(drop=True)
-        eff, doc, at = pdf["_eff"].tolist(), pdf[document].tolist(), pdf["chunk_index"].tolist()
-        words = [set((t or "").lower().split()) for t in pdf["chunk_text"]]
-
-        def fold(alive: list[int], same) -> list[int]:
-            out = []
-            for n, i in enumerate(alive):
-                if i is None:
-                    continue
-                for m in range(n + 1, len(alive)):
-                    j = alive[m]
-                    if j is None or not same(i, j):
-                        continue
-                    if eff[i] >= eff[j]:
-                        alive[m] = None
-                    else:
-                        break
-                else:
-                    out.append(i)
-            return out
-
-        near = lambda i, j: doc[i] is not None and doc[i] == doc[j] and pd.notna(at[i]) and pd.notna(at[j]) and abs(at[i] - at[j]) <= 1
-        alike = lambda i, j: bool(words[i] | words[j]) and len(words[i] & words[j]) / len(words[i] | words[j]) > overlap
-        return pdf.iloc[fold(fold(list(range(len(pdf))), near), alike)][names]
-
-    return rows.groupBy("query_id").applyInPandas(pool, rows.drop("_eff").schema)
+    words = F.coalesce(word_set(F.col("chunk_text")), F.array().cast("array<string>"))
+    item = F.struct(F.col("rank").alias("_rank"), effective().alias("_eff"), F.col(document).alias("_doc"), F.col("chunk_index").alias("_at"), words.alias("_words"), F.struct(*[F.col(c).alias(c) for c in rows.columns]).alias("_row"))
+    pools = rows.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("pool"))
+    later = lambda same: F.transform("pool", lambda x, i: F.filter(F.transform("pool", lambda y, j: F.when((j > i) & same(x, y), j)), lambda j: j.isNotNull()))
+    near = later(lambda x, y: F.coalesce((x["_doc"] == y["_doc"]) & (F.abs(x["_at"] - y["_at"]) <= 1), F.lit(False)))
+    alike = later(lambda x, y: jaccard(x["_words"], y["_words"]) > overlap)
+    pools = pools.select("pool", near.alias("near"), alike.alias("alike"), F.col("pool._eff").alias("eff"))
+    first = pools.select("pool", "alike", "eff", _survivors(F.transform("pool", lambda x: F.lit(True)), F.col("near"), F.col("eff")).alias("alive"))
+    second = first.select("pool", _survivors(F.col("alive"), F.col("alike"), F.col("eff")).alias("alive"))
+    return second.select(F.explode(F.filter("pool", lambda x, i: F.col("alive")[i])).alias("x")).select("x._row.*")
 
 
 def overlap_pairs(rows: DataFrame, least: float = 0.70) -> DataFrame:
@@ -313,11 +317,12 @@ def knowledge_gaps(queries: DataFrame, rows: DataFrame, low: float = 0.45) -> Da
     return met.select("query_id", "query_text", F.when(F.col("top_similarity").isNull(), "no_match").otherwise("low_similarity").alias("gap_type"), "top_similarity")
 
 
-def answer_context(index: DataFrame, queries: DataFrame, as_of: Column, match_count: int = 5, prefetch: int = 20) -> DataFrame:
-    """Everything before generation: hybrid pool, noise filter, deduplication, lexical rerank, recency,
-    cut-off and prompt context, per question."""
-    pool = hybrid(index, queries, prefetch)
-    rows = without_noise(pool).join(index.select("id", "title", "agency", "chunk_index", "chunk_text", "published_at"), "id")
+def answer_context(index: DataFrame, queries: DataFrame, as_of: Column, match_count: int = 5, prefetch: int = 20, texts: DataFrame | None = None) -> DataFrame:
+    """The rows that answer each question, in order: hybrid pool, noise filter, deduplication, lexical rerank,
+    recency and cut-off; ``context_blocks`` makes the prompt's context of them."""
+    pool = hybrid(index, queries, prefetch, texts=texts)
+    said = index if texts is None else texts
+    rows = without_noise(pool).join(said.select("id", "title", "agency", "chunk_index", "chunk_text", "published_at"), "id")
     rows = deduplicated(rows.select("query_id", "rank", "id", "chunk_index", "chunk_text", "similarity", "fts_rank", "rrf_score", "title", "agency", "published_at"))
     again = Window.partitionBy("query_id").orderBy("rank")
     rows = rows.withColumn("rank", F.row_number().over(again))

@@ -57,12 +57,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, vectors = table(spark, sf_dir, "documents"), table(spark, sf_dir, "embeddings")
-    rows = docs.join(vectors.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left")
+def index(spark: SparkSession, sf_dir: str, vectors: bool = True) -> DataFrame:
+    """All documents as one chunk each; their embeddings only where they are wanted."""
+    rows = table(spark, sf_dir, "documents")
+    if vectors:
+        rows = rows.join(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id", "left")
     day = F.date_add(F.lit("2018-01-01").cast("date"), F.pmod(F.col("doc_id") * 7, F.lit(2300)).cast("int"))
     path = F.concat(F.lit("gov-docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"))
-    return rows.select(F.col("doc_id").alias("id"), F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"), F.col("source").alias("agency"), path.alias("storage_path"), F.lit(0).alias("chunk_index"), F.col("text").alias("chunk_text"), day.alias("published_at"), "embedding")
+    return rows.select(F.col("doc_id").alias("id"), F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"), F.col("source").alias("agency"), path.alias("storage_path"), F.lit(0).alias("chunk_index"), F.col("text").alias("chunk_text"), day.alias("published_at"), *(["embedding"] if vectors else []))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,16 +100,21 @@ def vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = retrieval.fts_pool(index(spark, sf_dir), questions(spark, sf_dir), 20)
+    rows = retrieval.fts_pool(index(spark, sf_dir, False), questions(spark, sf_dir), 20)
     return _rounded(rows.withColumn("rrf_score", 1.0 / (60 + F.col("frank"))))
 
 
+def hybrid(spark: SparkSession, sf_dir: str, n: int, **given) -> DataFrame:
+    """Hybrid search with the words' side read without the embeddings."""
+    return retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), n, texts=index(spark, sf_dir, False), **given)
+
+
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), 5))
+    return _rounded(hybrid(spark, sf_dir, 5))
 
 
 def hybrid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), 5, date_from="2020-01-01", date_to="2023-12-31"))
+    return _rounded(hybrid(spark, sf_dir, 5, date_from="2020-01-01", date_to="2023-12-31"))
 
 
 def feedback_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,21 +122,20 @@ def feedback_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), 10)
+    rows = hybrid(spark, sf_dir, 10)
     return _rounded(retrieval.boosted(rows, feedback_scores(spark, sf_dir), 5))
 
 
 def multi_query_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, asked = index(spark, sf_dir), questions(spark, sf_dir)
-    vector = retrieval.vector_pool(rows, asked, 20).select("query_id", F.lit(0).alias("list_no"), F.col("vrank").alias("rank"), "id", "similarity", F.lit(0.0).alias("fts_rank"))
-    words = retrieval.fts_pool(rows, asked, 20).select("query_id", F.lit(1).alias("list_no"), F.col("frank").alias("rank"), "id", F.lit(0.0).alias("similarity"), "fts_rank")
+    asked = questions(spark, sf_dir)
+    vector = retrieval.vector_pool(index(spark, sf_dir), asked, 20).select("query_id", F.lit(0).alias("list_no"), F.col("vrank").alias("rank"), "id", "similarity", F.lit(0.0).alias("fts_rank"))
+    words = retrieval.fts_pool(index(spark, sf_dir, False), asked, 20).select("query_id", F.lit(1).alias("list_no"), F.col("frank").alias("rank"), "id", F.lit(0.0).alias("similarity"), "fts_rank")
     lists = vector.unionByName(words).withColumnRenamed("query_id", "question_id").withColumn("chunk_index", F.lit(0))
     return _rounded(retrieval.merged(lists, 5))
 
 
 def _pool(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
-    rows = index(spark, sf_dir)
-    return retrieval.hybrid(rows, questions(spark, sf_dir), n).join(rows.select("id", "title", "agency", "storage_path", "chunk_index", "chunk_text", "published_at"), "id")
+    return hybrid(spark, sf_dir, n).join(index(spark, sf_dir, False).select("id", "title", "agency", "storage_path", "chunk_index", "chunk_text", "published_at"), "id")
 
 
 def recency_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +148,7 @@ def cutoff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attention_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.attention_order(retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), 5)).select("query_id", "id", "rank", "place")
+    return retrieval.attention_order(hybrid(spark, sf_dir, 5)).select("query_id", "id", "rank", "place")
 
 
 def context_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +163,7 @@ def citation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knowledge_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = questions(spark, sf_dir)
-    return _rounded(retrieval.knowledge_gaps(asked, retrieval.hybrid(index(spark, sf_dir), asked, 5), 0.55).drop("query_text"))
+    return _rounded(retrieval.knowledge_gaps(asked, hybrid(spark, sf_dir, 5), 0.55).drop("query_text"))
 
 
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +186,7 @@ def lexical_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = retrieval.answer_context(index(spark, sf_dir), questions(spark, sf_dir), F.lit(AS_OF).cast("date"))
+    rows = retrieval.answer_context(index(spark, sf_dir), questions(spark, sf_dir), F.lit(AS_OF).cast("date"), texts=index(spark, sf_dir, False))
     return _rounded(rows.select("query_id", "rank", "id", "similarity", "fts_rank", "boosted"))
 
 
