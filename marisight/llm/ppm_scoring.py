@@ -5,18 +5,19 @@ longest context seen in training; if the context has not seen it, an escape is c
 shorter context tries, down to the uniform order.  Escapes are estimated by method C (as often as the
 context has distinct followers) and symbols that a longer context would have coded are excluded from
 the shorter ones.  As a context's followers are followers of every suffix of it, exclusion only needs
-two sums per context, computed once; so the pretrained trie is one table of contexts per order.  The
-code length of a document adds up to its log10 probability.
+two sums per context, computed once; so the pretrained trie is one table with a row per order and
+context.  The code length of a document adds up to its log10 probability.
 
 A document's bytes are its lower-cased words joined by one space, then one line feed as the end; it
 starts in the context of line feeds.
 
-The tables hold all strings.  What most bytes cost travels to the tasks: that of the ``MAX_LEAVES``
-most frequent strings of ORDER + 1 bytes, from the count that is read off a histogram over all of them.
-All other strings of a document, rare or unseen, are counted inside each slice; each distinct one is
-joined with the tables order by order (a context has at most 256 followers, a string at most 256 longer
-ones by one byte, so no key is large).  Word counts for the base score are exact at any vocabulary in
-the same way: the ``COMMON_WORDS`` most frequent go to the tasks, all others are joined by word hash.
+The trie holds all strings.  What most bytes cost travels to the tasks: that of the most frequent strings
+of ORDER + 1 bytes, those that occur ``HOT_COUNT`` times or more and of these at most ``MAX_LEAVES``, read
+off a histogram over all of them.  All other strings of a document, rare or unseen, are counted inside
+each slice; each distinct one is joined with its contexts in the trie (a context has at most 256
+followers; the 257 contexts of the two shortest orders are broadcast), so scores don't depend on what
+travels.  Word counts for the base score are exact at any vocabulary in the same way: the
+``COMMON_WORDS`` most frequent go to the tasks, all others are joined by word hash.
 
 Defined results: null and empty texts are the end alone; null ids count as training rows; without
 training rows every byte costs the uniform order and N is 0; repeated rows count and score each.
@@ -36,7 +37,8 @@ from marisight.llm._batches import longs, slices
 from marisight.llm._shared import written
 
 ORDER = 5
-MAX_LEAVES = 4_000_000
+MAX_LEAVES = 1 << 20
+HOT_COUNT = 4
 COMMON_WORDS = 1 << 18
 _END = 10
 _GRAM, _WORD = 0, 1
@@ -88,7 +90,7 @@ def _coded(stream: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.ndarr
 
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 4 << 20):
+        for batch in slices(batches, 0, 2 << 20):
             w = W.words(batch.column(0), lower=True)
             for kind, keys in ((_GRAM, _coded(*_stream(w, order), order)[0]), (_WORD, W.word_hashes(w))):
                 key, n = np.unique(keys, return_counts=True)
@@ -167,66 +169,66 @@ def _score(order: int, hot: np.ndarray, costs: np.ndarray, common: np.ndarray, c
     return run
 
 
-def _suffix(k: int) -> Column:
-    """The last k + 1 bytes of a string, as a number."""
-    return F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1).cast("long"))
-
-
-def _contexts(leaves: DataFrame, order: int) -> list[DataFrame]:
-    """Per order 0 …: each context with its total, distinct followers, the counts of each follower, and what the
-    next shorter context loses by excluding these followers."""
-    levels = [leaves]
-    for k in range(order - 1, -1, -1):
-        levels.insert(0, written(levels[0].groupBy(_suffix(k).alias("gram")).agg(F.sum("n").alias("n")), f"order{k}"))
-    out = []
-    for k, level in enumerate(levels):
-        level = level.withColumn("below", F.lit(0).cast("long"))
-        if k:
-            below = levels[k - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("n_below"))
-            level = level.withColumn("suffix", _suffix(k - 1)).join(below, "suffix").select("gram", "n", F.col("n_below").alias("below"))
-        follower = F.struct(F.col("gram").bitwiseAND(F.lit(255).cast("long")).cast("int").alias("byte"), "n")
-        per = level.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(
-            F.sum("n").alias(f"total{k}"), F.count(F.lit(1)).alias(f"kinds{k}"), F.sum("below").alias(f"lost{k}"), F.map_from_entries(F.collect_list(follower)).alias("followers")
-        )
-        out.append(written(per, f"contexts{k}"))
-    return out
+def _suffix(gram: str, k: Column) -> Column:
+    """The last k + 1 bytes of a string, as a number; none for k = -1."""
+    return F.col(gram).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (8 * (k + 1)).cast("int")) - 1)
+
+
+def _orders(rows: DataFrame, first: int, order: int) -> DataFrame:
+    """rows once for each order k, with the string cut to it."""
+    out = rows.withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(first, order + 1)])))
+    return out.withColumn("cut", _suffix("gram", F.col("k")))
+
+
+def trie_of(leaves: DataFrame, order: int) -> DataFrame:
+    """(k, context, total, kinds, lost, followers) for all contexts of orders 0 … order: the bytes counted in it, its
+    distinct followers, what the next shorter context loses by excluding these, and the count of each follower."""
+    levels = _orders(leaves, 0, order).groupBy("k", "cut").agg(F.sum("n").alias("n"))
+    shorter = levels.select((F.col("k") + 1).alias("k"), F.col("cut").alias("suffix"), F.col("n").alias("below"))
+    met = levels.withColumn("suffix", _suffix("cut", F.col("k") - 1)).join(shorter, ["k", "suffix"], "left")
+    follower = F.struct(F.col("cut").bitwiseAND(F.lit(255).cast("long")).cast("int").alias("byte"), "n")
+    per = met.groupBy("k", F.shiftrightunsigned("cut", 8).alias("context"))
+    return per.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("below"), F.lit(0)).alias("lost"), F.map_from_entries(F.collect_list(follower)).alias("followers"))
 
 
-def _costs(asked: DataFrame, contexts: list[DataFrame]) -> DataFrame:
+def _costs(asked: DataFrame, trie: DataFrame, order: int) -> DataFrame:
     """(gram, cost): log10 probability of the last byte of each asked string after the others."""
-    known: DataFrame | None = None
-    for k, per in enumerate(contexts):
-        grams = asked.select(_suffix(k).alias("gram")).distinct() if k < len(contexts) - 1 else asked
-        met = grams.withColumn("context", F.shiftrightunsigned("gram", 8)).join(per, "context", "left")
-        byte = F.col("gram").bitwiseAND(F.lit(255).cast("long")).cast("int")
-        zero = lambda c: F.coalesce(c, F.lit(0)).cast("double")
-        met = met.select("gram", zero(F.try_element_at("followers", byte)).alias(f"n{k}"), *[zero(F.col(f"{c}{k}")).alias(f"{c}{k}") for c in ("total", "kinds", "lost")])
-        if known is not None:
-            shorter = known.withColumnRenamed("gram", "suffix")
-            met = met.withColumn("suffix", _suffix(k - 1)).join(shorter, "suffix").drop("suffix")
-        known = met
-    top, cost = len(contexts) - 1, F.lit(0.0)
-    for k in range(top, -1, -1):
-        lost, gone = (F.col(f"{c}{k + 1}") if k < top else F.lit(0.0) for c in ("lost", "kinds"))
-        kinds = F.col(f"kinds{k}") - gone
-        whole = F.col(f"total{k}") - lost + kinds
-        here = F.when(F.col(f"n{k}") > 0, F.log10(F.col(f"n{k}") / whole)).when((F.col(f"kinds{k}") > 0) & (whole > 0), F.log10(kinds / whole)).otherwise(0.0)
+    byte = F.col("gram").bitwiseAND(F.lit(255).cast("long")).cast("int")
+    answer = F.when(F.col("total").isNotNull(), F.struct(F.coalesce(F.try_element_at("followers", byte), F.lit(0)).alias("n"), "total", "kinds", "lost"))
+    short = min(order, 1)
+    known = asked
+    for k in range(short + 1):  # at most 256 contexts
+        here = trie.where(F.col("k") == k).drop("k")
+        known = known.withColumn("context", F.shiftrightunsigned(_suffix("gram", F.lit(k)), 8)).join(F.broadcast(here), "context", "left")
+        known = known.withColumn(f"a{k}", answer).drop(*here.columns)
+    if order > short:
+        long_ = _orders(asked, short + 1, order).withColumn("context", F.shiftrightunsigned("cut", 8)).join(trie, ["k", "context"], "left")
+        long_ = long_.groupBy("gram").agg(*[F.max(F.when(F.col("k") == k, answer)).alias(f"a{k}") for k in range(short + 1, order + 1)])
+        known = known.join(long_, "gram")
+    of = lambda k, c: F.coalesce(F.col(f"a{k}.{c}"), F.lit(0)).cast("double")
+    cost = F.lit(0.0)
+    for k in range(order, -1, -1):
+        lost, gone = (of(k + 1, c) if k < order else F.lit(0.0) for c in ("lost", "kinds"))
+        kinds = of(k, "kinds") - gone
+        whole = of(k, "total") - lost + kinds
+        here = F.when(of(k, "n") > 0, F.log10(of(k, "n") / whole)).when((of(k, "kinds") > 0) & (whole > 0), F.log10(kinds / whole)).otherwise(0.0)
         # a string seen in training has all its suffixes seen: one order longer tells whether the byte is coded yet
-        cost = cost + (here if k == top else F.when(F.col(f"n{k + 1}") > 0, 0.0).otherwise(here))
-    uniform = F.when(F.col("n0") > 0, 0.0).otherwise(-F.log10(F.greatest(256 - F.col("kinds0"), F.lit(1.0))))
+        cost = cost + (here if k == order else F.when(of(k + 1, "n") > 0, 0.0).otherwise(here))
+    uniform = F.when(of(0, "n") > 0, 0.0).otherwise(-F.log10(F.greatest(256 - of(0, "kinds"), F.lit(1.0))))
     return known.select("gram", (cost + uniform).alias("cost"))
 
 
-def _bounded(table: DataFrame, most: int) -> DataFrame:
-    """The rows of the highest counts, at most ``most`` of them, equal counts together."""
-    steps = table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("n"))
-    least, so_far = 1, 0
-    for r in steps.toLocalIterator():
+def _least_count(table: DataFrame, most: int) -> Column:
+    """Which rows (by ``n``) are among the ``most`` of the highest counts: the steps of a histogram that are whole in them."""
+    step = F.floor(F.log2("n") * 16)  # some thousand steps at most
+    sizes = table.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    least, so_far = 0, 0
+    for r in sorted(sizes, key=lambda r: -r["step"]):
         so_far += r["rows"]
         if so_far > most:
-            least = r["n"] + 1
+            least = r["step"] + 1
             break
-    return table.where(F.col("n") >= least)
+    return step >= least
 
 
 def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -237,7 +239,7 @@ def _arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return key[by].copy(), value[by].copy()
 
 
-def language_scores(docs: DataFrame, training: Column, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES, common_words: int = COMMON_WORDS) -> DataFrame:
+def language_scores(docs: DataFrame, training: Column, text: str = "text", order: int = ORDER, max_leaves: int = MAX_LEAVES, common_words: int = COMMON_WORDS, hot_count: int = HOT_COUNT) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each row, learnt from the rows where ``training``."""
     counts = docs.where(training).select(F.col(text).alias("t")).mapInArrow(_count(order), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = written(counts, "counts")
@@ -245,13 +247,13 @@ def language_scores(docs: DataFrame, training: Column, text: str = "text", order
     n_training = docs.where(training).count()
     vocabulary, tokens = totals[0] + (n_training > 0), totals[1] + n_training
     leaves = counts.where(F.col("kind") == _GRAM).select(F.col("key").alias("gram"), "n")
-    contexts = _contexts(leaves, order)
-    hot = _bounded(leaves, max_leaves).withColumn("context", F.shiftrightunsigned("gram", 8))
-    hot = hot.join(contexts[-1].select("context", f"total{order}", f"kinds{order}"), "context")
-    hot, costs = _arrays(hot.select("gram", F.log10(F.col("n") / (F.col(f"total{order}") + F.col(f"kinds{order}"))).alias("cost")))
+    trie = written(trie_of(leaves, order), "trie")
+    hot = trie.where(F.col("k") == order).select("context", "total", "kinds", F.explode("followers").alias("byte", "n"))
+    hot = hot.where((F.col("n") >= hot_count) & _least_count(leaves, max_leaves))
+    gram = F.call_function("shiftleft", F.col("context"), F.lit(8)).bitwiseOR(F.col("byte").cast("long"))
+    hot, costs = _arrays(hot.select(gram.alias("gram"), F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("cost")))
     words = counts.where(F.col("kind") == _WORD)
-    common = _bounded(words, common_words)
-    key, n = _arrays(common.select("key", "n"))
+    key, n = _arrays(words.where(_least_count(words, common_words)).select("key", "n"))
     schema = "doc_id long, n_tokens long, n_common long, common_score double, hot_score double, rare array<struct<word:long,times:int>>, asked array<struct<gram:long,times:int>>"
     rows = docs.select(F.col(text).alias("t"), F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(_score(order, hot, costs, key, n), schema)
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "scored")
@@ -259,7 +261,7 @@ def language_scores(docs: DataFrame, training: Column, text: str = "text", order
     met = asked.join(words.select(F.col("key").alias("word"), F.col("n")), "word")
     more = met.groupBy("row").agg(F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_score"))
     open_ = rows.select("row", F.explode("asked").alias("r")).select("row", "r.gram", "r.times")
-    costly = _costs(written(open_.select("gram").distinct(), "asked"), contexts)
+    costly = _costs(written(open_.select("gram").distinct(), "asked"), trie, order)
     coded = open_.join(costly, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("cost")).alias("open_score"))
     out = rows.drop("rare", "asked").join(more, "row", "left").join(coded, "row", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
