@@ -21,9 +21,16 @@ two documents link when it is at most 1 - ``percent``/100.  Regions become small
    and members already connected need no comparison; the region recurses with the next pivot until
    no open pair is left.
 
-Regions above a size limit are split into blocks that meet pairwise, so no task grows with a hot
-group, and no pair of one group is ever written out: regions return a spanning forest of their links.
-Equal sets inside an Arrow slice are represented by one of them from the start.
+Regions of more than ``REGION`` members are first joined recursively, round by round, in parts dealt over
+tasks (steps 2 and 3 alike).  A pivot of each region is compared with all its members, which takes one
+comparison a member.  Members that link with it are its Voronoi region and are connected by that.  What is
+left to join is the members beyond the radius, with the pivot's own members that stand in their window: by
+the triangle inequality a member x beyond and a member y inside can only link if d(y, pivot) >= d(x, pivot)
+less the radius.  These boundary documents go along into the next round, all others are done.  A region
+that a round hardly makes smaller is split into blocks that meet pairwise.  So no task grows with a hot
+group, a group of near copies takes time in proportion to its size, and no pair of one group is ever
+written out: regions return a spanning forest of their links.  Equal sets inside an Arrow slice are
+represented by one of them from the start.
 
 Defined results: null and empty texts have an empty set, linked with nothing; fewer words than a
 shingle form one shingle; null ids count as the smallest id; rows sharing an id are one node and get
@@ -283,6 +290,108 @@ def _exact(k: int, percent: int):
     return run
 
 
+def _to_pivots(measure):
+    """Sorted rows (key, part, is_member, doc, members, …) in, each part led by its region's pivot; per member what
+    ``measure`` tells of it and the pivot: (key, doc, pivot, near, low, high)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot = None
+        for batch in slices(batches, 5, 4 << 20):
+            lead = np.flatnonzero(longs(batch.column(2)) == 0)
+            cuts = np.r_[0, lead, batch.num_rows]
+            told, docs = measure(batch), longs(batch.column(3))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if hi == lo:
+                    continue
+                own = lo in lead
+                if own:
+                    pivot = (docs[lo], told(lo))
+                rows = np.arange(lo + own, hi)
+                if len(rows):
+                    near, low, high = told(pivot[1], rows)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo + own, len(rows)), pa.array(docs[rows]), pa.array(np.full(len(rows), pivot[0])), pa.array(near), pa.array(low), pa.array(high)], names=["key", "doc", "pivot", "near", "low", "high"])
+
+    return run
+
+
+def _sketch_measure(percent: int):
+    """Rows (…, sketch, n, wide): whether sketches leave a link possible; the Hamming distance, less and more by what
+    the two sets may differ in for their sizes."""
+
+    def measure(batch: pa.RecordBatch):
+        raw = np.stack([np.frombuffer(x, np.uint64) for x in batch.column(5).to_pylist()])
+        n = longs(batch.column(6)).astype(np.int64)
+        wide = np.empty(batch.num_rows, object)
+        wide[:] = [None if x is None else np.frombuffer(x, np.uint64) for x in batch.column(7).to_pylist()]
+
+        def told(pivot, rows=None):
+            if rows is None:
+                return raw[pivot], n[pivot], wide[pivot]
+            bits, sizes = np.vstack([pivot[0][None], raw[rows]]), np.r_[pivot[1], n[rows]]
+            held = np.empty(len(sizes), object)
+            held[0], held[1:] = pivot[2], wide[rows]
+            here = np.arange(1, len(sizes))
+            near = _near(bits, sizes, np.zeros(len(here), np.int64), here, percent, held)
+            apart = np.bitwise_count(bits[1:] ^ bits[:1]).sum(1, dtype=np.int64).astype(float)
+            slack = n[rows] * ((100 - percent) / (100 + percent)) + 1e-6
+            return near, apart - slack, apart + slack
+
+        return told
+
+    return measure
+
+
+def _text_measure(k: int, percent: int):
+    """Rows (…, text): whether the sets link; their Jaccard distance, less and more by half the radius."""
+    none, half = np.zeros(0, np.uint64), (1 - percent / 100) / 2 + 1e-9
+
+    def measure(batch: pa.RecordBatch):
+        v, row, first = _sets(batch.column(5), k, none)
+        size = np.diff(first)
+
+        def told(pivot, rows=None):
+            if rows is None:
+                return v[first[pivot] : first[pivot + 1]].copy()
+            lo, hi = first[rows[0]], first[rows[-1] + 1]
+            at = np.minimum(np.searchsorted(pivot, v[lo:hi]), len(pivot) - 1)
+            common = np.bincount(row[lo:hi] - rows[0], weights=pivot[at] == v[lo:hi], minlength=len(rows)).astype(np.int64)
+            union = size[rows] + len(pivot) - common
+            away = 1 - common / union
+            return 100 * common >= percent * union, away - half, away + half
+
+        return told
+
+    return measure
+
+
+def _joined(rows: DataFrame, key: str, measure, carried: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """Recursive join of the regions of more than REGION members: (links found (a, b), what is left to compare).
+    rows: (key, members, doc, and the ``carried`` columns that the measure reads)."""
+    links: DataFrame | None = None
+    done = rows.where(F.col("members") <= REGION)
+    large = rows.where(F.col("members") > REGION)
+    while not large.isEmpty():
+        large = written(large.select(F.col(key).alias("key"), "members", "doc", *carried), "large")
+        parts = F.ceil(F.col("members") / REGION).cast("int")
+        leads = large.join(large.groupBy("key").agg(F.min("doc").alias("doc")), ["key", "doc"])
+        member = large.withColumn("part", F.pmod(F.xxhash64("doc"), parts).cast("int")).withColumn("is_member", F.lit(1))
+        lead = leads.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("is_member", F.lit(0))
+        both = member.unionByName(lead).select("key", "part", "is_member", "doc", "members", *carried).repartition("key", "part").sortWithinPartitions("key", "part", "is_member")
+        met = written(both.mapInArrow(_to_pivots(measure), "key long, doc long, pivot long, near boolean, low double, high double"), "pivots").where(F.col("doc") != F.col("pivot"))
+        found = met.where("near").select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
+        links = found if links is None else links.unionByName(found)
+        beyond = met.where(~F.col("near")).groupBy("key").agg(F.min("low").alias("reach"))
+        left = met.join(beyond, "key").where(~F.col("near") | (F.col("high") >= F.col("reach"))).select("key", "doc")
+        left = written(left, "boundary")
+        counts = left.groupBy("key").agg(F.count(F.lit(1)).alias("left"))
+        again = large.join(left, ["key", "doc"]).join(counts, "key")
+        goes_on = (F.col("left") > REGION) & (F.col("left") * 4 <= F.col("members") * 3)
+        here = lambda part: part.select(F.col("key").alias(key), F.col("left").alias("members"), "doc", *carried)
+        done = done.unionByName(here(again.where(~goes_on)))
+        large = here(again.where(goes_on))
+    return links, done
+
+
 def _blocks(rows: DataFrame, key: str, size: str) -> DataFrame:
     """Rows with the pair of blocks (left, right) in which they are compared; (0, 0) up to REGION rows of a key."""
     b = F.ceil(F.col(size) / F.lit(REGION / 2)).cast("int")
@@ -316,17 +425,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # step 2: what sketches leave possible
     rows = members.join(profile.where(F.size("cells") > 0).select("doc", "n", "sketch", "wide"), "doc")
+    found, rows = _joined(rows.select("cell", "members", "doc", "sketch", "n", "wide"), "cell", _sketch_measure(percent), ["sketch", "n", "wide"])
     rows = _blocks(rows, "cell", "members").select("cell", "left", "right", "doc", "n", "sketch", "wide")
     possible = rows.repartition("cell", "left", "right").sortWithinPartitions("cell", "left", "right", "n", "doc").mapInArrow(_regions(percent), "a long, b long")
+    if found is not None:
+        possible = possible.unionByName(found)
     regions = written(components(possible.where("a <> b")), "regions")
 
     # step 3: exact links inside the regions that remain
     sizes = regions.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     placed = regions.join(sizes, "root").select(F.col("node").alias("doc"), "root", "members")
     whole = base.join(placed, base["__doc"] == placed["doc"]).select("root", "members", "doc", "__text")
+    found, whole = _joined(whole, "root", _text_measure(shingle, percent), ["__text"])
     whole = _blocks(whole, "root", "members").select("root", "left", "right", "doc", "__text")
     exact = whole.repartition("root", "left", "right").sortWithinPartitions("root", "left", "right", "doc").mapInArrow(_exact(shingle, percent), "a long, b long")
 
+    if found is not None:
+        exact = exact.unionByName(found)
     classes = components(exact.where("a <> b").unionByName(equal))
     out = profile.select("doc", "n").join(classes, profile["doc"] == classes["node"], "left")
     real = lambda c: F.when(c == F.lit(NULL_ID), F.lit(None).cast("long")).otherwise(c)

@@ -128,6 +128,24 @@ def test_op3_hot_group_in_blocks(spark, monkeypatch):
     assert got == brute.classes(rows)
 
 
+def test_op3_chain_in_rounds(spark, monkeypatch):
+    """A chain of copies of copies, where links run beyond a pivot's radius, and two groups that touch."""
+    monkeypatch.setattr(jaccard_join, "REGION", 24)
+    rng, word = random.Random(8), iter(range(10**6))
+    now, rows = [f"v{next(word)}" for _ in range(120)], []
+    for i in range(160):
+        rows.append((i, " ".join(now)))
+        at = rng.randrange(len(now))
+        now = [*now]
+        if i % 3 == 0:
+            now[at] = f"v{next(word)}"
+        if i == 80:
+            now = [f"u{next(word)}" for _ in range(120)]
+    rng.shuffle(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute.classes(rows)
+
+
 def test_op3_forest_is_exact():
     rng = np.random.default_rng(1)
     base = rng.integers(1, 1 << 60, 400, dtype=np.uint64)
