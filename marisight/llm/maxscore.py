@@ -15,6 +15,9 @@ Each query searches each shard as MaxScore does:
 3. Non-essential terms are probed in order of bound, only in rows that are still *competitive*, whose
    score so far and the bounds left reach the threshold, which rises as probed rows are completed.
 
+Lists that hold most rows are kept as columns, and the queries of an Arrow batch traverse them together,
+each with weight 0 for the terms that aren't its own; so one matrix product serves all of them.
+
 Shards answer independently and their answers are merged.  Each row goes to one shard per
 ``QUERY_LANE`` queries; a task holds one shard and lets its queries stream through, so memory is that
 of a shard whatever the number of queries, and nothing is broadcast.
@@ -39,6 +42,8 @@ from marisight.llm._batches import longs
 K = 20
 SHARD_ROWS = 8192
 QUERY_LANE = 1 << 16
+#: queries that traverse columns together
+_TOGETHER = 64
 #: terms traversed before the first threshold
 _FIRST_TERMS = 4
 
@@ -62,36 +67,65 @@ class Shard:
         self.rows, self.ids = rows[by], ids[by]
         self.low, self.high = self.rows.min(0), self.rows.max(0)
         self.width = self.high - self.low
-        #: per sign and term: (row numbers, entries); None instead of numbers where all rows stand in the list
-        self.postings = [[self._list(c - lo) for c, lo in zip(self.rows.T, self.low)], [self._list(hi - c) for c, hi in zip(self.rows.T, self.high)]]
+        dense = lambda gain: 2 * np.count_nonzero(gain, axis=0) > len(gain)
+        #: per sign, which terms' lists are columns; the others are (row numbers, entries)
+        self.dense = np.stack([dense(self.rows - self.low), dense(self.high - self.rows)])
+        self.sparse = [{t: self._list(c) for t, c in enumerate(gain.T) if not self.dense[sign, t]} for sign, gain in enumerate((self.rows - self.low, self.high - self.rows))]
+        self.most = int(np.maximum(np.abs(self.low), np.abs(self.high)).max(initial=0))
+        self._columns: dict[type, np.ndarray] = {}
 
     @staticmethod
-    def _list(gain: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+    def _list(gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(gain)
-        return (None, gain) if 2 * len(at) > len(gain) else (at, gain[at])
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(row numbers, scores) of the k best rows but the query's own, and the postings touched for them."""
-        size, negative = np.abs(query), query < 0
-        base = int((query * np.where(negative, self.high, self.low)).sum())
-        bound = size * self.width
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        left = np.r_[np.cumsum(bound[order][::-1])[::-1], 0]  # what the terms from each on can add
-        score = np.zeros(len(self.ids), np.int64)
-        mine = slice(*np.searchsorted(self.ids, [own, own + 1]))
+        return at, gain[at]
+
+    def columns(self, largest: int) -> np.ndarray:
+        """Rows as columns, in the smallest type whose products with weights up to ``largest`` add up exactly."""
+        total = 2 * self.most * largest * max(1, self.rows.shape[1])
+        kind = np.float32 if total < 1 << 24 else np.float64 if total < 1 << 53 else np.int64
+        if kind not in self._columns:
+            self._columns[kind] = np.ascontiguousarray(self.rows.T, dtype=kind)
+        return self._columns[kind]
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        """Per query (row numbers, scores) of the k best rows but the query's own, and the postings touched for all."""
+        found, touched = [], 0
+        for lo in range(0, len(queries), _TOGETHER):
+            some, met = self._together(queries[lo : lo + _TOGETHER], own[lo : lo + _TOGETHER], k)
+            found += some
+            touched += met
+        return found, touched
+
+    def _together(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        m, n = len(queries), len(self.ids)
+        columns = self.columns(int(np.abs(queries).max(initial=0)))
+        sign = (queries < 0).astype(int)
+        least = queries * np.where(sign, self.high, self.low)
+        bound = np.abs(queries) * self.width
+        order = np.argsort(-bound, axis=1, kind="stable")
+        ranked = np.take_along_axis(bound, order, 1)
+        left = np.c_[np.cumsum(ranked[:, ::-1], axis=1)[:, ::-1], np.zeros(m, ranked.dtype)]  # what the terms from each on can add
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), 1)
+        some = (ranked > 0).sum(1)  # terms that can add anything
+        dense = np.take_along_axis(self.dense, sign, 0)
+        score = np.zeros((m, n), columns.dtype)
         touched = 0
 
-        def traverse(terms: np.ndarray) -> int:
-            met = 0
-            for t in terms:
-                at, gain = self.postings[int(negative[t])][t]
-                score[slice(None) if at is None else at] += size[t] * gain
-                met += len(gain)
-            return met
-
-        def probe(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
-            return self.rows[rows[:, None], terms] @ query[terms] - (query[terms] * np.where(negative[terms], self.high[terms], self.low[terms])).sum()
+        def traverse(first: np.ndarray, last: np.ndarray, live: list[np.ndarray] | None = None) -> None:
+            """Adds each query's terms of the ranks from first to last: all their postings, or those of its live rows."""
+            nonlocal touched
+            mine = (rank >= first[:, None]) & (rank < last[:, None])
+            cols = mine & dense
+            if cols.any():
+                used = np.flatnonzero(cols.any(0))
+                weights = np.where(cols, queries, 0)[:, used].astype(columns.dtype)
+                score[:] += weights @ columns[used] - np.where(cols, least, 0).sum(1).astype(columns.dtype)[:, None]
+                touched += int((cols.sum(1) * ([n] * m if live is None else [len(x) for x in live])).sum())
+            for i, t in zip(*np.nonzero(mine & ~dense)):
+                at, gain = self.sparse[sign[i, t]][t]
+                score[i, at] += (abs(int(queries[i, t])) * gain).astype(columns.dtype)
+                touched += len(at)
 
         def best(rows: np.ndarray, value: np.ndarray) -> np.ndarray:
             """The k best of rows in order: rows ascend by id, so equals keep their order."""
@@ -100,31 +134,41 @@ class Shard:
                 rows, value = rows[near], value[near]
             return rows[np.argsort(-value, kind="stable")][:k]
 
-        others = len(score) - (mine.stop - mine.start)
-        done = min(_FIRST_TERMS, len(order))
-        touched += traverse(order[:done])
-        live = np.r_[np.arange(mine.start), np.arange(mine.stop, len(score))]
-        threshold = 0
-        if others > k:
-            first = best(live, score[live])
-            threshold = int((score[first] + probe(first, order[done:])).min())
-            touched += len(first) * (len(order) - done)
-            essential = min(int(np.searchsorted(-left, -threshold, side="right")), len(order))  # the terms from there on stay under it
-            if essential > done:
-                touched += traverse(order[done:essential])
-                done = essential
-            live = live[score[live] + left[done] >= threshold]
-        while done < len(order) and len(live):
-            to = min(len(order), done + max(1, (len(order) - done) // 4))
-            score[live] += probe(live, order[done:to])
-            touched += len(live) * (to - done)
+        spans = np.searchsorted(self.ids, own, side="left"), np.searchsorted(self.ids, own, side="right")
+        live = [np.r_[np.arange(a), np.arange(b, n)] for a, b in zip(*spans)]
+        done = np.minimum(_FIRST_TERMS, some)
+        traverse(np.zeros(m, int), done)
+        essential, threshold = done.copy(), np.zeros(m, np.int64)
+        for i in range(m):
+            if len(live[i]) > k:
+                first = best(live[i], score[i, live[i]])
+                threshold[i] = (self.rows[first] @ queries[i]).min() - least[i].sum()
+                touched += len(first) * int(some[i] - done[i])
+                essential[i] = max(done[i], min(int(np.searchsorted(-left[i], -threshold[i], side="right")), some[i]))  # the terms from there on stay under it
+        traverse(done, essential)
+        done = essential
+        for i in range(m):
+            live[i] = live[i][score[i, live[i]] + left[i, done[i]] >= threshold[i]]
+        while (todo := (done < some) & np.array([len(x) > 0 for x in live], bool)).any():
+            to = np.where(todo, np.minimum(some, done + np.maximum(1, (some - done + 2) // 3)), done)
+            if sum(map(len, live)) * 8 > m * n:  # most rows are competitive: probed as columns
+                traverse(done, to, live)
+            else:
+                for i in np.flatnonzero(todo):
+                    terms = order[i, done[i] : to[i]]
+                    score[i, live[i]] += (self.rows[live[i]][:, terms] @ queries[i, terms] - least[i, terms].sum()).astype(columns.dtype)
+                    touched += len(live[i]) * len(terms)
             done = to
-            if len(live) > k:
-                floor = int(np.partition(score[live], len(live) - k)[len(live) - k])  # k rows have so much already
-                threshold = max(threshold, floor)
-                live = live[score[live] + left[done] >= threshold]
-        live = best(live, score[live])
-        return live, score[live] + base, touched
+            for i in np.flatnonzero(todo):
+                if len(live[i]) > k:
+                    value = score[i, live[i]]
+                    threshold[i] = max(threshold[i], int(np.partition(value, len(value) - k)[len(value) - k]))  # k rows have so much already
+                    live[i] = live[i][value + left[i, done[i]] >= threshold[i]]
+        out = []
+        for i in range(m):
+            rows = best(live[i], score[i, live[i]])
+            out.append((rows, score[i, rows].astype(np.int64) + least[i].sum()))
+        return out, touched
 
 
 def _searched(k: int):
@@ -152,10 +196,8 @@ def _searched(k: int):
                     shard, held = Shard(*(np.concatenate(x) for x in zip(*held))), []
                 if shard is None:  # no rows of this length
                     continue
-                who, found = longs(part.column(4)), []
-                for q, own in zip(vectors(part, width), who.tolist()):
-                    rows, score, _ = shard.search(q, own, k)
-                    found.append((np.full(len(rows), own), shard.ids[rows], score))
+                who = longs(part.column(4))
+                found = [(np.full(len(rows), own), shard.ids[rows], score) for own, (rows, score) in zip(who.tolist(), shard.search(vectors(part, width), who, k)[0])]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["query_id", "vec_id", "score"])
 
     return run
