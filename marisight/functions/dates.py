@@ -120,3 +120,12 @@ def since(date: Column, first: Column) -> Column:
 
 def year_month(published: Column, discovered: Column) -> Column:
     return F.date_format(F.coalesce(published, discovered), "yyyy-MM")
+
+
+def speech_date(title: Column, lines: Column, year: Column) -> Column:
+    """Date of a speech: in brackets in its title, else the first of the lines below it that has one, else the first
+    of January of its page's year, else ''."""
+    bracketed = parse_date(F.regexp_extract(title, r"\(([^)]+)\)", 1))
+    below = F.try_element_at(F.filter(F.transform(lines, parse_date), lambda x: x != ""), F.lit(1))
+    fallback = F.when(F.coalesce(year, F.lit("")) != "", F.concat(year, F.lit("-01-01")))
+    return F.coalesce(F.nullif(bracketed, F.lit("")), below, fallback, F.lit(""))

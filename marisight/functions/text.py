@@ -83,14 +83,23 @@ def date_and_title(text: Column) -> Column:
     return F.struct(F.coalesce(F.try_element_at(F.filter(lines, dated), F.lit(1)), F.lit("")).alias("date"), F.array_join(F.filter(lines, lambda x: ~dated(x)), " ").alias("title"))
 
 
-def document_kind(url: Column, title: Column) -> Column:
-    """Kind of a publication by key words of address and title, first rule first."""
-    s = F.lower(F.concat_ws(" ", url, title))
-    rules = (("press_release", "kenyataan|siaran|press"), ("speech", "ucapan|speech"), ("circular", "pekeliling|circular"), ("act", "akta|act "), ("report", "laporan|report"), ("statistics", "statistik|statistic"), ("form", "borang|form"))
-    out = F.when(s.rlike(rules[0][1]), rules[0][0])
-    for kind, words in rules[1:]:
-        out = out.when(s.rlike(words), kind)
-    return out.otherwise("other")
+#: fixed values: kinds of publications and the words that tell them, first rule first
+DOCUMENT_KINDS = {
+    "press_release": ("kenyataan media", "press release", "media release"),
+    "statement": ("surat siaran", "statement", "siaran"),
+    "report": ("laporan", "report"),
+    "notice": ("pekeliling", "circular", "pengumuman", "notice", "iklan", "arahan"),
+    "speech": ("ucapan", "speech"),
+}
+
+
+def document_kind(url: Column, title: Column, fallback: str = "other") -> Column:
+    """Kind of a publication by key words anywhere in address and title, first rule first."""
+    said = F.lower(F.concat_ws(" ", F.coalesce(url, F.lit("")), F.coalesce(title, F.lit(""))))
+    out = F.lit(fallback)
+    for kind, words in reversed(DOCUMENT_KINDS.items()):
+        out = F.when(F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(said, w)), kind).otherwise(out)
+    return out
 
 
 def language_code(code: Column) -> Column:

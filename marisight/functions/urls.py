@@ -18,8 +18,8 @@ DOCUMENT_TYPES = {
 }
 #: fixed values: suffixes of pages and their media type
 PAGE_TYPES = {".html": "text/html", ".htm": "text/html"}
-#: query parameters that only track where a reader came from
-TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid")
+#: fixed values: query parameters that track a reader or a session
+TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_content", "utm_term", "fbclid", "gclid", "msclkid", "sessionid", "phpsessid", "jsessionid", "_ga")
 
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
@@ -52,11 +52,6 @@ def bare_host(url: Column) -> Column:
     return F.regexp_replace(authority(url), r"^www\.", "")
 
 
-def _sorted_query(url: Column, dropped: Column) -> Column:
-    parts = F.filter(F.split(query(url), "&"), lambda p: (p != "") & ~F.array_contains(dropped, F.split_part(p, F.lit("="), F.lit(1))))
-    return F.array_join(F.array_sort(parts), "&")
-
-
 def canonical_compact(url: Column) -> Column:
     """Like ``canonical``; also without ``www.``, doubled or trailing slashes and utm parameters, query sorted."""
     p = F.regexp_replace(F.regexp_replace(path(url), "/{2,}", "/"), "/+$", "")
@@ -64,11 +59,36 @@ def canonical_compact(url: Column) -> Column:
     return _with_query(F.concat(F.lit("https://"), bare_host(url), F.when(p == "", F.lit("/")).otherwise(p)), F.array_join(F.array_sort(parts), "&"))
 
 
+def host_allowed(url: Column, hosts: Column) -> Column:
+    """Whether the host, with ``www.`` taken out of both sides, is one of the given ones."""
+    plain = lambda h: F.replace(F.lower(h), F.lit("www."), F.lit(""))
+    return F.array_contains(F.transform(hosts, plain), plain(authority(url)))
+
+
+def requoted(path: Column) -> Column:
+    """A path with its percent escapes decoded and written again in one way; as it is if they are no text."""
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    quoted = F.url_encode(plain)  # as forms are: some characters differ in paths
+    for form, own in (("+", "%20"), ("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        quoted = F.replace(quoted, F.lit(form), F.lit(own))
+    return quoted
+
+
+def _own_parameters(url: Column) -> Column:
+    """Parameters with a value that track nothing, by name; of several of one name the last."""
+    parts = F.filter(F.split(query(url), "&"), lambda p: F.contains(p, F.lit("=")))
+    named = F.transform(parts, lambda p, i: F.struct(F.split_part(p, F.lit("="), F.lit(1)).alias("key"), i.alias("i"), p.alias("p")))
+    own = F.filter(named, lambda x: ~F.lower(x["key"]).isin(*TRACKING) & ~F.exists(named, lambda y: (y["key"] == x["key"]) & (y["i"] > x["i"])))
+    return F.array_join(F.transform(F.array_sort(own), lambda x: x["p"]), "&")
+
+
 def canonical_allowed(url: Column, hosts: Column) -> Column:
-    """Null outside the allowed hosts; lower-cased, without tracking parameters and trailing slash, query sorted."""
-    p = F.regexp_replace(path(url), "/+$", "")
-    whole = F.lower(_with_query(F.concat(F.lit("https://"), bare_host(url), p), _sorted_query(url, F.array(*[F.lit(t) for t in TRACKING]))))
-    return F.when(F.array_contains(hosts, bare_host(url)), whole)
+    """Null outside the allowed hosts; lower-cased https without ``www.``, tracking parameters and fragment, the path
+    re-quoted, parameters sorted, and a trailing slash cut from all but the root."""
+    host = F.replace(authority(url), F.lit("www."), F.lit(""))
+    whole = _with_query(F.concat(F.lit("https://"), host, requoted(F.regexp_replace(path(url), r";[^/]*$", ""))), _own_parameters(url))
+    slashes = F.length(whole) - F.length(F.replace(whole, F.lit("/"), F.lit("")))
+    return F.when(host_allowed(url, hosts), F.lower(F.when(slashes > 3, F.regexp_replace(whole, "/+$", "")).otherwise(whole)))
 
 
 def canonical_valid(url: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marisight.operators.tables import settled
 from marisight.functions import urls
 from marisight.operators.state import first_seen
 
@@ -73,13 +74,18 @@ def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     return rows.select(key, "pos", cells.alias("cells"), F.regexp_extract_all("row", F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)"), 1).alias("links"))
 
 
-def crawl(start: DataFrame, links: DataFrame, most_levels: int = 10, most_pages: int | None = None) -> DataFrame:
-    """(url, level): pages reached from start over links (url, link), breadth first, within a page budget."""
-    seen = start.select("url").distinct().withColumn("level", F.lit(0))
+def crawl(start: DataFrame, links: DataFrame, most_levels: int = 1000, most_pages: int | None = None) -> DataFrame:
+    """(url, level): pages reached from start over links (url, link), breadth first, until nothing new is reached or
+    the page budget is full; more than ``most_levels`` levels are an error."""
+    seen = settled(start.select("url").distinct().withColumn("level", F.lit(0)))
     edge = seen
     for level in range(1, most_levels + 1):
-        edge = edge.join(links, "url").select(F.col("link").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("level", F.lit(level))
-        seen = seen.unionByName(edge).checkpoint() if start.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else seen.unionByName(edge)
+        edge = settled(edge.join(links, "url").select(F.col("link").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("level", F.lit(level)))
         if edge.isEmpty():
             break
+        seen = settled(seen.unionByName(edge))
+        if most_pages is not None and seen.count() >= most_pages:
+            break
+    else:
+        raise RuntimeError(f"pages are more than {most_levels} links away")
     return seen if most_pages is None else seen.orderBy("level", "url").limit(most_pages)

@@ -291,11 +291,17 @@ def expanded(rows: DataFrame, chunks: DataFrame, most_documents: int = 5, around
     return out.select("query_id", "doc_rank", "storage_path", "matched_chunk_index", F.element_at(F.col("parts.title"), 1).alias("title"), F.substring(text, 1, most_chars).alias("text"))
 
 
-def context_blocks(rows: DataFrame) -> DataFrame:
-    """The prompt context of each question: ``[n] title | agency`` and text, in attention order."""
+def context_blocks(rows: DataFrame, live: DataFrame | None = None) -> DataFrame:
+    """The prompt context of each question: ``[n] title | agency`` and text, in attention order, then the texts of
+    its live datasets (query_id, rank, text); questions may have either alone."""
     said = F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] "), F.col("title"), F.lit(" | "), F.col("agency"), F.lit("\n"), F.col("chunk_text"))
     parts = F.array_sort(F.collect_list(F.struct("place", said.alias("said"))))
-    return attention_order(rows).groupBy("query_id").agg(F.array_join(F.transform(parts, lambda p: p["said"]), "\n\n").alias("context"))
+    out = attention_order(rows).groupBy("query_id").agg(F.array_join(F.transform(parts, lambda p: p["said"]), "\n\n").alias("context"))
+    if live is None:
+        return out
+    texts = F.array_sort(F.collect_list(F.struct("rank", "text")))
+    data = live.groupBy("query_id").agg(F.array_join(F.transform(texts, lambda p: p["text"]), "\n\n").alias("_live"))
+    return out.join(data, "query_id", "full_outer").select("query_id", F.concat_ws("\n\n", "context", "_live").alias("context"))
 
 
 def citation_rows(rows: DataFrame, live: DataFrame | None = None) -> DataFrame:
@@ -310,11 +316,13 @@ def support_tier(top: Column, low: float = 0.45, high: float = 0.65) -> Column:
     return F.when(top >= high, "supported").when(top >= low, "limited-support").otherwise("no-information")
 
 
-def knowledge_gaps(queries: DataFrame, rows: DataFrame, low: float = 0.45) -> DataFrame:
-    """Questions that nothing answers: ``no_match`` without a chunk, ``low_similarity`` with poor ones."""
-    best = rows.groupBy("query_id").agg(F.max(effective()).alias("top_similarity"))
-    met = queries.join(best, "query_id", "left").where(F.coalesce("top_similarity", F.lit(0.0)) < low)
-    return met.select("query_id", "query_text", F.when(F.col("top_similarity").isNull(), "no_match").otherwise("low_similarity").alias("gap_type"), "top_similarity")
+def knowledge_gaps(queries: DataFrame, retrieved: DataFrame, cited: DataFrame, live: DataFrame) -> DataFrame:
+    """Questions for which nothing was cited and no live data came: ``no_match`` where nothing was retrieved
+    either, else ``low_similarity``, with the best similarity retrieved."""
+    best = retrieved.groupBy("query_id").agg(F.max(effective()).alias("top_similarity"), F.count(F.lit(1)).alias("_n"))
+    open_ = queries.join(cited.select("query_id"), "query_id", "left_anti").join(live.select("query_id"), "query_id", "left_anti")
+    kind = F.when(F.col("_n") > 0, "low_similarity").otherwise("no_match")
+    return open_.join(best, "query_id", "left").select("query_id", "query_text", kind.alias("gap_type"), "top_similarity")
 
 
 def answer_context(index: DataFrame, queries: DataFrame, as_of: Column, match_count: int = 5, prefetch: int = 20, texts: DataFrame | None = None) -> DataFrame:

@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], keep_old: tuple[str, ...] = ()) -> DataFrame:
-    """old with new rows in place of those of the same key; of several new rows the last by ``loaded_at``.
-    ``keep_old`` columns keep the earlier value where there is one."""
+    """old with new rows in place of those of the same key; of several new rows the last by ``loaded_at``, of
+    equal times the one of the highest content hash.  ``keep_old`` columns keep the earlier value where there is one."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     w = Window.partitionBy(*keys)
     for c in keep_old:
         first = F.min_by(F.when(F.col("_new") == 0, F.col(c)), "loaded_at").over(w)
         both = both.withColumn(c, F.coalesce(first, F.col(c)))
-    return both.withColumn("_r", F.row_number().over(w.orderBy(F.desc("_new"), F.desc("loaded_at")))).where("_r = 1").drop("_r", "_new")
+    content = F.xxhash64(*[c for c in both.columns if c not in ("_new", "loaded_at")])
+    return both.withColumn("_r", F.row_number().over(w.orderBy(F.desc("_new"), F.desc("loaded_at"), content.desc()))).where("_r = 1").drop("_r", "_new")
 
 
 def insert_or_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,11 +39,11 @@ def classified(candidates: DataFrame, state: DataFrame) -> DataFrame:
 
     ``compat`` holds what a run that never looks at known URLs again would say.
     """
-    known = state.select("canonical_url", F.col("sha256").alias("old_sha256")).dropDuplicates(["canonical_url"])
+    known = state.groupBy("canonical_url").agg(F.max("sha256").alias("old_sha256"))
     stored = state.groupBy("sha256").agg(F.min_by("spaces_path", "canonical_url").alias("old_path"))
-    in_batch = Window.partitionBy("sha256").orderBy("seq")
-    rows = candidates.withColumn("_turn", F.row_number().over(in_batch)).join(known, "canonical_url", "left").join(stored, "sha256", "left")
-    reused = F.col("old_path").isNotNull() | (F.col("_turn") > 1)
+    first = candidates.groupBy("sha256").agg(F.min("seq").alias("_first"))  # pre-aggregated, however often a file recurs
+    rows = candidates.join(known, "canonical_url", "left").join(stored.join(first, "sha256", "full_outer"), "sha256", "left")
+    reused = F.col("old_path").isNotNull() | (F.col("seq") > F.col("_first"))
     kind = F.when(F.col("old_sha256") == F.col("sha256"), "known_url").when(F.col("old_sha256").isNotNull(), "changed").when(reused, "duplicate").otherwise("new")
     compat = F.when(F.col("old_sha256").isNotNull(), "known_url").when(reused, "duplicate").otherwise("new")
     return rows.select(*candidates.columns, kind.alias("kind"), compat.alias("compat"), F.col("old_path").alias("reused_path"))
@@ -90,6 +91,23 @@ def merged_listings(listing: DataFrame, feed: DataFrame, key: str = "url", field
     return both.select(key, *[F.coalesce(F.nullif(F.col(f"_l_{f}"), F.lit("")), F.col(f"_f_{f}"), F.lit("")).alias(f) for f in fields])
 
 
+def cut_to(rows: DataFrame, prefix: str | None = None, most: int | None = None, path: str = "storage_path") -> DataFrame:
+    """Rows in the order of their path, of a path prefix and at most so many if given (a top-k by path)."""
+    if prefix is not None:
+        rows = rows.where(F.startswith(F.col(path), F.lit(prefix)))
+    return rows.orderBy(path) if most is None else rows.orderBy(path).limit(most)
+
+
+def index_counters(manifest: DataFrame, chosen: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row of counts of an index run: outcomes (storage_path, failed, n_chunks) of the chosen objects; objects
+    of the manifest that were neither processed nor failed are skipped."""
+    met = chosen.join(outcomes, "storage_path", "left").select(F.coalesce("failed", F.lit(False)).alias("failed"), F.coalesce("n_chunks", F.lit(0)).cast("long").alias("n"), F.lit(0).alias("one"))
+    rows = met.unionByName(manifest.select(F.lit(None).cast("boolean").alias("failed"), F.lit(0).cast("long").alias("n"), F.lit(1).alias("one")))
+    good, bad = F.count_if(~F.col("failed")), F.count_if("failed")
+    skipped = F.greatest(F.lit(0), F.coalesce(F.sum("one"), F.lit(0)) - good - bad)
+    return rows.agg(good.alias("processed_documents"), skipped.alias("skipped_documents"), F.coalesce(F.sum(F.when(~F.col("failed"), F.col("n"))), F.lit(0)).alias("persisted_chunks"), bad.alias("failed_documents"))
+
+
 def capped(rows: DataFrame, section: str, per_section: int, order: str) -> DataFrame:
     """The first pages of each section, as a crawl's page budget allows."""
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(section).orderBy(order))).where(F.col("_r") <= per_section).drop("_r")
@@ -98,15 +116,17 @@ def capped(rows: DataFrame, section: str, per_section: int, order: str) -> DataF
 # --- conversations -------------------------------------------------------------------------------
 
 
+def listing_order() -> list[Column]:
+    """Pinned first, then the most recent."""
+    return [F.coalesce("pinned", F.lit(False)).desc(), F.col("updated_at").desc(), F.col("id").asc()]
+
+
 def conversation_list(conversations: DataFrame, messages: DataFrame) -> DataFrame:
-    """Conversations with their number of messages, zero included, pinned first, then the most recent."""
+    """Conversations with their number of messages, zero included, and their ``position`` in their user's list."""
     n = messages.groupBy("conversation_id").agg(F.count(F.lit(1)).alias("message_count"))
     met = conversations.join(n, conversations["id"] == n["conversation_id"], "left").drop("conversation_id")
-    return met.withColumn("message_count", F.coalesce("message_count", F.lit(0)))
-
-
-def listing_order() -> list[Column]:
-    return [F.col("pinned").desc_nulls_last(), F.col("updated_at").desc(), F.col("id").asc()]
+    position = F.row_number().over(Window.partitionBy("user_id").orderBy(*listing_order()))
+    return met.withColumn("message_count", F.coalesce("message_count", F.lit(0))).withColumn("position", position)
 
 
 def conversation_bucket(updated_at: Column, pinned: Column, as_of: Column) -> Column:
@@ -138,6 +158,37 @@ def with_citations(messages: DataFrame, citations: DataFrame) -> DataFrame:
     return met.withColumn("citations", F.coalesce("citations", F.array().cast(nested.schema["citations"].dataType)))
 
 
+def rated(ratings: DataFrame, submitted: DataFrame) -> DataFrame:
+    """(message_id, user_id, rating) after ratings were submitted in the order of ``at``: one per message and user,
+    the last one standing; a rating of 0 is refused."""
+    rows = ratings.select("message_id", "user_id", "rating", F.lit(0).alias("_new"), F.lit(None).cast(submitted.schema["at"].dataType).alias("at"))
+    rows = rows.unionByName(submitted.where("rating <> 0").select("message_id", "user_id", "rating", F.lit(1).alias("_new"), "at"))
+    return rows.groupBy("message_id", "user_id").agg(F.max_by("rating", F.struct("_new", "at", "rating")).alias("rating"))
+
+
+def conversation_feedback(messages: DataFrame, ratings: DataFrame, conversation: Column) -> DataFrame:
+    """(conversation_id, user_id, message_id, rating) of the wanted conversations, for whoever rated them."""
+    wanted = messages.where(conversation).select("conversation_id", F.col("id").alias("message_id"))
+    return wanted.join(ratings, "message_id").select("conversation_id", "user_id", "message_id", "rating")
+
+
+def with_messages(conversations: DataFrame, messages: DataFrame) -> DataFrame:
+    """conversations after messages (conversation_id, language, at) were added: a language is set only where there was
+    none, by the first message that has one, and ``updated_at`` is the last message's time."""
+    new = messages.groupBy("conversation_id").agg(F.min_by("language", F.when(F.col("language").isNotNull(), F.col("at"))).alias("_language"), F.max("at").alias("_at"))
+    met = conversations.join(new, conversations["id"] == new["conversation_id"], "left")
+    changed = met.withColumn("language", F.coalesce("language", "_language")).withColumn("updated_at", F.coalesce("_at", "updated_at"))
+    return changed.select(*conversations.columns)
+
+
+def changed(conversations: DataFrame, changes: DataFrame) -> DataFrame:
+    """conversations after changes (id, user_id, title, pinned), one per conversation: what isn't null is set, on
+    conversations of that user only."""
+    new = changes.select("id", "user_id", F.col("title").alias("_title"), F.col("pinned").alias("_pinned"))
+    met = conversations.join(new, ["id", "user_id"], "left").withColumn("title", F.coalesce("_title", "title")).withColumn("pinned", F.coalesce("_pinned", "pinned"))
+    return met.select(*conversations.columns)
+
+
 def owned(rows: DataFrame, parents: DataFrame, child: str, parent: str = "id") -> DataFrame:
     """Rows whose parent row is visible; chains of these give row-level security of grandchildren."""
     return rows.join(parents.select(F.col(parent).alias(child)).distinct(), child, "left_semi")

@@ -162,8 +162,12 @@ def citation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def knowledge_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = questions(spark, sf_dir)
-    return _rounded(retrieval.knowledge_gaps(asked, hybrid(spark, sf_dir, 5), 0.55).drop("query_text"))
+    """Questions over the chunks of 2023 on, every second one by words alone: cited are chunks of similarity 0.5 or
+    more, live data have those whose number is a document of bad quality."""
+    asked = questions(spark, sf_dir).withColumn("embedding", F.when(F.col("query_id") % 2 == 0, F.col("embedding")))
+    retrieved = retrieval.hybrid(index(spark, sf_dir), asked, 5, date_from="2023-01-01", texts=index(spark, sf_dir, False))
+    live = table(spark, sf_dir, "labels").where("quality = 0").select(F.col("doc_id").alias("query_id")).distinct()
+    return _rounded(retrieval.knowledge_gaps(asked, retrieved, retrieved.where(retrieval.effective() >= 0.5), live).drop("query_text"))
 
 
 def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,9 +322,11 @@ ORACLE_SQL = {
         more="c AS (SELECT query_id, 0 AS kind, rank, CAST(id AS VARCHAR) AS ref, title FROM pl UNION ALL SELECT query_id, 1, 1, 'set' || query_id, 'Live data' FROM q)",
     ),
     "knowledge_gaps": _sql(
-        "SELECT q.query_id, CASE WHEN b.t IS NULL THEN 'no_match' ELSE 'low_similarity' END AS gap_type, round(b.t, 6) AS top_similarity FROM q LEFT JOIN b USING (query_id) WHERE coalesce(b.t, 0) < 0.55",
-        more="b AS (SELECT query_id, max(effective) AS t FROM eff GROUP BY 1)",
-    ),
+        """SELECT q.query_id, CASE WHEN t IS NULL THEN 'no_match' ELSE 'low_similarity' END AS gap_type, round(t, 6) AS top_similarity
+        FROM q LEFT JOIN (SELECT query_id, max(effective) AS t FROM eff GROUP BY 1) b USING (query_id)
+        WHERE NOT EXISTS (SELECT 1 FROM eff e WHERE e.query_id = q.query_id AND e.effective >= 0.5) AND q.query_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)""",
+        where="published_at >= DATE '2023-01-01'",
+    ).replace("FROM src s, q WHERE", "FROM src s, q WHERE q.query_id % 2 = 0 AND"),
     "overlap_pairs": _sql(
         "SELECT query_id, rank_a, rank_b, round(o, 6) AS overlap FROM (SELECT a.query_id, a.rank AS rank_a, b.rank AS rank_b, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS o FROM s a JOIN s b ON a.query_id = b.query_id AND a.rank < b.rank) WHERE o > 0.05",
         20,

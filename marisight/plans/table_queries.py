@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, text, urls
 from marisight.operators import chunking, links, listings, state
+from marisight.operators.tables import shared_folder
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds, html_blocks
 from marisight.streaming import jobs
@@ -199,16 +202,16 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sitemap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as sitemaps of their hosts and read again."""
+    """Pages written as sitemaps of a thousand addresses and read again."""
     entry = F.concat(F.lit("<url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc><lastmod>2024-01-0"), (F.pmod("page_id", F.lit(9)) + 1).cast("string"), F.lit("</lastmod></url>"))
-    maps = table(spark, sf_dir, "pages").groupBy(F.pmod("page_id", F.lit(64)).alias("part")).agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))
+    maps = table(spark, sf_dir, "pages").groupBy(F.floor(F.col("page_id") / 1000).alias("part")).agg(F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))
     return feeds.sitemap_urls(maps).select("kind", "loc", "lastmod")
 
 
 def catalog_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts written as CKAN datasets with resources and read again by format."""
     res = F.struct(F.concat(F.lit("r"), F.col("p_partkey").cast("string")).alias("id"), F.concat(F.lit("https://x.example/f/"), F.col("p_partkey").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".csv").otherwise("")).alias("url"), F.when(F.col("p_size") % 3 == 0, "CSV").when(F.col("p_size") % 3 == 1, "PDF").otherwise("ZIP").alias("format"), F.col("p_name").alias("name"))
-    sets = table(spark, sf_dir, "part").groupBy("p_brand", F.pmod("p_partkey", F.lit(50)).alias("k")).agg(F.collect_list(res).alias("resources"))
+    sets = table(spark, sf_dir, "part").groupBy("p_brand", F.floor(F.col("p_partkey") / 1000).alias("k")).agg(F.collect_list(res).alias("resources"))
     one = F.struct(F.concat("p_brand", F.lit("-"), F.col("k").cast("string")).alias("id"), F.col("p_brand").alias("title"), F.lit("2024-05-01T00:00:00").alias("metadata_modified"), "resources")
     return feeds.ckan_resources(sets.select(F.to_json(F.struct(F.struct(F.array(one).alias("results")).alias("result"))).alias("json")), ("csv", "pdf"), "2024-01-01")
 
@@ -220,11 +223,11 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of each brand as markdown tables."""
+    """Parts of each brand, a thousand keys at a time, as markdown tables."""
     rows = F.array_sort(F.collect_list(F.struct("p_partkey", "p_type", "p_size")))
     cells = F.concat(F.array(F.array(F.lit("Key"), F.lit("Type"), F.lit("Size"))), F.transform(rows, lambda r: F.array(r["p_partkey"].cast("string"), r["p_type"], r["p_size"].cast("string"))))
-    out = table(spark, sf_dir, "part").groupBy("p_brand").agg(cells.alias("cells")).withColumn("table", html_blocks.markdown_table(F.col("cells")))
-    return out.select("p_brand", F.md5(F.col("table").cast("binary")).alias("md5"), F.length("table").alias("n_chars"))
+    out = table(spark, sf_dir, "part").groupBy("p_brand", F.floor(F.col("p_partkey") / 1000).alias("part")).agg(cells.alias("cells")).withColumn("table", html_blocks.markdown_table(F.col("cells")))
+    return out.select("p_brand", "part", F.md5(F.col("table").cast("binary")).alias("md5"), F.length("table").alias("n_chars"))
 
 
 def statistics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +306,7 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = state.conversation_list(_conversations(spark, sf_dir), _messages(spark, sf_dir))
     bucket = state.conversation_bucket(F.col("updated_at"), F.col("pinned"), F.lit(AS_OF).cast("date"))
-    return rows.where(state.title_matches(F.col("title"), F.lit("CUSTOMER"))).select("id", "message_count", bucket.alias("bucket"), "pinned")
+    return rows.where(state.title_matches(F.col("title"), F.lit("CUSTOMER"))).select("id", "user_id", "position", "message_count", bucket.alias("bucket"), "pinned")
 
 
 def message_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,8 +325,8 @@ def messages_with_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visible_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations that the owner of conversations sees, through messages."""
-    mine = _conversations(spark, sf_dir).where("user_id = 7")
+    """Citations that owners of conversations see, through messages; conversations of no customer have no owner."""
+    mine = _conversations(spark, sf_dir)
     return state.owned(_citations(spark, sf_dir), state.owned(_messages(spark, sf_dir), mine, "conversation_id"), "message_id")
 
 
@@ -365,40 +368,42 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf_dir: str, make, mode: str) -> DataFrame:
-    """What a stream over all events has written when nothing is left to read."""
-    import tempfile
-    import uuid
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='marisight-')}"
-    at = f"{folder.rstrip('/')}/stream-{uuid.uuid4().hex}"
+def _streamed(spark: SparkSession, sf_dir: str, make, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What a stream over all events has written when nothing is left to read: rows as they were appended, or, with
+    ``keys``, the last state of each key (each batch writes the keys that it changed, under its number, so a batch
+    that is run again replaces its own rows)."""
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     like = table(spark, sf_dir, "events")
     made = make(jobs.event_stream(spark, f"{sf_dir}/[e]vents.parquet", like))
-    out, schema = f"{at}/out", made.schema
 
     def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        rows.write.mode("overwrite").parquet(f"{at}/out/batch={batch}")
 
-    jobs.run_available(made, f"{at}/state", keep, mode).awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+    jobs.run_available(made, f"{at}/state", keep, "update" if keys else "append").awaitTermination()
+    rows = spark.read.schema(f"{made.schema.toDDL()}, batch long").option("basePath", f"{at}/out").parquet(f"{at}/out")
+    if not keys:
+        return rows.drop("batch")
+    values = [c for c in made.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select(*keys, "last.*")
 
 
 def streamed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage per user and day from a stream of all events."""
     cost = F.when(F.col("event_type") == "view", F.lit(800)).otherwise(F.lit(1200)).cast("long")
-    return _streamed(spark, sf_dir, lambda e: jobs.usage_stream(e.select("user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens"))), "complete")
+    return _streamed(spark, sf_dir, lambda e: jobs.usage_stream(e.select("user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens"))), ("usage_date", "user_id"))
 
 
 def streamed_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net ratings per document from a stream of all ratings joined with static citations."""
     rating = F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "error", -1)
     cited = table(spark, sf_dir, "events").select(F.col("event_id").alias("message_id"), F.pmod("event_id", F.lit(197)).alias("document_id"))
-    return _streamed(spark, sf_dir, lambda e: jobs.feedback_stream(e.select(F.col("event_id").alias("message_id"), rating.alias("rating")).where("rating is not null"), cited), "complete")
+    return _streamed(spark, sf_dir, lambda e: jobs.feedback_stream(e.select(F.col("event_id").alias("message_id"), rating.alias("rating")).where("rating is not null"), cited), ("document_id",))
 
 
 def streamed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's kinds of events once, as versions of one object, from a stream of all events."""
-    return _streamed(spark, sf_dir, lambda e: jobs.fingerprints(e.select(F.col("user_id").cast("string").alias("storage_path"), F.col("event_type").alias("version_token"))), "append")
+    return _streamed(spark, sf_dir, lambda e: jobs.fingerprints(e.select(F.col("user_id").cast("string").alias("storage_path"), F.col("event_type").alias("version_token"))))
 
 
 _FETCHES = """
@@ -487,12 +492,12 @@ SELECT content_type, count(*) AS n, count(DISTINCT u) AS n_urls FROM (SELECT * F
     "feed_items": "SELECT c_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'Untitled' ELSE 'Order ' || o_orderkey END AS title, 'https://x.example/' || o_orderkey AS link, strftime(o_orderdate, '%Y-%m-%d') AS published_at FROM orders JOIN customer ON o_custkey = c_custkey",
     "sitemap_pages": "SELECT 'url' AS kind, url AS loc, '2024-01-0' || (page_id % 9 + 1) AS lastmod FROM pages",
     "catalog_resources": """
-SELECT p_brand || '-' || (p_partkey % 50) AS dataset_id, p_brand AS title, 'r' || p_partkey AS resource_id, 'https://x.example/f/' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '.csv' ELSE '' END AS url,
+SELECT p_brand || '-' || (p_partkey // 1000) AS dataset_id, p_brand AS title, 'r' || p_partkey AS resource_id, 'https://x.example/f/' || p_partkey || CASE WHEN p_partkey % 2 = 0 THEN '.csv' ELSE '' END AS url,
   CASE p_size % 3 WHEN 0 THEN 'csv' ELSE 'pdf' END AS format, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN p_partkey || '.csv' ELSE 'r' || p_partkey || '.' || CASE p_size % 3 WHEN 0 THEN 'csv' ELSE 'pdf' END END AS file_name FROM part WHERE p_size % 3 < 2""",
     "event_properties": "SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k, '' AS missing, coalesce(json_extract_string(props, '$.k'), '') AS first FROM events",
     "brand_tables": """
-WITH t AS (SELECT p_brand, '| Key | Type | Size |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || p_partkey || ' | ' || p_type || ' | ' || p_size || ' |', chr(10) ORDER BY p_partkey) AS t FROM part GROUP BY 1)
-SELECT p_brand, md5(t) AS md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
+WITH t AS (SELECT p_brand, p_partkey // 1000 AS part, '| Key | Type | Size |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || p_partkey || ' | ' || p_type || ' | ' || p_size || ' |', chr(10) ORDER BY p_partkey) AS t FROM part GROUP BY 1, 2)
+SELECT p_brand, part, md5(t) AS md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
     "statistics_rows": "SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1, 2 HAVING date <= '2024-01-25' ORDER BY 1 DESC LIMIT 10",
     "classified_fetches": f"WITH {_CLASSIFIED} SELECT * FROM cl",
     "run_summary": f"WITH {_CLASSIFIED} SELECT slug, count(*) FILTER (WHERE kind = 'new') AS new_count, count(*) FILTER (WHERE kind = 'changed') AS changed_count, count(*) FILTER (WHERE kind = 'duplicate') AS duplicate_count, count(*) FILTER (WHERE kind = 'known_url') AS known_url_count, count(*) AS total FROM cl GROUP BY ROLLUP (slug)",
@@ -504,11 +509,12 @@ WITH l AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_nam
 SELECT 'https://x.example/' || coalesce(l.k, f.k) AS url, coalesce(nullif(l.title, ''), f.title, '') AS title, coalesce(f.d, '') AS published_at FROM l FULL JOIN f ON l.k = f.k""",
     "conversation_list": f"""
 WITH {_CONV}, {_MESSAGES}, n AS (SELECT conversation_id, count(*) AS c FROM m GROUP BY 1)
-SELECT id, coalesce(c, 0) AS message_count, CASE WHEN coalesce(pinned, false) THEN 'pinned' WHEN d <= 0 THEN 'today' WHEN d = 1 THEN 'yesterday' WHEN d <= 7 THEN 'last_7_days' ELSE 'older' END AS bucket, pinned
+SELECT id, user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY coalesce(pinned, false) DESC, updated_at DESC, id) AS INTEGER) AS position,
+  coalesce(c, 0) AS message_count, CASE WHEN coalesce(pinned, false) THEN 'pinned' WHEN d <= 0 THEN 'today' WHEN d = 1 THEN 'yesterday' WHEN d <= 7 THEN 'last_7_days' ELSE 'older' END AS bucket, pinned
 FROM (SELECT *, date_diff('day', CAST(updated_at AS DATE), DATE '{AS_OF}') AS d FROM cv) LEFT JOIN n ON n.conversation_id = id WHERE contains(lower(title), 'customer')""",
     "message_history": f"WITH {_MESSAGES}, r AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY turn DESC) AS r FROM m QUALIFY r <= 4) SELECT conversation_id, md5(string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn)) AS md5 FROM r GROUP BY 1",
     "messages_with_citations": f"WITH {_MESSAGES} SELECT id, role, CASE WHEN role = 'assistant' THEN '1:' || (id % 97) || ',2:' || (id % 97) ELSE '' END AS cited FROM m",
-    "visible_citations": f"WITH {_CONV}, {_MESSAGES}, {_CITED} SELECT message_id, citation_index, document_id FROM ci WHERE message_id IN (SELECT id FROM m WHERE conversation_id IN (SELECT id FROM cv WHERE user_id = 7))",
+    "visible_citations": f"WITH {_CONV}, {_MESSAGES}, {_CITED} SELECT message_id, citation_index, document_id FROM ci WHERE message_id IN (SELECT id FROM m WHERE conversation_id IN (SELECT id FROM cv))",
     "after_deletion": f"WITH {_CONV}, {_MESSAGES}, {_CITED}, k AS (SELECT * FROM m WHERE conversation_id NOT IN (SELECT id FROM cv WHERE user_id < 5)) SELECT role, count(*) AS n FROM k GROUP BY 1 UNION ALL SELECT 'citations', count(*) FROM ci WHERE message_id IN (SELECT id FROM k)",
     "daily_usage": f"WITH {_REQUESTS} SELECT user_id, CAST(ts AS DATE) AS usage_date, count(*) AS request_count, CAST(sum(tokens) AS BIGINT) AS tokens_budgeted, greatest(0, 25 - count(*)) AS remaining FROM r GROUP BY 1, 2",
     "quota_decisions": f"WITH {_REQUESTS}, w AS (SELECT *, count(*) OVER d AS running_requests, CAST(sum(tokens) OVER d AS BIGINT) AS running_tokens FROM r WINDOW d AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, request_id ROWS UNBOUNDED PRECEDING)) SELECT request_id, running_requests, running_tokens, running_requests <= 2 AND running_tokens <= 3000 AS allowed FROM w",

@@ -42,17 +42,20 @@ def sitemap_urls(maps: DataFrame, xml: str = "xml") -> DataFrame:
     return one("url").unionByName(one("sitemap"))
 
 
-def all_sitemap_urls(start: DataFrame, bodies: DataFrame, most_levels: int = 5) -> DataFrame:
-    """Page locations below the given sitemap addresses (column url), index levels followed by joins with bodies (url, xml)."""
-    found, level = None, start.select("url")
+def all_sitemap_urls(start: DataFrame, bodies: DataFrame, most_levels: int = 50) -> DataFrame:
+    """Page locations below the given sitemap addresses (column url): index levels are followed by joins with bodies
+    (url, xml) until no new address turns up; more than ``most_levels`` of them are an error."""
+    found, seen = None, start.select("url").distinct()
+    level = seen
     for _ in range(most_levels):
         here = sitemap_urls(level.join(bodies, "url").select("url", "xml"))
         pages = here.where("kind = 'url'").select("loc", "lastmod")
         found = pages if found is None else found.unionByName(pages)
-        level = here.where("kind = 'sitemap'").select(F.col("loc").alias("url")).distinct()
+        level = here.where("kind = 'sitemap'").select(F.col("loc").alias("url")).distinct().join(seen, "url", "left_anti")
         if level.isEmpty():
-            break
-    return found.dropDuplicates(["loc"])
+            return found.groupBy("loc").agg(F.max("lastmod").alias("lastmod"))
+        seen = seen.unionByName(level)
+    raise RuntimeError(f"sitemaps nest deeper than {most_levels} levels")
 
 
 def robots_sitemaps(text: Column, base: Column) -> Column:
@@ -127,7 +130,7 @@ def statistics(rows: DataFrame, sort: str = "date", limit: int = 10, start: str
         rows = rows.where(F.col(sort) >= F.lit(start))
     if end is not None:
         rows = rows.where(F.col(sort) <= F.lit(end))
-    return rows.orderBy(F.col(sort).desc()).limit(min(limit, 100))
+    return rows.orderBy(F.col(sort).desc(), F.xxhash64(*rows.columns)).limit(min(limit, 100))
 
 
 def tree_links(trees: DataFrame, xml: str = "xml") -> DataFrame:

@@ -130,8 +130,8 @@ _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
 
-def docx_blocks(payload: bytes) -> list[dict]:
-    """Paragraphs; heading styles set the section, list styles make items."""
+def docx_blocks(payload: bytes, headings: bool = False) -> list[dict]:
+    """Paragraphs; heading styles set the section (and with ``headings`` stand as blocks too), list styles make items."""
     with zipfile.ZipFile(io.BytesIO(payload)) as z:
         root = ElementTree.fromstring(z.read("word/document.xml"))
     out, heading = [], None
@@ -143,14 +143,14 @@ def docx_blocks(payload: bytes) -> list[dict]:
             continue
         if name.startswith("heading"):
             heading = text
-        else:
+        if headings or not name.startswith("heading"):
             out.append(_block(text, "list_item" if "list" in name else "paragraph", section_heading=heading))
     return out
 
 
-def xlsx_blocks(payload: bytes) -> list[dict]:
-    """One row block per data row of every sheet."""
-    out: list[dict] = []
+def xlsx_rows(payload: bytes) -> list[tuple[str, list[list[str]]]]:
+    """(name, rows of cell texts) of every sheet."""
+    out: list[tuple[str, list[list[str]]]] = []
     with zipfile.ZipFile(io.BytesIO(payload)) as z:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
@@ -173,10 +173,15 @@ def xlsx_blocks(payload: bytes) -> list[dict]:
                     value = "".join(t.text or "" for t in c.iter(_S + "t")) if kind == "inlineStr" else (v.text or "" if v is not None else "")
                     cells.append(shared[int(value)] if kind == "s" and value else value)
                 rows.append(cells)
-            out += _table_blocks(rows, sheet.get("name"))
+            out.append((sheet.get("name"), rows))
     return out
 
 
+def xlsx_blocks(payload: bytes) -> list[dict]:
+    """One row block per data row of every sheet."""
+    return [b for name, rows in xlsx_rows(payload) for b in _table_blocks(rows, name)]
+
+
 PARSERS: dict[str, Callable[[bytes], list[dict]]] = {
     "html": lambda payload: html_blocks(payload.decode("utf-8", "ignore")),
     "csv": csv_blocks,

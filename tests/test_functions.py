@@ -58,7 +58,9 @@ def test_canonical(spark, url, want):
 def test_urls(spark):
     v = F.col("v")
     assert one(spark, urls.canonical_compact(v), "http://www.h.my//a//b/?utm_x=1&b=2&a=1") == "https://h.my/a/b?a=1&b=2"
-    assert one(spark, urls.canonical_allowed(v, F.array(F.lit("h.my"))), "http://www.H.my/A/?utm_source=x&b=1") == "https://h.my/a?b=1"
+    assert one(spark, urls.canonical_allowed(v, F.array(F.lit("h.my"))), "http://www.H.my/A/?utm_source=x&b=1") == "https://h.my/a/?b=1"
+    for given, want in (("http://h.my/", "https://h.my/"), ("https://h.my/A/b/", "https://h.my/a/b"), ("https://h.my/a%20b/%C3%A9?SessionId=1&z=2&flag&a=B&a=C&_ga=9#f", "https://h.my/a%20b/%c3%a9?a=c&z=2"), ("https://h.my/a b~c*d+e/", "https://h.my/a%20b~c%2ad%2be"), ("https://h.my/p;v=1?MSCLKID=2", "https://h.my/p")):
+        assert one(spark, urls.canonical_allowed(v, F.array(F.lit("www.h.my"))), given) == want
     assert one(spark, urls.canonical_allowed(v, F.array(F.lit("h.my"))), "http://other.my/A") is None
     assert one(spark, urls.canonical_valid(v), "ftp://h/x") is None
     assert one(spark, urls.content_type(v), "https://h/x/a.DOCX?y").endswith("wordprocessingml.document")

@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-from marisight.plans import retrieval_queries, table_queries
+from marisight.plans import record_queries, retrieval_queries, table_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = {**retrieval_queries.QUERIES, **table_queries.QUERIES}
-ORACLE = {**retrieval_queries.ORACLE_SQL, **table_queries.ORACLE_SQL}
+QUERIES = {**retrieval_queries.QUERIES, **table_queries.QUERIES, **record_queries.QUERIES}
+ORACLE = {**retrieval_queries.ORACLE_SQL, **table_queries.ORACLE_SQL, **record_queries.ORACLE_SQL}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     columns = sorted(df.columns)
     got = [tuple(r) for r in df.select(*columns).collect()]
     want = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE[name]})").fetchall()
-    assert in_order(got) == in_order(want)
+    assert in_order(got) == in_order(want) and got
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
