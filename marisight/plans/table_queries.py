@@ -266,7 +266,7 @@ def upserted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pending_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _fetches(spark, sf_dir).select(F.col("spaces_path").alias("storage_path"), F.col("sha256").alias("version_token"))
-    done = rows.where(F.crc32(F.col("storage_path").cast("binary")) % 3 == 0)
+    done = rows.where(F.md5(F.col("storage_path").cast("binary")) < "5")
     return state.pending(rows, done)
 
 
@@ -502,6 +502,14 @@ SELECT p_brand, part, md5(t) AS md5, CAST(length(t) AS INTEGER) AS n_chars FROM
     "classified_fetches": f"WITH {_CLASSIFIED} SELECT * FROM cl",
     "run_summary": f"WITH {_CLASSIFIED} SELECT slug, count(*) FILTER (WHERE kind = 'new') AS new_count, count(*) FILTER (WHERE kind = 'changed') AS changed_count, count(*) FILTER (WHERE kind = 'duplicate') AS duplicate_count, count(*) FILTER (WHERE kind = 'known_url') AS known_url_count, count(*) AS total FROM cl GROUP BY ROLLUP (slug)",
     "upserted_state": f"WITH {_FETCHES} SELECT arg_max(seq, seq) AS seq, arg_max(slug, seq) AS slug, canonical_url, arg_max(sha256, seq) AS sha256, arg_min(spaces_path, seq) AS spaces_path, max(seq) AS loaded_at FROM f GROUP BY canonical_url",
+    "pending_objects": f"WITH {_FETCHES} SELECT spaces_path AS storage_path, sha256 AS version_token FROM f WHERE md5(spaces_path) >= '5'",
+    "page_text": """
+WITH a AS (SELECT page_id, html, regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'), '(?s)<!--.*?-->|<[^>]+>', chr(10), 'g') AS s FROM pages),
+b AS (SELECT page_id, html, replace(replace(replace(replace(replace(s, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&') AS s FROM a),
+c AS (SELECT page_id, html, array_to_string(list_filter(list_transform(flatten(list_transform(string_split(s, chr(10)), lambda x: string_split(trim(x), '  '))), lambda x: trim(x)), lambda x: x <> ''), chr(10)) AS t FROM b)
+SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS md5, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '(?s)<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS title FROM c""",
+    "footer_headings": """
+SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS header FROM pages WHERE contains(html, '<footer')""",
     "active_state": "WITH u AS (SELECT doc_id // 2 AS k, bool_or(doc_id % 3 = 0) AS active FROM documents GROUP BY 1) SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive FROM u",
     "latest_versions": f"WITH {_FETCHES} SELECT canonical_url, arg_max(sha256, seq) AS sha256 FROM f GROUP BY 1",
     "merged_listings": """
