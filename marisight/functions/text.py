@@ -66,14 +66,39 @@ def word_chunks(text: Column, size: int = 8) -> Column:
     return F.transform(groups, lambda g, i: F.when(i < n - 1, F.concat(g, F.lit(" "))).otherwise(g))
 
 
+def linked_answer(text: Column, live_index: Column) -> Column:
+    """An answer as it is shown: ``[n]`` marks as ``cite:n`` code, ``[General knowledge]`` gone, mentions of the open-data
+    site as its citation, where ``live_index`` has one; without one only its bracketed mentions go."""
+    said = F.regexp_replace(F.regexp_replace(text, r"\[(\d+)\]", "`cite:$1`"), r"(?i)\[General knowledge\]", "")
+    mark = F.concat(F.lit("`cite:"), live_index.cast("string"), F.lit("`"))
+    bracketed = F.regexp_replace(said, F.lit(r"(?i)\[data\.gov\.my\]"), F.coalesce(mark, F.lit("")))
+    return F.when(live_index.isNull(), bracketed).otherwise(F.regexp_replace(bracketed, F.lit(r"(?<!`cite:)\bdata\.gov\.my\b(?![`\]])"), mark))
+
+
 def citation_marks(text: Column) -> Column:
     """Numbers of the [n] marks of an answer, in order."""
     return F.transform(F.regexp_extract_all(text, F.lit(r"\[(\d+)\]"), 1), lambda x: x.cast("int"))
 
 
+#: fixed values: what some sites put before every title, and what stands before a site's name in titles
+TITLE_PREFIXES = ("kpm | ", "kementerian pendidikan malaysia | ")
+TITLE_MARKS = (" | ", " - ", " – ")
+
+
+def without_prefix(title: Column) -> Column:
+    """A title without the first known prefix that it begins with."""
+    out = title
+    for prefix in reversed(TITLE_PREFIXES):
+        out = F.when(F.lower(title).startswith(prefix), F.substring(title, len(prefix) + 1, F.length(title))).otherwise(out)
+    return out
+
+
 def listing_title(title: Column) -> Column:
-    """The part before a site name behind `` | ``, `` - `` or `` – ``."""
-    return F.trim(F.element_at(F.split(title, r" \| | - | – "), 1))
+    """The part before the site's name, behind the first of the marks that the title has."""
+    out = title
+    for mark in reversed(TITLE_MARKS):
+        out = F.when(F.contains(title, F.lit(mark)), F.trim(F.split_part(title, F.lit(mark), F.lit(1)))).otherwise(out)
+    return out
 
 
 def date_and_title(text: Column) -> Column:
@@ -116,6 +141,13 @@ def clamped_limit(limit: Column, default: int = 10, most: int = 100) -> Column:
     return F.least(F.coalesce(limit, F.lit(default)), F.lit(most))
 
 
+def unknown_dataset(dataset_id: Column, known: Column) -> Column:
+    """What a tool answers to an id that isn't in the catalogue; null for one that is."""
+    asked = F.coalesce(dataset_id, F.lit(""))
+    said = F.concat(F.lit("Unknown dataset: "), asked, F.lit(". Available: "), F.array_join(known, ", "))
+    return F.when(~F.array_contains(known, asked), said)
+
+
 def merged_map(a: Column, b: Column) -> Column:
     """Entries of both maps; b's where both have a key."""
     return F.map_concat(F.map_filter(a, lambda k, v: ~F.array_contains(F.map_keys(b), k)), b)

@@ -157,17 +157,42 @@ def slug(text: Column, default: str = "unknown-agency") -> Column:
 
 
 def safe_name(name: Column) -> Column:
-    return F.regexp_replace(name, r"[^A-Za-z0-9_.\-]", "_")
+    """Letters and digits of any script, ``_``, ``.`` and ``-`` as they are, all else as ``_``."""
+    return F.regexp_replace(name, r"[^\p{L}\p{N}_.\-]", "_")
+
+
+def base_name(name: Column, default: str = "document.bin") -> Column:
+    return F.coalesce(F.nullif(F.element_at(F.split(F.coalesce(name, F.lit("")), "/"), -1), F.lit("")), F.lit(default))
 
 
 def record_id(url: Column, digits: int = 24) -> Column:
     return F.substring(F.sha2(url.cast("binary"), 256), 1, digits)
 
 
+def language_record_id(url: Column, language: Column) -> Column:
+    """Sixteen digits for an address in a language."""
+    return record_id(F.concat(url, F.lit("#"), language), 16)
+
+
+def payload_record_id(sha256: Column, unique: Column) -> Column:
+    """Sixteen digits of the content's digest and eight of a unique id, such as F.uuid() without its dashes."""
+    return F.concat(F.substring(sha256, 1, 16), F.lit("-"), F.substring(F.replace(unique, F.lit("-"), F.lit("")), 1, 8))
+
+
 def archive_path(agency: Column, day: Column, sha256: Column, name: Column, prefix: str = "gov-docs") -> Column:
     return F.concat_ws("/", F.lit(prefix), agency, F.lit("raw"), F.date_format(day, "yyyy/MM/dd"), F.concat_ws("_", sha256, name))
 
 
+def archive_path_by_type(agency: Column, day: Column, sha256: Column, name: Column, prefix: str = "gov-docs") -> Column:
+    """The digest and the name's extension, if it has one."""
+    return F.concat_ws("/", F.lit(prefix), agency, F.lit("raw"), F.date_format(day, "yyyy/MM/dd"), F.concat(sha256, F.regexp_extract(F.coalesce(name, F.lit("")), r"(\.[^.]*)$", 1)))
+
+
+def archive_path_by_month(folder: Column, day: Column, sha256: Column, name: Column) -> Column:
+    """A month's folder, sixteen digits of the digest and the name made safe."""
+    return F.concat_ws("/", folder, F.date_format(day, "yyyy-MM"), F.concat_ws("_", F.substring(sha256, 1, 16), safe_name(base_name(name))))
+
+
 def legacy_path(agency: Column, day: Column, name: Column) -> Column:
     return F.concat_ws("/", F.lit("gov-my"), slug(agency), F.date_format(day, "yyyy-MM"), name)
 

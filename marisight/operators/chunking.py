@@ -127,12 +127,35 @@ def neighbour_context(chunk_rows: DataFrame, document: str = "doc_id", around: i
     return chunk_rows.withColumn("context", F.substring(F.array_join(F.collect_list("chunk_text").over(w), "\n\n"), 1, most))
 
 
+def chunk_metadata(metadata: Column, file_type: Column, title: Column, locators: Column, block_count: Column, is_table: Column) -> Column:
+    """A chunk's metadata as JSON with keys in order: the document's, its type and title (if it has one), where the
+    chunk's blocks stand (array<map<string,string>>), their number, and whether they are a table."""
+    own = F.map_filter(F.create_map(F.lit("block_count"), block_count.cast("string"), F.lit("file_type"), file_type, F.lit("is_table"), F.when(is_table, F.lit("true")), F.lit("locators"), F.to_json(locators), F.lit("title"), F.nullif(title, F.lit(""))), lambda k, v: v.isNotNull())
+    base = F.coalesce(metadata, F.create_map().cast("map<string,string>"))
+    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(own), k)), own)))))
+
+
+#: characters of a document that a generator of contexts sees
+CONTEXT_MOST = 6000
+
+
+def context_request(document_text: Column) -> Column:
+    """The part of a document that goes to a generator of contexts."""
+    return F.substring(document_text, 1, CONTEXT_MOST)
+
+
 def contextual(prefix: Column, text: Column) -> Column:
     """A generated context before the text, when there is one."""
     return F.when(F.coalesce(F.trim(prefix), F.lit("")) != "", F.concat(prefix, F.lit("\n\n"), text)).otherwise(text)
 
 
 def embed_batches(chunk_rows: DataFrame, document: str = "doc_id", most_chars: int = 800_000) -> DataFrame:
-    """chunk rows with ``embed_batch``: batches of about most_chars characters inside each document."""
+    """chunk rows with ``embed_batch``: batches of about most_chars characters inside each document.  ``indexable``
+    drops empty chunks and cuts what no embedding takes."""
     w = Window.partitionBy(document).orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return chunk_rows.withColumn("embed_batch", F.floor((F.sum(F.length("chunk_text")).over(w) - 1) / most_chars).cast("int"))
+
+
+def indexable(chunk_rows: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """Chunks with text, none longer than an embedding call takes."""
+    return chunk_rows.where(F.trim(F.coalesce("chunk_text", F.lit(""))) != "").withColumn("chunk_text", F.substring("chunk_text", 1, most))

@@ -6,6 +6,7 @@ known sites differ in nothing else, so a site is a row of ``SITES`` and a new on
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,6 +95,91 @@ def carried(pages: DataFrame, header: Spot, below: Spot, key: str = "page_id", h
     return rows.select(key, "pos", "header", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
 
 
+def carried_levels(pages: DataFrame, headers: dict[str, Spot], below: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, a column per header, text, href): nodes with the last header of each level before them.  A header of a
+    level ends those of the levels under it, so what stands under a new meeting has no session of the old one."""
+    any_ = below.test()
+    for spot in headers.values():
+        any_ = any_ | spot.test()
+    tree = nodes(pages, key, html).where(any_)
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above: list[Spot] = []
+    for name, spot in headers.items():
+        ends = F.lit(False)
+        for higher in above:
+            ends = ends | higher.test()
+        mark = F.when(spot.test(), F.struct(F.col("text").alias("said"))).when(ends, F.struct(F.lit(None).cast("string").alias("said")))
+        tree = tree.withColumn(f"_{name}", mark).withColumn(name, F.last(f"_{name}", ignorenulls=True).over(w)["said"]).drop(f"_{name}")
+        above.append(spot)
+    return tree.where(below.test()).select(key, "pos", *headers, "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
+
+
+def panels(pages: DataFrame, panel: Spot, title: Spot, item: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, title, text, href): items inside the panels of an accordion, with the title that stands in the panel."""
+    tree = nodes(pages, key, html)
+    boxes = _first_inside(tree.where(panel.test()).select(key, "pos", "last"), tree.where(title.test()), key, F.col("text"), "title")
+    a, b = tree.where(item.test()).alias("a"), boxes.alias("b")
+    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.pos") > F.col("b.pos")) & (F.col("a.pos") <= F.col("b.last")))
+    inner = met.groupBy(F.col(f"a.{key}").alias(key), F.col("a.pos").alias("pos")).agg(F.max_by("b.title", "b.pos").alias("title"), F.first("a.text").alias("text"), F.first("a.attrs").alias("attrs"))
+    return inner.select(key, "pos", "title", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
+
+
+def targets(pages: DataFrame, opener: Spot, item: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, pos, title, text, href): items inside the elements that an opener points at by id (``href`` or
+    ``data-target``), with the opener's text as title."""
+    tree = nodes(pages, key, html)
+    attribute = lambda name: F.try_element_at("attrs", F.lit(name))
+    points = tree.where(opener.test()).select(key, F.regexp_replace(F.coalesce(attribute("data-target"), attribute("href"), F.lit("")), "^#", "").alias("id"), F.col("text").alias("title"), F.col("pos").alias("_o"))
+    points = points.where("id <> ''").groupBy(key, "id").agg(F.min_by("title", "_o").alias("title"))
+    boxes = tree.withColumn("id", attribute("id")).join(points, [key, "id"]).select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("last").alias("_z"), "title")
+    met = tree.where(item.test()).join(boxes, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_z")))
+    inner = met.groupBy(key, "pos").agg(F.max_by("title", "_a").alias("title"), F.first("text").alias("text"), F.first(attribute("href")).alias("href"))
+    return inner.select(key, "pos", "title", "text", "href")
+
+
+def table_listing(pages: DataFrame, table: Spot, columns: tuple[str, ...], key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, a column per name, link): rows of a table by the places of their cells, with the row's first link.
+    Rows of headers or of fewer cells drop out."""
+    tree = nodes(pages, key, html)
+    boxes = tree.where(table.test()).select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("last").alias("_z"))
+    rows = tree.where(F.col("tag") == "tr").join(boxes, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_z")), "left_semi").select(key, "pos", "last", "depth")
+    a, b = rows.alias("a"), tree.where(F.col("tag").isin("td", "a")).alias("b")
+    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("b.pos") > F.col("a.pos")) & (F.col("b.pos") <= F.col("a.last")))
+    cell = F.when((F.col("b.tag") == "td") & (F.col("b.depth") == F.col("a.depth") + 1), F.struct(F.col("b.pos"), F.col("b.text")))
+    href = F.when(F.col("b.tag") == "a", F.try_element_at("b.attrs", F.lit("href")))
+    per = met.groupBy(F.col(f"a.{key}").alias(key), F.col("a.pos").alias("pos")).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.min_by(href, F.when(href.isNotNull(), F.col("b.pos"))).alias("href"))
+    per = per.where(F.size("cells") >= len(columns)).join(pages.select(key, F.col(url).alias("_url")), key)
+    link = F.when(F.coalesce("href", F.lit("")) != "", urls.absolute(F.col("href"), F.col("_url")))
+    return per.select(key, "pos", *[F.col("cells")[i]["text"].alias(c) for i, c in enumerate(columns)], link.alias("link"))
+
+
+def labelled_files(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, link, label): downloads with the nearest label: another cell of their table row with text, else the
+    text of their list item, else their own, else their address."""
+    tree = nodes(pages, key, html)
+    href = F.try_element_at("attrs", F.lit("href"))
+    files = tree.where((F.col("tag") == "a") & href.isNotNull()).select(key, "pos", F.col("text").alias("own"), href.alias("href")).join(pages.select(key, F.col(url).alias("_url")), key)
+    files = files.withColumn("link", urls.absolute(F.col("href"), F.col("_url"))).where(urls.is_document(F.col("link")))
+    box = lambda tag: tree.where(F.col("tag") == tag).select(F.col(key).alias("_k"), F.col("pos").alias("_p"), F.col("last").alias("_z"), F.col("text").alias("_t"))
+    around = lambda tag: files.join(box(tag), (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_p")) & (F.col("pos") <= F.col("_z")))
+    row = around("tr").groupBy(key, "pos").agg(F.max_by(F.struct("_p", "_z"), "_p").alias("row"))
+    cells = row.join(box("td"), (F.col(key) == F.col("_k")) & (F.col("_p") > F.col("row._p")) & (F.col("_p") <= F.col("row._z")) & ~((F.col("pos") > F.col("_p")) & (F.col("pos") <= F.col("_z"))) & (F.col("_t") != ""))
+    beside = cells.groupBy(key, "pos").agg(F.min_by("_t", "_p").alias("beside"))
+    item = around("li").groupBy(key, "pos").agg(F.max_by("_t", "_p").alias("item"))
+    met = files.join(beside, [key, "pos"], "left").join(item, [key, "pos"], "left")
+    label = F.coalesce("beside", F.when((F.col("item") != "") & (F.col("item") != F.col("own")), F.col("item")), F.nullif(F.col("own"), F.lit("")), F.substring("href", 1, 80))
+    return met.select(key, "pos", "link", label.alias("label"))
+
+
+def dispatched(pages: DataFrame, kind: str, readers: dict[str, Callable[[DataFrame], DataFrame]], columns: tuple[str, ...]) -> DataFrame:
+    """The items of pages of several kinds, each kind read by its own reader; pages of other kinds have none."""
+    out = None
+    for name, read in readers.items():
+        rows = read(pages.where(F.col(kind) == name)).select(*[F.col(c) for c in columns]).withColumn(kind, F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def next_page(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """(key, next_url): the address behind a link marked next, by rel, class or label."""
     tree = nodes(pages, key, html, ("a", "link"))

@@ -249,13 +249,19 @@ def adaptive_cutoff(rows: DataFrame, ratio: float = 0.60, most: int = 5) -> Data
 
 
 def reranked(rows: DataFrame, scores: DataFrame, top_n: int) -> DataFrame:
-    """Rows by a scorer's (query_id, rank, score); missing scores are 0, questions without any keep their order."""
+    """Rows by a scorer's (query_id, rank, score); missing scores are 0, questions without any keep their order, as do
+    those with one row, which need no scorer (``to_score`` leaves them out)."""
     w = Window.partitionBy("query_id")
     met = rows.join(scores, ["query_id", "rank"], "left").withColumn("_any", F.count("score").over(w) > 0)
     order = w.orderBy(F.desc(F.when(F.col("_any"), F.coalesce("score", F.lit(0.0)))), "rank")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n).drop("score", "_any")
 
 
+def to_score(rows: DataFrame) -> DataFrame:
+    """Rows of the questions with more than one, which alone are worth a scorer's call."""
+    return rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("query_id"))).where(F.col("_n") > 1).drop("_n")
+
+
 def parsed_scores(answers: DataFrame, column: str = "answer") -> DataFrame:
     """(query_id, rank, score) from a scorer's answer text that holds a JSON list of {index, score}."""
     found = F.from_json(F.nullif(F.regexp_extract(column, r"(?s)(\[.*\])", 1), F.lit("")), "array<struct<index:int,score:double>>")

@@ -133,6 +133,19 @@ def statistics(rows: DataFrame, sort: str = "date", limit: int = 10, start: str
     return rows.orderBy(F.col(sort).desc(), F.xxhash64(*rows.columns)).limit(min(limit, 100))
 
 
+def series_rows(bodies: DataFrame, fields: str, json: str = "json") -> DataFrame:
+    """Rows of a series' answers: a JSON list, or an object with the list under ``data``; anything else has none."""
+    said = F.trim(F.coalesce(F.col(json), F.lit("")))
+    listed = F.when(said.startswith("["), said).otherwise(F.get_json_object(said, "$.data"))
+    return bodies.select(*[c for c in bodies.columns if c != json], F.explode(F.from_json(listed, f"array<struct<{fields}>>")).alias("r")).select(*[c for c in bodies.columns if c != json], "r.*")
+
+
+def series_filter(asked: Column, column: str) -> Column:
+    """Whether a row passes a filter ``value@column`` (its date parts as ``value@date``); null filters pass."""
+    value, name = F.split_part(asked, F.lit("@"), F.lit(1)), F.split_part(asked, F.lit("@"), F.lit(2))
+    return F.coalesce((name != column) | (F.col(column).cast("string") == value), F.lit(True))
+
+
 def tree_links(trees: DataFrame, xml: str = "xml") -> DataFrame:
     """(tree columns, pos, id, text, link): items of tree XML, with the address in their text or user data."""
     items = F.regexp_extract_all(_bare(F.col(xml)), F.lit(r"(<item\s[^>]*>)"), 1)
