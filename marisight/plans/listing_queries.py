@@ -14,6 +14,7 @@ from marisight.operators.listings import Spot
 from marisight.plans.retrieval_queries import table
 from marisight.plans.table_queries import _messages
 from marisight.sources import feeds
+from marisight.streaming import jobs
 
 BASE = "https://x.example"
 
@@ -197,11 +198,39 @@ def worth_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.to_score(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("rank")))
 
 
+def year_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of the years in which each customer ordered, newest first."""
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
+    template = F.concat(F.lit("/c"), F.col("o_custkey").cast("string"), F.lit("/{year}/"))
+    return per.select("o_custkey", F.posexplode(listings.year_pages(template, F.col("a"), F.col("b"))).alias("pos", "url"))
+
+
+def expanded_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as questions, with up to two other phrasings out of a generator's lines."""
+    asked = _messages(spark, sf_dir).select(F.col("id").alias("question_id"), F.concat(F.lit("q"), F.col("id").cast("string")).alias("query_text"))
+    n = F.col("question_id")
+    answers = asked.where(n % 3 > 0).select("question_id", F.concat("query_text", F.lit("\n\n first "), n.cast("string"), F.lit(" \nsecond\n"), F.when(n % 2 == 0, "second\n").otherwise("third\n")).alias("answer"))
+    return retrieval.expanded_queries(asked, answers)
+
+
+def robots_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as hosts with robots files: whether a path is closed, and how many sitemaps there are to read."""
+    n = F.col("s_suppkey")
+    said = F.when(n % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("User-agent: *\nDisallow: /private\nDisallow:\n"), F.when(n % 4 == 1, F.concat(F.lit("Sitemap: https://h/"), n.cast("string"), F.lit(".xml\nsitemap: https://h/x.xml\nSitemap: https://h/x.xml"))).otherwise("")))
+    path = F.when(n % 3 == 0, "/private/a").otherwise("/open/private")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", feeds.disallowed(path, feeds.robots_rules(said)).alias("closed"), F.array_join(feeds.robots_sitemaps(said, F.lit("https://h")), " ").alias("sitemaps"))
+
+
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events in sessions that half an hour without one ends (the table as a finished stream)."""
+    return jobs.session_stream(table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, tree_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
-        asked_datasets, piece_metadata, worth_scoring,
+        asked_datasets, piece_metadata, worth_scoring, year_listing_pages, expanded_questions, robots_gates, event_sessions,
     )
 }
 
@@ -234,5 +263,14 @@ SELECT doc_id, substr(sha256('{BASE}/' || k || '#' || lang), 1, 16) AS by_langua
     "piece_metadata": """
 SELECT doc_id, '{"agency":"' || source || '","block_count":"1","file_type":"pdf",' || CASE WHEN doc_id % 3 = 0 THEN '"is_table":"true",' ELSE '' END || '"locators":"[{\\"row_number\\":\\"' || doc_id || '\\"}]","title":"' || CASE WHEN doc_id % 2 = 0 THEN 'T' || doc_id ELSE 'old' END || '"}' AS metadata,
   CAST(least(length(coalesce(text, '')), 6000) AS INTEGER) AS request_chars FROM documents""",
+    "year_listing_pages": "WITH y AS (SELECT o_custkey, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b FROM orders GROUP BY 1), e AS (SELECT o_custkey, a, b, unnest(range(0, b - a + 1)) AS i FROM y) SELECT o_custkey, CAST(i AS INTEGER) AS pos, '/c' || o_custkey || '/' || (b - i) || '/' AS url FROM e",
+    "expanded_questions": """
+WITH m AS (SELECT conv_id * 1000 + turn AS id FROM conversations), l AS (SELECT id, CASE WHEN id % 3 = 0 THEN ['q' || id] ELSE ['q' || id, 'first ' || id, 'second'] END AS x FROM m)
+SELECT id AS question_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS query_no, unnest(x) AS query_text FROM l""",
+    "robots_gates": """
+SELECT s_suppkey, s_suppkey % 4 > 0 AND s_suppkey % 3 = 0 AS closed, CASE WHEN s_suppkey % 4 = 1 THEN 'https://h/' || s_suppkey || '.xml https://h/x.xml' ELSE 'https://h/sitemap.xml https://h/sitemap_index.xml https://h/wp-sitemap.xml https://h/sitemap-index.xml' END AS sitemaps FROM supplier""",
+    "event_sessions": """
+WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS turn FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(turn) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM e)
+SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS events FROM s GROUP BY user_id, n""",
     "worth_scoring": "SELECT l_orderkey AS query_id, l_linenumber AS rank FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey) > 1",
 }
