@@ -60,6 +60,8 @@ LONG, WIDE = 4096, 8192
 REGION = 4096
 #: a shingle in one of so many documents (and in MIN_FREQUENT) goes to the end of the order
 FREQUENT_ONE_IN, MIN_FREQUENT = 1000, 50
+#: so many of them at most, the most frequent ones; as they only affect the order, others cost time and no link
+MOST_FREQUENT = 1 << 20
 
 
 def _shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,8 +92,8 @@ def _sets(column: pa.Array, k: int, frequent: np.ndarray) -> tuple[np.ndarray, n
 
 
 def frequent_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
-    """Shingles in over one of FREQUENT_ONE_IN documents, by counts over all documents.  There are at most
-    FREQUENT_ONE_IN times a document's mean length of them, whatever the corpus; they only affect order."""
+    """Shingles in over one of FREQUENT_ONE_IN documents, by counts over all documents; at most MOST_FREQUENT, as
+    whole steps of a histogram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
@@ -103,8 +105,15 @@ def frequent_shingles(docs: DataFrame, k: int, n_docs: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(W.signed(value[keep])), pa.array(count[keep])], names=["v", "n"])
 
     counts = docs.select("__text").mapInArrow(run, "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= max(MIN_FREQUENT, n_docs // FREQUENT_ONE_IN)).select("v").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    often = written(counts.where(F.col("n") >= max(MIN_FREQUENT, n_docs // FREQUENT_ONE_IN)).withColumn("step", F.floor(F.log2("n") * 16)), "frequent")
+    least, so_far = 0, 0
+    for r in sorted(often.groupBy("step").agg(F.count(F.lit(1)).alias("rows")).collect(), key=lambda r: -r["step"]):
+        so_far += r["rows"]
+        if so_far > MOST_FREQUENT:
+            least = r["step"] + 1
+            break
+    held = often.where(F.col("step") >= least).select("v").toArrow().column(0).combine_chunks()
+    return np.sort(longs(held).view(np.uint64))
 
 
 def _sketches(v: np.ndarray, row: np.ndarray, m: int, bits: int = BITS) -> np.ndarray:

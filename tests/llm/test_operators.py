@@ -128,6 +128,18 @@ def test_op3_hot_group_in_blocks(spark, monkeypatch):
     assert got == brute.classes(rows)
 
 
+def test_op3_order_is_bounded(spark, monkeypatch):
+    """However few shingles count as frequent, components are the same."""
+    monkeypatch.setattr(jaccard_join, "MIN_FREQUENT", 3)
+    rows = near_copies(60, 9)
+    for most in (0, 5, 1 << 20):
+        monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", most)
+        base = spark.createDataFrame(rows, DOCS).select(F.col("text").alias("__text"))
+        assert len(jaccard_join.frequent_shingles(base, 4, len(rows))) <= most
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+        assert got == brute.classes(rows)
+
+
 def test_op3_chain_in_rounds(spark, monkeypatch):
     """A chain of copies of copies, where links run beyond a pivot's radius, and two groups that touch."""
     monkeypatch.setattr(jaccard_join, "REGION", 24)
