@@ -133,8 +133,13 @@ def language_code(code: Column) -> Column:
 
 
 def vector_literal(vector: Column) -> Column:
-    """[a,b,…] with twelve significant digits."""
-    return F.concat(F.lit("["), F.array_join(F.transform(vector, lambda x: F.format_string("%.12g", x.cast("double"))), ","), F.lit("]"))
+    """[a,b,…] with up to twelve significant digits, no zeros behind the last one."""
+
+    def number(x: Column) -> Column:
+        whole = F.format_string("%.12g", x.cast("double"))
+        return F.regexp_replace(F.regexp_replace(whole, r"(\.\d*?)0+(e|$)", "$1$2"), r"\.(e|$)", "$1")
+
+    return F.concat(F.lit("["), F.array_join(F.transform(vector, number), ","), F.lit("]"))
 
 
 def clamped_limit(limit: Column, default: int = 10, most: int = 100) -> Column:

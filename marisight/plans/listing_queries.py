@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisight.functions import dates, text, urls
+from marisight.functions import dates, text, urls, vectors
 from marisight.operators import chunking, links, listings, retrieval
 from marisight.operators.listings import Spot
 from marisight.plans.retrieval_queries import table
@@ -198,6 +198,39 @@ def worth_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.to_score(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("rank")))
 
 
+def name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versioned names, hex links, codes, initials and decoded names of every customer."""
+    k, n = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    link = F.concat(F.lit(f"{BASE}/"), n)
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        urls.versioned_name(F.concat(F.lit("a.b"), n, F.when(k % 2 == 0, ".pdf").otherwise("")), F.when(k % 3 > 0, F.lit("2024-02-03").cast("date"))).alias("versioned"),
+        urls.hex_link(F.when(k % 2 == 0, F.lower(F.hex(F.base64(link.cast("binary"))))).otherwise(link)).alias("link"),
+        text.language_code(F.when(k % 3 == 0, "MY").when(k % 3 == 1, "En")).alias("language"),
+        text.vector_literal(F.array(k / 4, F.lit(0.1), F.lit(-2.0))).alias("vector"),
+        text.percent_decoded(F.concat(F.lit("Laporan 20a 2Fb"), n)).alias("decoded"),
+        text.initials(F.concat(F.lit("ana.b"), n, F.lit("_c@h.my"))).alias("initials"),
+        text.date_and_title(F.concat(F.lit("3 Mac 2024\n Title "), n, F.lit("\n\nmore"))).alias("d"),
+        text.sorted_json(text.merged_map(F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), n), F.create_map(F.lit("b"), F.lit("2")))).alias("json"),
+        feeds.catalog_text(F.concat(F.lit("T"), n), F.lit("D"), F.array(F.lit("x"), F.lit("y")), F.lit("daily"), F.lit("prices")).alias("catalogue"),
+    ).select("*", F.col("d.date").alias("date"), F.col("d.title").alias("title")).drop("d")
+
+
+def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector against the one of the next number: inner product, norm and cosine."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    beside = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    met = rows.join(beside, "vec_id")
+    return met.select("vec_id", F.round(vectors.dot(F.col("embedding"), F.col("other")), 6).alias("dot"), F.round(vectors.norm(F.col("embedding")), 6).alias("norm"), F.round(vectors.cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))
+
+
+def fair_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as ranked rows of orders: where none has a similarity, those of a fair word rank; downloads of ten
+    bytes or more stay."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("query_id"), F.col("l_linenumber").alias("rank"), F.when(F.col("l_orderkey") % 2 == 0, F.col("l_discount")).otherwise(0.0).alias("similarity"), (F.col("l_quantity") / 100).alias("fts_rank"), F.concat(F.lit("12345678"), F.col("l_linenumber").cast("string"), F.when(F.col("l_linenumber") > 2, "x").otherwise("")).alias("content"))
+    return feeds.usable_downloads(retrieval.without_noise(rows)).drop("content")
+
+
 def year_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of the years in which each customer ordered, newest first."""
     per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
@@ -230,7 +263,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, tree_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
-        asked_datasets, piece_metadata, worth_scoring, year_listing_pages, expanded_questions, robots_gates, event_sessions,
+        asked_datasets, piece_metadata, worth_scoring, year_listing_pages, expanded_questions, robots_gates, event_sessions, name_functions, vector_pairs, fair_rows,
     )
 }
 
@@ -272,5 +305,15 @@ SELECT s_suppkey, s_suppkey % 4 > 0 AND s_suppkey % 3 = 0 AS closed, CASE WHEN s
     "event_sessions": """
 WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS turn FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(turn) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS n FROM e)
 SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS events FROM s GROUP BY user_id, n""",
+    "name_functions": f"""
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'a.b' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN '.pdf' ELSE '' END WHEN c_custkey % 2 = 0 THEN 'a.b' || c_custkey || '_2024-02-03.pdf' ELSE 'a_2024-02-03.b' || c_custkey END AS versioned,
+  '{BASE}/' || c_custkey AS link, CASE c_custkey % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 'en' END AS language, '[' || printf('%.12g', c_custkey / 4.0) || ',0.1,-2]' AS vector, 'Laporan a/b' || c_custkey AS decoded, 'AB' AS initials,
+  '{{"a":"' || c_custkey || '","b":"2"}}' AS json, 'T' || c_custkey || chr(10) || 'D' || chr(10) || 'Columns: x, y' || chr(10) || 'Frequency: daily' || chr(10) || 'Category: prices' AS catalogue, '3 Mac 2024' AS date, 'Title ' || c_custkey || ' more' AS title FROM customer""",
+    "vector_pairs": """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT a.vec_id, round(list_inner_product(a.v, b.v), 6) AS dot, round(sqrt(list_inner_product(a.v, a.v)), 6) AS norm, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1""",
+    "fair_rows": """
+WITH r AS (SELECT l_orderkey AS query_id, l_linenumber AS rank, CASE WHEN l_orderkey % 2 = 0 THEN l_discount ELSE 0.0 END::DOUBLE AS similarity, CAST(l_quantity / 100 AS DOUBLE) AS fts_rank FROM lineitem), b AS (SELECT *, max(similarity) OVER (PARTITION BY query_id) AS best FROM r)
+SELECT query_id, rank, similarity, fts_rank FROM b WHERE (best > 0 OR fts_rank >= 0.1) AND rank > 2""",
     "worth_scoring": "SELECT l_orderkey AS query_id, l_linenumber AS rank FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey) > 1",
 }

@@ -394,6 +394,12 @@ def streamed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, lambda e: jobs.usage_stream(e.select("user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens"))), ("usage_date", "user_id"))
 
 
+def streamed_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions on all events as requests, taken as they stream in."""
+    cost = state.token_cost(F.when(F.col("event_type") == "view", F.lit(800)), F.when(F.col("event_type") == "purchase", F.lit(1))).cast("long")
+    return _streamed(spark, sf_dir, lambda e: jobs.quota_stream(e.select(F.col("event_id").alias("request_id"), "user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens")), 2, 3000))
+
+
 def streamed_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net ratings per document from a stream of all ratings joined with static citations."""
     rating = F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "error", -1)
@@ -439,7 +445,7 @@ QUERIES = {
         url_functions, url_resolution, storage_manifest, date_labels, message_functions, document_pieces, document_sections, document_chunks, page_blocks, page_chunks, page_text, page_links,
         page_document_links, page_listing, footer_headings, listing_pages, crawl_candidates, feed_items, sitemap_pages, catalog_resources, event_properties, brand_tables, statistics_rows, classified_fetches, run_summary, upserted_state,
         pending_objects, active_state, latest_versions, merged_listings, conversation_list, message_history, messages_with_citations, visible_citations, after_deletion, daily_usage, quota_decisions,
-        attachments, violations, streamed_usage, streamed_feedback, streamed_fingerprints,
+        attachments, violations, streamed_usage, streamed_quota, streamed_feedback, streamed_fingerprints,
     )
 }
 
@@ -533,6 +539,7 @@ b AS (SELECT * FROM a WHERE size <= 10485760 QUALIFY row_number() OVER (PARTITIO
 SELECT doc_id AS key, 'language' AS rule FROM documents WHERE lang NOT IN ('en', 'fr', 'de') UNION ALL SELECT doc_id, 'length' FROM documents WHERE n_chars <> length(text)
 UNION ALL SELECT doc_id, 'size' FROM documents WHERE n_chars >= 20000 UNION ALL SELECT doc_id, 'source' FROM documents WHERE NOT regexp_matches(source, '^src[0-9]$')""",
     "streamed_usage": "SELECT CAST(ts AS DATE) AS usage_date, user_id, count(*) AS request_count, CAST(sum(CASE WHEN event_type = 'view' THEN 800 ELSE 1200 END) AS BIGINT) AS tokens_budgeted FROM events GROUP BY 1, 2",
+    "streamed_quota": f"WITH {_REQUESTS}, w AS (SELECT *, count(*) OVER d AS running_requests, CAST(sum(tokens) OVER d AS BIGINT) AS running_tokens FROM r WINDOW d AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, request_id ROWS UNBOUNDED PRECEDING)) SELECT request_id, running_requests, running_tokens, running_requests <= 2 AND running_tokens <= 3000 AS allowed FROM w",
     "streamed_fingerprints": "SELECT DISTINCT CAST(user_id AS VARCHAR) AS storage_path, event_type AS version_token FROM events",
     "streamed_feedback": "SELECT event_id % 197 AS document_id, count(*) FILTER (WHERE event_type = 'purchase') AS positive_count, count(*) FILTER (WHERE event_type = 'error') AS negative_count, CAST(sum(CASE event_type WHEN 'purchase' THEN 1 ELSE -1 END) AS BIGINT) AS net_score FROM events WHERE event_type IN ('purchase', 'error') GROUP BY 1",
 }

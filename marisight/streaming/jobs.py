@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,21 @@ def usage_stream(requests: DataFrame, late: str = "2 days") -> DataFrame:
     return requests.withWatermark("ts", late).groupBy(day.alias("day"), "user_id").agg(F.count(F.lit(1)).alias("request_count"), F.sum("tokens").alias("tokens_budgeted")).select(F.to_date("day.start").alias("usage_date"), "user_id", "request_count", "tokens_budgeted")
 
 
+def quota_stream(requests: DataFrame, max_requests: int = 25, max_tokens: int = 15_000) -> DataFrame:
+    """Decisions on requests (request_id, user_id, ts, tokens) as they come, by the running totals of the user's day,
+    which are the state; requests of one batch are taken in the order of their time."""
+
+    def decide(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        requests, tokens = state.get if state.exists else (0, 0)
+        rows = pd.concat(list(parts)).sort_values(["ts", "request_id"], kind="stable")
+        count, total = requests + pd.Series(range(1, len(rows) + 1)), tokens + rows["tokens"].cumsum().reset_index(drop=True)
+        state.update((int(count.iloc[-1]), int(total.iloc[-1])))
+        yield pd.DataFrame({"request_id": rows["request_id"].to_numpy(), "running_requests": count.to_numpy(), "running_tokens": total.to_numpy(), "allowed": ((count <= max_requests) & (total <= max_tokens)).to_numpy()})
+
+    keyed = requests.select("request_id", "user_id", F.to_date("ts").alias("day"), "ts", "tokens").groupBy("user_id", "day")
+    return keyed.applyInPandasWithState(decide, "request_id long, running_requests long, running_tokens long, allowed boolean", "requests long, tokens long", "append", "NoTimeout")
+
+
 def feedback_stream(feedback: DataFrame, citations: DataFrame) -> DataFrame:
     """Net ratings per document as ratings stream in, against a static table of citations."""
     met = feedback.join(citations, "message_id")
