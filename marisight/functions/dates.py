@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,10 +40,21 @@ def _date(year: Column, month: Column, day: Column) -> Column:
     return F.try_to_date(F.format_string("%s-%02d-%02d", year, month.cast("int"), day.cast("int")), "yyyy-MM-dd")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _found(text: Column, pattern: str, year: int, month: int, day: int, named: bool) -> Column:
-    part = lambda i: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
-    m = month_number(part(month)) if named else part(month)
-    return F.when(part(year).isNotNull() & m.isNotNull(), _date(part(year), m, part(day) if day else F.lit(1)))
+    """The date of the pattern's first match in a text without bars; its groups are taken in one pass."""
+    groups = "|".join(f"${i}" if i else "1" for i in (year, month, day))
+    met = F.regexp_replace(text, r"(?s)^.*?" + pattern + r".*$", groups)
+
+    def date(parts: Column) -> Column:
+        m = month_number(parts[1]) if named else parts[1]
+        return F.when((F.size(parts) == 3) & m.isNotNull(), _date(parts[0], m, parts[2]))
+
+    return _once(F.split(met, r"\|"), lambda parts: F.when(F.size(parts) == 3, date(parts)))
 
 
 def cleaned(text: Column) -> Column:
@@ -55,16 +68,19 @@ def parse_date(text: Column) -> Column:
     """ISO text of the date in a listing's label, '' without one.  A leading ISO date stands as it is; then
     day month-name year, month-name day year, day/month/year, month-name year (first day) and a year
     (first of January) are tried in this order."""
-    s = cleaned(text)
-    iso = F.regexp_extract(F.trim(F.coalesce(text, F.lit(""))), r"^(\d{4}-\d{2}-\d{2})", 1)
-    tiers = [
-        _found(s, r"\b(\d{1,2})[ .\-]*" + _MONTH + r"\b[ ,.\-]*" + _YEAR + r"\b", 3, 2, 1, True),
-        _found(s, r"\b" + _MONTH + r"\b[ .]*(\d{1,2})[ ,]+" + _YEAR + r"\b", 3, 1, 2, True),
-        _found(s, r"\b(\d{1,2})[/.\-](\d{1,2})[/.\-]" + _YEAR + r"\b", 3, 2, 1, False),
-        _found(s, r"\b" + _MONTH + r"\b[ ,.]*" + _YEAR + r"\b", 2, 1, 0, True),
-        F.try_to_date(F.concat(F.nullif(F.regexp_extract(s, r"\b" + _YEAR + r"\b", 1), F.lit("")), F.lit("-01-01")), "yyyy-MM-dd"),
-    ]
-    return F.when(iso != "", iso).otherwise(F.coalesce(F.date_format(F.coalesce(*tiers), "yyyy-MM-dd"), F.lit("")))
+
+    def tiers(s: Column) -> Column:
+        return F.coalesce(
+            _found(s, r"\b(\d{1,2})[ .\-]*" + _MONTH + r"\b[ ,.\-]*" + _YEAR + r"\b", 3, 2, 1, True),
+            _found(s, r"\b" + _MONTH + r"\b[ .]*(\d{1,2})[ ,]+" + _YEAR + r"\b", 3, 1, 2, True),
+            _found(s, r"\b(\d{1,2})[/.\-](\d{1,2})[/.\-]" + _YEAR + r"\b", 3, 2, 1, False),
+            _found(s, r"\b" + _MONTH + r"\b[ ,.]*" + _YEAR + r"\b", 2, 1, 0, True),
+            F.try_to_date(F.concat(F.nullif(F.regexp_extract(s, r"\b" + _YEAR + r"\b", 1), F.lit("")), F.lit("-01-01")), "yyyy-MM-dd"),
+        )
+
+    given = F.trim(F.coalesce(text, F.lit("")))
+    some = F.when(given != "", F.date_format(_once(cleaned(text), tiers), "yyyy-MM-dd"))
+    return _once(F.regexp_extract(given, r"^(\d{4}-\d{2}-\d{2})", 1), lambda iso: F.when(iso != "", iso).otherwise(F.coalesce(some, F.lit(""))))
 
 
 def iso_date(text: Column) -> Column:
