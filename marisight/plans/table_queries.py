@@ -271,9 +271,9 @@ def pending_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State counts after a run that saw every third address."""
+    """State counts after a run that saw the addresses of long documents."""
     rows = _fetches(spark, sf_dir).select("canonical_url").distinct()
-    seen = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.concat(F.lit("https://x.example/"), F.floor(F.col("doc_id") / 2).cast("string")).alias("canonical_url"))
+    seen = table(spark, sf_dir, "documents").where("n_chars > 1500").select(F.concat(F.lit("https://x.example/"), F.floor(F.col("doc_id") / 2).cast("string")).alias("canonical_url"))
     return state.state_counts(state.with_activity(rows, seen))
 
 
@@ -282,9 +282,9 @@ def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as a listing and orders' customers as a feed, by address."""
+    """Customers in credit as a listing and orders' customers as a feed, by address."""
     address = lambda c: F.concat(F.lit("https://x.example/"), F.col(c).cast("string"))
-    listing = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(address("c_custkey").alias("url"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.col("c_name")).alias("title"), F.lit("").alias("published_at"))
+    listing = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(address("c_custkey").alias("url"), F.when(F.col("c_custkey") % 4 == 0, "").otherwise(F.col("c_name")).alias("title"), F.lit("").alias("published_at"))
     feed = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("d")).select(address("o_custkey").alias("url"), F.concat(F.lit("Feed "), F.col("o_custkey").cast("string")).alias("title"), F.date_format("d", "yyyy-MM-dd").alias("published_at"))
     return state.merged_listings(listing, feed)
 
@@ -516,10 +516,10 @@ c AS (SELECT page_id, html, array_to_string(list_filter(list_transform(flatten(l
 SELECT page_id, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS md5, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '(?s)<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS title FROM c""",
     "footer_headings": """
 SELECT page_id, trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1), '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS header FROM pages WHERE contains(html, '<footer')""",
-    "active_state": "WITH u AS (SELECT doc_id // 2 AS k, bool_or(doc_id % 3 = 0) AS active FROM documents GROUP BY 1) SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive FROM u",
+    "active_state": "WITH u AS (SELECT doc_id // 2 AS k, bool_or(n_chars > 1500) AS active FROM documents GROUP BY 1) SELECT count(*) AS total, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive FROM u",
     "latest_versions": f"WITH {_FETCHES} SELECT canonical_url, arg_max(sha256, seq) AS sha256 FROM f GROUP BY 1",
     "merged_listings": """
-WITH l AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_name END AS title FROM customer WHERE c_custkey % 2 = 0), f AS (SELECT o_custkey AS k, 'Feed ' || o_custkey AS title, strftime(max(o_orderdate), '%Y-%m-%d') AS d FROM orders GROUP BY 1)
+WITH l AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_name END AS title FROM customer WHERE c_acctbal > 0), f AS (SELECT o_custkey AS k, 'Feed ' || o_custkey AS title, strftime(max(o_orderdate), '%Y-%m-%d') AS d FROM orders GROUP BY 1)
 SELECT 'https://x.example/' || coalesce(l.k, f.k) AS url, coalesce(nullif(l.title, ''), f.title, '') AS title, coalesce(f.d, '') AS published_at FROM l FULL JOIN f ON l.k = f.k""",
     "conversation_list": f"""
 WITH {_CONV}, {_MESSAGES}, n AS (SELECT conversation_id, count(*) AS c FROM m GROUP BY 1)
