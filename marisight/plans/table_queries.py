@@ -170,7 +170,7 @@ def page_document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crawl_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and their downloads as candidates with content types and canonical addresses."""
-    return links.candidates(_with_files(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).groupBy("content_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("canonical_url").alias("n_urls"))
+    return links.candidates(_with_files(table(spark, sf_dir, "pages").select("page_id", "url", "html"))).select("page_id", "content_type", "canonical_url")
 
 
 def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,7 +335,7 @@ def after_deletion(spark: SparkSession, sf_dir: str) -> DataFrame:
     doomed = _conversations(spark, sf_dir).where("user_id < 5")
     messages = state.without(_messages(spark, sf_dir), doomed, "conversation_id")
     cited = state.owned(_citations(spark, sf_dir), messages, "message_id")
-    return messages.groupBy("role").agg(F.count(F.lit(1)).alias("n")).unionByName(cited.agg(F.lit("citations").alias("role"), F.count(F.lit(1)).alias("n")))
+    return messages.select("id", F.col("role").alias("what")).unionByName(cited.select(F.col("message_id").alias("id"), F.concat(F.lit("citation "), F.col("citation_index").cast("string")).alias("what")))
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,8 +493,8 @@ SELECT doc_id, section_no, section_heading, n_blocks, md5(t) AS md5, CAST(nullif
     "listing_pages": "WITH n AS (SELECT o_custkey, CAST(ceil(count(*) / 10.0) AS BIGINT) AS n FROM orders GROUP BY 1), p AS (SELECT o_custkey, unnest(range(0, n)) AS i FROM n) SELECT o_custkey, 'https://x.example/list?c=' || o_custkey || CASE WHEN i = 0 THEN '' ELSE '&start=' || (i * 10) END AS url FROM p",
     "crawl_candidates": f"""
 WITH {_ANCHORS}, k AS (SELECT DISTINCT page_id, 'https://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || '/files/' || substr(href, 2) || '.pdf' AS u FROM b WHERE regexp_full_match(href, '/[a-z]{{4,}}')),
-o AS (SELECT CASE WHEN regexp_matches(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '\\.html$') THEN 'text/html' ELSE 'application/octet-stream' END AS content_type, 'https' || regexp_replace(regexp_replace(url, '#.*$', ''), '^https?', '') AS u FROM pages)
-SELECT content_type, count(*) AS n, count(DISTINCT u) AS n_urls FROM (SELECT * FROM o UNION ALL SELECT 'application/pdf', u FROM k) GROUP BY 1""",
+o AS (SELECT page_id, CASE WHEN regexp_matches(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '\\.html$') THEN 'text/html' ELSE 'application/octet-stream' END AS content_type, 'https' || regexp_replace(regexp_replace(url, '#.*$', ''), '^https?', '') AS u FROM pages)
+SELECT page_id, content_type, u AS canonical_url FROM o UNION ALL SELECT page_id, 'application/pdf', u FROM k""",
     "feed_items": "SELECT c_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'Untitled' ELSE 'Order ' || o_orderkey END AS title, 'https://x.example/' || o_orderkey AS link, strftime(o_orderdate, '%Y-%m-%d') AS published_at FROM orders JOIN customer ON o_custkey = c_custkey",
     "sitemap_pages": "SELECT 'url' AS kind, url AS loc, '2024-01-0' || (page_id % 9 + 1) AS lastmod FROM pages",
     "catalog_resources": """
@@ -529,7 +529,7 @@ FROM (SELECT *, date_diff('day', CAST(updated_at AS DATE), DATE '{AS_OF}') AS d
     "message_history": f"WITH {_MESSAGES}, r AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY turn DESC) AS r FROM m QUALIFY r <= 4) SELECT conversation_id, md5(string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn)) AS md5 FROM r GROUP BY 1",
     "messages_with_citations": f"WITH {_MESSAGES} SELECT id, role, CASE WHEN role = 'assistant' THEN '1:' || (id % 97) || ',2:' || (id % 97) ELSE '' END AS cited FROM m",
     "visible_citations": f"WITH {_CONV}, {_MESSAGES}, {_CITED} SELECT message_id, citation_index, document_id FROM ci WHERE message_id IN (SELECT id FROM m WHERE conversation_id IN (SELECT id FROM cv))",
-    "after_deletion": f"WITH {_CONV}, {_MESSAGES}, {_CITED}, k AS (SELECT * FROM m WHERE conversation_id NOT IN (SELECT id FROM cv WHERE user_id < 5)) SELECT role, count(*) AS n FROM k GROUP BY 1 UNION ALL SELECT 'citations', count(*) FROM ci WHERE message_id IN (SELECT id FROM k)",
+    "after_deletion": f"WITH {_CONV}, {_MESSAGES}, {_CITED}, k AS (SELECT * FROM m WHERE conversation_id NOT IN (SELECT id FROM cv WHERE user_id < 5)) SELECT id, role AS what FROM k UNION ALL SELECT message_id, 'citation ' || citation_index FROM ci WHERE message_id IN (SELECT id FROM k)",
     "daily_usage": f"WITH {_REQUESTS} SELECT user_id, CAST(ts AS DATE) AS usage_date, count(*) AS request_count, CAST(sum(tokens) AS BIGINT) AS tokens_budgeted, greatest(0, 25 - count(*)) AS remaining FROM r GROUP BY 1, 2",
     "quota_decisions": f"WITH {_REQUESTS}, w AS (SELECT *, count(*) OVER d AS running_requests, CAST(sum(tokens) OVER d AS BIGINT) AS running_tokens FROM r WINDOW d AS (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, request_id ROWS UNBOUNDED PRECEDING)) SELECT request_id, running_requests, running_tokens, running_requests <= 2 AND running_tokens <= 3000 AS allowed FROM w",
     "attachments": """
