@@ -7,8 +7,8 @@ changed meanwhile are skipped.  What stays outside the vocabulary falls back to
 
 No piece of such a vocabulary holds a space mark after another character, and none holds a line
 feed, so merges never cross the start of a run of space marks or a line feed.  Texts are therefore
-cut there, and the agenda runs once per distinct cut in a worker; a bounded memo keeps the result.  For
-each Arrow batch the library encodes every cut that was new, in one call, and must give the same ids.
+cut there, and the agenda runs once per distinct cut in a worker; a bounded memo keeps the result.  The
+agendas of all new cuts of a batch run side by side, those of one length as rows of a matrix.  For each Arrow batch the library encodes every cut that was new, in one call, and must give the same ids.
 Both facts are verified against the vocabulary when a model is loaded.
 
 Defined results: null and empty texts have no ids and decode to the empty text; texts of any length
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from marisight.llm._batches import give_back
+
 MARK = "▁"
 #: distinct cuts kept by one worker before its memo starts again
 MEMO_ENTRIES = 400_000
@@ -67,6 +69,103 @@ class PieceModel:
         self.newline = (self.bytes[10],)
         self.memo: dict[str, tuple[int, ...]] = {}
         self.fresh: list[tuple[str, tuple[int, ...]]] = []
+        self._pair_table()
+
+    def _pair_table(self) -> None:
+        """Symbols as numbers, and for each pair of them that spells a piece its score and the piece's number."""
+        symbols = {piece: n for n, piece in enumerate(self.ids)}
+        for char in {c for piece in self.ids for c in piece}:
+            symbols.setdefault(char, len(symbols))
+        self.piece_of = np.full(len(symbols) + 1, -1, np.int64)  # the last number is any other character
+        self.piece_of[: len(self.ids)] = list(self.ids.values())
+        self.symbols, self.char = len(symbols) + 1, np.full(1 << 16, len(symbols), np.int64)
+        for symbol, n in symbols.items():
+            if len(symbol) == 1 and ord(symbol) < len(self.char):
+                self.char[ord(symbol)] = n
+        keys, scores, merged = [], [], []
+        for piece, score in self.scores.items():
+            for i in range(1, len(piece)):
+                a, b = symbols.get(piece[:i]), symbols.get(piece[i:])
+                if a is not None and b is not None:
+                    keys.append(a * self.symbols + b)
+                    scores.append(score)
+                    merged.append(symbols[piece])
+        by = np.argsort(np.array(keys, np.int64))
+        self.pair_key = np.append(np.array(keys, np.int64)[by], np.iinfo(np.int64).max)
+        self.pair_score = np.append(np.array(scores)[by], -np.inf)
+        self.pair_merged = np.append(np.array(merged, np.int64)[by], -1)
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores (-inf for pairs that spell no piece) and merged symbols of pairs."""
+        key = a * self.symbols + b
+        at = np.searchsorted(self.pair_key, key)
+        met = self.pair_key[at] == key
+        return np.where(met, self.pair_score[at], -np.inf), self.pair_merged[at]
+
+    def many_ids(self, cuts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of many cuts: the agendas of cuts of one length are rows of a matrix, from each of which the best pair
+        (the leftmost of equal ones) is taken at a time."""
+        out: list[tuple[int, ...]] = [()] * len(cuts)
+        by_length: dict[int, list[int]] = {}
+        for i, cut in enumerate(cuts):
+            by_length.setdefault(len(cut), []).append(i)
+        for length, where in by_length.items():
+            if length > 48 or len(where) < 8:
+                for i in where:
+                    out[i] = self.cut_ids(cuts[i])
+                continue
+            codes = np.frombuffer("".join([cuts[i] for i in where]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, length)
+            symbol = self.char[np.minimum(codes, len(self.char) - 1)]
+            symbol[codes >= len(self.char)] = self.symbols - 1
+            row = np.array(where)
+            score, merged = self._pairs(symbol[:, :-1], symbol[:, 1:])
+            while len(row):
+                best = score.argmax(1) if score.shape[1] else np.zeros(len(row), np.int64)
+                open_ = score[np.arange(len(row)), best] > -np.inf if score.shape[1] else np.zeros(len(row), bool)
+                ids = self.piece_of[symbol[~open_]]
+                whole = (ids >= 0).all(1)
+                for i, found in zip(row[~open_][whole].tolist(), map(tuple, ids[whole].tolist())):
+                    out[i] = found
+                for i in row[~open_][~whole].tolist():  # characters that are no piece fall back to bytes
+                    out[i] = self.cut_ids(cuts[i])
+                row, symbol, score, merged, best = (x[open_] for x in (row, symbol, score, merged, best))
+                if not len(row):
+                    break
+                all_ = np.arange(len(row))
+                symbol[all_, best] = merged[all_, best]
+                step = np.arange(symbol.shape[1] - 1)
+                symbol = np.take_along_axis(symbol, step + (step > best[:, None]), 1)
+                step = np.arange(score.shape[1] - 1)
+                kept = step + (step >= best[:, None])
+                score, merged = np.take_along_axis(score, kept, 1), np.take_along_axis(merged, kept, 1)
+                for side in (best - 1, best):  # the pairs with the neighbours are new
+                    here = np.flatnonzero((side >= 0) & (side < score.shape[1]))
+                    score[here, side[here]], merged[here, side[here]] = self._pairs(symbol[here, side[here]], symbol[here, side[here] + 1])
+        return out
+
+    def learn(self, texts: list[str]) -> None:
+        """Puts the cuts of texts that the memo doesn't hold into it, all at once."""
+        marked: set[str] = set()
+        starts: set[str] = set()
+        for text in texts:
+            if not text or "  " in text or MARK in text:
+                continue
+            first, *lines = text.split("\n")
+            marked.update(first.split(" "))
+            for line in lines:
+                words = line.split(" ")
+                starts.add(words[0])
+                marked.update(words[1:])
+        memo = self.memo
+        new = [w for w in marked if w not in memo and len(w) < 256]
+        begun = [w for w in starts if w and "\n" + w not in memo and len(w) < 256]
+        if len(memo) + len(new) + len(begun) > MEMO_ENTRIES:
+            memo.clear()
+        memo.update(zip(new, self.many_ids([MARK + w for w in new])))
+        self.fresh += [(w, memo[w]) for w in new if w]
+        ids = self.many_ids(begun)
+        memo.update(zip(["\n" + w for w in begun], ids))
+        self.fresh += [("\n" + w, x) for w, x in zip(begun, ids)]
 
     def merge(self, text: str) -> list[str]:
         """Pieces of one cut, by the agenda."""
@@ -219,7 +318,9 @@ def encode_and_decode(df: DataFrame, text: str = "text", path: str | None = None
                 batch = whole.slice(lo, 512)
                 gc.disable()  # the memo has no cycles, and its tuples are many
                 try:
-                    rows = [m.encode(t or "") for t in batch.column(at).to_pylist()]
+                    texts = [t or "" for t in batch.column(at).to_pylist()]
+                    m.learn(texts)
+                    rows = list(map(m.encode, texts))
                     m.check()
                 finally:
                     gc.enable()
@@ -230,6 +331,7 @@ def encode_and_decode(df: DataFrame, text: str = "text", path: str | None = None
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(decoded, pa.string())], names=[*names, "piece_ids", "decoded"])
         m.memo.clear()
+        give_back()
 
     return kept.mapInArrow(run, schema)
 
