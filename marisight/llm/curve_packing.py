@@ -4,8 +4,10 @@
    bucket has a pseudorandom direction of ``DIMS`` signs.  The mean direction of its words is the random
    projection of the vector; similar documents come out near each other.  Encoded documents are written
    once as Parquet.
-2. The projection's cell is numbered by the Hilbert curve, and documents are range-sorted by that number.
-3. Each range is one stream of ids that is cut every ``length`` ids: neighbours on the curve share
+2. A document's first ids go as whole sequences of its own, as many as it fills; they move nowhere.
+3. The projection's cell is numbered by the Hilbert curve, and what is left of the documents, less than a sequence
+   of each, is range-sorted by that number: rows are small, so ranges of equal numbers of rows are equally large.
+4. Each range is one stream of ids that is cut every ``length`` ids: neighbours on the curve share
    sequences.  What is left at a range's end goes into sequences whose lengths are the powers of two that
    add up to it.  A sequence of a power of two needs no padding, so there is none at all.
 
@@ -229,8 +231,28 @@ def _powers(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
+def _whole(length: int, kind: str):
+    """Documents in: the sequences that each of them fills alone out."""
+    size = np.dtype(kind).itemsize * length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 1 << 62 | TaskContext.get().partitionId() << 40
+        for batch in slices(batches, 2, _SLICE):
+            tokens = longs(batch.column(1))
+            full = tokens // length
+            of = np.repeat(np.arange(len(full)), full)
+            start = (np.arange(len(of)) - np.repeat(np.cumsum(full) - full, full)) * length
+            data = b"".join(ids.as_buffer().to_pybytes()[: n * size] for ids, n in zip(batch.column(2), full.tolist()))
+            blob = pa.Array.from_buffers(pa.large_binary(), len(of), [None, pa.py_buffer(np.arange(len(of) + 1) * (4 * length)), pa.py_buffer(np.frombuffer(data, kind).astype("<u4"))]).cast(pa.binary())
+            columns = [batch.column(0).take(pa.array(of)), pa.array(start), pa.array(np.full(len(of), length)), blob, pa.array(tokens[of]), pa.array(number + np.arange(len(of))), pa.array(np.zeros(len(of), np.int64))]
+            number += len(of)
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+
+    return run
+
+
 def _packed(length: int, kind: str):
-    """Rows of one range, in order, in: its pieces out."""
+    """What is left of documents, in the order of one range, in: its pieces out."""
     width = np.dtype(kind).itemsize
 
     def pieces(ids: np.ndarray, doc_id: pa.Array, start: np.ndarray, doc_tokens: np.ndarray, first: np.ndarray, edges: np.ndarray, sequence: np.ndarray) -> pa.RecordBatch:
@@ -248,7 +270,7 @@ def _packed(length: int, kind: str):
         held = None  # spans of the sequence begun: (ids, doc_id, start, doc_tokens, sizes)
         for batch in slices(batches, 2, _SLICE):
             data, offsets = W.utf8(batch.column(2))
-            now = (np.frombuffer(data.tobytes(), kind), batch.column(0), np.zeros(batch.num_rows, np.int64), longs(batch.column(1)), np.diff(offsets) // width)
+            now = (np.frombuffer(data.tobytes(), kind), batch.column(0), longs(batch.column(3)), longs(batch.column(1)), np.diff(offsets) // width)
             if held:
                 now = tuple(pa.concat_arrays([a, b]) if isinstance(a, pa.Array) else np.concatenate([a, b]) for a, b in zip(held, now))
             ids, doc_id, start, doc_tokens, sizes = now
@@ -279,8 +301,13 @@ def pack(coded: DataFrame, length: int = LENGTH, kind: str = "<u2") -> DataFrame
     ids are little-endian unsigned 32-bit, and ``length`` has to be a power of two."""
     if length < 1 or length & length - 1:
         raise ValueError(f"the length of sequences has to be a power of two, not {length}")
-    ordered = coded.repartitionByRange("curve", "doc_id", "row").sortWithinPartitions("curve", "doc_id", "row")
-    return ordered.select("doc_id", "doc_tokens", "ids").mapInArrow(_packed(length, kind), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    schema, width = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long", np.dtype(kind).itemsize
+    begun = F.floor(F.col("doc_tokens") / length) * length
+    left = F.expr(f"substring(ids, cast(start * {width} + 1 as int), cast((doc_tokens - start) * {width} as int))")
+    whole = coded.where(F.col("doc_tokens") >= length).select("doc_id", "doc_tokens", "ids").mapInArrow(_whole(length, kind), schema)
+    rest = coded.withColumn("start", begun).where("doc_tokens > start").withColumn("ids", left)
+    rest = rest.repartitionByRange("curve", "doc_id", "row").sortWithinPartitions("curve", "doc_id", "row")
+    return whole.unionByName(rest.select("doc_id", "doc_tokens", "ids", "start").mapInArrow(_packed(length, kind), schema))
 
 
 def sequences(pieces: DataFrame, pad_id: int = 0, length: int = LENGTH) -> DataFrame:
