@@ -1,7 +1,9 @@
-"""Listing pages read by rules over node tables.
+"""Listing pages read by selectors.
 
-A rule names the items of a listing and, inside each, where title, link and date stand.  The rules of the
-known sites differ in nothing else, so a site is a row of ``SITES`` and a new one needs no code.
+A rule names the items of a listing and, inside each, where link, title and date stand.  The rules of the known
+sites differ in nothing else, so a site is a few selectors in ``SITES`` and a new one needs no code.  Each page is
+parsed once; selected nodes carry the positions of the elements around them (``html_nodes.selected``), so what
+belongs to an item is grouped by the item's position.
 """
 
 from __future__ import annotations
@@ -13,161 +15,175 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, urls
-from marisight.sources.html_nodes import nodes
-
-
-@dataclass(frozen=True)
-class Spot:
-    """Nodes of a tag, with a class or an attribute value if given."""
-
-    tag: str
-    css: str = ""
-    attribute: str = ""
-    value: str = ""
-
-    def test(self) -> Column:
-        out = F.col("tag") == self.tag
-        if self.css:
-            out = out & F.array_contains("classes", self.css)
-        if self.attribute:
-            here = F.try_element_at("attrs", F.lit(self.attribute))
-            out = out & (here == self.value if self.value else here.isNotNull())
-        return out
+from marisight.functions.text import collapsed
+from marisight.sources.html_nodes import selected
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A listing: its items, and in each the title, link and date (missing ones fall back to the link and '')."""
-
-    item: Spot
-    link: Spot = Spot("a", attribute="href")
-    title: Spot | None = None
-    date: Spot | None = None
-    inside: Spot | None = None
-
-
-#: fixed values: elements and classes of the known sites' listings
-SITES = {
-    "moh": Rule(Spot("tr"), date=Spot("td", "list-date"), inside=Spot("table", "com-content-category__table")),
-    "mohe": Rule(Spot("tr"), inside=Spot("table", "k-js-documents-table")),
-    "moe": Rule(Spot("tr"), inside=Spot("table", attribute="id", value="example")),
-    "mof": Rule(Spot("tr", "cat-list-row0")),
-    "rmp": Rule(Spot("a", attribute="data-sf-field", value="Title"), link=Spot("a", attribute="data-sf-field", value="Title")),
-    "mcmc": Rule(Spot("div", "article-list-box")),
-    "mcmc_media": Rule(Spot("a", "media-box"), link=Spot("a", "media-box")),
-    "idfr": Rule(Spot("div", "sppb-feature-box-title")),
-    "dewan_selangor": Rule(Spot("article"), date=Spot("time")),
-    "dewan_johor": Rule(Spot("article", "et_pb_post"), date=Spot("span", "published")),
-    "kpkt": Rule(Spot("div", "container_attachments")),
+    """A listing: its items, and in each the link, title and date, for which the first selector that finds something
+    counts.  Without a title it is the link's text, without a date ''."""
+
+    item: str
+    link: tuple[str, ...] = ("a[href]",)
+    title: tuple[str, ...] = ()
+    date: tuple[str, ...] = ()
+    around: tuple[str, ...] = ()  # the date is looked for in the nearest such element around the item
+    beside: bool = False  # titles that enclose the link don't count
+    date_needed: bool = False  # items without a node for the date drop out
+    date_of_link: bool = False  # a missing date is read from the link's path
+    least_title: int = 0
+    one_line: bool = False  # white space inside titles becomes one space
+    untitled: bool = False  # items without a title are called Untitled
+
+
+_ROWS = ", ".join(["tr[class*=cat-list-row]", *[f"tr[class*=row{i}]" for i in range(10)]])
+_NEWS = ", ".join(f"{{0}}a[href*='{path}']" for path in ("/berita/", "/arkib3/"))
+_HEADED = ("h2[class*=entry-title] a[href], h3[class*=entry-title] a[href]", "h2 a[href], h3 a[href]")
+
+#: fixed values: elements and classes of the known sites' listings; of several rules the first that gives an item counts
+SITES: dict[str, tuple[Rule, ...]] = {
+    "moh": (Rule("table.com-content-category__table tbody tr", date=("td[class*=list-date]",)),),
+    "mohe": (Rule(".k-js-documents-table tr", ("a[href*='/file']",), date=("td:nth-of-type(2)",), untitled=True),),
+    "moe": (Rule("table#example tbody tr", ("td:nth-of-type(1) a[href]",), date=("td:nth-of-type(2)",), date_needed=True, one_line=True, untitled=True),),
+    "mof": (Rule(_ROWS, date=("td[class*=list-date], td[class*=created]",)), *[Rule(_NEWS.format(box), least_title=6) for box in ("div#sp-main-body ", "div.item-page ", "")]),
+    "rmp": (
+        Rule("a[data-sf-field=Title]", date=(".sfnewsMetaInfo .sfnewsDate", ".sfnewsMetaInfo"), around=(".sfnewsItem", "div, li, article"), date_of_link=True),
+        Rule(".sfnewsItem, .sfnewsItemTitle", date=(".sfnewsMetaInfo .sfnewsDate", ".sfnewsMetaInfo"), around=(".sfnewsItem", "div, li, article"), date_of_link=True),
+    ),
+    "rmp_publications": tuple(Rule(rows, ("a.sfdownloadLink", "a[href*='/docs/default-source/']"), ("td",), beside=True) for rows in ("table.rgMasterTable tbody tr", "table.rgMasterTable tr")),
+    "mcmc": (Rule("div.article-list-box", (", ".join(f".article-list-content > h{i} a[href]" for i in (5, 4, 3, 2)), "h5 a[href], h4 a[href], h3 a[href], h2 a[href]", "a[href]"), date=(".article-list-content div.date", "div.date")),),
+    "mcmc_media": (Rule("a.media-box[href]", title=("div.media-caption h4, div.media-caption h3, div.media-caption h2", "div.media-caption")),),
+    "idfr": (Rule(".sppb-feature-box-title a[href]"), Rule("[itemprop=articleBody] a[href]")),
+    "dewan_selangor": (Rule("article", _HEADED, date=("time[datetime]",)), Rule("div.post, div.type-post", _HEADED, date=("time[datetime]",)), Rule("a[class*=entry-title][href], a[class*=post-title][href]")),
+    "dewan_johor": tuple(Rule(items, ("h2[class*=entry-title] a[href], h1[class*=entry-title] a[href]", "h2 a[href], h3 a[href]"), date=("span.published", "time[datetime]")) for items in ("article.et_pb_post, article.wpdmpro", "article")),
 }
 
 
-def _first_inside(outer: DataFrame, inner: DataFrame, key: str, value: Column, name: str) -> DataFrame:
-    """outer with the value of its first node of inner (itself included)."""
-    a, b = outer.alias("a"), inner.select(key, F.col("pos").alias("_p"), value.alias("_v")).alias("b")
-    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("b._p") >= F.col("a.pos")) & (F.col("b._p") <= F.col("a.last")))
-    best = met.groupBy(F.col(f"a.{key}").alias(key), F.col("a.pos").alias("pos")).agg(F.min_by("b._v", "b._p").alias(name))
-    return outer.join(best, [key, "pos"], "left")
-
-
-def listing(pages: DataFrame, rule: Rule, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
-    """(key, pos, title, link, date_text, published_at): the items of each page, first mention of a link."""
-    tree = nodes(pages, key, html)
-    items = tree.where(rule.item.test()).select(key, "pos", "last")
-    if rule.inside is not None:
-        boxes = tree.where(rule.inside.test()).select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("last").alias("_z"))
-        items = items.join(boxes, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_z")), "left_semi")
-    href = F.trim(F.try_element_at("attrs", F.lit("href")))
-    rows = _first_inside(items, tree.where(rule.link.test() & ~urls.skipped_href(href)), key, F.struct(href.alias("href"), "text"), "_link")
-    rows = _first_inside(rows, tree.where(rule.title.test()), key, F.col("text"), "_title") if rule.title else rows.withColumn("_title", F.lit(None).cast("string"))
-    rows = _first_inside(rows, tree.where(rule.date.test()), key, F.coalesce(F.nullif(F.try_element_at("attrs", F.lit("datetime")), F.lit("")), "text"), "_date") if rule.date else rows.withColumn("_date", F.lit(None).cast("string"))
-    rows = rows.where(F.coalesce("_link.href", F.lit("")) != "").join(pages.select(key, F.col(url).alias("_url")), key)
-    rows = rows.select(key, "pos", F.coalesce(F.nullif(F.trim("_title"), F.lit("")), F.col("_link.text")).alias("title"), urls.absolute(F.col("_link.href"), F.col("_url")).alias("link"), F.coalesce("_date", F.lit("")).alias("date_text"))
-    rows = rows.withColumn("published_at", dates.parse_date(F.col("date_text")))
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(key, "link").orderBy("pos"))).where("_r = 1").drop("_r")
-
-
-def carried(pages: DataFrame, header: Spot, below: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+def _attribute(name: str) -> Column:
+    return F.try_element_at("attrs", F.lit(name))
+
+
+def _said() -> Column:
+    """A node's date: its ``datetime``, else its text."""
+    return F.coalesce(F.nullif(F.trim(_attribute("datetime")), F.lit("")), F.col("text"))
+
+
+def _first(role: Column, value: Column) -> Column:
+    """The value of the first node of a role: by the order of selectors, then by place."""
+    return F.min_by(F.when(role, value), F.when(role, F.struct("alternative", "pos")))
+
+
+def listings_by(pages: DataFrame, rules: dict[str, tuple[Rule, ...]], by: str, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, by, pos, title, link, date_text, published_at): the items of each page after the rules of its kind, first
+    mention of a link."""
+    wanted = {}
+    for kind, each in rules.items():
+        wanted[kind] = names = {}
+        for n, rule in enumerate(each):
+            around = tuple(f"around:{n}:{i}" for i in range(len(rule.around)))
+            names |= {name: (selector, ()) for name, selector in zip(around, rule.around)}
+            names[f"item:{n}:0"] = (rule.item, around)
+            names |= {f"{role}:{n}:{i}": (s, (f"item:{n}:0", *around)) for role in ("link", "title", "date") for i, s in enumerate(getattr(rule, role))}
+    page = (key, by, url)
+    found = selected(pages, wanted, page, html, by).withColumn("_n", F.split("name", ":"))
+    found = found.withColumn("role", F.col("_n")[0]).withColumn("rule", F.col("_n")[1].cast("int")).withColumn("alternative", F.col("_n")[2].cast("int"))
+    owner = F.try_element_at("owners", F.concat(F.lit("item:"), F.col("rule").cast("string"), F.lit(":0")))
+    href = F.trim(_attribute("href"))
+    is_link = (F.col("role") == "link") & (F.coalesce(href, F.lit("")) != "") & ~urls.skipped_href(href)
+    title = F.when((F.col("role") == "title") & (F.col("text") != ""), F.struct("alternative", "pos", "last", "text"))
+    is_date = F.col("role") == "date"
+    per = found.withColumn("_item", owner).where("_item IS NOT NULL OR role = 'item'").groupBy(*page, "rule", F.coalesce("_item", "pos").alias("at")).agg(
+        _first(is_link, F.struct(href.alias("href"), "text", "pos")).alias("link"), F.array_sort(F.collect_list(title)).alias("titles"), _first(is_date & (_said() != ""), _said()).alias("date"),
+        F.max(is_date).alias("dated"), F.min_by(F.when(F.col("role") == "item", F.col("owners")), F.when(F.col("role") == "item", F.col("pos"))).alias("around"),
+    ).where("link IS NOT NULL")
+    flag = lambda what: F.coalesce(*[F.when((F.col(by) == kind) & (F.col("rule") == n), F.lit(True)) for kind, each in rules.items() for n, rule in enumerate(each) if getattr(rule, what)], F.lit(False))
+    if any(rule.around for each in rules.values() for rule in each):
+        near = found.where(is_date & (_said() != "")).select(*page, "rule", "alternative", "pos", _said().alias("said"), F.explode("owners").alias("scope", "at")).where("scope LIKE 'around:%'")
+        near = near.groupBy(*page, "rule", "scope", F.col("at").alias("scope_at")).agg(F.min_by("said", F.struct("alternative", "pos")).alias("near"))
+        scopes = F.array_sort(F.map_keys("around"))
+        per = per.withColumn("scope", F.get(scopes, F.lit(0))).withColumn("scope_at", F.try_element_at("around", F.col("scope")))
+        per = per.join(near, [*page, "rule", "scope", "scope_at"], "left").withColumn("date", F.when(F.col("scope").isNotNull(), F.col("near")).otherwise(F.col("date")))
+    link = urls.absolute(F.col("link.href"), F.col(url))
+    apart = F.filter("titles", lambda t: ~flag("beside") | ~((t["pos"] < F.col("link.pos")) & (F.col("link.pos") <= t["last"])))
+    rows = per.select(*page, "rule", F.col("at").alias("pos"), "dated", F.coalesce(F.get(apart, F.lit(0))["text"], F.col("link.text")).alias("said"), link.alias("link"), F.coalesce(F.nullif("date", F.lit("")), F.when(flag("date_of_link"), dates.path_date(link)), F.lit("")).alias("date_text"))
+    said = F.when(flag("one_line"), collapsed(F.col("said"))).otherwise(F.col("said"))
+    rows = rows.withColumn("title", F.when(flag("untitled") & (said == ""), "Untitled").otherwise(said))
+    least = [(F.col(by) == kind) & (F.col("rule") == n) & (F.length("title") < rule.least_title) for kind, each in rules.items() for n, rule in enumerate(each) if rule.least_title]
+    for short in [*least, flag("date_needed") & ~F.coalesce("dated", F.lit(False))]:
+        rows = rows.where(~short)
+    rows = rows.withColumn("_first", F.min("rule").over(Window.partitionBy(key))).where(F.col("rule") == F.col("_first"))
+    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(key, "link").orderBy("pos"))).where("_r = 1")
+    return rows.select(key, by, "pos", "title", "link", "date_text", F.coalesce(F.nullif(dates.parse_date(F.col("date_text")), F.lit("")), dates.iso_date(F.col("date_text"))).alias("published_at"))
+
+
+def listing(pages: DataFrame, rule: Rule | tuple[Rule, ...], key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, title, link, date_text, published_at) of pages that are all of one kind."""
+    return listings_by(pages.withColumn("_kind", F.lit("")), {"": rule if isinstance(rule, tuple) else (rule,)}, "_kind", key, html, url).drop("_kind")
+
+
+def carried(pages: DataFrame, header: str, below: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, header, text, href): nodes with the last header that stands before them (years, meetings, acts)."""
-    tree = nodes(pages, key, html).where(header.test() | below.test())
-    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = tree.withColumn("header", F.last(F.when(header.test(), F.col("text")), ignorenulls=True).over(w)).where(below.test())
-    return rows.select(key, "pos", "header", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
+    return carried_levels(pages, {"header": header}, below, key, html)
 
 
-def carried_levels(pages: DataFrame, headers: dict[str, Spot], below: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+def carried_levels(pages: DataFrame, headers: dict[str, str], below: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, a column per header, text, href): nodes with the last header of each level before them.  A header of a
     level ends those of the levels under it, so what stands under a new meeting has no session of the old one."""
-    any_ = below.test()
-    for spot in headers.values():
-        any_ = any_ | spot.test()
-    tree = nodes(pages, key, html).where(any_)
+    tree = selected(pages, {**{f"h{i}": (s, ()) for i, s in enumerate(headers.values())}, "below": (below, ())}, (key,), html)
     w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    above: list[Spot] = []
-    for name, spot in headers.items():
-        ends = F.lit(False)
-        for higher in above:
-            ends = ends | higher.test()
-        mark = F.when(spot.test(), F.struct(F.col("text").alias("said"))).when(ends, F.struct(F.lit(None).cast("string").alias("said")))
-        tree = tree.withColumn(f"_{name}", mark).withColumn(name, F.last(f"_{name}", ignorenulls=True).over(w)["said"]).drop(f"_{name}")
-        above.append(spot)
-    return tree.where(below.test()).select(key, "pos", *headers, "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
-
-
-def panels(pages: DataFrame, panel: Spot, title: Spot, item: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+    for i, name in enumerate(headers):
+        ends = F.col("name").isin(*[f"h{k}" for k in range(i)]) if i else F.lit(False)
+        mark = F.when(F.col("name") == f"h{i}", F.struct(F.col("text").alias("said"))).when(ends, F.struct(F.lit(None).cast("string").alias("said")))
+        tree = tree.withColumn(f"_level{i}", F.last(mark, ignorenulls=True).over(w)["said"])
+    return tree.where("name = 'below'").select(key, "pos", *[F.col(f"_level{i}").alias(name) for i, name in enumerate(headers)], "text", _attribute("href").alias("href"))
+
+
+def panels(pages: DataFrame, panel: str, title: str, item: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, title, text, href): items inside the panels of an accordion, with the title that stands in the panel."""
-    tree = nodes(pages, key, html)
-    boxes = _first_inside(tree.where(panel.test()).select(key, "pos", "last"), tree.where(title.test()), key, F.col("text"), "title")
-    a, b = tree.where(item.test()).alias("a"), boxes.alias("b")
-    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.pos") > F.col("b.pos")) & (F.col("a.pos") <= F.col("b.last")))
-    inner = met.groupBy(F.col(f"a.{key}").alias(key), F.col("a.pos").alias("pos")).agg(F.max_by("b.title", "b.pos").alias("title"), F.first("a.text").alias("text"), F.first("a.attrs").alias("attrs"))
-    return inner.select(key, "pos", "title", "text", F.try_element_at("attrs", F.lit("href")).alias("href"))
+    tree = selected(pages, {"panel": (panel, ()), "title": (title, ("panel",)), "item": (item, ("panel",))}, (key,), html)
+    w = Window.partitionBy(key, "box")
+    rows = tree.where("name <> 'panel'").withColumn("box", F.try_element_at("owners", F.lit("panel"))).where("box IS NOT NULL")
+    heads = F.when(F.col("name") == "title", F.col("pos"))
+    rows = rows.withColumn("title", F.min_by(F.when(F.col("name") == "title", F.col("text")), heads).over(w)).where("name = 'item'")
+    return rows.select(key, "pos", "title", "text", _attribute("href").alias("href"))
 
 
-def targets(pages: DataFrame, opener: Spot, item: Spot, key: str = "page_id", html: str = "html") -> DataFrame:
+def targets(pages: DataFrame, opener: str, item: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, title, text, href): items inside the elements that an opener points at by id (``href`` or
     ``data-target``), with the opener's text as title."""
-    tree = nodes(pages, key, html)
-    attribute = lambda name: F.try_element_at("attrs", F.lit(name))
-    points = tree.where(opener.test()).select(key, F.regexp_replace(F.coalesce(attribute("data-target"), attribute("href"), F.lit("")), "^#", "").alias("id"), F.col("text").alias("title"), F.col("pos").alias("_o"))
+    tree = selected(pages, {"opener": (opener, ()), "box": ("[id]", ()), "item": (item, ())}, (key,), html)
+    points = tree.where("name = 'opener'").select(key, F.regexp_replace(F.coalesce(_attribute("data-target"), _attribute("href"), F.lit("")), "^#", "").alias("id"), F.col("text").alias("title"), F.col("pos").alias("_o"))
     points = points.where("id <> ''").groupBy(key, "id").agg(F.min_by("title", "_o").alias("title"))
-    boxes = tree.withColumn("id", attribute("id")).join(points, [key, "id"]).select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("last").alias("_z"), "title")
-    met = tree.where(item.test()).join(boxes, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_z")))
-    inner = met.groupBy(key, "pos").agg(F.max_by("title", "_a").alias("title"), F.first("text").alias("text"), F.first(attribute("href")).alias("href"))
-    return inner.select(key, "pos", "title", "text", "href")
+    boxes = tree.where("name = 'box'").withColumn("id", _attribute("id")).join(points, [key, "id"]).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "last", "title"))).alias("boxes"))
+    rows = tree.where("name = 'item'").select(key, "pos", "text", _attribute("href").alias("href")).join(boxes, key)  # what buttons of one page open
+    around = F.filter("boxes", lambda b: (b["pos"] < F.col("pos")) & (F.col("pos") <= b["last"]))
+    return rows.where(F.size(around) > 0).select(key, "pos", F.element_at(around, -1)["title"].alias("title"), "text", "href")
 
 
-def table_listing(pages: DataFrame, table: Spot, columns: tuple[str, ...], key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+def table_listing(pages: DataFrame, table: str, columns: tuple[str, ...], key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """(key, pos, a column per name, link): rows of a table by the places of their cells, with the row's first link.
     Rows of headers or of fewer cells drop out."""
-    tree = nodes(pages, key, html)
-    boxes = tree.where(table.test()).select(F.col(key).alias("_k"), F.col("pos").alias("_a"), F.col("last").alias("_z"))
-    rows = tree.where(F.col("tag") == "tr").join(boxes, (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_a")) & (F.col("pos") <= F.col("_z")), "left_semi").select(key, "pos", "last", "depth")
-    a, b = rows.alias("a"), tree.where(F.col("tag").isin("td", "a")).alias("b")
-    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("b.pos") > F.col("a.pos")) & (F.col("b.pos") <= F.col("a.last")))
-    cell = F.when((F.col("b.tag") == "td") & (F.col("b.depth") == F.col("a.depth") + 1), F.struct(F.col("b.pos"), F.col("b.text")))
-    href = F.when(F.col("b.tag") == "a", F.try_element_at("b.attrs", F.lit("href")))
-    per = met.groupBy(F.col(f"a.{key}").alias(key), F.col("a.pos").alias("pos")).agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.min_by(href, F.when(href.isNotNull(), F.col("b.pos"))).alias("href"))
-    per = per.where(F.size("cells") >= len(columns)).join(pages.select(key, F.col(url).alias("_url")), key)
-    link = F.when(F.coalesce("href", F.lit("")) != "", urls.absolute(F.col("href"), F.col("_url")))
-    return per.select(key, "pos", *[F.col("cells")[i]["text"].alias(c) for i, c in enumerate(columns)], link.alias("link"))
-
-
-def labelled_files(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
-    """(key, pos, link, label): downloads with the nearest label: another cell of their table row with text, else the
-    text of their list item, else their own, else their address."""
-    tree = nodes(pages, key, html)
-    href = F.try_element_at("attrs", F.lit("href"))
-    files = tree.where((F.col("tag") == "a") & href.isNotNull()).select(key, "pos", F.col("text").alias("own"), href.alias("href")).join(pages.select(key, F.col(url).alias("_url")), key)
-    files = files.withColumn("link", urls.absolute(F.col("href"), F.col("_url"))).where(urls.is_document(F.col("link")))
-    box = lambda tag: tree.where(F.col("tag") == tag).select(F.col(key).alias("_k"), F.col("pos").alias("_p"), F.col("last").alias("_z"), F.col("text").alias("_t"))
-    around = lambda tag: files.join(box(tag), (F.col(key) == F.col("_k")) & (F.col("pos") > F.col("_p")) & (F.col("pos") <= F.col("_z")))
-    row = around("tr").groupBy(key, "pos").agg(F.max_by(F.struct("_p", "_z"), "_p").alias("row"))
-    cells = row.join(box("td"), (F.col(key) == F.col("_k")) & (F.col("_p") > F.col("row._p")) & (F.col("_p") <= F.col("row._z")) & ~((F.col("pos") > F.col("_p")) & (F.col("pos") <= F.col("_z"))) & (F.col("_t") != ""))
-    beside = cells.groupBy(key, "pos").agg(F.min_by("_t", "_p").alias("beside"))
-    item = around("li").groupBy(key, "pos").agg(F.max_by("_t", "_p").alias("item"))
-    met = files.join(beside, [key, "pos"], "left").join(item, [key, "pos"], "left")
-    label = F.coalesce("beside", F.when((F.col("item") != "") & (F.col("item") != F.col("own")), F.col("item")), F.nullif(F.col("own"), F.lit("")), F.substring("href", 1, 80))
+    tree = selected(pages, {"row": (f"{table} tr", ()), "cell": (f"{table} tr > td", ("row",)), "link": (f"{table} a[href]", ("row",))}, (key, url), html)
+    rows = tree.where("name <> 'row'").groupBy(key, url, F.try_element_at("owners", F.lit("row")).alias("pos")).agg(
+        F.array_sort(F.collect_list(F.when(F.col("name") == "cell", F.struct("pos", "text")))).alias("cells"), F.min_by(F.when(F.col("name") == "link", _attribute("href")), F.when(F.col("name") == "link", F.col("pos"))).alias("href")
+    )
+    link = F.when(F.coalesce("href", F.lit("")) != "", urls.absolute(F.col("href"), F.col(url)))
+    return rows.where(F.size("cells") >= len(columns)).select(key, "pos", *[F.col("cells")[i]["text"].alias(c) for i, c in enumerate(columns)], link.alias("link"))
+
+
+def labelled_files(pages: DataFrame, inside: str = "", key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, link, label): downloads (inside certain elements) with the nearest label: another cell of their table
+    row with text, else the text of their list item, else their own, else their address.  Encoded addresses are read."""
+    tree = selected(pages, {"row": ("tr", ()), "cell": ("tr > td", ("row",)), "item": ("li", ()), "file": (f"{inside} a[href]".strip(), ("row", "cell", "item"))}, (key, url), html)
+    own = lambda name: F.try_element_at("owners", F.lit(name))
+    files = tree.where("name = 'file'").select(key, url, "pos", F.col("text").alias("own"), _attribute("href").alias("href"), own("row").alias("row"), own("cell").alias("cell"), own("item").alias("item"))
+    files = files.withColumn("link", urls.absolute(urls.hex_link(F.col("href")), F.col(url))).where(urls.is_document(F.col("link")) | urls.is_document(F.col("href")))
+    cells = tree.where("name = 'cell' AND text <> ''").groupBy(key, own("row").alias("row")).agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("cells"))
+    items = tree.where("name = 'item'").select(key, F.col("pos").alias("item"), F.col("text").alias("said"))
+    met = files.join(cells, [key, "row"], "left").join(items, [key, "item"], "left")
+    beside = F.get(F.filter("cells", lambda c: c["pos"] != F.coalesce("cell", F.lit(-1))), F.lit(0))["text"]
+    label = F.coalesce(beside, F.when((F.col("said") != "") & (F.col("said") != F.col("own")), F.col("said")), F.nullif(F.col("own"), F.lit("")), F.substring("href", 1, 80))
     return met.select(key, "pos", "link", label.alias("label"))
 
 
@@ -180,12 +196,12 @@ def dispatched(pages: DataFrame, kind: str, readers: dict[str, Callable[[DataFra
     return out
 
 
-def next_page(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
-    """(key, next_url): the address behind a link marked next, by rel, class or label."""
-    tree = nodes(pages, key, html, ("a", "link"))
-    marked = (F.try_element_at("attrs", F.lit("rel")) == "next") | F.array_contains("classes", "next") | F.lower("text").isin("next", "seterusnya", "»", "›")
-    first = tree.where(F.coalesce(marked, F.lit(False))).groupBy(key).agg(F.min_by(F.try_element_at("attrs", F.lit("href")), "pos").alias("href"))
-    return first.join(pages.select(key, F.col(url).alias("_url")), key).select(key, urls.absolute(F.col("href"), F.col("_url")).alias("next_url"))
+def next_page(pages: DataFrame, marks: tuple[str, ...] = ("[rel=next]", "a.next, link.next"), key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, next_url): the address behind a link marked next, by selectors (rel, class) or label."""
+    tree = selected(pages, {**{str(i): (s, ()) for i, s in enumerate(marks)}, "a": ("a[href]", ())}, (key, url), html)
+    marked = (F.col("name") != "a") | F.lower("text").isin("next", "seterusnya", "»", "›")
+    first = tree.where(marked & _attribute("href").isNotNull()).groupBy(key, url).agg(F.min_by(_attribute("href"), "pos").alias("href"))
+    return first.select(key, urls.absolute(F.col("href"), F.col(url)).alias("next_url"))
 
 
 def offset_pages(base: Column, pages: Column, size: int, parameter: str = "start") -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from marisight.functions import dates, text, urls, vectors
 from marisight.operators import chunking, links, listings, retrieval
-from marisight.operators.listings import Spot
 from marisight.plans.retrieval_queries import table
 from marisight.plans.table_queries import _messages
 from marisight.sources import feeds
@@ -54,23 +53,23 @@ def _openers(rows: Column) -> Column:
     return F.concat(heads, _grouped(rows, lambda x: F.concat(F.lit('<div id="p'), number(x), F.lit('"><ul>')), "</ul></div>"))
 
 
-_HEADERS = {"year": Spot("h2"), "session": Spot("h3")}
+_HEADERS = {"year": "h2", "session": "h3"}
 _BY_PRIORITY = ("o_orderpriority", "o_orderkey")
 
 
 def hub_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links under two levels of headers, the lower one ended by the higher."""
-    return listings.carried_levels(_orders(spark, sf_dir, _hub), _HEADERS, Spot("a"), "o_custkey").drop("pos")
+    return listings.carried_levels(_orders(spark, sf_dir, _hub), _HEADERS, "a", "o_custkey").drop("pos")
 
 
 def panel_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links in the panels of an accordion."""
-    return listings.panels(_orders(spark, sf_dir, _panels, _BY_PRIORITY), Spot("div", "panel"), Spot("h4", "panel-title"), Spot("a"), "o_custkey").drop("pos")
+    return listings.panels(_orders(spark, sf_dir, _panels, _BY_PRIORITY), "div.panel", "h4.panel-title", "a", "o_custkey").drop("pos")
 
 
 def target_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links in elements that buttons open."""
-    return listings.targets(_orders(spark, sf_dir, _openers, _BY_PRIORITY), Spot("button"), Spot("a"), "o_custkey").drop("pos")
+    return listings.targets(_orders(spark, sf_dir, _openers, _BY_PRIORITY), "button", "a", "o_custkey").drop("pos")
 
 
 def grid_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +77,7 @@ def grid_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
     row = lambda x: F.concat(F.lit("<tr>"), cell(x["o_orderkey"].cast("string")), cell(x["day"]), cell(x["o_orderstatus"]), cell(_link(x)), F.lit("</tr>"))
     made = lambda rows: F.concat(F.lit('<table class="grid"><tr><th>Key</th><th>Day</th><th>Status</th><th>File</th></tr><tr><td colspan="4">none</td></tr>'), F.array_join(F.transform(rows, row), ""), F.lit("</table><table><tr><td>1</td><td>2</td><td>3</td><td>4</td></tr></table>"))
-    rows = listings.table_listing(_orders(spark, sf_dir, made), Spot("table", "grid"), ("number", "day", "status", "file"), "o_custkey")
+    rows = listings.table_listing(_orders(spark, sf_dir, made), "table.grid", ("number", "day", "status", "file"), "o_custkey")
     return rows.withColumn("published_at", dates.parse_date(F.col("day"))).drop("pos", "day")
 
 
@@ -89,7 +88,7 @@ def labelled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = lambda x: F.concat(F.lit("<ul><li>Item "), key(x), F.lit(" "), _link(x), F.lit("</li></ul>"))
     bare = lambda x: F.concat(F.lit('<a href="/o/'), key(x), F.lit('.pdf"><img src="i.png"></a>'))
     one = lambda x: F.when(x["o_orderkey"] % 4 == 0, row(x)).when(x["o_orderkey"] % 4 == 1, item(x)).when(x["o_orderkey"] % 4 == 2, bare(x)).otherwise(_link(x))
-    return listings.labelled_files(_orders(spark, sf_dir, lambda rows: F.array_join(F.transform(rows, one), "")), "o_custkey").drop("pos")
+    return listings.labelled_files(_orders(spark, sf_dir, lambda rows: F.array_join(F.transform(rows, one), "")), key="o_custkey").drop("pos")
 
 
 def dispatched_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,19 +97,61 @@ def dispatched_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda rows, n, kind: rows.where(F.col("o_custkey") % 3 == n).withColumn("kind", F.lit(kind))
     pages = of(hub, 0, "hub").unionByName(of(boxes, 1, "panels")).unionByName(of(openers, 2, "targets"))
     readers = {
-        "hub": lambda p: listings.carried(p, Spot("h2"), Spot("a"), "o_custkey").withColumnRenamed("header", "title"),
-        "panels": lambda p: listings.panels(p, Spot("div", "panel"), Spot("h4", "panel-title"), Spot("a"), "o_custkey"),
-        "targets": lambda p: listings.targets(p, Spot("button"), Spot("a"), "o_custkey"),
+        "hub": lambda p: listings.carried(p, "h2", "a", "o_custkey").withColumnRenamed("header", "title"),
+        "panels": lambda p: listings.panels(p, "div.panel", "h4.panel-title", "a", "o_custkey"),
+        "targets": lambda p: listings.targets(p, "button", "a", "o_custkey"),
     }
     return listings.dispatched(pages, "kind", readers, ("o_custkey", "title", "href"))
 
 
+_SHAPES = {  # per site: what opens the list, an item, what closes it; {k} is an order's number, {d} its day, {p} its day as a path
+    "moh": ('<table class="x com-content-category__table"><thead><tr><th><a href="/sort">Title</a></thead><tbody>', '<tr><td class="list-title"><a href="/o/{k}">Order {k}</a><td class="list-date small"> {d} ', "</table>"),
+    "mohe": ("<table class='k-js-documents-table'><tr><th>Title<th>Date", '<tr><td><a href="/o/{k}/file">Order {k}</a><td>{d}</td></tr><tr><td><a href="/o/{k}/view">no file</a></td></tr>', "</table>"),
+    "moe": ("<TABLE ID=example><tbody>", '<TR><td><a href="/o/{k}">Order\n {k}</a></td><td>{d}</td></TR><tr><td><a href="/x/{k}">one cell</a></td></tr>', "</TABLE>"),
+    "mof": ("<table>", '<tr class="cat-list-row1"><td><a href="/o/{k}">Order {k}</a></td><td class="list-date">{d}</td></tr>', '</table><div class="item-page"><a href="/berita/no">not asked</a></div>'),
+    "mof_links": ('<div id="sp-main-body"><a href="/berita/0">short</a><ul>', '<li><a href="/berita/{k}">Order {k}</a>', '</ul></div><div class="item-page"><a href="/berita/no">elsewhere</a></div>'),
+    "rmp": ("<div>", '<div class="sfnewsItem"><h2><a data-sf-field="Title" href="/o/{k}">Order {k}</a></h2><ul class="sfnewsMetaInfo"><li>by<li class="sfnewsDate">{d}</ul></div>', "</div>"),
+    "rmp_paths": ("<ul>", '<li><a data-sf-field="Title" href="/o/{p}/{k}">Order {k}</a>', "</ul>"),
+    "rmp_publications": ('<table class="RadGrid rgMasterTable"><tr><td>head</td></tr><tbody>', '<tr><td><a class="sfdownloadLink" href="/docs/default-source/{k}.pdf">Muat turun</a></td><td></td><td>Order {k}</td></tr>', "</tbody></table>"),
+    "mcmc": ("<main>", '<div class="row article-list-box"><a href="/i/{k}"><img src=x></a><div class="article-list-content"><h5><a href="/o/{k}">Order {k}</a></h5><div class="date">{d}</div><a class="btn" href="/o/{k}.pdf">PDF</a></div></div>', "</main>"),
+    "mcmc_media": ("<div>", '<a class="media-box" href="/o/{k}"><div class="media-caption"><h4>Order {k}</h4>more</div></a>', "</div>"),
+    "idfr": ('<div itemprop="articleBody"><a href="/no">no</a>', '<div class="sppb-feature-box-title"><a href="/o/{k}">Order {k}</a></div>', "</div>"),
+    "idfr_body": ('<a href="/no">no</a><div itemprop="articleBody"><a href="#top">up</a>', '<p><a href="/o/{k}">Order {k}</a>', "</div>"),
+    "dewan_selangor": ("<main>", '<article><a href="/t/{k}">thumb</a><h2 class="post entry-title"><a href="/o/{k}">Order {k}</a></h2><time datetime="{d}">some day</time></article>', "</main>"),
+    "dewan_selangor_links": ("<ul>", '<li><a class="post-title" href="/o/{k}">Order {k}</a>', "</ul>"),
+    "dewan_johor": ("<article><h2><a href='/no'>other</a></h2></article>", '<article class="et_pb_post"><h2 class="entry-title"><a href="/o/{k}">Order {k}</a></h2><p><span class="published">{d}</span></article>', ""),
+}
+_SHAPE = list(_SHAPES)
+
+
+def site_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the items of all known sites' listings, each site in the forms its rules know, with unclosed cells and
+    items, sort links, thumbnails and a repeated first item."""
+    filled = lambda shape, x: F.replace(F.replace(F.replace(F.lit(shape), F.lit("{k}"), x["o_orderkey"].cast("string")), F.lit("{d}"), x["day"]), F.lit("{p}"), F.replace(x["day"], F.lit("-"), F.lit("/")))
+    made = lambda shape: lambda rows: F.concat(F.lit(shape[0]), F.array_join(F.transform(F.concat(rows, F.slice(rows, 1, 1)), lambda x: filled(shape[1], x)), "\n"), F.lit(shape[2]))
+    number = F.pmod("o_custkey", F.lit(len(_SHAPE)))
+    every = lambda rows: F.coalesce(*[F.when(number == i, made(_SHAPES[name])(rows)) for i, name in enumerate(_SHAPE)])
+    sites = F.array(*[F.lit(next(site for site in sorted(listings.SITES, key=len, reverse=True) if name.startswith(site))) for name in _SHAPE])
+    pages = _orders(spark, sf_dir, every).withColumn("site", F.get(sites, number.cast("int")))
+    return listings.listings_by(pages, listings.SITES, "site", "o_custkey").drop("pos")
+
+
+def attached_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as downloads in attachment boxes, some with encoded addresses, labelled by what is near."""
+    k = lambda x: x["o_orderkey"].cast("string")
+    encoded = lambda x: F.lower(F.hex(F.base64(F.concat(F.lit(f"{BASE}/d/"), k(x), F.lit(".pdf")).cast("binary"))))
+    href = lambda x: F.when(x["o_orderkey"] % 3 == 0, encoded(x)).otherwise(F.concat(F.lit("/d/"), k(x), F.lit(".pdf")))
+    one = lambda x: F.concat(F.lit("<tr><td>Order "), k(x), F.lit("<td>&nbsp;<td><a href="), href(x), F.lit(">PDF</a>"))
+    made = lambda rows: F.concat(F.lit('<a href="/d/outside.pdf">no</a><div class="container_attachments"><table>'), F.array_join(F.transform(rows, one), ""), F.lit("</table></div>"))
+    return listings.labelled_files(_orders(spark, sf_dir, made), "div.container_attachments", key="o_custkey").drop("pos")
+
+
 def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next page of every customer's listing, marked in three ways."""
     n = F.col("c_custkey")
     mark = F.when(n % 3 == 0, '<link rel="next" href="?page=2">').when(n % 3 == 1, '<a class="page next" href="?page=2">2</a>').otherwise('<a href="/x">1</a><a href="?page=2">Seterusnya</a>')
     pages = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit(f"{BASE}/list/"), n.cast("string")).alias("url"), F.concat(F.lit("<body>"), mark, F.lit("</body>")).alias("html"))
-    return listings.next_page(pages, "c_custkey")
+    return listings.next_page(pages, key="c_custkey")
 
 
 def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +303,7 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, tree_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
+        hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, site_listings, attached_files, tree_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
         asked_datasets, piece_metadata, worth_scoring, year_listing_pages, expanded_questions, robots_gates, event_sessions, name_functions, vector_pairs, fair_rows,
     )
 }
@@ -279,6 +320,12 @@ SELECT o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS year, 'S' || max(CASE WH
     "dispatched_listings": f"SELECT o_custkey, CASE WHEN o_custkey % 3 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE o_orderpriority END AS title, {_O} AS href, CASE o_custkey % 3 WHEN 0 THEN 'hub' WHEN 1 THEN 'panels' ELSE 'targets' END AS kind FROM orders",
     "next_pages": f"SELECT c_custkey, '{BASE}/list/' || c_custkey || '?page=2' AS next_url FROM customer",
     "tree_files": "SELECT o_custkey, 'n' || o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN '/f/' || o_orderkey || '.pdf' ELSE '' END AS link FROM orders",
+    "site_listings": f"""
+WITH o AS (SELECT o_custkey, o_orderkey AS k, o_orderdate AS d, o_custkey % {len(_SHAPE)} AS n FROM orders), s AS (SELECT *, {_SHAPE!r}[n + 1] AS shape FROM o)
+SELECT o_custkey, CASE WHEN shape LIKE '%\\_links' ESCAPE '\\' OR shape IN ('rmp_paths', 'idfr_body') THEN regexp_replace(shape, '_(links|paths|body)$', '') ELSE shape END AS site, 'Order ' || k AS title,
+  '{BASE}' || CASE shape WHEN 'mohe' THEN '/o/' || k || '/file' WHEN 'mof_links' THEN '/berita/' || k WHEN 'rmp_paths' THEN '/o/' || strftime(d, '%Y/%m/%d') || '/' || k WHEN 'rmp_publications' THEN '/docs/default-source/' || k || '.pdf' ELSE '/o/' || k END AS link,
+  CASE WHEN shape IN ('mof_links', 'rmp_publications', 'mcmc_media', 'idfr', 'idfr_body', 'dewan_selangor_links') THEN '' ELSE strftime(d, '%Y-%m-%d') END AS date_text, date_text AS published_at FROM s""",
+    "attached_files": f"SELECT o_custkey, '{BASE}/d/' || o_orderkey || '.pdf' AS link, 'Order ' || o_orderkey AS label FROM orders",
     "nested_sitemaps": f"SELECT '{BASE}/o/' || o_orderkey AS loc FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey",
     "crawled": """
 WITH RECURSIVE e AS (SELECT c_custkey AS a, unnest([c_custkey * 2, c_custkey * 3]) AS b FROM customer), k AS (SELECT a, b FROM e WHERE b IN (SELECT c_custkey FROM customer)),

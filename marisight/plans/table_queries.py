@@ -175,14 +175,14 @@ def crawl_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's navigation read as a listing: items of a list with their links."""
-    rule = listings.Rule(listings.Spot("li"), inside=listings.Spot("nav"))
+    rule = listings.Rule("nav li")
     return listings.listing(table(spark, sf_dir, "pages").select("page_id", "url", "html"), rule).select("page_id", "title", "link", "published_at")
 
 
 def footer_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's footer with the heading that stands before it."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    under = listings.carried(pages, listings.Spot("h1"), listings.Spot("footer"))
+    under = listings.carried(pages, "h1", "footer")
     return under.select("page_id", "header")
 
 

@@ -1,12 +1,18 @@
 """Pages as node tables, so that extractors are filters and joins.
 
 A node is (pos, last, depth, tag, classes, attrs, text): positions number the start tags of a page, and a
-node's descendants are the nodes with ``pos`` in (pos, last].  ``text`` is the text of its subtree.
+node's descendants are the nodes with ``pos`` in (pos, last].  ``text`` is the text of its subtree.  Elements
+end as in HTML where their end tags are left out (paragraphs, list items, rows, cells).
+
+``nodes`` gives every node.  ``selected`` gives only those that selectors ask for, each with the positions of the
+named elements that enclose it, so that "the first link of an item" is a grouping by the item's position and no
+join by ranges; a page is parsed once, whatever the number of selectors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,63 +20,171 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from marisight.sources.selectors import Matcher
+
 NODE = "struct<pos:int,last:int,depth:int,tag:string,classes:array<string>,attrs:map<string,string>,text:string>"
-_ARROW = pa.struct([("pos", pa.int32()), ("last", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())])
+FOUND = "struct<name:string,pos:int,last:int,owners:map<string,int>,tag:string,classes:array<string>,attrs:map<string,string>,text:string>"
+_STRINGS = pa.map_(pa.string(), pa.string())
+_ARROW = pa.struct([("pos", pa.int32()), ("last", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("attrs", _STRINGS), ("text", pa.string())])
+_FOUND = pa.struct([("name", pa.string()), ("pos", pa.int32()), ("last", pa.int32()), ("owners", pa.map_(pa.string(), pa.int32())), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("attrs", _STRINGS), ("text", pa.string())])
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = ("script", "style")
-
-
-class _Tree(HTMLParser):
-    def __init__(self) -> None:
+_BLOCK = "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul"
+_CELLS, _ROWS = frozenset(("td", "th")), frozenset(("td", "th", "tr"))
+#: a start tag ends open elements of these names, as far as the nearest one of the others
+_ENDS = {
+    **{tag: (frozenset(("p",)), frozenset(("table", "td", "th", "button", "caption", "object"))) for tag in _BLOCK.split()},
+    "li": (frozenset(("li",)), frozenset(("ul", "ol"))),
+    **{tag: (frozenset(("dt", "dd")), frozenset(("dl",))) for tag in ("dt", "dd")},
+    **{tag: (_CELLS, frozenset(("tr", "table"))) for tag in ("td", "th")},
+    "tr": (_ROWS, frozenset(("table",))),
+    **{tag: (_ROWS | {"thead", "tbody", "tfoot"}, frozenset(("table",))) for tag in ("thead", "tbody", "tfoot")},
+    "option": (frozenset(("option",)), frozenset(("select",))),
+}
+
+
+class Node:
+    __slots__ = ("attrs", "classes", "depth", "last", "last_child", "nth", "nth_of_type", "parent", "pos", "previous", "said", "tag")
+
+    def __init__(self, pos: int, tag: str, attrs: dict[str, str], parent: Node | None, previous: Node | None):
+        self.pos = self.last = pos
+        self.tag, self.attrs, self.classes = tag, attrs, attrs.get("class", "").split()
+        self.parent, self.previous, self.depth = parent, previous, parent.depth + 1 if parent else 0
+        self.nth, self.nth_of_type, self.last_child = (previous.nth + 1 if previous else 1), 1, True
+        self.said = (0, 0)
+
+
+class Tree(HTMLParser):
+    """The nodes of a page and its texts; a node's text is a span of them."""
+
+    def __init__(self, page: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
+        self.nodes: list[Node] = []
+        self.texts: list[str] = []
+        self._open: list[Node] = []
+        self._names: dict[str, int] = {}  # how many are open by name
+        self._newest: dict[int, Node] = {}  # the newest child of each open node (-1: of the page)
+        self._kinds: dict[tuple[int, str], int] = {}
+        self.feed(page)
+        self.close()
+        self._end(0)
+
+    def _end(self, keep: int) -> None:
+        """Ends all open nodes but the first ``keep``."""
+        for node in self._open[keep:]:
+            node.last, node.said = len(self.nodes) - 1, (node.said[0], len(self.texts))
+            self._names[node.tag] -= 1
+        del self._open[keep:]
+
+    def _highest(self, names: frozenset[str], until: frozenset[str]) -> int | None:
+        """The place of the outermost open node of these names above the nearest one of the others."""
+        found = None
+        left = sum(self._names.get(n, 0) for n in names)
+        for k in range(len(self._open) - 1, -1, -1):
+            if not left or self._open[k].tag in until:
+                break
+            if self._open[k].tag in names:
+                found, left = k, left - 1
+        return found
 
     def handle_starttag(self, tag: str, attrs) -> None:
-        given = {k: v or "" for k, v in attrs}
-        node = {"pos": len(self.nodes), "last": len(self.nodes), "depth": len(self.open), "tag": tag, "classes": given.get("class", "").split(), "attrs": given, "text": []}
+        if (ends := _ENDS.get(tag)) and (k := self._highest(*ends)) is not None:
+            self._end(k)
+        parent = self._open[-1] if self._open else None
+        at = parent.pos if parent else -1
+        previous = self._newest.get(at)
+        if previous:
+            previous.last_child = False
+        node = Node(len(self.nodes), tag, {k: v or "" for k, v in attrs}, parent, previous)
+        node.nth_of_type = self._kinds[at, tag] = self._kinds.get((at, tag), 0) + 1
+        node.said = (len(self.texts), len(self.texts))
+        self._newest[at] = node
         self.nodes.append(node)
         if tag not in _VOID:
-            self.open.append(node)
+            self._open.append(node)
+            self._names[tag] = self._names.get(tag, 0) + 1
 
     def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k]["tag"] == tag:
-                for node in self.open[k:]:
-                    node["last"] = len(self.nodes) - 1
-                del self.open[k:]
-                break
+        if self._names.get(tag):
+            self._end(next(k for k in range(len(self._open) - 1, -1, -1) if self._open[k].tag == tag))
 
     def handle_data(self, data: str) -> None:
         said = data.strip()
-        if said and not (self.open and self.open[-1]["tag"] in _RAW):
-            for node in self.open:
-                node["text"].append(said)
+        if said and not (self._open and self._open[-1].tag in _RAW):
+            self.texts.append(said)
 
-    def done(self) -> list[dict]:
-        for node in self.open:
-            node["last"] = len(self.nodes) - 1
-        return [{**n, "attrs": list(n["attrs"].items()), "text": " ".join(n["text"])} for n in self.nodes]
+    def text(self, node: Node) -> str:
+        return " ".join(self.texts[slice(*node.said)])
+
+    def row(self, node: Node) -> dict:
+        return {"pos": node.pos, "last": node.last, "depth": node.depth, "tag": node.tag, "classes": node.classes, "attrs": list(node.attrs.items()), "text": self.text(node)}
 
 
 def page_nodes(page: str, tags: frozenset[str] | None = None) -> list[dict]:
-    tree = _Tree()
-    tree.feed(page)
-    tree.close()
-    return [n for n in tree.done() if tags is None or n["tag"] in tags]
+    tree = Tree(page)
+    return [tree.row(n) for n in tree.nodes if tags is None or n.tag in tags]
 
 
-def nodes(pages: DataFrame, key: str = "page_id", html: str = "html", tags: tuple[str, ...] | None = None) -> DataFrame:
-    """(key, pos, last, depth, tag, classes, attrs, text) of every node, or of the given tags only."""
-    rows = pages.select(html, key)
-    schema = StructType([rows.schema[key], StructField("nodes", StructType.fromDDL(f"n array<{NODE}>")[0].dataType)])
-    wanted = frozenset(tags) if tags else None
+def _per_page(pages: DataFrame, columns: list[str], keep: list[str], kind: str, arrow: pa.DataType, made) -> DataFrame:
+    """(kept columns, the fields of ``kind``) of the rows that ``made`` gives for each page's ``columns``."""
+    rows = pages.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)], *keep)
+    schema = StructType([*rows.schema[len(columns) :], StructField("nodes", StructType.fromDDL(f"n array<{kind}>")[0].dataType)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
-                made = [page_nodes(x or "", wanted) for x in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(made, pa.list_(_ARROW))], names=[key, "nodes"])
+                lists = [made(*x) for x in zip(*[c.to_pylist() for c in part.columns[: len(columns)]])]
+                yield pa.RecordBatch.from_arrays([*part.columns[len(columns) :], pa.array(lists, pa.list_(arrow))], names=[*keep, "nodes"])
+
+    return rows.mapInArrow(run, schema).select(*keep, F.explode("nodes").alias("n")).select(*keep, "n.*")
+
 
-    return rows.mapInArrow(run, schema).select(key, F.explode("nodes").alias("n")).select(key, "n.*")
+def nodes(pages: DataFrame, key: str = "page_id", html: str = "html", tags: tuple[str, ...] | None = None) -> DataFrame:
+    """(key, pos, last, depth, tag, classes, attrs, text) of every node, or of the given tags only."""
+    wanted = frozenset(tags) if tags else None
+    return _per_page(pages, [html], [key], NODE, _ARROW, lambda page: page_nodes(page or "", wanted))
+
+
+Wanted = tuple[tuple[str, str, tuple[str, ...]], ...]
+
+
+@cache
+def _matcher(wanted: Wanted) -> Matcher:
+    return Matcher({name: selector for name, selector, _ in wanted})
+
+
+def page_selected(page: str, wanted: Wanted) -> list[dict]:
+    """The nodes of a page that each (name, selector, owners) asks for; ``owners`` name other entries, and a node has the
+    position of the nearest node of each that encloses it (or is it)."""
+    tree = Tree(page)
+    matched = _matcher(wanted).names(tree.nodes)
+    owning = {o for _, _, owners in wanted for o in owners}
+    asked = {name: owners for name, _, owners in wanted}
+    near: list[dict[str, int]] = []  # per node, the nearest owners
+    out = []
+    for node, names in zip(tree.nodes, matched):
+        around = near[node.parent.pos] if node.parent else {}
+        if own := owning.intersection(names):
+            around = {**around, **dict.fromkeys(own, node.pos)}
+        near.append(around)
+        if names:
+            row = tree.row(node)
+            del row["depth"]
+            out += [{**row, "name": name, "owners": [(o, around[o]) for o in asked[name] if o in around]} for name in names]
+    return out
+
+
+Selection = dict[str, tuple[str, tuple[str, ...]]]
+
+
+def selected(pages: DataFrame, wanted: Selection | dict[str, Selection], keep: tuple[str, ...] = ("page_id",), html: str = "html", by: str | None = None) -> DataFrame:
+    """(kept columns, name, pos, last, owners, tag, classes, attrs, text): nodes that selectors find, by the selector's name.
+    ``wanted`` gives each name its selector and the names whose enclosing nodes are its owners; with ``by`` it gives
+    such a set for each value of that column, and pages of other values have no nodes."""
+    flat = lambda names: tuple((n, s, tuple(o)) for n, (s, o) in names.items())
+    if by is None:
+        only = flat(wanted)
+        return _per_page(pages, [html], list(keep), FOUND, _FOUND, lambda page: page_selected(page or "", only))
+    sets = {kind: flat(names) for kind, names in wanted.items()}
+    return _per_page(pages.where(F.col(by).isin(*sets)), [html, by], list(keep), FOUND, _FOUND, lambda page, kind: page_selected(page or "", sets[kind]))

@@ -142,7 +142,7 @@ def test_listings(spark):
     pages = spark.createDataFrame([(1, "https://h/list", LISTING), (2, "https://h/x", None)], "page_id long, url string, html string")
     got = [(r.title, r.link, r.published_at) for r in listings.listing(pages, listings.SITES["moh"]).orderBy("pos").collect()]
     assert got == [("First", "https://h/a/1", "2024-03-03"), ("Second", "https://h/a/2", "")]
-    under = [(r.header, r.text) for r in listings.carried(pages, listings.Spot("h2"), listings.Spot("a")).where("header is not null").orderBy("pos").collect()]
+    under = [(r.header, r.text) for r in listings.carried(pages, "h2", "a").where("header is not null").orderBy("pos").collect()]
     assert under == [("2023", "P1"), ("2022", "P2"), ("2022", "more")]
     assert [r.next_url for r in listings.next_page(pages).collect()] == ["https://h/list?start=10"]
     one = spark.range(1)
