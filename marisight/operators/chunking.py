@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 TARGET, TABLE_MOST, PARENT_MOST = 1400, 3000, 3000
 
@@ -150,10 +151,28 @@ def contextual(prefix: Column, text: Column) -> Column:
 
 
 def embed_batches(chunk_rows: DataFrame, document: str = "doc_id", most_chars: int = 800_000) -> DataFrame:
-    """chunk rows with ``embed_batch``: batches of about most_chars characters inside each document.  ``indexable``
-    drops empty chunks and cuts what no embedding takes."""
-    w = Window.partitionBy(document).orderBy("chunk_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return chunk_rows.withColumn("embed_batch", F.floor((F.sum(F.length("chunk_text")).over(w) - 1) / most_chars).cast("int"))
+    """chunk rows with ``embed_batch``: the batches of each document, filled in order.  A chunk that would take its batch
+    over ``most_chars`` begins the next one, so only a chunk that is longer itself makes a batch longer.  A fold over
+    rows in order, whose state is a document's batch and its characters.  ``indexable`` drops empty chunks and cuts
+    what no embedding takes."""
+    names = chunk_rows.columns
+    rows = chunk_rows.select("*", F.coalesce(F.length("chunk_text"), F.lit(0)).cast("long").alias("_chars"), F.coalesce(F.col(document).cast("string"), F.lit("\0")).alias("_of"))
+    rows = rows.repartition("_of").sortWithinPartitions("_of", "chunk_index")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, number, chars = None, 0, 0
+        for part in batches:
+            out = []
+            for of, size in zip(part.column("_of").to_pylist(), part.column("_chars").to_pylist()):
+                if of != now:
+                    now, number, chars = of, 0, 0
+                elif chars + size > most_chars:
+                    number, chars = number + 1, 0
+                chars += size
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(out, pa.int32())], names=[*names, "embed_batch"])
+
+    return rows.mapInArrow(run, StructType([*chunk_rows.schema.fields, StructField("embed_batch", IntegerType())]))
 
 
 def indexable(chunk_rows: DataFrame, most: int = 1_000_000) -> DataFrame:

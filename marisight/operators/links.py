@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from marisight.operators.state import first_seen
 _ANCHOR = r"(?is)(<a\s[^>]*?href\s*=\s*(?:\"[^\"]*\"|'[^']*')[^>]*>.*?</a>)"
 _FRAME = r"(?is)(<iframe\s[^>]*?src\s*=\s*(?:\"[^\"]*\"|'[^']*'))"
 
+#: levels of a crawl that are kept in tables of their own
+_TOGETHER = 40
+
 
 def attribute(tag: Column, name: str) -> Column:
     both = F.coalesce(F.nullif(F.regexp_extract(tag, rf"(?is)^<[^>]*?\s{name}\s*=\s*\"([^\"]*)\"", 1), F.lit("")), F.regexp_extract(tag, rf"(?is)^<[^>]*?\s{name}\s*=\s*'([^']*)'", 1))
@@ -76,16 +81,23 @@ def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
 
 def crawl(start: DataFrame, links: DataFrame, most_levels: int = 1000, most_pages: int | None = None) -> DataFrame:
     """(url, level): pages reached from start over links (url, link), breadth first, until nothing new is reached or
-    the page budget is full; more than ``most_levels`` levels are an error."""
-    seen = settled(start.select("url").distinct().withColumn("level", F.lit(0)))
-    edge = seen
+    the page budget is full.  Each level writes what is new in it alone; more than ``most_levels`` levels are an error."""
+    edge = settled(start.select("url").distinct().withColumn("level", F.lit(0)))
+    levels, n = [edge], edge.count() if most_pages is not None else 0
     for level in range(1, most_levels + 1):
-        edge = settled(edge.join(links, "url").select(F.col("link").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("level", F.lit(level)))
+        new = edge.join(links, "url").select(F.col("link").alias("url")).distinct()
+        seen = reduce(DataFrame.unionByName, levels)
+        edge = settled(new.join(seen, "url", "left_anti").withColumn("level", F.lit(level)))
         if edge.isEmpty():
             break
-        seen = settled(seen.unionByName(edge))
-        if most_pages is not None and seen.count() >= most_pages:
-            break
+        levels.append(edge)
+        if len(levels) > _TOGETHER:  # few tables to read, each row written a few times at most
+            levels = [settled(reduce(DataFrame.unionByName, levels))]
+        if most_pages is not None:
+            n += edge.count()
+            if n >= most_pages:
+                break
     else:
         raise RuntimeError(f"pages are more than {most_levels} links away")
+    seen = reduce(DataFrame.unionByName, levels)
     return seen if most_pages is None else seen.orderBy("level", "url").limit(most_pages)

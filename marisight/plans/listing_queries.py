@@ -154,14 +154,6 @@ def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.next_page(pages, key="c_custkey")
 
 
-def tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as items of tree XML per customer, with addresses in their text."""
-    k = F.col("o_orderkey").cast("string")
-    item = F.concat(F.lit('<item id="n'), k, F.lit('" text="'), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("See &quot;/f/"), k, F.lit(".pdf&quot; now"))).otherwise("none"), F.lit('"/>'))
-    trees = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.concat(F.lit('<tree id="0">'), F.array_join(F.collect_list(item), ""), F.lit("</tree>")).alias("xml"))
-    return feeds.tree_links(trees).select("o_custkey", "id", "link")
-
-
 def nested_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An index of nations' indexes of customers' maps of orders, followed from the top."""
     entry = lambda tag, loc: F.concat(F.lit(f"<{tag}><loc>"), loc, F.lit(f"</loc></{tag}>"))
@@ -253,7 +245,6 @@ def name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.initials(F.concat(F.lit("ana.b"), n, F.lit("_c@h.my"))).alias("initials"),
         text.date_and_title(F.concat(F.lit("3 Mac 2024\n Title "), n, F.lit("\n\nmore"))).alias("d"),
         text.sorted_json(text.merged_map(F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), n), F.create_map(F.lit("b"), F.lit("2")))).alias("json"),
-        feeds.catalog_text(F.concat(F.lit("T"), n), F.lit("D"), F.array(F.lit("x"), F.lit("y")), F.lit("daily"), F.lit("prices")).alias("catalogue"),
     ).select("*", F.col("d.date").alias("date"), F.col("d.title").alias("title")).drop("d")
 
 
@@ -303,7 +294,7 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, site_listings, attached_files, tree_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
+        hub_listings, panel_listings, target_listings, grid_listings, labelled_files, dispatched_listings, next_pages, site_listings, attached_files, nested_sitemaps, crawled, series_rows, linked_answers, record_names, shown_titles,
         asked_datasets, piece_metadata, worth_scoring, year_listing_pages, expanded_questions, robots_gates, event_sessions, name_functions, vector_pairs, fair_rows,
     )
 }
@@ -319,7 +310,6 @@ SELECT o_custkey, CAST(year(o_orderdate) AS VARCHAR) AS year, 'S' || max(CASE WH
     "labelled_files": f"SELECT o_custkey, '{BASE}' || {_O} AS link, CASE o_orderkey % 4 WHEN 0 THEN 'Row ' || o_orderkey WHEN 1 THEN 'Item ' || o_orderkey || ' Order ' || o_orderkey WHEN 2 THEN {_O} ELSE 'Order ' || o_orderkey END AS label FROM orders",
     "dispatched_listings": f"SELECT o_custkey, CASE WHEN o_custkey % 3 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE o_orderpriority END AS title, {_O} AS href, CASE o_custkey % 3 WHEN 0 THEN 'hub' WHEN 1 THEN 'panels' ELSE 'targets' END AS kind FROM orders",
     "next_pages": f"SELECT c_custkey, '{BASE}/list/' || c_custkey || '?page=2' AS next_url FROM customer",
-    "tree_files": "SELECT o_custkey, 'n' || o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN '/f/' || o_orderkey || '.pdf' ELSE '' END AS link FROM orders",
     "site_listings": f"""
 WITH o AS (SELECT o_custkey, o_orderkey AS k, o_orderdate AS d, o_custkey % {len(_SHAPE)} AS n FROM orders), s AS (SELECT *, {_SHAPE!r}[n + 1] AS shape FROM o)
 SELECT o_custkey, CASE WHEN shape LIKE '%\\_links' ESCAPE '\\' OR shape IN ('rmp_paths', 'idfr_body') THEN regexp_replace(shape, '_(links|paths|body)$', '') ELSE shape END AS site, 'Order ' || k AS title,
@@ -355,7 +345,7 @@ SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count
     "name_functions": f"""
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'a.b' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN '.pdf' ELSE '' END WHEN c_custkey % 2 = 0 THEN 'a.b' || c_custkey || '_2024-02-03.pdf' ELSE 'a_2024-02-03.b' || c_custkey END AS versioned,
   '{BASE}/' || c_custkey AS link, CASE c_custkey % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 'en' END AS language, '[' || printf('%.12g', c_custkey / 4.0) || ',0.1,-2]' AS vector, 'Laporan a/b' || c_custkey AS decoded, 'AB' AS initials,
-  '{{"a":"' || c_custkey || '","b":"2"}}' AS json, 'T' || c_custkey || chr(10) || 'D' || chr(10) || 'Columns: x, y' || chr(10) || 'Frequency: daily' || chr(10) || 'Category: prices' AS catalogue, '3 Mac 2024' AS date, 'Title ' || c_custkey || ' more' AS title FROM customer""",
+  '{{"a":"' || c_custkey || '","b":"2"}}' AS json, '3 Mac 2024' AS date, 'Title ' || c_custkey || ' more' AS title FROM customer""",
     "vector_pairs": """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.vec_id, round(list_inner_product(a.v, b.v), 6) AS dot, round(sqrt(list_inner_product(a.v, a.v)), 6) AS norm, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1""",

@@ -480,10 +480,13 @@ SELECT conv_id, turn, CASE WHEN len(list_filter(w, lambda x: x IN ('apa','apakah
   CAST(ceil(len(string_split(text, ' ')) / 8.0) AS INTEGER) AS n_chunks, '1,' || turn AS marks,
   coalesce(nullif(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'unknown-agency') AS slug FROM c""",
     "document_pieces": """
-WITH p AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(t, i * 1400 + 1, 1400) AS x FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, greatest(CAST(ceil(length(coalesce(text, '')) / 1400.0) AS BIGINT), 1))) AS i FROM documents))
+WITH RECURSIVE p AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(t, i * 1400 + 1, 1400) AS x FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, greatest(CAST(ceil(length(coalesce(text, '')) / 1400.0) AS BIGINT), 1))) AS i FROM documents)
+), b(doc_id, chunk_index, chars, batch) AS (
+  SELECT doc_id, chunk_index, length(x), 0 FROM p WHERE chunk_index = 0
+  UNION ALL SELECT p.doc_id, p.chunk_index, CASE WHEN chars + length(x) > 8000 THEN length(x) ELSE chars + length(x) END, CASE WHEN chars + length(x) > 8000 THEN batch + 1 ELSE batch END
+  FROM b JOIN p ON p.doc_id = b.doc_id AND p.chunk_index = b.chunk_index + 1)
 SELECT doc_id, chunk_index, CAST(length(x) AS INTEGER) AS n_chars, md5(x) AS md5, CAST(sum(length(x)) OVER w + 2 * (count(*) OVER w - 1) AS INTEGER) AS context_chars,
-  CAST(floor((sum(length(x)) OVER (PARTITION BY doc_id ORDER BY chunk_index ROWS UNBOUNDED PRECEDING) - 1) / 8000.0) AS INTEGER) AS embed_batch
-FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""",
+  b.batch AS embed_batch FROM p JOIN b USING (doc_id, chunk_index) WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""",
     "document_sections": f"""
 WITH {_LINES}, g AS (SELECT doc_id, section_no, any_value(section_heading) AS section_heading, count(*) AS n_blocks, coalesce(string_agg(trim(text), chr(10) || chr(10) ORDER BY block_idx) FILTER (WHERE trim(text) <> ''), '') AS t FROM s GROUP BY 1, 2)
 SELECT doc_id, section_no, section_heading, n_blocks, md5(t) AS md5, CAST(nullif(least(length(t), 3000), 0) AS INTEGER) AS parent_chars FROM g""",

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisight.functions import urls
+from marisight.functions import dates, urls
+from marisight.operators.tables import settled
+from marisight.sources.html_nodes import selected
 
 #: fixed values: default places of a site's sitemap
 SITEMAPS = ("/sitemap.xml", "/sitemap_index.xml", "/wp-sitemap.xml", "/sitemap-index.xml")
+#: fixed values: how tree items name their file, labels of a catalogue entry's text, and where entries have their pages
+LOADED = r"(?i)loadResult\(\s*['\"]([^'\"]+\.pdf)['\"]"
+CATALOG_LABELS = ("Dataset ID", "Columns", "Update frequency", "Category", "API endpoint")
+CATALOG_PAGES = "https://data.gov.my/data-catalogue/"
 #: fixed values: file types that are indexed
 INDEXED = ("html", "pdf", "docx", "xlsx", "xls", "csv", "doc", "ppt", "pptx")
 
@@ -44,17 +52,17 @@ def sitemap_urls(maps: DataFrame, xml: str = "xml") -> DataFrame:
 
 def all_sitemap_urls(start: DataFrame, bodies: DataFrame, most_levels: int = 50) -> DataFrame:
     """Page locations below the given sitemap addresses (column url): index levels are followed by joins with bodies
-    (url, xml) until no new address turns up; more than ``most_levels`` of them are an error."""
-    found, seen = None, start.select("url").distinct()
-    level = seen
+    (url, xml) until no new address turns up; each level is written once, and more than ``most_levels`` of them are an error."""
+    level = settled(start.select("url").distinct())
+    found, seen = [], [level]
     for _ in range(most_levels):
-        here = sitemap_urls(level.join(bodies, "url").select("url", "xml"))
-        pages = here.where("kind = 'url'").select("loc", "lastmod")
-        found = pages if found is None else found.unionByName(pages)
-        level = here.where("kind = 'sitemap'").select(F.col("loc").alias("url")).distinct().join(seen, "url", "left_anti")
+        here = settled(sitemap_urls(level.join(bodies, "url").select("url", "xml")))
+        found.append(here.where("kind = 'url'").select("loc", "lastmod"))
+        level = here.where("kind = 'sitemap'").select(F.col("loc").alias("url")).distinct()
+        level = settled(level.join(reduce(DataFrame.unionByName, seen), "url", "left_anti"))
         if level.isEmpty():
-            return found.groupBy("loc").agg(F.max("lastmod").alias("lastmod"))
-        seen = seen.unionByName(level)
+            return reduce(DataFrame.unionByName, found).groupBy("loc").agg(F.max("lastmod").alias("lastmod"))
+        seen.append(level)
     raise RuntimeError(f"sitemaps nest deeper than {most_levels} levels")
 
 
@@ -146,13 +154,38 @@ def series_filter(asked: Column, column: str) -> Column:
     return F.coalesce((name != column) | (F.col(column).cast("string") == value), F.lit(True))
 
 
-def tree_links(trees: DataFrame, xml: str = "xml") -> DataFrame:
-    """(tree columns, pos, id, text, link): items of tree XML, with the address in their text or user data."""
-    items = F.regexp_extract_all(_bare(F.col(xml)), F.lit(r"(<item\s[^>]*>)"), 1)
-    rows = trees.select(*[c for c in trees.columns if c != xml], F.posexplode(items).alias("pos", "i"))
-    attribute = lambda name: F.regexp_extract("i", rf'\b{name}="([^"]*)"', 1)
-    link = F.regexp_extract(F.replace(attribute("text"), F.lit("&quot;"), F.lit('"')), r"""((?:https?://|/)[^\s"'<>&]+\.pdf)""", 1)
-    return rows.select(*[c for c in trees.columns if c != xml], "pos", attribute("id").alias("id"), attribute("text").alias("text"), link.alias("link"))
+def tree_items(trees: DataFrame, id: str = "id", xml: str = "xml") -> DataFrame:
+    """(id, pos, item, text, address): the items of tree answers, each with the address that its own ``myurl`` user data
+    names ('' without one).  An item inside another is an item of its own, and its user data are not the outer one's."""
+    found = selected(trees, {"item": ("item", ()), "data": ("item userdata[name=myurl]", ("item",))}, (id,), xml)
+    at = F.when(F.col("name") == "data", F.try_element_at("owners", F.lit("item"))).otherwise(F.col("pos"))
+    item, data = F.col("name") == "item", F.col("name") == "data"
+    said = F.min_by(F.when(data, F.col("text")), F.when(data, F.col("pos")))
+    of_item = lambda c: F.max(F.when(item, F.coalesce(F.try_element_at("attrs", F.lit(c)), F.lit(""))))
+    rows = found.groupBy(id, at.alias("pos")).agg(of_item("id").alias("item"), of_item("text").alias("text"), F.coalesce(said, F.lit("")).alias("said"))
+    return rows.select(id, "pos", "item", "text", F.regexp_extract("said", LOADED, 1).alias("address"))
+
+
+def tree_walk(answers: DataFrame, base: str, root: str = "", levels: int = 3) -> DataFrame:
+    """(parent, pos, link, title, file_name, published_at): the files of a tree whose answers (id, xml) are fetched by id:
+    from the root's answer ``levels`` levels of items down, and there the items that have an address.  An item that
+    stands under two others is reached twice."""
+    items = settled(tree_items(answers))
+    reached = items.where(F.col("id") == root).select(F.col("item").alias("id"))
+    for _ in range(levels - 1):
+        reached = reached.where("id <> ''").join(items, "id").select(F.col("item").alias("id"))
+    leaves = reached.where("id <> ''").join(items.where("address <> ''"), "id")
+    name = F.element_at(F.split("address", "/"), -1)
+    return leaves.select(F.col("id").alias("parent"), "pos", urls.absolute(F.col("address"), F.lit(base)).alias("link"), F.col("text").alias("title"), name.alias("file_name"), dates.name_date(name).alias("published_at"))
+
+
+def page_files(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, link, title): PDF files that a page links, first mention of each, titled by the link or the file."""
+    found = selected(pages, {"a": ("a[href]", ())}, (key, url), html)
+    href = F.trim(F.try_element_at("attrs", F.lit("href")))
+    rows = found.where(F.lower(href).endswith(".pdf")).select(key, "pos", urls.absolute(href, F.col(url)).alias("link"), "text")
+    rows = rows.groupBy(key, "link").agg(F.min("pos").alias("pos"), F.min_by("text", "pos").alias("text"))
+    return rows.select(key, "pos", "link", F.coalesce(F.nullif("text", F.lit("")), F.element_at(F.split("link", "/"), -1)).alias("title"))
 
 
 def first_list_with(json: Column, key: str, lists: tuple[str, ...], element: str) -> Column:
@@ -160,9 +193,22 @@ def first_list_with(json: Column, key: str, lists: tuple[str, ...], element: str
     return F.coalesce(*[F.when(F.get_json_object(json, f"$.{name}[0].{key}").isNotNull(), F.from_json(F.get_json_object(json, f"$.{name}"), f"array<{element}>")) for name in lists])
 
 
-def catalog_text(title: Column, description: Column, columns: Column, frequency: Column, category: Column) -> Column:
-    """What is indexed of a dataset: its titles, description, columns, frequency and category, a line each."""
-    return F.concat_ws("\n", title, description, F.concat(F.lit("Columns: "), F.array_join(columns, ", ")), F.concat(F.lit("Frequency: "), frequency), F.concat(F.lit("Category: "), category))
+def catalog_text(entry: Column) -> Column:
+    """What is indexed of a catalogue entry (struct of title_en, title_ms, description_en, description_ms, dataset_id,
+    columns, frequency, category, endpoint)."""
+    field = lambda name: F.coalesce(entry[name], F.lit(""))
+    titles = F.concat(field("title_en"), F.lit(" / "), field("title_ms"))
+    facts = [F.concat(F.lit(f"{label}: "), value) for label, value in zip(CATALOG_LABELS, (field("dataset_id"), F.array_join(entry["columns"], ", "), field("frequency"), field("category"), field("endpoint")))]
+    return F.concat_ws("\n\n", titles, field("description_en"), field("description_ms"), F.concat_ws("\n", *facts))
+
+
+def catalog_items(entries: DataFrame, prefix: str) -> DataFrame:
+    """Catalogue entries as rows to index: storage path, title, text, its digest and size, source and metadata."""
+    text = catalog_text(F.struct(*entries.columns))
+    name = F.concat("dataset_id", F.lit(".metadata"))
+    own = {"datagov_dataset_id": "dataset_id", "datagov_endpoint": "endpoint", "frequency": "frequency", "category": "category"}
+    metadata = F.create_map(F.lit("source_type"), F.lit("datagov_metadata"), F.lit("columns"), F.array_join("columns", ","), *[x for k, c in own.items() for x in (F.lit(k), F.col(c))])
+    return entries.select(F.concat(F.lit(prefix), name).alias("storage_path"), name.alias("file_name"), F.lit("metadata").alias("file_type"), F.lit("v1").alias("version_token"), F.col("title_en").alias("title"), F.concat(F.lit(CATALOG_PAGES), "dataset_id").alias("source_url"), text.alias("text"), F.sha2(text.cast("binary"), 256).alias("sha256"), F.octet_length(text).alias("size_bytes"), metadata.alias("metadata"))
 
 
 def usable_downloads(rows: DataFrame, content: str = "content", least: int = 10) -> DataFrame:

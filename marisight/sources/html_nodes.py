@@ -113,6 +113,10 @@ class Tree(HTMLParser):
         if said and not (self._open and self._open[-1].tag in _RAW):
             self.texts.append(said)
 
+    def unknown_decl(self, data: str) -> None:
+        if data.startswith("CDATA["):  # as XML has it
+            self.handle_data(data[6:])
+
     def text(self, node: Node) -> str:
         return " ".join(self.texts[slice(*node.said)])
 

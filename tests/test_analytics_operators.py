@@ -156,8 +156,6 @@ def test_crawl(spark):
 
 
 def test_small_sources(spark):
-    tree = spark.createDataFrame([(1, '<tree id="0"><item id="a" text="&quot;x&quot; /files/h.pdf"/><item id="b" text="none"/></tree>')], "k int, xml string")
-    assert [(r.id, r.link) for r in feeds.tree_links(tree).collect()] == [("a", "/files/h.pdf"), ("b", "")]
     row = spark.createDataFrame([('{"x":[{"q":1}],"y":[{"id":"7"}]}',)], "j string").select(feeds.first_list_with(F.col("j"), "id", ("x", "y"), "struct<id:string>").alias("l")).first()
     assert [e.id for e in row.l] == ["7"]
     asked = spark.createDataFrame([(1, "q"), (2, "p")], "question_id int, query_text string")
