@@ -3,8 +3,8 @@
 An *index* has a row per chunk (id, title, agency, storage_path, chunk_index, chunk_text,
 published_at, embedding); *queries* have (query_id, query_text, embedding).  Every ranking is a window
 over one question's own, bounded pool.  The vector search deals questions and rows out in blocks that
-meet pairwise; the word search starts from each question's rarest word, so only chunks with that word
-are looked at.
+meet pairwise; the word search (``word_index``) starts from each question's rarest word, so only chunks with
+that word are looked at.
 """
 
 from __future__ import annotations
@@ -16,13 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisight.functions.vectors import jaccard, lexemes, word_set
+from marisight.functions.vectors import jaccard, word_set
+from marisight.operators import word_index
 
 RRF_K = 60
 #: similarity that a chunk found by words alone counts as
 FTS_FLOOR = 0.50
-#: up to so many questions their rarest words are broadcast; those of more are shuffled
-QUERY_BLOCK = 10_000
 #: questions and rows that one task compares at a time
 VECTOR_QUERIES, VECTOR_ROWS = 1000, 8192
 
@@ -107,25 +106,28 @@ def cover_density(positions: Column | str, terms: Column | str, n_terms: Column
 def fts_matches(index: DataFrame, queries: DataFrame, columns: tuple[str, ...] = ("chunk_text",)) -> DataFrame:
     """(query_id, id, fts_rank) of chunks that hold every lexeme of the question, by cover density.
 
-    Words are counted over all chunks; each question meets only the chunks with its rarest word, and
-    places of words are taken of full matches alone.  Questions with a word that no chunk has drop out.
+    Words are taken once; each question meets only the chunks with its rarest word, and places of words are taken of
+    full matches alone.  Questions with a word that no chunk has drop out.
     """
-    docs = index.select("id", lexemes(F.concat_ws(" ", *columns)).alias("words")).select("id", "words", F.array_distinct("words").alias("kinds"))
-    asked = queries.select("query_id", F.array_distinct(lexemes(F.col("query_text"))).alias("terms")).where(F.size("terms") > 0)
-    counts = docs.select(F.explode("kinds").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    wanted = asked.select("query_id", "terms", F.explode("terms").alias("term")).join(counts, "term", "left")
-    rarest = wanted.groupBy("query_id").agg(F.first("terms").alias("terms"), F.min_by("term", F.struct(F.coalesce("n", F.lit(0)), "term")).alias("term"))
-    if queries.limit(QUERY_BLOCK + 1).count() <= QUERY_BLOCK:
-        rarest = F.broadcast(rarest)
-    met = docs.select("id", "words", F.explode("kinds").alias("term")).join(rarest, "term").where(F.size(F.array_except("terms", "words")) == 0)
-    place = F.transform("words", lambda w, i: F.struct(i.alias("pos"), F.array_position("terms", w).alias("term")))
-    met = met.select("query_id", "id", F.size("terms").alias("n_terms"), F.filter(place, lambda x: x["term"] > 0).alias("places"))
+    return _density(word_index.on_the_fly(index, queries, columns))
+
+
+def kept_fts_pool(folder: str, queries: DataFrame, n: int) -> DataFrame:
+    """As ``fts_pool``, over a word index that is kept in a folder."""
+    return _best_words(_density(word_index.kept_matches(queries.sparkSession, folder, queries)), n)
+
+
+def _density(met: DataFrame) -> DataFrame:
     return met.select("query_id", "id", cover_density(F.col("places.pos"), F.col("places.term"), F.col("n_terms")).alias("fts_rank"))
 
 
+def _best_words(met: DataFrame, n: int) -> DataFrame:
+    return _top(met, n, F.desc("fts_rank"), F.asc("id")).withColumnRenamed("_r", "frank")
+
+
 def fts_pool(index: DataFrame, queries: DataFrame, n: int, columns: tuple[str, ...] = ("chunk_text",)) -> DataFrame:
     """(query_id, id, fts_rank, frank): the n best matches by words; empty questions match nothing."""
-    return _top(fts_matches(index, queries, columns), n, F.desc("fts_rank"), F.asc("id")).withColumnRenamed("_r", "frank")
+    return _best_words(fts_matches(index, queries, columns), n)
 
 
 def filtered(index: DataFrame, agency: str | None = None, date_from: str | None = None, date_to: str | None = None) -> DataFrame:

@@ -25,3 +25,10 @@ def settled(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores, where its files give fewer: for costly expressions over a table in
+    a single row group.  Tables of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

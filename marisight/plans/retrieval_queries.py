@@ -6,10 +6,13 @@ passages with theirs; ratings and citations come from all events.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisight.operators import chunking, retrieval, state
+from marisight.operators import chunking, retrieval, state, word_index
+from marisight.operators.tables import shared_folder
 
 AS_OF = "2024-06-30"
 PIECE = 1400
@@ -104,6 +107,18 @@ def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows.withColumn("rrf_score", 1.0 / (60 + F.col("frank"))))
 
 
+def kept_fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word search over a kept index: even documents indexed first in another form, some rows that aren't documents
+    too; then all odd and the changed documents, and the strangers removed."""
+    folder = f"{shared_folder(spark)}/words-{uuid.uuid4().hex}"
+    rows = index(spark, sf_dir, False).select("id", "chunk_text")
+    even = rows.where("id % 2 = 0")
+    word_index.update(folder, even.withColumn("chunk_text", F.concat_ws(" ", F.when(F.col("id") % 4 == 0, "old"), "chunk_text", F.when(F.col("id") % 4 == 0, "words"))).unionByName(even.select((-1 - F.col("id")).alias("id"), "chunk_text")), 1)
+    word_index.update(folder, rows.where("id % 2 = 1 OR id % 4 = 0"), 2, removed=even.select((-1 - F.col("id")).alias("id")))
+    found = retrieval.kept_fts_pool(folder, questions(spark, sf_dir), 20)
+    return _rounded(found.withColumn("rrf_score", 1.0 / (60 + F.col("frank"))))
+
+
 def hybrid(spark: SparkSession, sf_dir: str, n: int, **given) -> DataFrame:
     """Hybrid search with the words' side read without the embeddings."""
     return retrieval.hybrid(index(spark, sf_dir), questions(spark, sf_dir), n, texts=index(spark, sf_dir, False), **given)
@@ -277,7 +292,7 @@ _WORDS = "list_distinct(list_filter(string_split_regex(lower({0}), '\\s+'), lamb
 QUERIES = {
     f.__name__: f
     for f in (
-        vector_search, fts_search, hybrid_search, hybrid_filtered, feedback_scores, feedback_boosted, multi_query_merge, recency_order, cutoff_rows, attention_order,
+        vector_search, fts_search, kept_fts_search, hybrid_search, hybrid_filtered, feedback_scores, feedback_boosted, multi_query_merge, recency_order, cutoff_rows, attention_order,
         context_blocks, citation_rows, knowledge_gaps, overlap_pairs, deduplicated, expanded_documents, lexical_rerank, answer_context, agency_detection,
     )
 }
@@ -285,6 +300,7 @@ QUERIES = {
 ORACLE_SQL = {
     "vector_search": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, CAST(vrank AS INTEGER) AS vrank FROM vr WHERE vrank <= 5"),
     "fts_search": _sql("SELECT query_id, id, round(fts_rank, 6) AS fts_rank, CAST(frank AS INTEGER) AS frank, round(CAST(1.0 AS DOUBLE) / (60 + frank), 6) AS rrf_score FROM fr"),
+    "kept_fts_search": _sql("SELECT query_id, id, round(fts_rank, 6) AS fts_rank, CAST(frank AS INTEGER) AS frank, round(CAST(1.0 AS DOUBLE) / (60 + frank), 6) AS rrf_score FROM fr"),
     "hybrid_search": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, round(fts_rank, 6) AS fts_rank, round(rrf_score, 6) AS rrf_score, rank FROM hyb"),
     "hybrid_filtered": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, round(fts_rank, 6) AS fts_rank, round(rrf_score, 6) AS rrf_score, rank FROM hyb", where="published_at BETWEEN DATE '2020-01-01' AND DATE '2023-12-31'"),
     "feedback_scores": f"WITH {_FEEDBACK} SELECT * FROM fs",
