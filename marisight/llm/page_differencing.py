@@ -8,14 +8,20 @@ common subsequence, and the lines they share are template and go.
 The alignment sees every line of a page, menus and footers included.  What it can't decide is told by
 the page's own marks:
 
-* An article may rightly be equal to its neighbour's (mirrors, copies), so lines inside an ``<article>``
-  or main element stay although they are shared.
+* Where a page has an ``<article>`` or main element, its lines are the main text, shared or not: an article
+  may rightly be equal to its neighbour's (mirrors, copies).  Articles that no frame encloses come first; where
+  there are none, those inside forms and named elements count, so a form or a sidebar layout around a whole
+  page takes nothing away.
+* Where a page has none, all lines are main text that the neighbour doesn't share.
 * Template slots may hold text that no other page has (adverts, footers with a page's own text).  Such
-  unshared lines go where an element around them is boilerplate by tag or by name.  A name counts
-  outside an article by its last part (``user-comments``, ``ad-slot``), inside one only if it is the
-  whole name (``share``, not ``article-header``); names of headings don't count.
-* All other unshared lines are main text, unless the page has an article that holds more text than they
-  do; an article of less text is a teaser among others.
+  lines go where an element around them is boilerplate by tag or by name.  A name counts outside an article by
+  its last part (``user-comments``, ``ad-slot``), inside one only if it is the whole name (``share``, not
+  ``article-header``); names of headings, heads of posts (``post-header``) and names that say what a layout
+  has (``page-with-sidebar``) don't count.  A form goes unless it holds a heading of the first rank or a line
+  of ``PROSE`` words or more.
+
+Alignment is exact and bounded: rows of the table of common lengths are bits of one number each, and only the
+rows of a part of the lines are held at a time, whatever repeats.
 
 Neighbours are found without collecting a host anywhere: (host, path) is range partitioned, each
 partition looks at its own order, and only its first and last entries are passed on.
@@ -31,9 +37,9 @@ from __future__ import annotations
 import hashlib
 import html as _html
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,7 +66,7 @@ _ENDED_BY = {name: (frozenset(ends.split()), frozenset(walls)) for name, (ends,
 _WALLS = frozenset("table td th caption".split())
 _LIST_WALLS = {"li": frozenset(("ul", "ol", "menu")), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("table",)), "th": frozenset(("table",)), "table": frozenset()}
 #: elements that never hold an article's own text
-_FRAME = frozenset("nav footer aside form button select dialog menu".split())
+_FRAME = frozenset("nav footer aside button select dialog menu".split())
 #: names of menus, headers, footers, sidebars, notices, adverts, forms and comments in class, id or role
 _FRAME_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer contentinfo sidebar complementary aside notice notices cookie cookies consent alert popup modal "
@@ -69,8 +75,15 @@ _FRAME_WORDS = frozenset(
 #: parts of names that say where or how something stands, not what it is
 _LAYOUT_WORDS = frozenset("container wrapper wrap box bar slot unit block area section list left right inner outer top bottom buttons links content".split())
 _PART = re.compile(r"[a-z0-9]+")
-#: where a line stands: inside an article, in a boilerplate element, or in neither
-_ARTICLE, _BOILERPLATE, _OPEN = 0, 1, 2
+#: names with such a part say what a layout has; names that start like this and end in ``header`` are heads of texts
+_SAYS_LAYOUT = frozenset(("with", "without", "has", "no"))
+_TEXTS = frozenset(("post", "entry", "article", "story", "page"))
+#: words of a line that forms for input don't have
+PROSE = 20
+#: where a line stands: inside an article, in a boilerplate element, in neither, or in an article that a frame encloses
+_ARTICLE, _BOILERPLATE, _OPEN, _FRAMED = 0, 1, 2, 3
+#: bits of the table of common lengths that are held at a time
+_BITS = 1 << 26
 
 
 def _named_frame(name: str, attributes: str, in_article: bool) -> bool:
@@ -83,6 +96,8 @@ def _named_frame(name: str, attributes: str, in_article: bool) -> bool:
             if whole in _FRAME_WORDS:
                 return True
             parts = [] if in_article else _PART.findall(whole)
+            if _SAYS_LAYOUT.intersection(parts) or parts[-1:] == ["header"] and parts[0] in _TEXTS:
+                continue
             while len(parts) > 1 and parts[-1] in _LAYOUT_WORDS:
                 parts.pop()
             if parts and parts[-1] in _FRAME_WORDS:
@@ -95,22 +110,43 @@ def blocks(page: str) -> tuple[list[str], list[int]]:
     texts: list[str] = []
     places: list[int] = []
     open_: list[tuple[str, bool, bool]] = []  # block elements: name, is boilerplate, is an article
-    frames = mains = at = 0
+    named: dict[str, int] = {}  # how many are open by name
+    frames = mains = forms = at = 0
+    enclosed = 0  # frames around the outermost open article
+    in_form: list[int] = []  # lines of the outermost open form (inside the article, if one is open)
+    prose = False
+    outside = (0, in_form, False)  # the form around the outermost open article
     held: list[str] = []
 
     def flush() -> None:
+        nonlocal prose
         if held:
             said = " ".join(_html.unescape("".join(held)).split())
             held.clear()
             if said:
+                place = _BOILERPLATE if frames else (_FRAMED if enclosed else _ARTICLE) if mains else _OPEN
+                if forms and place != _BOILERPLATE:
+                    in_form.append(len(texts))
+                    prose = prose or said.count(" ") >= PROSE - 1 or bool(named.get("h1"))
                 texts.append(said)
-                places.append(_BOILERPLATE if frames else _ARTICLE if mains else _OPEN)
+                places.append(place)
 
     def close(to: int) -> None:
-        nonlocal frames, mains
-        for _, frame, main in open_[to:]:
+        nonlocal frames, mains, enclosed, forms, prose, in_form
+        for name, frame, main in reversed(open_[to:]):
+            named[name] -= 1
             frames -= frame
             mains -= main
+            if main and not mains:
+                frames, enclosed = enclosed, 0
+                forms, in_form, prose = outside
+            if name == "form":
+                forms -= 1
+                if not forms:
+                    if not prose:
+                        for i in in_form:
+                            places[i] = _BOILERPLATE
+                    in_form, prose = [], False
         del open_[to:]
 
     for m in _TOKENS.finditer(page):
@@ -131,7 +167,7 @@ def blocks(page: str) -> tuple[list[str], list[int]]:
             continue
         if m[2]:
             walls = _LIST_WALLS.get(name, _WALLS)
-            for k in range(len(open_) - 1, -1, -1):
+            for k in range(len(open_) - 1, -1, -1) if named.get(name) else ():
                 if open_[k][0] == name:
                     close(k)
                     break
@@ -142,7 +178,7 @@ def blocks(page: str) -> tuple[list[str], list[int]]:
             close(len(open_) - 1)
         if name in _ENDED_BY:
             ends, walls = _ENDED_BY[name]
-            for k in range(len(open_) - 1, -1, -1):
+            for k in range(len(open_) - 1, -1, -1) if any(named.get(e) for e in ends) else ():
                 if open_[k][0] in walls:
                     break
                 if open_[k][0] in ends:
@@ -150,53 +186,88 @@ def blocks(page: str) -> tuple[list[str], list[int]]:
                     if name != "tr":
                         break
         main = name in _MAIN
-        frame = name in _FRAME or (name == "header" and not mains) or bool(m[4] and not main and name not in ("html", "body") and _named_frame(name, m[4], mains > 0))
+        if main and not mains:
+            frames, enclosed = 0, frames
+            outside, forms, in_form, prose = (forms, in_form, prose), 0, [], False
+        frame = name in _FRAME or (name == "header" and not mains) or bool(m[4] and not main and name not in ("html", "body", "form") and _named_frame(name, m[4], mains > 0))
         frames += frame
         mains += main
+        forms += name == "form"
+        named[name] = named.get(name, 0) + 1
         open_.append((name, frame, main))
     if at < len(page):
         held.append(page[at:])
     flush()
+    close(0)
     return texts, places
 
 
 def kept_lines(texts: list[str], places: list[int], shared: list[bool]) -> list[bool]:
-    """Which lines are main text: the article's, or all that are neither shared nor boilerplate."""
-    own = [place == _OPEN and not common for place, common in zip(places, shared)]
-    inside = [place == _ARTICLE for place in places]
-    size = lambda marks: sum(len(t) for t, here in zip(texts, marks) if here)
-    return [a or b for a, b in zip(inside, own)] if size(own) > size(inside) else inside
+    """Which lines are main text: the article's, else those of articles inside frames, else all that are neither shared
+    nor boilerplate."""
+    for wanted in (_ARTICLE, _FRAMED):
+        if wanted in places:
+            return [place == wanted for place in places]
+    return [place == _OPEN and not common for place, common in zip(places, shared)]
 
 
 def shared_lines(a: list[int], b: list[int]) -> list[bool]:
-    """Which entries of a are in a longest common subsequence of a and b (by matches in order)."""
+    """Which entries of a are in a longest common subsequence of a and b."""
     out = [False] * len(a)
+    both = set(a) & set(b)
+    _align([(i, x) for i, x in enumerate(a) if x in both], [x for x in b if x in both], out)
+    return out
+
+
+def _rows(a: list[int], b: list[int], keep: bool) -> list[int]:
+    """After each entry of a (or after all): a bit for each entry of b, 0 where the longest common length grows."""
+    where: dict[int, int] = {}
+    for j, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << j
+    every = (1 << len(b)) - 1
+    row, rows = every, []
+    for x in a:
+        met = row & where.get(x, 0)
+        row = ((row + met) | (row - met)) & every
+        if keep:
+            rows.append(row)
+    return rows or [row]
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """The longest common length of a with the first 0, 1, … entries of b."""
+    grows = _rows(a, b, False)[0].to_bytes(len(b) // 8 + 1, "little")
+    return np.r_[0, np.cumsum(1 - np.unpackbits(np.frombuffer(grows, np.uint8), bitorder="little")[: len(b)].astype(np.int64))]
+
+
+def _align(a: list[tuple[int, int]], b: list[int], out: list[bool]) -> None:
     lo, end_a, end_b = 0, len(a), len(b)
-    while lo < min(end_a, end_b) and a[lo] == b[lo]:
-        out[lo] = True
+    while lo < min(end_a, end_b) and a[lo][1] == b[lo]:
+        out[a[lo][0]] = True
         lo += 1
-    while end_a > lo and end_b > lo and a[end_a - 1] == b[end_b - 1]:
+    while end_a > lo and end_b > lo and a[end_a - 1][1] == b[end_b - 1]:
         end_a, end_b = end_a - 1, end_b - 1
-        out[end_a] = True
-    where: dict[int, list[int]] = {}
-    for j in range(end_b - 1, lo - 1, -1):
-        where.setdefault(b[j], []).append(j)
-    tails: list[int] = []  # smallest end in b of a common subsequence of each length
-    nodes: list[tuple[int, object]] = []
-    for i in range(lo, end_a):
-        for j in where.get(a[i], ()):
-            k = bisect_left(tails, j)
-            node = (i, nodes[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                nodes.append(node)
-            else:
-                tails[k], nodes[k] = j, node
-    node = nodes[-1] if nodes else None
-    while node is not None:
-        out[node[0]] = True
-        node = node[1]
-    return out
+        out[a[end_a][0]] = True
+    a, b = a[lo:end_a], b[lo:end_b]
+    if not a or not b:
+        return
+    said = [x for _, x in a]
+    if len(a) > 1 and len(a) * len(b) > _BITS:  # in halves of a, where b is cut best
+        half = len(a) // 2
+        cut = int((_lengths(said[:half], b) + _lengths(said[half:][::-1], b[::-1])[::-1]).argmax())
+        _align(a[:half], b[:cut], out)
+        _align(a[half:], b[cut:], out)
+        return
+    rows = _rows(said, b, True)
+    i, j = len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> j - 1 & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> j - 1 & 1:
+            out[a[i][0]] = True
+            j -= 1
 
 
 def _line_hash(text: str) -> int:

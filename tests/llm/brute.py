@@ -178,6 +178,49 @@ def main_texts(pages):
     return out
 
 
+def main_lines(tree):
+    """Main text of a tree of (element, children) and lines, alone on its host."""
+
+    def lines(nodes, path):
+        for n in nodes:
+            if isinstance(n, str):
+                yield n, path
+            else:
+                yield from lines(n[1], (*path, n))
+
+    every = list(lines(tree, ()))
+    is_main = lambda n: n[0] in ("article", "main")
+
+    def place(path):
+        mains = [i for i, n in enumerate(path) if is_main(n)]
+        start = mains[0] if mains else 0
+
+        def frame(i):
+            kind, inside = path[i][0], bool(mains) and i > start
+            return kind in ("aside", "nav", "div class=share", "div class=sidebar") or kind == "div class=user-comments" and not inside
+
+        around, within = (any(map(frame, r)) for r in (range(start), range(start, len(path))))
+        if mains:
+            return "frame" if within else "framed" if around else "article"
+        return "frame" if within else "open"
+
+    out = []
+    for said, path in every:
+        start = next((i for i, n in enumerate(path) if is_main(n)), 0)
+        form = next((n for n in path[start:] if n[0] == "form"), None)
+        here = place(path)
+        if form is not None and here != "frame":
+            inside = lambda p: any(n is form for n in p[next((i for i, n in enumerate(p) if is_main(n)), 0) :])
+            held = [t for t, p in every if inside(p) and place(p) != "frame"]
+            if all(len(t.split()) < 20 for t in held):
+                here = "frame"
+        out.append((said, here))
+    for wanted in ("article", "framed", "open"):
+        if any(h == wanted for _, h in out):
+            return [t for t, h in out if h == wanted]
+    return []
+
+
 def mix_targets(sizes, most=3):
     """source -> target; sizes in code-point order with null last."""
     names = list(sizes)

@@ -308,9 +308,66 @@ def test_op6_marks_of_pages():
     assert main_text('<ul class=menu><li>a<li>b</ul><p>x<svg/>y<iframe/>z<div class="user-comments">c</div><div class=ad-slot>q</div><section id=cookie-recipes>r</section>') == ["xyz", "r"]
     assert main_text("<table><tr><td>1<td class=ad>2<td>3<tr><td>4</table>") == ["1", "3", "4"]
     assert main_text("<li class=menu><ul><li>x</li></ul>y</li>z") == ["z"]
-    # a teaser is not the article; what the neighbour shares goes
-    teaser = "<article>short</article><div>{0} is the main text of this page</div><div>Site name and its slogan</div>"
-    assert main_text(teaser.format("one"), teaser.format("two")) == ["short", "one is the main text of this page"]
+    # an article is the main text, whatever stands beside or around it
+    aside = "<article>short</article><div>{0} is a longer text in a box without a mark</div><div>another box</div>"
+    assert main_text(aside.format("one"), aside.format("two")) == ["short"]
+    for around in ('<form id="f">{}</form>', '<div class="page-with-sidebar">{}</div>', '<section class="search">{}</section>', "<aside><form><nav>{}</nav></form></aside>", '<div class="sidebar"><div class="post">{}</div></div>'):
+        assert main_text(around.format("<p>Menu</p><article><p>Body</p><div class=share>s</div></article>")) == ["Body"]
+        assert main_text(around.format("<main><p>Body</p></main><aside>x</aside>")) == ["Body"]
+    assert main_text("<aside><article>teaser</article></aside><main>text<aside><article>related</article></aside></main>") == ["text"]
+    # forms: a page inside one, and a form for input
+    long = "word " * 20
+    assert main_text(f"<form><div>Head</div><p>{long}</p><nav>n</nav></form>") == ["Head", long.strip()]
+    assert main_text(f"<p>{long}</p><form><p>Your name</p><label>Mail</label><select><option>a</select></form>") == [long.strip()]
+    assert main_text("<form><h1>Title</h1><div>little</div></form>") == ["Title", "little"]
+    assert main_text('<div class="post-header"><h1>My title</h1></div><div class="site-header">S</div><p>x') == ["My title", "x"]
+
+
+def test_op6_many_equal_lines_and_unclosed_elements():
+    import time
+
+    began = time.perf_counter()
+    a, b = [1] * 20_000 + [2, 3] * 50, [4] + [1] * 19_000 + [5] + [1] * 500 + [3, 2] * 50 + [6]
+    shared = page_differencing.shared_lines(a, b)
+    assert sum(shared[:20_000]) == 19_500 and sum(shared[20_000:]) == 99
+    texts, places = page_differencing.blocks("<div>" * 12_000 + "</span></section>" * 12_000 + "x" + "<li>y" * 3000)
+    assert len(texts) == 3001 and set(places) == {page_differencing._OPEN}
+    assert time.perf_counter() - began < 20
+
+
+def test_op6_alignment_in_parts(monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(page_differencing, "_BITS", 40)
+    for _ in range(300):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(30))] for _ in range(2))
+        d = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                d[i + 1][j + 1] = d[i][j] + 1 if x == y else max(d[i][j + 1], d[i + 1][j])
+        marked = [x for x, here in zip(a, page_differencing.shared_lines(a, b)) if here]
+        rest = iter(b)
+        assert len(marked) == d[-1][-1] and all(x in rest for x in marked)
+
+
+def test_op6_second_version_of_marks():
+    """Random nested pages against places found by walking the tree of their elements."""
+    rng = random.Random(11)
+    kinds = ["div", "section", "article", "main", "aside", "form", "nav", "div class=share", "div class=sidebar", "div class=user-comments", "div class=page-with-sidebar", "p"]
+    for _ in range(400):
+        number = [0]
+
+        def made(depth):
+            if depth == 0 or rng.random() < 0.3:
+                number[0] += 1
+                return f"line {number[0]}" + " w" * rng.choice([0, 3, 25])
+            kind = rng.choice(kinds)
+            return (kind, [made(0)] if kind == "p" else [made(depth - 1) for _ in range(rng.randrange(1, 4))])
+
+        tree = [made(4) for _ in range(rng.randrange(1, 4))]
+        write = lambda n: f"<div>{n}</div>" if isinstance(n, str) else f"<{n[0]}>{''.join(map(write, n[1]))}</{n[0].split()[0]}>"
+        texts, places = page_differencing.blocks("".join(map(write, tree)))
+        got = [t for t, keep in zip(texts, page_differencing.kept_lines(texts, places, [False] * len(texts))) if keep]
+        assert got == brute.main_lines(tree), tree
 
 
 def test_op6_second_version(spark):
