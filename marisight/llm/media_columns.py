@@ -39,16 +39,19 @@ from marisight.llm._shared import written
 ROW = 64
 #: a digest is hot with more than one in so many references (and ``HOT_LEAST``); there are at most so many hot ones
 HOT_SHARE, HOT_LEAST = 10_000, 1000
-_TOKEN = re.compile(r"<!--.*?-->|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>", re.S | re.I)
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: elements that end an unclosed caption where they begin
+_BLOCKS = frozenset("address article aside blockquote div dl figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 SEQUENCE = "array<struct<position:int,kind:string,text:string,digest:string,caption:string>>"
 
 
 def interleaved(page: str) -> list[dict]:
     """Text runs and media references of one page, in page order.  ``<img>``, ``<audio>``, ``<video>`` and
     ``<source>`` are references when their address is ``sha256:…``; a ``<figcaption>`` belongs to the
-    references of its figure, otherwise the ``alt`` text is the caption."""
+    references of its figure, otherwise the ``alt`` text is the caption.  A caption whose end is left out ends with
+    its figure, or where the next block begins, or with the page; scripts and styles are no text."""
     out: list[dict] = []
     at, caption, figure = 0, None, []
 
@@ -64,21 +67,26 @@ def interleaved(page: str) -> list[dict]:
         else:
             out.append({"kind": "text", "text": said, "digest": None, "caption": None})
 
+    def end_caption() -> None:
+        nonlocal caption
+        if caption is not None:
+            for ref in figure:
+                ref["caption"] = " ".join(caption)
+            caption = None
+
     for m in _TOKEN.finditer(page):
         text(page[at : m.start()])
         at = m.end()
         tag = _NAME.match(m[0])
-        if not tag:
+        if not tag or m[1]:
             continue
         closing, name = tag[1], tag[2].lower()
+        if name in ("figure", "figcaption") or (name in _BLOCKS and not closing):
+            end_caption()
         if name == "figure":
             figure = []
         elif name == "figcaption":
-            if closing and caption is not None:
-                for ref in figure:
-                    ref["caption"] = " ".join(caption)
-                caption = None
-            elif not closing:
+            if not closing:
                 caption = []
         elif name in ("img", "audio", "video", "source") and not closing:
             found = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(m[0])}
@@ -87,6 +95,7 @@ def interleaved(page: str) -> list[dict]:
                 out.append({"kind": "media", "text": None, "digest": src[7:].lower(), "caption": found.get("alt")})
                 figure.append(out[-1])
     text(page[at:])
+    end_caption()
     return [{"position": i, **x} for i, x in enumerate(out)]
 
 
@@ -191,8 +200,11 @@ def described(media: DataFrame) -> DataFrame:
     return found.groupBy("digest").agg(*[F.first(c).alias(c) for c in found.columns if c != "digest"])
 
 
-def resolve(refs: DataFrame, media: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
-    """References with the columns of their payload; ``media`` holds one row per digest."""
+def resolve(refs: DataFrame, media: DataFrame, hot_least: int = HOT_LEAST, prefix: str = "media_") -> DataFrame:
+    """References with the columns of their payload; ``media`` holds one row per digest.  Payload columns whose names
+    references have too get the prefix."""
+    taken = {c.lower() for c in refs.columns} - {"digest"}
+    media = media.withColumnsRenamed({c: prefix + c for c in media.columns if c.lower() in taken})
     counts = refs.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.count(F.lit(1)).alias("__n"))
     most = max(hot_least, refs.count() // HOT_SHARE)
     hot = F.broadcast(counts.where(F.col("__n") > most).select("digest", F.ceil(F.col("__n") / most).cast("int").alias("__parts")))

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import gc
 import heapq
-import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -133,15 +132,19 @@ class PieceModel:
         """Ids of a space mark and a word, by the memo."""
         found = self.memo.get(word)
         if found is None:
-            found = self.cut_ids(MARK + word)
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            if len(word) < 256:
-                self.memo[word] = found
+            found = self.keep(word, self.cut_ids(MARK + word))
             if word:
                 self.fresh.append((word, found))
         return found
 
+    def keep(self, key: str, found: tuple[int, ...]) -> tuple[int, ...]:
+        """Puts a short cut's ids into the memo, which never has more than ``MEMO_ENTRIES``."""
+        if len(key) < 256:
+            if len(self.memo) >= MEMO_ENTRIES:
+                self.memo.clear()
+            self.memo[key] = found
+        return found
+
     def check(self) -> None:
         """Compares what has been encoded since the last check with the library: all new cuts, in one call."""
         fresh, self.fresh = self.fresh, []
@@ -184,9 +187,7 @@ class PieceModel:
         """Ids of a word that no space mark precedes, by the memo (after a line feed, which no word holds)."""
         found = self.memo.get("\n" + word)
         if found is None:
-            found = self.cut_ids(word)
-            if len(word) < 256:
-                self.memo["\n" + word] = found
+            found = self.keep("\n" + word, self.cut_ids(word))
             self.fresh.append(("\n" + word, found))
         return found
 
@@ -260,6 +261,5 @@ def digests(df: DataFrame) -> DataFrame:
 
 def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded; see the module for defined results."""
-    path = os.environ.get("PIECE_MODEL") or default_model_path()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digests(encode_and_decode(docs, path=path))
+    return digests(encode_and_decode(docs))

@@ -457,6 +457,32 @@ def test_op7_sequences(spark):
         media_columns.samples(b"P5\n64 2\n255\n" + bytes(64))
 
 
+def test_op7_captions_scripts_and_clashing_names(spark):
+    def read(page):
+        return [(s["kind"], s["text"] or s["digest"], s["caption"]) for s in media_columns.interleaved(page)]
+
+    open_ = '<figure><img src="sha256:a"><figcaption>Cap'
+    assert read(open_ + "</figure>after") == [("media", "a", "Cap"), ("text", "after", None)]
+    assert read(open_ + "<p>next</p>") == [("media", "a", "Cap"), ("text", "next", None)]
+    assert read(open_ + " <b>bold</b> end") == [("media", "a", "Cap bold end")]
+    assert read(open_ + "</figcaption></figure><figcaption>lost</figcaption>x") == [("media", "a", "Cap"), ("text", "x", None)]
+    assert read("a<script>var x = '<img src=sha256:b>';</script>b<STYLE>p{}</STYLE>c<style>open") == [("text", "a b c", None)]
+    refs = spark.createDataFrame([("k", "d", 1)], "key string, digest string, feature int")
+    media = spark.createDataFrame([("d", "f", b"x")], "digest string, feature string, stored binary")
+    row = media_columns.resolve(refs, media).first()
+    assert (row.feature, row.media_feature, bytes(row.stored)) == (1, "f", b"x")
+
+
+def test_op7_pages(spark, sf_dir):
+    """The sequences of whole web pages have all their words, in order."""
+    import re
+
+    for r in media_columns.sequences(table(spark, sf_dir, "pages").select("page_id", "html")).collect():
+        said = " ".join(s.text for s in r.sequence if s.kind == "text").split()
+        bare = re.sub(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1>", " ", r.html)
+        assert said == __import__("html").unescape(re.sub(r"<[^>]*>", " ", bare)).split() and [s.position for s in r.sequence] == list(range(len(r.sequence)))
+
+
 # --- 8 ---------------------------------------------------------------------------------------------
 
 
@@ -581,6 +607,14 @@ def test_op9_edges(spark):
     assert sentencepiece_codec.encode_and_decode(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_op9_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "MEMO_ENTRIES", 100)
+    m = sentencepiece_codec.PieceModel(sentencepiece_codec.default_model_path())
+    text = "\n".join(f"line{i} word{i}" for i in range(2000))
+    assert m.encode(text) == m.library.encode(text) and len(m.memo) <= 100
+    m.check()
+
+
 # --- 10 --------------------------------------------------------------------------------------------
 
 
