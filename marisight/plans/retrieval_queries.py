@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisight.operators import chunking, retrieval, state, word_index
+from marisight.operators import chunking, retrieval, state, vector_index, word_index
 from marisight.operators.tables import shared_folder
 
 AS_OF = "2024-06-30"
@@ -107,6 +107,28 @@ def fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows.withColumn("rrf_score", 1.0 / (60 + F.col("frank"))))
 
 
+def _hundredths(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All vectors, and those whose id is divisible by 100 as questions."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return rows, rows.where("id % 100 = 0").withColumnRenamed("id", "query_id")
+
+
+def cell_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most similar vectors of each question by an inverted file, exactly."""
+    rows, asked = _hundredths(spark, sf_dir)
+    return _rounded(vector_index.search(vector_index.built(rows), asked, 10))
+
+
+def cell_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of the ten most similar vectors of each question the calibrated number of probes finds."""
+    rows, asked = _hundredths(spark, sf_dir)
+    index = vector_index.built(rows)
+    probes = vector_index.calibrated(index, 10)
+    some = vector_index.search(index, asked, 10, probes, exact=False).select("query_id", "id", F.lit(1).alias("met"))
+    met = vector_index.search(index, asked, 10).join(some, ["query_id", "id"], "left")
+    return met.groupBy("query_id").agg(F.count(F.lit(1)).alias("wanted"), F.coalesce(F.sum("met"), F.lit(0)).alias("found")).withColumn("probes", F.lit(probes)).withColumn("cells", F.lit(len(index.size)))
+
+
 def kept_fts_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The word search over a kept index: even documents indexed first in another form, some rows that aren't documents
     too; then all odd and the changed documents, and the strangers removed."""
@@ -292,7 +314,7 @@ _WORDS = "list_distinct(list_filter(string_split_regex(lower({0}), '\\s+'), lamb
 QUERIES = {
     f.__name__: f
     for f in (
-        vector_search, fts_search, kept_fts_search, hybrid_search, hybrid_filtered, feedback_scores, feedback_boosted, multi_query_merge, recency_order, cutoff_rows, attention_order,
+        vector_search, fts_search, kept_fts_search, cell_search, cell_recall, hybrid_search, hybrid_filtered, feedback_scores, feedback_boosted, multi_query_merge, recency_order, cutoff_rows, attention_order,
         context_blocks, citation_rows, knowledge_gaps, overlap_pairs, deduplicated, expanded_documents, lexical_rerank, answer_context, agency_detection,
     )
 }
@@ -300,6 +322,9 @@ QUERIES = {
 ORACLE_SQL = {
     "vector_search": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, CAST(vrank AS INTEGER) AS vrank FROM vr WHERE vrank <= 5"),
     "fts_search": _sql("SELECT query_id, id, round(fts_rank, 6) AS fts_rank, CAST(frank AS INTEGER) AS frank, round(CAST(1.0 AS DOUBLE) / (60 + frank), 6) AS rrf_score FROM fr"),
+    "cell_search": """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (SELECT a.vec_id AS query_id, b.vec_id AS id, list_cosine_similarity(a.v, b.v) AS similarity FROM e a JOIN e b ON a.vec_id % 100 = 0)
+SELECT query_id, id, round(similarity, 6) AS similarity, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS INTEGER) AS vrank FROM s QUALIFY vrank <= 10""",
     "kept_fts_search": _sql("SELECT query_id, id, round(fts_rank, 6) AS fts_rank, CAST(frank AS INTEGER) AS frank, round(CAST(1.0 AS DOUBLE) / (60 + frank), 6) AS rrf_score FROM fr"),
     "hybrid_search": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, round(fts_rank, 6) AS fts_rank, round(rrf_score, 6) AS rrf_score, rank FROM hyb"),
     "hybrid_filtered": _sql("SELECT query_id, id, round(similarity, 6) AS similarity, round(fts_rank, 6) AS fts_rank, round(rrf_score, 6) AS rrf_score, rank FROM hyb", where="published_at BETWEEN DATE '2020-01-01' AND DATE '2023-12-31'"),
