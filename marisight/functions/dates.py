@@ -1,11 +1,15 @@
-"""Dates as they stand in Malay and English listings, as column expressions over regular expressions."""
+"""Dates as they stand in Malay and English listings, read from their tokens."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from datetime import date
+from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: fixed values: month names and abbreviations of both languages, by month
 MONTHS = {
@@ -25,8 +29,6 @@ MONTHS = {
 #: fixed values: Malay days of the week
 DAYS = ("isnin", "selasa", "rabu", "khamis", "jumaat", "sabtu", "ahad")
 
-_NAMES = sorted((n for names in MONTHS.values() for n in names), key=len, reverse=True)
-_MONTH = "(" + "|".join(_NAMES) + ")"
 _YEAR = r"((?:19|20)\d{2})"
 
 
@@ -36,51 +38,130 @@ def month_number(name: Column) -> Column:
     return F.try_element_at(known, F.lower(name))
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    return F.try_to_date(F.format_string("%s-%02d-%02d", year, month.cast("int"), day.cast("int")), "yyyy-MM-dd")
-
-
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with the value computed once however often it is used."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
-def _found(text: Column, pattern: str, year: int, month: int, day: int, named: bool) -> Column:
-    """The date of the pattern's first match in a text without bars; its groups are taken in one pass."""
-    groups = "|".join(f"${i}" if i else "1" for i in (year, month, day))
-    met = F.regexp_replace(text, r"(?s)^.*?" + pattern + r".*$", groups)
-
-    def date(parts: Column) -> Column:
-        m = month_number(parts[1]) if named else parts[1]
-        return F.when((F.size(parts) == 3) & m.isNotNull(), _date(parts[0], m, parts[2]))
-
-    return _once(F.split(met, r"\|"), lambda parts: F.when(F.size(parts) == 3, date(parts)))
-
-
-def cleaned(text: Column) -> Column:
-    """Lower case, without day names, ordinal endings and listing marks."""
-    s = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"\b(" + "|".join(DAYS) + r")\b", " ")
-    s = F.regexp_replace(s, r"(\d+)(st|nd|rd|th)\b", "$1")
-    return F.trim(F.regexp_replace(F.regexp_replace(s, "[|•]", " "), r"\s+", " "))
+#: two-digit years from here on belong to the last century
+PIVOT = 70
+_ISO = re.compile(r"\d{4}-\d{2}-\d{2}")
+_TOKEN = re.compile(r"\w+|[^\w]+")
+_ORDINAL = re.compile(r"(\d+)(?:st|nd|rd|th)$")
+_JOINED = re.compile(r"(\d{1,2})([^\W\d_]+)$")
+_NUMBERS = {name: m for m, names in MONTHS.items() for name in names}
+#: forms of dates, in the order in which they are looked for, as classes of tokens and the signs that may stand
+#: between two of them (+: one at least, 1: just one).  M a month's name, D one or two digits, Y a year, S two digits
+#: for a year, C eight digits.
+_FORMS = (
+    ("DMY", (" .-", " ,.-")),
+    ("MDY", (" .", "+ ,")),
+    ("DDY", ("1/.-", "1/.-")),
+    ("MY", (" ,.",)),
+    ("YMD", (" ,./-", " ,./-")),
+    ("YDD", ("1/.-", "1/.-")),
+    ("DMS", (" .-", " ,.-")),
+    ("DDS", ("1/.-", "1/.-")),
+    ("C", ()),
+    ("YM", (" ,./-",)),
+    ("DY", ("1/.-",)),
+    ("Y", ()),
+)
+
+
+def _tokens(text: str) -> list[tuple[frozenset[str], str, str]]:
+    """(classes, token, what stands before it) of a label's words and numbers, but names of days."""
+    out, gap = [], ""
+    for token in _TOKEN.findall(text.lower()):
+        if not (token[0].isalnum() or token[0] == "_"):
+            gap += re.sub("[|•\\s]+", " ", token)
+            continue
+        if token in DAYS:
+            gap += " "
+            continue
+        if m := _ORDINAL.match(token):
+            token = m[1]
+        parts = [token]
+        if (m := _JOINED.match(token)) and m[2] in _NUMBERS:
+            parts = [m[1], m[2]]
+        for part in parts:
+            kinds = ""
+            if part in _NUMBERS:
+                kinds = "M"
+            elif part.isascii() and part.isdigit():
+                n = len(part)
+                kinds = ("D" if n <= 2 else "") + ("S" if n == 2 else "") + ("Y" if n == 4 and part[:2] in ("19", "20") else "") + ("C" if n == 8 else "")
+            out.append((frozenset(kinds), part, re.sub(" +", " ", gap)))
+            gap = ""
+    return out
+
+
+def _read(form: str, parts: list[str]) -> str | None:
+    """The date that a form's tokens say, if there is such a day."""
+    day, month, year = 1, 1, 0
+    numbers = []
+    for kind, part in zip(form, parts):
+        if kind == "M":
+            month = _NUMBERS[part]
+        elif kind == "Y":
+            year = int(part)
+        elif kind == "S":
+            year = int(part) + (1900 if int(part) >= PIVOT else 2000)
+        elif kind == "C":
+            year, month, day = int(part[:4]), int(part[4:6]), int(part[6:])
+        else:
+            numbers.append(int(part))
+    if form in ("DDY", "DDS", "YDD"):  # days come first, unless only the other way round is a date
+        day, month = numbers if form != "YDD" or numbers[1] <= 12 else numbers[::-1]
+        if month > 12:
+            day, month = month, day
+    elif form == "DY":
+        month = numbers[0]
+    elif numbers:
+        day = numbers[0]
+    try:
+        return date(year, month, day).isoformat()
+    except ValueError:
+        return None
+
+
+def _between(signs: str, gap: str) -> bool:
+    if signs[:1] == "1":
+        return len(gap) == 1 and gap in signs[1:]
+    return (bool(gap) or signs[:1] != "+") and all(c in signs for c in gap)
+
+
+@lru_cache(maxsize=1 << 16)
+def read_date(label: str) -> str:
+    """The ISO date of a label, '' without one."""
+    given = label.strip()
+    if m := _ISO.match(given):
+        return m[0]
+    tokens = _tokens(given)
+    for form, signs in _FORMS:
+        for i in range(len(tokens) - len(form) + 1):
+            here = tokens[i : i + len(form)]
+            if all(k in t[0] for k, t in zip(form, here)) and all(_between(s, t[2]) for s, t in zip(signs, here[1:])):
+                found = _read(form, [t[1] for t in here])
+                if found is not None:
+                    return found
+                if form != "Y":
+                    break  # the first place of a form is the only one that counts
+    return ""
+
+
+@F.pandas_udf(StringType())
+def _read_labels(labels: pd.Series) -> pd.Series:
+    which, distinct = pd.factorize(labels.fillna(""))
+    return pd.Series([read_date(x) for x in distinct], dtype=object).take(which).reset_index(drop=True)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _read_each(lists: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [read_date(t or "") for t in x] for x in lists], dtype=object)
 
 
 def parse_date(text: Column) -> Column:
-    """ISO text of the date in a listing's label, '' without one.  A leading ISO date stands as it is; then
-    day month-name year, month-name day year, day/month/year, month-name year (first day) and a year
-    (first of January) are tried in this order."""
-
-    def tiers(s: Column) -> Column:
-        return F.coalesce(
-            _found(s, r"\b(\d{1,2})[ .\-]*" + _MONTH + r"\b[ ,.\-]*" + _YEAR + r"\b", 3, 2, 1, True),
-            _found(s, r"\b" + _MONTH + r"\b[ .]*(\d{1,2})[ ,]+" + _YEAR + r"\b", 3, 1, 2, True),
-            _found(s, r"\b(\d{1,2})[/.\-](\d{1,2})[/.\-]" + _YEAR + r"\b", 3, 2, 1, False),
-            _found(s, r"\b" + _MONTH + r"\b[ ,.]*" + _YEAR + r"\b", 2, 1, 0, True),
-            F.try_to_date(F.concat(F.nullif(F.regexp_extract(s, r"\b" + _YEAR + r"\b", 1), F.lit("")), F.lit("-01-01")), "yyyy-MM-dd"),
-        )
-
-    given = F.trim(F.coalesce(text, F.lit("")))
-    some = F.when(given != "", F.date_format(_once(cleaned(text), tiers), "yyyy-MM-dd"))
-    return _once(F.regexp_extract(given, r"^(\d{4}-\d{2}-\d{2})", 1), lambda iso: F.when(iso != "", iso).otherwise(F.coalesce(some, F.lit(""))))
+    """ISO text of the date in a listing's label, '' without one.  A leading ISO date stands as it is; then forms with a
+    month's name, with numbers (days first, unless only the other order is a date), with years of two digits or all
+    digits together, months with a year (first day) and a year (first of January) are looked for in the order of
+    ``_FORMS``.  One pass of tokens over the distinct labels of an Arrow batch."""
+    return _read_labels(text)
 
 
 def iso_date(text: Column) -> Column:
@@ -142,6 +223,6 @@ def speech_date(title: Column, lines: Column, year: Column) -> Column:
     """Date of a speech: in brackets in its title, else the first of the lines below it that has one, else the first
     of January of its page's year, else ''."""
     bracketed = parse_date(F.regexp_extract(title, r"\(([^)]+)\)", 1))
-    below = F.try_element_at(F.filter(F.transform(lines, parse_date), lambda x: x != ""), F.lit(1))
+    below = F.try_element_at(F.filter(_read_each(lines), lambda x: x != ""), F.lit(1))
     fallback = F.when(F.coalesce(year, F.lit("")) != "", F.concat(year, F.lit("-01-01")))
     return F.coalesce(F.nullif(bracketed, F.lit("")), below, fallback, F.lit(""))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marisight.functions import dates, text, urls
 from marisight.operators import chunking, links, listings, state
-from marisight.operators.tables import shared_folder
+from marisight.operators.tables import shared_folder, spread
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds, html_blocks
 from marisight.streaming import jobs
@@ -74,7 +74,7 @@ def date_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     name = F.concat(F.lit("DR-"), F.date_format(day, "ddMMyyyy"), F.lit(".pdf"))
     until = F.concat(F.lit("Data sehingga "), _malay(day))
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey",
         dates.parse_date(label).alias("parsed"),
         dates.iso_date(F.date_format(day, "yyyy-MM-dd'T'10:00:00+08:00")).alias("iso"),

@@ -101,3 +101,36 @@ def test_vectors(spark):
     assert one(spark, vectors.cosine(arr(0, 0), arr(1, 0))) == 0.0
     assert one(spark, vectors.cosine(arr(1, 1, 5), arr(1, 1))) == pytest.approx(2 / (27**0.5 * 2**0.5))
     assert one(spark, vectors.jaccard(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b")))) == 0.5
+
+
+@pytest.mark.parametrize(
+    "label, want",
+    [
+        ("2024 Mac 15", "2024-03-15"),
+        ("2024/03/15", "2024-03-15"),
+        ("2024/03/05", "2024-05-03"),
+        ("03/15/2024", "2024-03-15"),
+        ("15 Jan 24", "2024-01-15"),
+        ("1/2/24", "2024-02-01"),
+        ("1.2.99", "1999-02-01"),
+        ("Dikemaskini 20240315", "2024-03-15"),
+        ("2024 Disember", "2024-12-01"),
+        ("03/2024", "2024-03-01"),
+        ("15Januari 2024", "2024-01-15"),
+        ("Bil. 12 / 31 Februari 2024", "2024-02-01"),
+        ("45 Mac 2024", "2024-03-01"),
+        ("Jun 3rd, 2021 | x", "2021-06-03"),
+        ("abc2019 report", ""),
+        ("call 60312345678", ""),
+        ("Mac 15,2024", "2024-03-15"),
+        ("2024-13-45T00", "2024-13-45"),
+    ],
+)
+def test_other_forms_of_dates(spark, label, want):
+    assert dates.read_date(label) == want
+
+
+def test_dates_of_many_labels(spark):
+    rows = spark.createDataFrame([(1, "3 Mac 2024", ["x", None, "5 Jun 2020"]), (2, None, None), (3, "", []), (4, "3 Mac 2024", ["none"])], "n int, v string, lines array<string>")
+    got = {r.n: (r.d, r.s) for r in rows.select("n", dates.parse_date(F.col("v")).alias("d"), dates.speech_date(F.col("v"), F.col("lines"), F.lit("2019")).alias("s")).collect()}
+    assert got == {1: ("2024-03-03", "2020-06-05"), 2: ("", "2019-01-01"), 3: ("", "2019-01-01"), 4: ("2024-03-03", "2019-01-01")}
