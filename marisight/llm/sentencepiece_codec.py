@@ -132,19 +132,15 @@ class PieceModel:
         """Ids of a space mark and a word, by the memo."""
         found = self.memo.get(word)
         if found is None:
-            found = self.keep(word, self.cut_ids(MARK + word))
+            found = self.cut_ids(MARK + word)
+            if len(word) < 256:
+                if len(self.memo) >= MEMO_ENTRIES:
+                    self.memo.clear()
+                self.memo[word] = found
             if word:
                 self.fresh.append((word, found))
         return found
 
-    def keep(self, key: str, found: tuple[int, ...]) -> tuple[int, ...]:
-        """Puts a short cut's ids into the memo, which never has more than ``MEMO_ENTRIES``."""
-        if len(key) < 256:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[key] = found
-        return found
-
     def check(self) -> None:
         """Compares what has been encoded since the last check with the library: all new cuts, in one call."""
         fresh, self.fresh = self.fresh, []
@@ -187,7 +183,11 @@ class PieceModel:
         """Ids of a word that no space mark precedes, by the memo (after a line feed, which no word holds)."""
         found = self.memo.get("\n" + word)
         if found is None:
-            found = self.keep("\n" + word, self.cut_ids(word))
+            found = self.cut_ids(word)
+            if len(word) < 256:
+                if len(self.memo) >= MEMO_ENTRIES:
+                    self.memo.clear()
+                self.memo["\n" + word] = found
             self.fresh.append(("\n" + word, found))
         return found
 

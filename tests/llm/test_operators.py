@@ -607,6 +607,17 @@ def test_op9_edges(spark):
     assert sentencepiece_codec.encode_and_decode(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_op9_random_texts_equal_the_library():
+    m = sentencepiece_codec.PieceModel(sentencepiece_codec.default_model_path())
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["a", "word", " ", " ", "\n", "é", "語", "▁", "  ", "\t", "x\n"]) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    texts += [None, "", " ", "\n", "\n\n", "a", " a", "a ", "a\n b", "a \nb", "a b\nc d\n\ne", "\na", "a\n"]
+    for lo in range(0, len(texts), 500):
+        got = [m.encode(t or "") for t in texts[lo : lo + 500]]
+        m.check()
+        assert got == [m.library.encode(t or "") for t in texts[lo : lo + 500]]
+
+
 def test_op9_memo_is_bounded(monkeypatch):
     monkeypatch.setattr(sentencepiece_codec, "MEMO_ENTRIES", 100)
     m = sentencepiece_codec.PieceModel(sentencepiece_codec.default_model_path())
