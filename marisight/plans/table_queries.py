@@ -370,22 +370,28 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf_dir: str, make, keys: tuple[str, ...] = ()) -> DataFrame:
     """What a stream over all events has written when nothing is left to read: rows as they were appended, or, with
-    ``keys``, the last state of each key (each batch writes the keys that it changed, under its number, so a batch
-    that is run again replaces its own rows)."""
+    ``keys``, the last state of each key."""
     at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    like = table(spark, sf_dir, "events")
-    made = make(jobs.event_stream(spark, f"{sf_dir}/[e]vents.parquet", like))
+    made = make(jobs.event_stream(spark, f"{sf_dir}/[e]vents.parquet", table(spark, sf_dir, "events")))
+    sink = jobs.KeyedSink(at, keys)
+    jobs.run_available(made, f"{at}/state", sink, "update" if keys else "append").awaitTermination()
+    return sink.table(spark, made.schema) if keys else sink.rows(spark, made.schema).drop("batch")
 
-    def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{at}/out/batch={batch}")
 
-    jobs.run_available(made, f"{at}/state", keep, "update" if keys else "append").awaitTermination()
-    rows = spark.read.schema(f"{made.schema.toDDL()}, batch long").option("basePath", f"{at}/out").parquet(f"{at}/out")
-    if not keys:
-        return rows.drop("batch")
-    values = [c for c in made.columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
-    return last.select(*keys, "last.*")
+def streamed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents indexed as they stream in: cut at 1400 characters, in batches for embedding, kept by piece."""
+    at = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    files = jobs.event_stream(spark, f"{sf_dir}/[d]ocuments.parquet", docs).select(F.col("doc_id").cast("string").alias("storage_path"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("version_token"), "doc_id", "text")
+
+    def cut(rows: DataFrame) -> DataFrame:
+        pieces = rows.select("doc_id", F.posexplode(chunking.hard_split(F.coalesce("text", F.lit("")))).alias("chunk_index", "chunk_text"))
+        made = chunking.embed_batches(chunking.indexable(pieces, 1000), most_chars=5000)
+        return made.select("doc_id", "chunk_index", F.md5(F.col("chunk_text").cast("binary")).alias("md5"), "embed_batch")
+
+    sink = jobs.KeyedSink(f"{at}/index", ("doc_id", "chunk_index"))
+    jobs.index_stream(files, cut, sink, f"{at}/state").awaitTermination()
+    return sink.table(spark, cut(docs.select("doc_id", "text")).schema)
 
 
 def streamed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,7 +403,7 @@ def streamed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions on all events as requests, taken as they stream in."""
     cost = state.token_cost(F.when(F.col("event_type") == "view", F.lit(800)), F.when(F.col("event_type") == "purchase", F.lit(1))).cast("long")
-    return _streamed(spark, sf_dir, lambda e: jobs.quota_stream(e.select(F.col("event_id").alias("request_id"), "user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens")), 2, 3000))
+    return _streamed(spark, sf_dir, lambda e: jobs.quota_stream(e.select(F.col("event_id").alias("request_id"), "user_id", F.col("ts").cast("timestamp").alias("ts"), cost.alias("tokens")), 2, 3000), ("request_id",))
 
 
 def streamed_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,7 +451,7 @@ QUERIES = {
         url_functions, url_resolution, storage_manifest, date_labels, message_functions, document_pieces, document_sections, document_chunks, page_blocks, page_chunks, page_text, page_links,
         page_document_links, page_listing, footer_headings, listing_pages, crawl_candidates, feed_items, sitemap_pages, catalog_resources, event_properties, brand_tables, statistics_rows, classified_fetches, run_summary, upserted_state,
         pending_objects, active_state, latest_versions, merged_listings, conversation_list, message_history, messages_with_citations, visible_citations, after_deletion, daily_usage, quota_decisions,
-        attachments, violations, streamed_usage, streamed_quota, streamed_feedback, streamed_fingerprints,
+        attachments, violations, streamed_usage, streamed_quota, streamed_feedback, streamed_fingerprints, streamed_index,
     )
 }
 
@@ -487,6 +493,14 @@ WITH RECURSIVE p AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(t,
   FROM b JOIN p ON p.doc_id = b.doc_id AND p.chunk_index = b.chunk_index + 1)
 SELECT doc_id, chunk_index, CAST(length(x) AS INTEGER) AS n_chars, md5(x) AS md5, CAST(sum(length(x)) OVER w + 2 * (count(*) OVER w - 1) AS INTEGER) AS context_chars,
   b.batch AS embed_batch FROM p JOIN b USING (doc_id, chunk_index) WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""",
+    "streamed_index": """
+WITH RECURSIVE p0 AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(substr(t, i * 1400 + 1, 1400), 1, 1000) AS x, trim(substr(t, i * 1400 + 1, 1400), ' ') AS bare
+  FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, greatest(CAST(ceil(length(coalesce(text, '')) / 1400.0) AS BIGINT), 1))) AS i FROM documents)
+), p AS (SELECT doc_id, chunk_index, x, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_index) AS n FROM p0 WHERE bare <> ''
+), b(doc_id, n, chars, batch) AS (
+  SELECT doc_id, n, length(x), 0 FROM p WHERE n = 1
+  UNION ALL SELECT p.doc_id, p.n, CASE WHEN chars + length(x) > 5000 THEN length(x) ELSE chars + length(x) END, CASE WHEN chars + length(x) > 5000 THEN batch + 1 ELSE batch END FROM b JOIN p ON p.doc_id = b.doc_id AND p.n = b.n + 1)
+SELECT doc_id, chunk_index, md5(x) AS md5, batch AS embed_batch FROM p JOIN b USING (doc_id, n)""",
     "document_sections": f"""
 WITH {_LINES}, g AS (SELECT doc_id, section_no, any_value(section_heading) AS section_heading, count(*) AS n_blocks, coalesce(string_agg(trim(text), chr(10) || chr(10) ORDER BY block_idx) FILTER (WHERE trim(text) <> ''), '') AS t FROM s GROUP BY 1, 2)
 SELECT doc_id, section_no, section_heading, n_blocks, md5(t) AS md5, CAST(nullif(least(length(t), 3000), 0) AS INTEGER) AS parent_chars FROM g""",

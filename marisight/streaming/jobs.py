@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 
 def event_stream(spark: SparkSession, folder: str, like: DataFrame, files_per_trigger: int = 100) -> DataFrame:
@@ -21,23 +23,45 @@ def usage_stream(requests: DataFrame, late: str = "2 days") -> DataFrame:
     return requests.withWatermark("ts", late).groupBy(day.alias("day"), "user_id").agg(F.count(F.lit(1)).alias("request_count"), F.sum("tokens").alias("tokens_budgeted")).select(F.to_date("day.start").alias("usage_date"), "user_id", "request_count", "tokens_budgeted")
 
 
-def quota_stream(requests: DataFrame, max_requests: int = 25, max_tokens: int = 15_000) -> DataFrame:
-    """Decisions on requests (request_id, user_id, ts, tokens) as they come, by the running totals of the user's day,
-    which are the state; requests of one batch are taken in the order of their time."""
-
-    def decide(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        requests, tokens = state.get if state.exists else (0, 0)
-        rows = pd.concat(list(parts)).sort_values(["ts", "request_id"], kind="stable")
-        count, total = requests + pd.Series(range(1, len(rows) + 1)), tokens + rows["tokens"].cumsum().reset_index(drop=True)
-        state.update((int(count.iloc[-1]), int(total.iloc[-1])))
-        yield pd.DataFrame({"request_id": rows["request_id"].to_numpy(), "running_requests": count.to_numpy(), "running_tokens": total.to_numpy(), "allowed": ((count <= max_requests) & (total <= max_tokens)).to_numpy()})
-
-    keyed = requests.select("request_id", "user_id", F.to_date("ts").alias("day"), "ts", "tokens").groupBy("user_id", "day")
-    return keyed.applyInPandasWithState(decide, "request_id long, running_requests long, running_tokens long, allowed boolean", "requests long, tokens long", "append", "NoTimeout")
+def quota_stream(requests: DataFrame, max_requests: int = 25, max_tokens: int = 15_000, late: str = "1 day") -> DataFrame:
+    """Decisions on requests (request_id, user_id, ts, tokens) by the running totals of the user's day, in the order of
+    time: (request_id, running_requests, running_tokens, allowed), to be kept by request_id (output mode update).
+
+    A request is decided as it comes.  One that comes with an earlier time changes the decisions after it, which are
+    given out again, so what is kept equals the decisions over all requests however these are cut into batches.
+    The state of a user's day is its totals up to the watermark and the requests since; it goes once the watermark
+    has passed the day, and requests later than that are dropped."""
+    kind = "request_id long, running_requests long, running_tokens long, allowed boolean"
+
+    def decide(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        requests, tokens, *held = state.get if state.exists else (0, 0, [], [], [], [], [])
+        known = pd.DataFrame(dict(zip(("at", "request_id", "tokens", "count", "total"), map(list, held))), dtype="int64")
+        new = pd.concat(list(parts))
+        new = pd.DataFrame({"at": new["at"].astype("int64"), "request_id": new["request_id"].astype("int64"), "tokens": new["tokens"].fillna(0).astype("int64"), "count": -1, "total": -1})
+        rows = pd.concat([known, new]).sort_values(["at", "request_id"], kind="stable").reset_index(drop=True)
+        count, total = requests + pd.Series(range(1, len(rows) + 1), dtype="int64"), tokens + rows["tokens"].cumsum()
+        changed = (count != rows["count"]) | (total != rows["total"])
+        rows["count"], rows["total"] = count, total
+        out = pd.DataFrame({"request_id": rows["request_id"], "running_requests": count, "running_tokens": total, "allowed": (count <= max_requests) & (total <= max_tokens)})
+        done = rows["at"] < state.getCurrentWatermarkMs() * 1000
+        requests, tokens = requests + int(done.sum()), tokens + int(rows.loc[done, "tokens"].sum())
+        rows = rows[~done]
+        state.update((requests, tokens, *[rows[c].tolist() for c in ("at", "request_id", "tokens", "count", "total")]))
+        state.setTimeoutTimestamp(max(int(new["at"].max()) // 86_400_000_000 * 86_400_000 + 86_400_000, state.getCurrentWatermarkMs() + 1))
+        yield out[changed]
+
+    day = F.floor(F.unix_micros("ts") / 86_400_000_000)
+    keyed = requests.withWatermark("ts", late).select("request_id", "user_id", "ts", day.alias("day"), F.unix_micros("ts").alias("at"), "tokens").groupBy("user_id", "day")
+    held = "requests long, tokens long, at array<long>, ids array<long>, each array<long>, count array<long>, total array<long>"
+    return keyed.applyInPandasWithState(decide, kind, held, "update", "EventTimeTimeout")
 
 
 def feedback_stream(feedback: DataFrame, citations: DataFrame) -> DataFrame:
-    """Net ratings per document as ratings stream in, against a static table of citations."""
+    """Net ratings per document as ratings stream in, against a static table of citations.  The state is the result, a
+    row for each document that was ever rated, and never ends."""
     met = feedback.join(citations, "message_id")
     return met.groupBy("document_id").agg(F.count_if(F.col("rating") == 1).alias("positive_count"), F.count_if(F.col("rating") == -1).alias("negative_count"), F.coalesce(F.sum("rating"), F.lit(0)).alias("net_score"))
 
@@ -49,11 +73,48 @@ def session_stream(events: DataFrame, gap: str = "30 minutes", late: str = "1 ho
 
 def fingerprints(files: DataFrame, late: str | None = None) -> DataFrame:
     """Each (storage_path, version_token) once: what an incremental indexer has to parse.  With ``late``, repeats
-    are recognised for that long behind column ``modified`` and older ones leave the state."""
+    are recognised for that long behind column ``modified`` and older ones leave the state; without it every version
+    that was ever seen is remembered."""
     key = ["storage_path", "version_token"]
     return files.dropDuplicates(key) if late is None else files.withWatermark("modified", late).dropDuplicatesWithinWatermark(key)
 
 
+class KeyedSink:
+    """Batches of a stream kept by key, for ``foreachBatch``: each batch writes the rows of the keys that it changed,
+    then a line in the manifest.  A batch that is run again replaces its own rows; one that was killed before its line
+    isn't seen.  ``table`` has the newest row of each key."""
+
+    def __init__(self, folder: str, keys: tuple[str, ...]):
+        self.folder, self.keys = folder.rstrip("/"), keys
+
+    def __call__(self, rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.folder}/data/batch={batch}")
+        rows.sparkSession.range(1).select(F.current_timestamp().alias("at")).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/manifest/batch={batch}")
+
+    def rows(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        """All rows of finished batches, with ``batch``."""
+        read = lambda name, kind: spark.read.schema(kind).option("basePath", f"{self.folder}/{name}").parquet(f"{self.folder}/{name}")
+        batch = StructField("batch", LongType())
+        whole = read("data", StructType([*schema.fields, batch]))
+        return whole.join(read("manifest", StructType([StructField("at", TimestampType()), batch])).select("batch"), "batch", "left_semi")
+
+    def table(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        values = [c for c in schema.names if c not in self.keys]
+        last = self.rows(spark, schema).groupBy(*self.keys).agg(F.max_by(F.struct("batch", *values), "batch").alias("last"))
+        return last.select(*self.keys, *[f"last.{c}" for c in values])
+
+    def compacted(self, spark: SparkSession, schema: StructType, into: str) -> KeyedSink:
+        """The newest rows as the first batch of another folder."""
+        other = KeyedSink(into, self.keys)
+        other(self.table(spark, schema), 0)
+        return other
+
+
+def index_stream(files: DataFrame, cut: Callable[[DataFrame], DataFrame], sink: KeyedSink, checkpoint: str, late: str | None = None) -> StreamingQuery:
+    """Indexes what is there now: each version of a file once, cut into rows by ``cut``, kept by the sink's keys."""
+    return run_available(fingerprints(files, late), checkpoint, lambda batch, number: sink(cut(batch), number))
+
+
 def run_available(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Everything that is there now, in bounded batches, then stop; resumes from its checkpoint."""
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(batch).trigger(availableNow=True).start()
