@@ -312,6 +312,31 @@ def context_blocks(rows: DataFrame, live: DataFrame | None = None) -> DataFrame:
     return out.join(data, "query_id", "full_outer").select("query_id", F.concat_ws("\n\n", "context", "_live").alias("context"))
 
 
+#: fixed values: what a prompt says of sources and before live rows
+CITE = " Cite sources inline with [n] when referencing specific document content."
+LIVE = "Live government data (fetched from data.gov.my in real time):"
+#: what a prompt says first, by language, where nothing else is given
+SYSTEM = {"en": "You answer questions about public policy from the documents below.", "ms": "Anda menjawab soalan tentang dasar awam daripada dokumen di bawah."}
+
+
+def prompts(queries: DataFrame, rows: DataFrame, live: DataFrame | None = None, system: dict[str, str] | None = None) -> DataFrame:
+    """Whole prompts (query_id, language, system, user, support) of questions (query_id, query_text, language): the
+    question, its chunks between rules in attention order, then the texts of its live datasets (query_id, rank, text).
+    Questions without chunks have neither rule nor the advice on sources, and ``support`` none."""
+    system = system or SYSTEM
+    met = queries.join(context_blocks(rows), "query_id", "left")
+    if live is None:
+        met = met.withColumn("_live", F.lit(None).cast("string"))
+    else:
+        texts = F.array_sort(F.collect_list(F.struct("rank", "text")))
+        said = live.groupBy("query_id").agg(F.array_join(F.transform(texts, lambda p: p["text"]), "\n\n").alias("_live"))
+        met = met.join(said, "query_id", "left")
+    has = F.coalesce("context", F.lit("")) != ""
+    first = F.when(F.col("language") == "ms", system["ms"]).otherwise(system["en"])
+    user = F.concat("query_text", F.when(has, F.concat(F.lit("\n\n---\n\n"), "context")).otherwise(""), F.when(F.col("_live").isNotNull(), F.concat(F.lit(f"\n\n{LIVE}\n"), "_live")).otherwise(""))
+    return met.select(*queries.columns, F.concat(first, F.when(has, CITE).otherwise("")).alias("system"), user.alias("user"), F.when(has, "strong").otherwise("none").alias("support"))
+
+
 def citation_rows(rows: DataFrame, live: DataFrame | None = None) -> DataFrame:
     """Citations of each question's chunks, then of its live datasets, numbered from 1."""
     out = rows.select("query_id", F.lit(0).alias("kind"), F.col("rank").cast("int").alias("rank"), F.col("id").cast("string").alias("ref"), "title")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marisight.operators import walks
+from marisight.functions import dates, sql
+from marisight.operators import chunking, posts, retrieval, walks
+from marisight.operators.tables import shared_folder
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds
 
@@ -101,7 +105,92 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.page_files(pages, "o_custkey").drop("pos")
 
 
-QUERIES = {f.__name__: f for f in (tree_files, tree_walk, question_walk, catalogue_items, page_files)}
+def _views(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    sql.registered(spark)
+    return {name: table(spark, sf_dir, name) for name in names}
+
+
+def sql_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hybrid search as SQL text: exact cosine and cover density over the documents that have a question's label or all
+    its first two words, fused by reciprocal rank."""
+    return spark.sql(
+        """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS ARRAY<DOUBLE>) AS v FROM {embeddings}),
+d AS (SELECT doc_id AS id, lexemes(coalesce(text, '')) AS words FROM {documents}),
+q AS (SELECT item_id AS query_id, slice(array_distinct(lexemes(text)), 1, 2) AS terms, v, label FROM {benchmark} JOIN e ON vec_id = item_id),
+cosines AS (SELECT query_id, e.vec_id AS id, cosine_of(q.v, e.v) AS similarity FROM q JOIN e ON e.label = q.label),
+vr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS vrank FROM cosines),
+held AS (SELECT id, words, explode(array_distinct(words)) AS word FROM d),
+densities AS (SELECT query_id, id, cover_density(terms, words) AS density FROM q JOIN held ON word = terms[0] WHERE array_contains(words, terms[1])),
+fr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(density, 9) DESC, id) AS frank FROM densities WHERE density > 0)
+SELECT query_id, id, round(coalesce(similarity, 0), 6) AS similarity, round(coalesce(density, 0), 6) AS density, round(reciprocal_rank(vrank, 60) + reciprocal_rank(frank, 60), 6) AS score
+FROM (SELECT * FROM vr WHERE vrank <= 20) FULL JOIN (SELECT * FROM fr WHERE frank <= 20) USING (query_id, id)""",
+        **_views(spark, sf_dir, "embeddings", "documents", "benchmark"),
+    )
+
+
+def sql_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headings and paragraphs of all pages as SQL text over the table function."""
+    return spark.sql(
+        "SELECT page_id, n.tag, count(*) AS n, count_if(size(word_set(n.text)) > 0) AS worded FROM {pages}, LATERAL html_nodes(html, 'article > h1, article p') AS n GROUP BY page_id, n.tag",
+        **_views(spark, sf_dir, "pages"),
+    )
+
+
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as items of large feeds, a file for each priority and a broken one, read item by item."""
+    folder = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
+    k = _text("o_orderkey")
+    item = F.concat(F.lit("<item><title>Order "), k, F.lit(" &amp; more</title><link>https://x.example/"), k, F.lit("</link>"), F.lit("<pubDate>"), F.date_format("o_orderdate", "EEE, dd MMM yyyy"), F.lit(" 08:00:00 +0000</pubDate>"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('<enclosure url="/f/'), k, F.lit('.pdf"/>'))).otherwise(""), F.lit("</item>"))
+    rows = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.concat(F.lit('<?xml version="1.0"?><rss xmlns:x="urn:x"><channel><title>all</title>'), F.array_join(F.collect_list(item), "\n"), F.lit("</channel></rss>")).alias("value"))
+    broken = spark.createDataFrame([("<rss><channel><item><title>cut off</title><link>x",)], "value string")
+    rows.withColumn("file", F.substring("o_orderpriority", 1, 1)).select("file", "value").unionByName(broken.select(F.lit("broken").alias("file"), "value")).repartition("file").write.partitionBy("file").text(folder)
+    return feeds.feed_files(spark, folder).select("title", "link", "enclosure", dates.feed_date(F.col("pub_date")).alias("published_at"))
+
+
+def series_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a series' answers, filtered as asked: by a day range of a named column and by values, newest first."""
+    one = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderstatus").alias("state"), F.col("o_orderkey").alias("n"))
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("json"))
+    k = F.col("o_custkey")
+    asked = F.struct(F.when(k % 2 == 0, "1994-01-01").otherwise("1993-06-01@date").alias("date_start"), F.when(k % 3 == 0, "1996-12-31@date").alias("date_end"), F.when(k % 5 == 0, F.array(F.lit("O@state"), F.lit("x@unknown"))).otherwise(F.array()).alias("filters"), F.when(k % 7 > 0, k % 7).cast("int").alias("row_limit"))
+    return feeds.series_answers(per.withColumn("asked", asked), "date:string,state:string,n:long", "asked", ["o_custkey"]).drop("asked")
+
+
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole prompts of questions: two thirds with the first documents of their language, half with live rows."""
+    lang = F.element_at(F.array(*[F.lit(x) for x in ("en", "ms")]), (F.col("item_id") % 2 + 1).cast("int"))
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"), lang.alias("language"))
+    n = F.col("doc_id")
+    docs = table(spark, sf_dir, "documents").where("doc_id < 120").select(F.floor(n / 3).alias("query_id"), (n % 3 + 1).cast("int").alias("rank"), F.concat(F.lit("T"), n.cast("string")).alias("title"), F.col("source").alias("agency"), F.substring(F.coalesce("text", F.lit("")), 1, 200).alias("chunk_text"))
+    rows = docs.where("query_id % 3 > 0")
+    live = asked.where("query_id % 4 < 2").select("query_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("rank")).withColumn("text", F.concat(F.lit("rows "), F.col("rank").cast("string"), F.lit(" of "), F.col("query_id").cast("string")))
+    return retrieval.prompts(asked, rows, live).drop("query_text")
+
+
+def contextual_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of documents with a generated context before them, where there is one, that can be indexed."""
+    cut = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.hard_split(F.coalesce("text", F.lit("")))).alias("chunk_index", "chunk_text"))
+    k = F.col("doc_id") + F.col("chunk_index")
+    prefix = F.when(k % 3 == 0, F.concat(F.lit("About "), F.col("doc_id").cast("string"))).when(k % 3 == 1, "  ")
+    rows = chunking.indexable(cut.withColumn("chunk_text", chunking.contextual(prefix, F.col("chunk_text"))), 900)
+    return rows.select("doc_id", "chunk_index", F.md5(F.col("chunk_text").cast("binary")).alias("md5"))
+
+
+def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, date and attached files of orders' pages, each found in another place of the page."""
+    k, n = _text("o_orderkey"), F.col("o_orderkey")
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'09:00:00+08:00")
+    title = F.element_at(F.array(F.concat(F.lit('<h1 class="x entry-title">Order '), k, F.lit("</h1><title>Site</title>")), F.concat(F.lit('<meta property="og:title" content="Order '), k, F.lit('">')), F.concat(F.lit("<title>Order "), k, F.lit(" - Site</title><h1></h1>"))), (n % 3 + 1).cast("int"))
+    date = F.element_at(F.array(F.concat(F.lit('<time class="entry-date published" datetime="'), iso, F.lit('">x</time>')), F.concat(F.lit('<meta property="article:published_time" content="'), iso, F.lit('">')), F.concat(F.lit('<span class="published">'), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("</span>")), F.concat(F.lit('<div class="sidang-details"><p class="lead"><small>'), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit("</small></p></div>"))), (n % 4 + 1).cast("int"))
+    files = F.when(n % 2 == 0, F.concat(F.lit('<div class="entry-content"><a href="/f/'), k, F.lit('.pdf">Fail</a><a href="/page">page</a></div><a href="/f/outside.pdf">no</a>'))).otherwise(F.concat(F.lit('<iframe src="/viewer.html?file=%2Ff%2F'), k, F.lit('.pdf"></iframe><div class="list-of-attachments"><a href="/f/'), k, F.lit('.docx">D</a></div>')))
+    pages = table(spark, sf_dir, "orders").select("o_orderkey", F.lit(f"{BASE}/p").alias("url"), F.concat(F.lit("<html>"), title, date, files).alias("html"))
+    met = posts.meta(pages, "o_orderkey")
+    found = posts.attached(pages, "o_orderkey").groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_list("link")), " ").alias("files"))
+    return met.join(found, "o_orderkey", "left")
+
+
+QUERIES = {f.__name__: f for f in (tree_files, tree_walk, question_walk, catalogue_items, page_files, sql_fusion, sql_headings, feed_files, series_answers, prompts, contextual_pieces, post_pages)}
 
 _FILE = "'/files/DR-' || strftime(o_orderdate, '%d%m%Y') || '.pdf'"
 ORACLE_SQL = {
@@ -128,4 +217,40 @@ SELECT 'gov-my/catalogue/set_' || p_partkey || '.metadata' AS storage_path, 'set
   t AS text, sha256(t) AS sha256, CAST(strlen(t) AS INTEGER) AS size_bytes, '{{"category":"prices","columns":"date,' || p_brand || '","datagov_dataset_id":"set_' || p_partkey || '","datagov_endpoint":"data-catalogue/' || p_partkey || '","frequency":"' || CASE WHEN p_partkey % 2 = 0 THEN 'daily' ELSE 'monthly' END || '","source_type":"datagov_metadata"}}' AS metadata FROM p""",
     "page_files": f"""
 SELECT o_custkey, '{BASE}/akta/' || o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN '.PDF' ELSE '.pdf' END AS link, CASE WHEN o_orderkey % 3 > 0 THEN 'Akta ' || o_orderkey ELSE o_orderkey || CASE WHEN o_orderkey % 2 = 0 THEN '.PDF' ELSE '.pdf' END END AS title FROM orders""",
+    "sql_fusion": """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS words FROM documents),
+q0 AS (SELECT item_id, v, label, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark JOIN e ON vec_id = item_id),
+q AS (SELECT item_id AS query_id, v, label, w[1] AS t1, list_filter(w, lambda x: x <> w[1])[1] AS t2 FROM q0),
+vr AS (SELECT query_id, e.vec_id AS id, list_cosine_similarity(q.v, e.v) AS similarity FROM q JOIN e ON e.label = q.label),
+vp AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS vrank FROM vr QUALIFY vrank <= 20),
+m AS (SELECT query_id, id, t1, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM q JOIN d ON list_contains(words, t1) AND list_contains(words, t2)),
+h AS (SELECT m.* FROM m JOIN q USING (query_id) WHERE w = q.t1 OR w = q.t2),
+n AS (SELECT *, lead(w) OVER x AS nw, lead(pos) OVER x AS np FROM h WINDOW x AS (PARTITION BY query_id, id ORDER BY pos)),
+f AS (SELECT query_id, id, sum(0.1 / (np - pos)) AS density FROM n WHERE nw <> w GROUP BY 1, 2),
+fp AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(density, 9) DESC, id) AS frank FROM f QUALIFY frank <= 20)
+SELECT query_id, id, round(coalesce(similarity, 0), 6) AS similarity, round(coalesce(density, 0), 6) AS density, round(coalesce(1.0::DOUBLE / (60 + vrank), 0) + coalesce(1.0::DOUBLE / (60 + frank), 0), 6) AS score FROM vp FULL JOIN fp USING (query_id, id)""",
+    "sql_headings": """
+WITH b AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS x FROM pages), t AS (SELECT page_id, x, unnest(['h1', 'p']) AS tag FROM b), c AS (SELECT page_id, tag, len(string_split(x, '<' || tag || '>')) - 1 AS n FROM t)
+SELECT page_id, tag, n, n AS worded FROM c WHERE n > 0""",
+    "feed_files": """
+SELECT 'Order ' || o_orderkey || ' & more' AS title, 'https://x.example/' || o_orderkey AS link, CASE WHEN o_orderkey % 2 = 0 THEN '/f/' || o_orderkey || '.pdf' ELSE '' END AS enclosure, strftime(o_orderdate, '%Y-%m-%d') AS published_at FROM orders""",
+    "series_answers": """
+WITH o AS (SELECT o_custkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus AS state, o_orderkey AS n FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY date DESC, n) AS rank FROM o WHERE date >= CASE WHEN k % 2 = 0 THEN '1994-01-01' ELSE '1993-06-01' END AND (k % 3 > 0 OR date <= '1996-12-31') AND (k % 5 > 0 OR state = 'O'))
+SELECT k AS o_custkey, date, state, CAST(n AS BIGINT) AS n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= CASE WHEN k % 7 > 0 THEN k % 7 ELSE 10 END""",
+    "prompts": f"""
+WITH q AS (SELECT item_id, text, CASE WHEN item_id % 2 = 1 THEN 'ms' ELSE 'en' END AS language FROM benchmark),
+d AS (SELECT doc_id // 3 AS q, doc_id % 3 + 1 AS r, '[' || (doc_id % 3 + 1) || '] T' || doc_id || ' | ' || source || chr(10) || substr(coalesce(text, ''), 1, 200) AS s FROM documents WHERE doc_id < 120),
+c AS (SELECT q, string_agg(s, chr(10) || chr(10) ORDER BY CASE r WHEN 1 THEN 1 ELSE 5 - r END) AS context FROM d WHERE q % 3 > 0 GROUP BY q)
+SELECT item_id AS query_id, language, CASE language WHEN 'ms' THEN '{retrieval.SYSTEM["ms"]}' ELSE '{retrieval.SYSTEM["en"]}' END || CASE WHEN context IS NULL THEN '' ELSE '{retrieval.CITE}' END AS system,
+  text || CASE WHEN context IS NULL THEN '' ELSE chr(10) || chr(10) || '---' || chr(10) || chr(10) || context END || CASE WHEN item_id % 4 < 2 THEN chr(10) || chr(10) || '{retrieval.LIVE}' || chr(10) || 'rows 1 of ' || item_id || chr(10) || chr(10) || 'rows 2 of ' || item_id ELSE '' END AS user,
+  CASE WHEN context IS NULL THEN 'none' ELSE 'strong' END AS support FROM q LEFT JOIN c ON c.q = item_id""",
+    "contextual_pieces": """
+WITH p AS (SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(t, i * 1400 + 1, 1400) AS x FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, greatest(CAST(ceil(length(coalesce(text, '')) / 1400.0) AS BIGINT), 1))) AS i FROM documents)),
+c AS (SELECT doc_id, chunk_index, CASE WHEN (doc_id + chunk_index) % 3 = 0 THEN 'About ' || doc_id || chr(10) || chr(10) || x ELSE x END AS x FROM p)
+SELECT doc_id, chunk_index, md5(substr(x, 1, 900)) AS md5 FROM c WHERE trim(x, ' ') <> ''""",
+    "post_pages": f"""
+SELECT o_orderkey, 'Order ' || o_orderkey || CASE o_orderkey % 3 WHEN 2 THEN ' - Site' ELSE '' END AS title, strftime(o_orderdate, '%Y-%m-%d') AS published_at,
+  CASE WHEN o_orderkey % 2 = 0 THEN '{BASE}/f/' || o_orderkey || '.pdf' ELSE '{BASE}/f/' || o_orderkey || '.docx {BASE}/f/' || o_orderkey || '.pdf' END AS files FROM orders""",
 }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marisight.functions import dates, urls
 from marisight.operators.tables import settled
@@ -38,6 +39,16 @@ def rss_items(feeds: DataFrame, xml: str = "xml") -> DataFrame:
     return out.select("*", "i.*").drop("i").withColumn("title", F.when(F.col("title") == "", "Untitled").otherwise(F.col("title")))
 
 
+def feed_files(spark: SparkSession, folder: str, tag: str = "item") -> DataFrame:
+    """(file, title, link, description, pub_date, enclosure) of the items in a folder's feed files, each read item by item,
+    so a file may have any size (one feed a file).  Items that are cut off or broken drop out; their file's others stay."""
+    kind = "title string, link string, description string, pubDate string, enclosure struct<_url: string>, broken string"
+    rows = spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "broken").schema(kind).load(folder)
+    field = lambda c: F.trim(F.coalesce(F.col(c), F.lit("")))
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), "broken", F.coalesce(F.nullif(field("title"), F.lit("")), F.lit("Untitled")).alias("title"), field("link").alias("link"), field("description").alias("description"), field("pubDate").alias("pub_date"), field("enclosure._url").alias("enclosure"))
+    return rows.where("broken IS NULL").drop("broken")
+
+
 def atom_entries(feeds: DataFrame, xml: str = "xml") -> DataFrame:
     out = feeds.select(*[c for c in feeds.columns if c != xml], F.explode(_zipped(F.col(xml), "entry", title="title", link="link/@href", updated="updated")).alias("i"))
     return out.select("*", "i.*").drop("i")
@@ -149,11 +160,34 @@ def series_rows(bodies: DataFrame, fields: str, json: str = "json") -> DataFrame
 
 
 def series_filter(asked: Column, column: str) -> Column:
-    """Whether a row passes a filter ``value@column`` (its date parts as ``value@date``); null filters pass."""
+    """Whether a row passes a filter ``value@column``; null filters and those on other columns pass."""
     value, name = F.split_part(asked, F.lit("@"), F.lit(1)), F.split_part(asked, F.lit("@"), F.lit(2))
     return F.coalesce((name != column) | (F.col(column).cast("string") == value), F.lit(True))
 
 
+def series_bound(asked: Column, columns: list[str], first: bool) -> Column:
+    """Whether a row passes a day bound ``value@column``, or ``value`` of column ``date``: not before it, or not after it.
+    Missing bounds pass, as do those on columns that the series doesn't have."""
+    value, name = F.split_part(asked, F.lit("@"), F.lit(1)), F.coalesce(F.nullif(F.split_part(asked, F.lit("@"), F.lit(2)), F.lit("")), F.lit("date"))
+    tests = [F.when(name == c, F.col(c).cast("string") >= value if first else F.col(c).cast("string") <= value) for c in columns]
+    return F.coalesce(*tests, F.lit(True))
+
+
+def series_answers(bodies: DataFrame, fields: str, asked: str, keys: list[str], sort: str = "date", most: int = 100, default: int = 10) -> DataFrame:
+    """Rows of series' answers as they were asked for: column ``asked`` is a struct of date_start, date_end, filters (an
+    array of ``value@column``) and row_limit.  Newest first within the keys, with ``rank``; equal days in the order of
+    the answer."""
+    listed = StructType.fromDDL(fields).names
+    said = F.trim(F.coalesce(F.col("json"), F.lit("")))
+    kept = [c for c in bodies.columns if c != "json"]
+    rows = bodies.select(*kept, F.posexplode(F.from_json(F.when(said.startswith("["), said).otherwise(F.get_json_object(said, "$.data")), f"array<struct<{fields}>>")).alias("_at", "_r")).select(*kept, "_at", "_r.*")
+    good = series_bound(F.col(asked)["date_start"], listed, True) & series_bound(F.col(asked)["date_end"], listed, False)
+    good = good & F.coalesce(F.forall(F.col(asked)["filters"], lambda f: reduce(lambda a, b: a & b, [series_filter(f, c) for c in listed])), F.lit(True))
+    order = Window.partitionBy(*keys).orderBy(F.desc(sort), "_at")
+    limit = F.least(F.coalesce(F.nullif(F.col(asked)["row_limit"], F.lit(0)), F.lit(default)), F.lit(most))
+    return rows.where(good).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).drop("_at")
+
+
 def tree_items(trees: DataFrame, id: str = "id", xml: str = "xml") -> DataFrame:
     """(id, pos, item, text, address): the items of tree answers, each with the address that its own ``myurl`` user data
     names ('' without one).  An item inside another is an item of its own, and its user data are not the outer one's."""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, urls
-from marisight.sources.feeds import embedded_json, first_of, json_field
+from marisight.sources.feeds import embedded_json, first_of
 
 #: fixed values: where a record's title and date stand if not where its section says
 TITLE_FIELDS = ("title", "titleEN", "titleBM", "tenderTitle")
@@ -34,14 +34,15 @@ def record_items(records: DataFrame, title: str, date: str | None, file: str | N
     """Items of a collection's records: source_url (the file's), title, published_at and content_type.  Fields are
     dotted paths; titles and dates fall back to other fields.  Records without a file drop out, as do those dated
     before ``since``."""
-    field = lambda path: json_field(F.col(json), path)
+    field = lambda path: F.coalesce(F.try_variant_get(F.col("_v"), f"$.{path}", "string"), F.lit(""))
+    records = records.withColumn("_v", F.try_parse_json(F.col(json)))
     raw = first_of(*([field(date)] if date else []), *[field(f) for f in DATE_FIELDS])
     rows = records.withColumn("source_url", file_address(field(file) if file else F.lit(""), base)).withColumn("title", first_of(field(title), *[field(f) for f in TITLE_FIELDS]))
     day = F.when(raw.rlike(r"^\d{4}$"), F.concat(raw, F.lit("-01-01"))).otherwise(dates.parse_date(raw))
     rows = rows.withColumn("published_at", F.when(raw == "", F.lit("")).otherwise(day)).where("source_url <> ''")
     if since is not None:
         rows = rows.where(dates.since(F.col("published_at"), F.lit(since).cast("date")))
-    return rows.withColumn("content_type", urls.content_type(F.col("source_url"))).drop(json)
+    return rows.withColumn("content_type", urls.content_type(F.col("source_url"))).drop(json, "_v")
 
 
 def dataset_candidates(pages: DataFrame, formats: tuple[str, ...] = ("csv", "xlsx", "pdf"), since: str | None = None, json: str = "json") -> DataFrame:
@@ -65,18 +66,18 @@ def dataset_candidates(pages: DataFrame, formats: tuple[str, ...] = ("csv", "xls
 
 
 def _props(page: Column) -> Column:
-    """The page properties of a page's embedded application data, as a map from name to JSON text."""
-    return F.from_json(F.get_json_object(embedded_json(page), "$.props.pageProps"), "map<string,string>")
+    """The page properties of a page's embedded application data, as a map of variants; the page is parsed once."""
+    return F.try_variant_get(F.try_parse_json(embedded_json(page)), "$.props.pageProps", "map<string,variant>")
 
 
-def _objects(json: Column) -> Column:
-    """A JSON list of objects as array<map<string,string>>; null for anything else."""
-    return F.when(F.trim(json).startswith("["), F.from_json(json, "array<map<string,string>>"))
+def _objects(value: Column, path: str = "$") -> Column:
+    """A variant's list of objects as array<map<string,string>>; null for anything else."""
+    return F.try_variant_get(value, path, "array<map<string,string>>")
 
 
 def _first_list(props: Column, keys: tuple[str, ...]) -> Column:
     """Of all properties the first list whose first element has one of the keys."""
-    lists = F.transform(F.map_values(props), _objects)
+    lists = F.transform(F.map_values(props), lambda v: _objects(v))
     has = lambda m: F.exists(F.array(*[F.lit(k) for k in keys]), lambda k: F.array_contains(F.map_keys(m), k))
     return F.try_element_at(F.filter(lists, lambda x: x.isNotNull() & (F.size(x) > 0) & F.coalesce(has(F.try_element_at(x, F.lit(1))), F.lit(False))), F.lit(1))
 
@@ -102,7 +103,7 @@ def publication_files(details: DataFrame, html: str = "html", title: str = "titl
     kept = [c for c in details.columns if c not in (html, title)]
     rows = details.select(*kept, F.col(title).alias("_title"), _props(F.col(html)).alias("props"))
     own = _objects(F.try_element_at("props", F.lit("resources")))
-    nested = F.filter(F.transform(F.map_values("props"), lambda v: _objects(F.get_json_object(v, "$.resources"))), lambda x: x.isNotNull() & (F.size(x) > 0))
+    nested = F.filter(F.transform(F.map_values("props"), lambda v: _objects(v, "$.resources")), lambda x: x.isNotNull() & (F.size(x) > 0))
     found = F.coalesce(F.when(F.size(own) > 0, own), F.try_element_at(nested, F.lit(1)), _first_list(F.col("props"), ("resource_link",)))
     rows = rows.select(*kept, "_title", F.posexplode(found).alias("pos", "r"))
     of = lambda k: F.coalesce(F.try_element_at("r", F.lit(k)), F.lit(""))
