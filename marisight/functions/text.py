@@ -69,6 +69,7 @@ def word_chunks(text: Column, size: int = 8) -> Column:
 def linked_answer(text: Column, live_index: Column) -> Column:
     """An answer as it is shown: ``[n]`` marks as ``cite:n`` code, ``[General knowledge]`` gone, mentions of the open-data
     site as its citation, where ``live_index`` has one; without one only its bracketed mentions go."""
+    # fixed values: the marks of answers and what they become
     said = F.regexp_replace(F.regexp_replace(text, r"\[(\d+)\]", "`cite:$1`"), r"(?i)\[General knowledge\]", "")
     mark = F.concat(F.lit("`cite:"), live_index.cast("string"), F.lit("`"))
     bracketed = F.regexp_replace(said, F.lit(r"(?i)\[data\.gov\.my\]"), F.coalesce(mark, F.lit("")))
@@ -149,6 +150,7 @@ def clamped_limit(limit: Column, default: int = 10, most: int = 100) -> Column:
 def unknown_dataset(dataset_id: Column, known: Column) -> Column:
     """What a tool answers to an id that isn't in the catalogue; null for one that is."""
     asked = F.coalesce(dataset_id, F.lit(""))
+    # fixed values: the answer's wording
     said = F.concat(F.lit("Unknown dataset: "), asked, F.lit(". Available: "), F.array_join(known, ", "))
     return F.when(~F.array_contains(known, asked), said)
 

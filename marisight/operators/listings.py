@@ -19,6 +19,10 @@ from marisight.functions.text import collapsed
 from marisight.sources.html_nodes import selected
 
 
+#: fixed values: marks of links to the next page
+NEXT = ("[rel=next]", "a.next, link.next")
+
+
 @dataclass(frozen=True)
 class Rule:
     """A listing: its items, and in each the link, title and date, for which the first selector that finds something
@@ -139,6 +143,27 @@ def carried_levels(pages: DataFrame, headers: dict[str, str], below: str, key: s
     return tree.where("name = 'below'").select(key, "pos", *[F.col(f"_level{i}").alias(name) for i, name in enumerate(headers)], "text", _attribute("href").alias("href"))
 
 
+def headed_links(pages: DataFrame, areas: tuple[str, ...] = ("div[class*=contentZone]", "main", "body"), detail: str = "/en/legal/", key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+    """(key, pos, title, detail, documents): the headings of the second rank in the first of the areas that a page has,
+    with what stands beside them up to the next one: the first link to a detail page and all documents.  Headings
+    without either, and repeated ones, drop out."""
+    wanted = {**{f"a{i}": (s, ()) for i, s in enumerate(areas)}, "h2": ("h2", ()), "link": ("h2 ~ a[href], h2 ~ * a[href]", ())}
+    found = selected(pages, wanted, (key, url), html)
+    whole = found.where(F.col("name").isin(*[f"a{i}" for i in range(len(areas))])).groupBy(key).agg(F.min(F.struct("name", "pos", "last")).alias("area"))
+    rows = found.where("name IN ('h2', 'link')").join(whole, key, "left").where(F.col("area").isNull() | ((F.col("pos") > F.col("area.pos")) & (F.col("pos") <= F.col("area.last"))))
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = F.last(F.when(F.col("name") == "h2", F.struct("pos", "text")), ignorenulls=True).over(w)
+    href = F.trim(_attribute("href"))
+    rows = rows.withColumn("head", head).where("name = 'link' AND head IS NOT NULL AND head.text <> ''").where((href != "") & ~urls.skipped_href(href))
+    link = urls.absolute(href, F.col(url))
+    is_doc = urls.is_document(link)
+    is_detail = ~is_doc & F.contains(F.lower(href), F.lit(detail))
+    docs = F.array_sort(F.collect_list(F.when(is_doc, F.struct("pos", link.alias("link")))))
+    per = rows.groupBy(key, "head").agg(F.min_by(F.when(is_detail, link), F.when(is_detail, F.col("pos"))).alias("detail"), docs.alias("docs"))
+    per = per.where(F.col("detail").isNotNull() | (F.size("docs") > 0)).withColumn("_r", F.row_number().over(Window.partitionBy(key, "head.text").orderBy("head.pos"))).where("_r = 1")
+    return per.select(key, F.col("head.pos").alias("pos"), F.col("head.text").alias("title"), F.coalesce("detail", F.lit("")).alias("detail"), F.array_distinct(F.transform("docs", lambda d: d["link"])).alias("documents"))
+
+
 def panels(pages: DataFrame, panel: str, title: str, item: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, pos, title, text, href): items inside the panels of an accordion, with the title that stands in the panel."""
     tree = selected(pages, {"panel": (panel, ()), "title": (title, ("panel",)), "item": (item, ("panel",))}, (key,), html)
@@ -196,7 +221,7 @@ def dispatched(pages: DataFrame, kind: str, readers: dict[str, Callable[[DataFra
     return out
 
 
-def next_page(pages: DataFrame, marks: tuple[str, ...] = ("[rel=next]", "a.next, link.next"), key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
+def next_page(pages: DataFrame, marks: tuple[str, ...] = NEXT, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """(key, next_url): the address behind a link marked next, by selectors (rel, class) or label."""
     tree = selected(pages, {**{str(i): (s, ()) for i, s in enumerate(marks)}, "a": ("a[href]", ())}, (key, url), html)
     marked = (F.col("name") != "a") | F.lower("text").isin("next", "seterusnya", "»", "›")

@@ -1,4 +1,4 @@
-"""Walks over fetched pages: question archives with a budget of pages for each section.
+"""Walks over fetched pages: listings and question archives with a budget of pages for each section.
 
 An archive has an index of sessions, each session's page names categories, and a category is a chain of numbered
 listing pages.  Pages are fetched already (url, html), so a walk is joins by address: two levels down, then along
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marisight.functions import urls
+from marisight.functions import dates, urls
+from marisight.operators.listings import NEXT, SITES, Rule, listings_by, next_page
 from marisight.operators.tables import settled
 from marisight.sources.html_nodes import selected
 
@@ -96,6 +97,30 @@ def question_walk(pages: DataFrame, sections: DataFrame, most: int = 1000) -> Da
     return walked.join(questions(bodies(walked)), "url").select("section", "turn", "url", "link", "title")
 
 
+def listing_walk(pages: DataFrame, sections: DataFrame, rules: dict[str, tuple[Rule, ...]] = SITES, since: str | None = None, most: int = 1000) -> DataFrame:
+    """(section, turn, pos, title, link, date_text, published_at): items of listings that go on over pages, from pages
+    (url, html) and sections (section, site, url, max_pages).  The next page is the one behind a link marked next, else
+    the one after the active number; a section takes its first ``max_pages`` pages (null or 0: ``most``), pages that
+    aren't fetched end it.  Each page is read after the rules of its section's site; a link counts where it is
+    mentioned first, and items dated before ``since`` drop out."""
+    keyed = pages.select(F.col("url").alias("_key"), "url", "html")
+    marked = next_page(keyed, (*NEXT, "div[class*=pagination] div[class*=alignright] a[href]"), key="_key").withColumnRenamed("_key", "url")
+    nexts = marked.unionByName(numbered_next(pages).join(marked, "url", "left_anti"))
+    nexts = settled(nexts.join(pages.select("url"), "url", "left_semi"))
+    limit = F.coalesce(F.nullif("max_pages", F.lit(0)), F.lit(most))
+    longest = sections.agg(F.max(limit)).first()[0] or 0
+    walked = chains(sections.select("section", "site", "url", limit.alias("_most")), nexts, min(longest, most)).join(pages.select("url"), "url", "left_semi")
+    walked = settled(walked.where(F.col("step") < F.col("_most")).select("section", "site", "url", (F.col("step") + 1).alias("turn")))
+    asked = keyed.join(walked.select(F.col("url").alias("_key"), "site").distinct(), "_key")
+    items = listings_by(asked, rules, "site", key="_key").withColumnRenamed("_key", "url")
+    rows = walked.join(items, ["url", "site"])
+    if since is not None:
+        rows = rows.where(dates.since(F.col("published_at"), F.lit(since).cast("date")))
+    first = Window.partitionBy("section", "link").orderBy("turn", "pos")
+    rows = rows.withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    return rows.select("section", "turn", "pos", "title", "link", "date_text", "published_at")
+
+
 def questions(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, pos, link, title): the question cards of listing pages, first mention of each."""
     heads = ", ".join(f"div.question {h}[class*=card-header]" for h in ("h2", "h3"))

@@ -504,6 +504,17 @@ SELECT doc_id, chunk_index, md5(x) AS md5, batch AS embed_batch FROM p JOIN b US
     "document_sections": f"""
 WITH {_LINES}, g AS (SELECT doc_id, section_no, any_value(section_heading) AS section_heading, count(*) AS n_blocks, coalesce(string_agg(trim(text), chr(10) || chr(10) ORDER BY block_idx) FILTER (WHERE trim(text) <> ''), '') AS t FROM s GROUP BY 1, 2)
 SELECT doc_id, section_no, section_heading, n_blocks, md5(t) AS md5, CAST(nullif(least(length(t), 3000), 0) AS INTEGER) AS parent_chars FROM g""",
+    "document_chunks": f"""
+WITH RECURSIVE {_LINES}, t AS (SELECT doc_id, block_idx, section_no, section_heading, trim(text) AS x, contains(text, ' | ') AS is_table FROM s WHERE trim(text) <> ''),
+p AS (SELECT doc_id, section_no, section_heading, is_table, CASE WHEN is_table THEN x ELSE substr(x, i * 1400 + 1, 1400) END AS x, row_number() OVER (PARTITION BY doc_id ORDER BY block_idx, i) AS n
+  FROM (SELECT *, unnest(range(0, CASE WHEN is_table THEN 1 ELSE CAST(ceil(length(x) / 1400.0) AS BIGINT) END)) AS i FROM t)),
+f(doc_id, n, section_no, is_table, size, chunk) AS (
+  SELECT doc_id, n, section_no, is_table, length(x), 0 FROM p WHERE n = 1
+  UNION ALL SELECT doc_id, n, section_no, is_table, CASE WHEN fresh THEN more ELSE size + 2 + more END, CASE WHEN fresh THEN chunk + 1 ELSE chunk END
+  FROM (SELECT p.doc_id, p.n, p.section_no, p.is_table, f.size, f.chunk, length(p.x) AS more, p.is_table OR f.is_table OR p.section_no <> f.section_no OR f.size + 2 + length(p.x) > 1400 AS fresh FROM f JOIN p ON p.doc_id = f.doc_id AND p.n = f.n + 1)),
+u AS (SELECT doc_id, section_no, substr(string_agg(x, chr(10) || chr(10) ORDER BY block_idx), 1, 3000) AS parent_text FROM t GROUP BY 1, 2),
+c AS (SELECT p.doc_id, chunk, any_value(p.section_no) AS section_no, any_value(p.section_heading) AS section_heading, bool_or(p.is_table) AS is_table, count(*) AS block_count, string_agg(x, chr(10) || chr(10) ORDER BY p.n) AS x FROM p JOIN f USING (doc_id, n) GROUP BY 1, 2)
+SELECT doc_id, chunk AS chunk_index, CASE WHEN is_table AND section_heading <> '' THEN 'Table from section: ' || section_heading || chr(10) || chr(10) || x ELSE x END AS chunk_text, is_table, CAST(block_count AS INTEGER) AS block_count, section_heading, parent_text FROM c JOIN u USING (doc_id, section_no)""",
     "page_links": f"WITH {_ANCHORS} SELECT page_id, pos, href, label, root || href AS link FROM b",
     "page_document_links": f"WITH {_ANCHORS} SELECT page_id, pos, root || '/files/' || substr(href, 2) || '.pdf' AS link, label FROM b WHERE regexp_full_match(href, '/[a-z]{{4,}}') QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1",
     "page_listing": f"WITH {_ANCHORS} SELECT page_id, label AS title, root || href AS link, '' AS published_at FROM b QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1",

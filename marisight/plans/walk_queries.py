@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, sql
-from marisight.operators import chunking, posts, retrieval, walks
+from marisight.operators import chunking, listings, posts, retrieval, walks
 from marisight.operators.tables import shared_folder
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds
@@ -84,6 +84,32 @@ def question_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walks.question_walk(_archives(spark, sf_dir), sections.unionByName(direct))
 
 
+def listing_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders as listings over pages of three, of three sites with links to the next page of three kinds, each
+    customer a section of at most four pages; the last item of a page is the first of the next one again."""
+    n, i, last = F.col("o_custkey"), F.col("i"), F.col("last")
+    rows = table(spark, sf_dir, "orders")
+    per = rows.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")))).alias("list"))
+    per = per.withColumn("last", F.floor((F.size("list") - 1) / 3).cast("int")).select("o_custkey", "list", "last", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("i"))
+    here = F.slice("list", F.greatest(i * 3, F.lit(1)), F.when(i == 0, 3).otherwise(4))
+    k = lambda x: x["o_orderkey"].cast("string")
+    said = lambda before, between, after: lambda x: F.concat(F.lit(before), k(x), F.lit(between), k(x), F.lit("</a>"), F.lit(after[0]), x["day"], F.lit(after[1]))
+    shapes = (
+        said('<div class="article-list-box"><h5><a href="/o/', '">Order ', ('</h5><div class="date">', "</div></div>")),
+        said('<article><h2><a href="/o/', '">Order ', ('</h2><time datetime="', '">d</time></article>')),
+        said('<article class="et_pb_post"><h2 class="entry-title"><a href="/o/', '">Order ', ('</h2><span class="published">', "</span></article>")),
+    )
+    page = lambda j: F.concat(F.lit("/list/"), n.cast("string"), F.when(j == 0, "").otherwise(F.concat(F.lit("?page="), (j + 1).cast("string"))))
+    numbers = F.concat(F.lit('<ul class="pagination">'), F.array_join(F.transform(F.sequence(F.lit(0), last), lambda j: F.concat(F.lit("<li class='page-item"), F.when(j == i, " active").otherwise(""), F.lit("'><a class='page-link' href='"), page(j), F.lit("'>"), (j + 1).cast("string"), F.lit("</a>"))), ""), F.lit("</ul>"))
+    to_next = lambda before, after: F.when(i < last, F.concat(F.lit(before), page(i + 1), F.lit(after))).otherwise("")
+    pagers = (numbers, to_next('<a class="next page-numbers" href="', '">2</a>'), to_next('<div class="pagination clearfix"><div class="alignleft"><a href="/list/0">old</a></div><div class="alignright"><a href="', '">&raquo; Entri</a></div></div>'))
+    html = F.coalesce(*[F.when(n % 3 == m, F.concat(F.array_join(F.transform(here, shape), ""), pager)) for m, (shape, pager) in enumerate(zip(shapes, pagers))])
+    pages = per.select(F.concat(F.lit(BASE), page(i)).alias("url"), html.alias("html"))
+    site = F.element_at(F.array(F.lit("mcmc"), F.lit("dewan_selangor"), F.lit("dewan_johor")), (n % 3 + 1).cast("int"))
+    sections = rows.select("o_custkey").distinct().select(n.alias("section"), site.alias("site"), F.concat(F.lit(f"{BASE}/list/"), n.cast("string")).alias("url"), F.lit(4).alias("max_pages"))
+    return walks.listing_walk(pages, sections, since="1993-01-01").drop("pos", "date_text")
+
+
 def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as entries of a catalogue, ready to be indexed."""
     k = _text("p_partkey")
@@ -185,12 +211,50 @@ def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.element_at(F.array(F.concat(F.lit('<time class="entry-date published" datetime="'), iso, F.lit('">x</time>')), F.concat(F.lit('<meta property="article:published_time" content="'), iso, F.lit('">')), F.concat(F.lit('<span class="published">'), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("</span>")), F.concat(F.lit('<div class="sidang-details"><p class="lead"><small>'), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit("</small></p></div>"))), (n % 4 + 1).cast("int"))
     files = F.when(n % 2 == 0, F.concat(F.lit('<div class="entry-content"><a href="/f/'), k, F.lit('.pdf">Fail</a><a href="/page">page</a></div><a href="/f/outside.pdf">no</a>'))).otherwise(F.concat(F.lit('<iframe src="/viewer.html?file=%2Ff%2F'), k, F.lit('.pdf"></iframe><div class="list-of-attachments"><a href="/f/'), k, F.lit('.docx">D</a></div>')))
     pages = table(spark, sf_dir, "orders").select("o_orderkey", F.lit(f"{BASE}/p").alias("url"), F.concat(F.lit("<html>"), title, date, files).alias("html"))
-    met = posts.meta(pages, "o_orderkey")
+    met = posts.meta(pages, "o_orderkey").drop("language")
     found = posts.attached(pages, "o_orderkey").groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_list("link")), " ").alias("files"))
     return met.join(found, "o_orderkey", "left")
 
 
-QUERIES = {f.__name__: f for f in (tree_files, tree_walk, question_walk, catalogue_items, page_files, sql_fusion, sql_headings, feed_files, series_answers, prompts, contextual_pieces, post_pages)}
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, date and language of customers' pages with empty headings, prefixed titles and dates in five places."""
+    n, k = F.col("c_custkey"), _text("c_custkey")
+    title = F.element_at(F.array(F.concat(F.lit("<h2>menu</h2><h1></h1><h1> Page\n "), k, F.lit("</h1>")), F.concat(F.lit("<h1></h1><h3>x</h3><h2>Page "), k, F.lit("</h2>")), F.concat(F.lit("<title>KPM | Page "), k, F.lit("</title><h1> </h1>"))), (n % 3 + 1).cast("int"))
+    day = F.element_at(F.array(*[F.lit(x) for x in ('<meta property="article:published_time" content="2024-03-05T10:00:00+08:00">', '<meta name="pubdate" content="5 Mac 2024">', '<meta name="date" content=""><time datetime="2024-03-05">x</time>', '<div class="post-date">Tarikh: 5 March 2024</div>', "<div>5 Mac 2024</div>")]), (n % 5 + 1).cast("int"))
+    lang = F.element_at(F.array(F.lit(' lang="my"'), F.lit(' lang="EN"'), F.lit("")), (n % 3 + 1).cast("int"))
+    pages = table(spark, sf_dir, "customer").select("c_custkey", F.lit(f"{BASE}/p").alias("url"), F.concat(F.lit("<html"), lang, F.lit(">"), title, day).alias("html"))
+    return posts.meta(pages, "c_custkey", "education")
+
+
+def package_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and files of parts' download packages."""
+    n, k = F.col("p_partkey"), _text("p_partkey")
+    facts = F.element_at(F.array(F.lit("<li class='list-group-item'>Last Updated <span class='badge'>7 Mei 2024</span></li><li class='list-group-item'>Create Date <span class=badge>5 Mac 2024</span>"), F.lit("<li class='list-group-item'>Version <span class='badge'>1</span><li class='list-group-item'><span class='badge'>7 Mei 2024</span>Tarikh Kemaskini"), F.lit("<li class='list-group-item'>Tarikh Cipta <span class='badge'>soon</span>")), (n % 3 + 1).cast("int"))
+    pages = table(spark, sf_dir, "part").select("p_partkey", F.lit(f"{BASE}/download/x/").alias("url"), F.concat(F.when(n % 2 == 0, F.concat(F.lit("<h1 class='entry-title'>Package "), k, F.lit("</h1>"))).otherwise(F.concat(F.lit("<meta property='og:title' content='Package "), k, F.lit(" | Site'>"))), F.lit("<span class='published'>1 Jan 2020</span><div class='w3eden'><ul class='list-group'>"), facts, F.lit("</ul><div class='col-md-12'><p> </p></div><div class='col-md-12'><p>About "), k, F.lit("</p></div><a class='btn inddl' href='/download/x/?wpdmdl="), k, F.lit("'>Get</a><a class='inddl' href='#'>no</a></div>")).alias("html"))
+    files = posts.attached(pages, "p_partkey", "divi").select("p_partkey", "link", "label")
+    return posts.package_meta(pages, "p_partkey").join(files, "p_partkey", "left")
+
+
+def act_hubs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations' customers under headings: documents and a detail page between one heading and the next."""
+    n, k = F.col("c_custkey"), _text("c_custkey")
+    part = F.concat(F.lit("<h2>Act "), k, F.lit("</h2><p><a href='#x'>x</a> <a href='/en/legal/"), k, F.lit("'>read</a><a href='/en/legal/other'>o</a></p>"), F.when(n % 2 == 0, F.concat(F.lit("<ul><li><a href='/f/"), k, F.lit(".pdf'>PDF</a><li><a href='/f/"), k, F.lit(".pdf'>again</a></ul><a href='/f/"), k, F.lit(".docx'>D</a>"))).otherwise(""))
+    pages = _joined(table(spark, sf_dir, "customer"), F.col("c_nationkey"), part, "c_custkey").select(F.col("id").alias("c_nationkey"), F.lit(f"{BASE}/acts").alias("url"), F.concat(F.lit("<main><h2>Outside</h2><a href='/f/no.pdf'>no</a><div class='row contentZone'><h2>Empty</h2><p>none</p>"), "xml", F.lit("</div></main>")).alias("html"))
+    return listings.headed_links(pages, key="c_nationkey").drop("pos").withColumn("documents", F.array_join("documents", " "))
+
+
+def bilingual_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' orders as feeds in one or two languages, read since 1995."""
+    k = _text("o_orderkey")
+    item = F.concat(F.lit("<item><title>"), k, F.lit("</title><link>/n/"), k, F.lit("</link><description>d</description><pubDate>"), F.date_format("o_orderdate", "EEE, dd MMM yyyy"), F.lit(" 09:00:00 +0000</pubDate></item>"))
+    per = _joined(table(spark, sf_dir, "orders"), F.col("o_custkey"), item, "o_orderkey")
+    at = lambda c: F.concat(F.lit(f"{BASE}/{c}/"), F.col("id").cast("string"))
+    configs = per.select(F.col("id").cast("string").alias("name"), F.lit("news").alias("doc_type"), at("en").alias("url_en"), F.when(F.col("id") % 2 == 0, at("ms")).alias("url_ms"))
+    body = lambda c: per.where("id % 3 > 0").select(at(c).alias("url"), F.concat(F.lit("<rss><channel>"), "xml", F.lit("</channel></rss>")).alias("xml"))
+    return feeds.language_feeds(configs, body("en").unionByName(body("ms")), BASE, "1995-01-01").drop("description", "doc_type")
+
+
+QUERIES = {f.__name__: f for f in (tree_files, tree_walk, question_walk, listing_walk, catalogue_items, page_files, sql_fusion, sql_headings, feed_files, series_answers, prompts, contextual_pieces, post_pages, detail_pages, package_pages, act_hubs, bilingual_feeds)}
 
 _FILE = "'/files/DR-' || strftime(o_orderdate, '%d%m%Y') || '.pdf'"
 ORACLE_SQL = {
@@ -210,6 +274,9 @@ p AS (SELECT DISTINCT CAST(n_regionkey AS VARCHAR) AS section, n_regionkey, n_na
 t AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY n_nationkey, o_custkey, page) AS turn FROM p)
 SELECT section, CAST(turn AS INTEGER) AS turn, '{BASE}/question?c=' || o_custkey || CASE WHEN page = 0 THEN '' ELSE '&page=' || (page + 1) END AS url, '{BASE}/question/' || o_orderkey || '/' AS link, 'Soalan ' || o_orderkey AS title
 FROM t JOIN o USING (o_custkey, page) WHERE n_regionkey = 0 OR turn <= CASE WHEN section = 'direct' THEN 2 ELSE 15 END""",
+    "listing_walk": f"""
+WITH o AS (SELECT o_custkey AS section, o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS published_at, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 3 AS page FROM orders)
+SELECT section, CAST(page + 1 AS INTEGER) AS turn, 'Order ' || k AS title, '{BASE}/o/' || k AS link, published_at FROM o WHERE page < 4 AND published_at >= '1993-01-01'""",
     "catalogue_items": f"""
 WITH p AS (SELECT *, p_name || ' / Tajuk ' || p_partkey || chr(10) || chr(10) || p_type || chr(10) || chr(10) || 'Keterangan ' || p_partkey || chr(10) || chr(10) || 'Dataset ID: set_' || p_partkey || chr(10) || 'Columns: date, ' || p_brand || chr(10)
   || 'Update frequency: ' || CASE WHEN p_partkey % 2 = 0 THEN 'daily' ELSE 'monthly' END || chr(10) || 'Category: prices' || chr(10) || 'API endpoint: data-catalogue/' || p_partkey AS t FROM part)
@@ -253,4 +320,13 @@ SELECT doc_id, chunk_index, md5(substr(x, 1, 900)) AS md5 FROM c WHERE trim(x, '
     "post_pages": f"""
 SELECT o_orderkey, 'Order ' || o_orderkey || CASE o_orderkey % 3 WHEN 2 THEN ' - Site' ELSE '' END AS title, strftime(o_orderdate, '%Y-%m-%d') AS published_at,
   CASE WHEN o_orderkey % 2 = 0 THEN '{BASE}/f/' || o_orderkey || '.pdf' ELSE '{BASE}/f/' || o_orderkey || '.docx {BASE}/f/' || o_orderkey || '.pdf' END AS files FROM orders""",
+    "detail_pages": """
+SELECT c_custkey, 'Page ' || c_custkey AS title, CASE WHEN c_custkey % 5 = 4 THEN '' ELSE '2024-03-05' END AS published_at, CASE c_custkey % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 'en' END AS language FROM customer""",
+    "package_pages": f"""
+SELECT p_partkey, 'Package ' || p_partkey AS title, CASE p_partkey % 3 WHEN 0 THEN '2024-03-05' WHEN 1 THEN '2024-05-07' ELSE '2020-01-01' END AS published_at, 'About ' || p_partkey AS description, '{BASE}/download/x/?wpdmdl=' || p_partkey AS link, 'Get' AS label FROM part""",
+    "act_hubs": f"""
+SELECT c_nationkey, 'Act ' || c_custkey AS title, '{BASE}/en/legal/' || c_custkey AS detail, CASE WHEN c_custkey % 2 = 0 THEN '{BASE}/f/' || c_custkey || '.pdf {BASE}/f/' || c_custkey || '.docx' ELSE '' END AS documents FROM customer""",
+    "bilingual_feeds": f"""
+WITH l AS (SELECT unnest(['en', 'ms']) AS language)
+SELECT CAST(o_custkey AS VARCHAR) AS feed, language, '{BASE}/n/' || o_orderkey AS source_url, CAST(o_orderkey AS VARCHAR) AS title, strftime(o_orderdate, '%Y-%m-%d') AS published_at FROM orders, l WHERE o_custkey % 3 > 0 AND (language = 'en' OR o_custkey % 2 = 0) AND o_orderdate >= DATE '1995-01-01'""",
 }

@@ -55,6 +55,7 @@ def _csv(payload: bytes) -> str:
     return _markdown(rows) if rows else ""
 
 
+#: fixed values: labels of files, and what is said of those that can't be read
 _FORMS = {"docx": (_docx, "DOCX", "[DOCX file uploaded: {} — text extraction unavailable]"), "xlsx": (_xlsx, "XLSX", "[XLSX file uploaded: {} — spreadsheet parsing unavailable]"), "csv": (_csv, "CSV", "[CSV file uploaded: {} — could not parse]")}
 
 

@@ -39,6 +39,17 @@ def rss_items(feeds: DataFrame, xml: str = "xml") -> DataFrame:
     return out.select("*", "i.*").drop("i").withColumn("title", F.when(F.col("title") == "", "Untitled").otherwise(F.col("title")))
 
 
+def language_feeds(configs: DataFrame, bodies: DataFrame, base: str, since: str | None = None) -> DataFrame:
+    """(feed, doc_type, language, source_url, title, published_at, description): items of feeds that a site has in two
+    languages (name, doc_type, url_en, url_ms), from the fetched bodies (url, xml).  Feeds without an address in a
+    language or without a body have no items there."""
+    each = configs.select("name", "doc_type", F.explode(F.array(*[F.struct(F.lit(c).alias("language"), F.col(f"url_{c}").alias("url")) for c in ("en", "ms")])).alias("f")).select("name", "doc_type", "f.*").where("url <> ''")
+    items = rss_items(each.join(bodies, "url").select("name", "doc_type", "language", "xml"))
+    day = dates.feed_date(F.col("pub_date"))
+    rows = items.select(F.col("name").alias("feed"), "doc_type", "language", urls.absolute(F.col("link"), F.lit(base)).alias("source_url"), "title", day.alias("published_at"), "description")
+    return rows if since is None else rows.where(dates.since(F.col("published_at"), F.lit(since).cast("date")))
+
+
 def feed_files(spark: SparkSession, folder: str, tag: str = "item") -> DataFrame:
     """(file, title, link, description, pub_date, enclosure) of the items in a folder's feed files, each read item by item,
     so a file may have any size (one feed a file).  Items that are cut off or broken drop out; their file's others stay."""

@@ -159,6 +159,7 @@ def live_texts(entries: DataFrame, rows: DataFrame, columns: tuple[str, ...]) ->
     per = rows.groupBy("dataset_id").agg(F.array_sort(F.collect_list(F.struct("pos", F.array_join(cells, " | ").alias("line")))).alias("lines"))
     met = entries.join(per, "dataset_id", "left")
     n, header = F.size("lines"), " | ".join(columns)
+    # fixed values: the sentences around live rows
     lead = F.concat(F.lit("Live data from data.gov.my — "), "title", F.lit(" (most recent "), n.cast("string"), F.lit(" records):"))
     tail = F.concat(F.lit("Source: data.gov.my ("), "endpoint", F.lit(", id="), "dataset_id", F.lit("). Updated "), "frequency", F.lit("."))
     said = F.array_join(F.concat(F.array(lead, F.lit(""), F.lit(header), F.lit("-" * len(header))), F.col("lines.line"), F.array(F.lit(""), tail)), "\n")

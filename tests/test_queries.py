@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-from marisight.plans import listing_queries, record_queries, retrieval_queries, table_queries, walk_queries
+from marisight.plans import file_queries, listing_queries, record_queries, retrieval_queries, table_queries, walk_queries
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = {**retrieval_queries.QUERIES, **table_queries.QUERIES, **record_queries.QUERIES, **listing_queries.QUERIES, **walk_queries.QUERIES}
-ORACLE = {**retrieval_queries.ORACLE_SQL, **table_queries.ORACLE_SQL, **record_queries.ORACLE_SQL, **listing_queries.ORACLE_SQL, **walk_queries.ORACLE_SQL}
+QUERIES = {**retrieval_queries.QUERIES, **table_queries.QUERIES, **record_queries.QUERIES, **listing_queries.QUERIES, **walk_queries.QUERIES, **file_queries.QUERIES}
+ORACLE = {**retrieval_queries.ORACLE_SQL, **table_queries.ORACLE_SQL, **record_queries.ORACLE_SQL, **listing_queries.ORACLE_SQL, **walk_queries.ORACLE_SQL, **file_queries.ORACLE_SQL}
 
 
 @pytest.fixture(scope="module")
