@@ -7,8 +7,9 @@ holds it.  Spark does this ``STEP`` bits at a time: bytes are summed per STEP-bi
 one before it does not.  Documents find their shard by a join with that directory, whose size is
 bounded by 2**STEP; only buckets still too large go on to the next STEP bits.
 
-Bytes with the very same hash can't be told apart by more bits.  When all bits are used, what is left
-of such a bucket is cut into parts by a running sum, so that repeated rows of one id split too.
+Bytes with the very same hash can't be told apart by more bits.  A bucket over the limit that holds one
+hash alone leaves the rounds at once: its rows are dealt over lanes of about ``LANE_ROWS`` rows, however many
+they are, and each lane is cut into parts by a running sum, so that repeated rows of one id split too.
 
 Defined results: a shard exceeds the limit only if it is one document that does so alone; null texts
 have 0 bytes; null ids hash as the empty string; an empty table has no shards; other columns stay.
@@ -24,8 +25,8 @@ from marisight.llm._shared import written
 STEP = 16
 HASH_BITS = 128
 LIMIT = 256 << 10
-#: rows of one hash are spread over so many lanes before they are cut into parts
-_LANES = 64
+#: rows of one hash that a lane has on average
+LANE_ROWS = 4096
 
 
 def _digits(first_bit: int) -> Column:
@@ -34,15 +35,16 @@ def _digits(first_bit: int) -> Column:
 
 
 def directory(rows: DataFrame, first_bit: int, limit: int) -> DataFrame:
-    """(stem, slot, depth, prefix, fits): the bucket of each STEP-bit slot under each longer stem."""
-    fine = rows.groupBy("stem", _digits(first_bit).alias("slot")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("docs"))
+    """(stem, slot, depth, prefix, fits, bytes, docs, one): the bucket of each STEP-bit slot under each longer stem, and
+    whether it holds one hash alone."""
+    fine = rows.groupBy("stem", _digits(first_bit).alias("slot")).agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("docs"), F.min("hash").alias("low"), F.max("hash").alias("high"))
     above = F.explode(F.sequence(F.lit(0), F.lit(STEP))).alias("depth")
     paths = fine.select("*", above).withColumn("prefix", F.expr(f"shiftright(slot, {STEP} - depth)"))
-    nodes = paths.groupBy("stem", "depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"))
+    nodes = paths.groupBy("stem", "depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.sum("docs").alias("docs"), (F.min("low") == F.max("high")).alias("one"))
     nodes = nodes.withColumn("fits", (F.col("bytes") <= limit) | (F.col("docs") == 1))
     # along each slot's path from the root: the first bucket that fits, or the deepest one
     path = paths.select("stem", "slot", "depth", "prefix").join(nodes, ["stem", "depth", "prefix"])
-    first = F.min_by(F.struct("depth", "prefix", "fits", "bytes", "docs"), F.when(F.col("fits"), F.col("depth")).otherwise(3 * STEP - F.col("depth")))
+    first = F.min_by(F.struct("depth", "prefix", "fits", "bytes", "docs", "one"), F.when(F.col("fits"), F.col("depth")).otherwise(3 * STEP - F.col("depth")))
     return path.groupBy("stem", "slot").agg(first.alias("b")).select("stem", "slot", "b.*")
 
 
@@ -52,18 +54,22 @@ def shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: i
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), key.alias("hash"), F.lit("").alias("stem"), *keep)
     rows = written(rows, "hashed")
-    done = None
+    done = same = None
     for bit in range(0, HASH_BITS, STEP):
         split = rows.withColumn("slot", _digits(bit)).join(directory(rows, bit, limit), ["stem", "slot"])
         label = F.concat("stem", F.expr(f"case when depth = 0 then '' else substring(lpad(bin(slot), {STEP}, '0'), 1, depth) end"))
-        split = written(split.select("doc_id", "n_bytes", "hash", label.alias("stem"), (F.lit(bit) + F.col("depth")).cast("int").alias("depth"), "fits", *keep), "split")
+        split = written(split.select("doc_id", "n_bytes", "hash", label.alias("stem"), (F.lit(bit) + F.col("depth")).cast("int").alias("depth"), "fits", "one", "docs", *keep), "split")
         fitting = split.where("fits").select("doc_id", "n_bytes", F.col("stem").alias("shard"), "depth", F.lit(0).cast("long").alias("part"), *keep)
-        done = fitting if done is None else done.unionByName(fitting)
-        rows = split.where(~F.col("fits")).select("doc_id", "n_bytes", "hash", "stem", *keep)
+        alone = split.where("NOT fits AND one").select("doc_id", "n_bytes", "hash", "docs", *keep)
+        done, same = (fitting, alone) if done is None else (done.unionByName(fitting), same.unionByName(alone))
+        rows = split.where("NOT fits AND NOT one").select("doc_id", "n_bytes", "hash", "stem", *keep)
         if rows.isEmpty():
-            return done
+            break
+    if same.isEmpty():
+        return done
     # one hash, several rows: rows over half the limit alone, others by a running sum of half the limit
-    lanes = rows.withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(_LANES)))
+    bits = F.concat(*[F.lpad(F.bin(F.conv(F.substring("hash", at + 1, 8), 16, 10).cast("long")), 32, "0") for at in range(0, HASH_BITS // 4, 8)])
+    lanes = same.withColumn("stem", bits).withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("docs") / LANE_ROWS)))
     lanes = written(lanes, "lanes")
     small = F.col("n_bytes") * 2 <= limit
     run = Window.partitionBy("stem", "lane").orderBy("n_bytes").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -220,6 +220,19 @@ def test_op4_limits_and_repeats(spark, tmp_path):
     assert extendible_sharding.write_shards(small, str(tmp_path / "out"), 50).count() == 20
 
 
+def test_op4_lanes_grow_with_the_rows_of_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(extendible_sharding, "LANE_ROWS", 10)
+    rows = [(None, "x" * 60)] * 200 + [(5, "y" * 10)] * 40 + [(i, "z" * 20) for i in range(100, 140)]
+    out = extendible_sharding.shards(docs_of(spark, rows), limit=300).collect()
+    assert Counter(r.doc_id for r in out) == Counter(d for d, _ in rows)
+    size = Counter()
+    for r in out:
+        size[r.shard, r.part] += r.n_bytes
+    assert max(size.values()) <= 300
+    hot = [r for r in out if r.doc_id is None]
+    assert len({r.shard for r in hot}) == 1 and {len(r.shard) for r in hot} == {128} and len({r.part >> 40 for r in hot}) >= 15
+
+
 def test_op4_writes_each_row_once(spark, tmp_path):
     rows = [(None, "n" * 30), (None, "m" * 30), *[(7, f"{i:02}" * 10) for i in range(12)], (8, "x"), (9, None)]
     frame = spark.createDataFrame(rows, DOCS)
