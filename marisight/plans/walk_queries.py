@@ -146,8 +146,9 @@ d AS (SELECT doc_id AS id, lexemes(coalesce(text, '')) AS words FROM {documents}
 q AS (SELECT item_id AS query_id, slice(array_distinct(lexemes(text)), 1, 2) AS terms, v, label FROM {benchmark} JOIN e ON vec_id = item_id),
 cosines AS (SELECT query_id, e.vec_id AS id, cosine_of(q.v, e.v) AS similarity FROM q JOIN e ON e.label = q.label),
 vr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS vrank FROM cosines),
-held AS (SELECT id, words, explode(array_distinct(words)) AS word FROM d),
-densities AS (SELECT query_id, id, cover_density(terms, words) AS density FROM q JOIN held ON word = terms[0] WHERE array_contains(words, terms[1])),
+held AS (SELECT id, explode(array_distinct(words)) AS word FROM d),
+met AS (SELECT /*+ MERGE(held) */ query_id, terms, id FROM q JOIN held ON word = terms[0]),
+densities AS (SELECT /*+ MERGE(d) */ query_id, id, cover_density(terms, words) AS density FROM met JOIN d USING (id) WHERE array_contains(words, terms[1])),
 fr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(density, 9) DESC, id) AS frank FROM densities WHERE density > 0)
 SELECT query_id, id, round(coalesce(similarity, 0), 6) AS similarity, round(coalesce(density, 0), 6) AS density, round(reciprocal_rank(vrank, 60) + reciprocal_rank(frank, 60), 6) AS score
 FROM (SELECT * FROM vr WHERE vrank <= 20) FULL JOIN (SELECT * FROM fr WHERE frank <= 20) USING (query_id, id)""",
