@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,40 +24,51 @@ def usage_stream(requests: DataFrame, late: str = "2 days") -> DataFrame:
     return requests.withWatermark("ts", late).groupBy(day.alias("day"), "user_id").agg(F.count(F.lit(1)).alias("request_count"), F.sum("tokens").alias("tokens_budgeted")).select(F.to_date("day.start").alias("usage_date"), "user_id", "request_count", "tokens_budgeted")
 
 
-def quota_stream(requests: DataFrame, max_requests: int = 25, max_tokens: int = 15_000, late: str = "1 day") -> DataFrame:
+def quota_stream(requests: DataFrame, max_requests: int = 25, max_tokens: int = 15_000, late: str = "1 day", shares: int = 256) -> DataFrame:
     """Decisions on requests (request_id, user_id, ts, tokens) by the running totals of the user's day, in the order of
     time: (request_id, running_requests, running_tokens, allowed), to be kept by request_id (output mode update).
 
     A request is decided as it comes.  One that comes with an earlier time changes the decisions after it, which are
     given out again, so what is kept equals the decisions over all requests however these are cut into batches.
-    The state of a user's day is its totals up to the watermark and the requests since; it goes once the watermark
-    has passed the day, and requests later than that are dropped."""
+    The users of a day are dealt over ``shares``, each of which is decided in one pass.  The state of a share is its
+    users' totals up to the watermark and the requests since; it goes once the watermark has passed the day, and
+    requests later than that are dropped."""
     kind = "request_id long, running_requests long, running_tokens long, allowed boolean"
+    columns = ("who", "at", "request_id", "tokens", "count", "total")
 
     def decide(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        requests, tokens, *held = state.get if state.exists else (0, 0, [], [], [], [], [])
-        known = pd.DataFrame(dict(zip(("at", "request_id", "tokens", "count", "total"), map(list, held))), dtype="int64")
-        new = pd.concat(list(parts))
-        new = pd.DataFrame({"at": new["at"].astype("int64"), "request_id": new["request_id"].astype("int64"), "tokens": new["tokens"].fillna(0).astype("int64"), "count": -1, "total": -1})
-        rows = pd.concat([known, new]).sort_values(["at", "request_id"], kind="stable").reset_index(drop=True)
-        count, total = requests + pd.Series(range(1, len(rows) + 1), dtype="int64"), tokens + rows["tokens"].cumsum()
-        changed = (count != rows["count"]) | (total != rows["total"])
-        rows["count"], rows["total"] = count, total
-        out = pd.DataFrame({"request_id": rows["request_id"], "running_requests": count, "running_tokens": total, "allowed": (count <= max_requests) & (total <= max_tokens)})
-        done = rows["at"] < state.getCurrentWatermarkMs() * 1000
-        requests, tokens = requests + int(done.sum()), tokens + int(rows.loc[done, "tokens"].sum())
-        rows = rows[~done]
-        state.update((requests, tokens, *[rows[c].tolist() for c in ("at", "request_id", "tokens", "count", "total")]))
-        state.setTimeoutTimestamp(max(int(new["at"].max()) // 86_400_000_000 * 86_400_000 + 86_400_000, state.getCurrentWatermarkMs() + 1))
-        yield out[changed]
+        users, requests, tokens, *held = map(list, state.get) if state.exists else [[]] * (3 + len(columns))
+        known, new = dict(zip(columns, held)), pd.concat(list(parts))
+        row = lambda c, given: np.concatenate([np.asarray(known[c], np.int64), given])
+        arrived = np.full(len(new), -1)
+        number, names = pd.factorize(np.array([*users, *known["who"], *new["who"]], object), use_na_sentinel=False)
+        names = np.where(pd.isna(names), None, names)
+        who, at, ids = number[len(users) :], row("at", new["at"].to_numpy(np.int64)), row("request_id", new["request_id"].to_numpy(np.int64))
+        cost, count, total = row("tokens", new["tokens"].fillna(0).to_numpy(np.int64)), row("count", arrived), row("total", arrived)
+        order = np.lexsort((ids, at, who))
+        who, at, ids, cost, count, total = (x[order] for x in (who, at, ids, cost, count, total))
+        first = np.searchsorted(who, np.arange(len(names)))  # each user's first row, the end for those without any
+        base = np.zeros((2, len(names)), np.int64)
+        base[:, : len(users)] = requests, tokens
+        before = np.concatenate([[0], np.cumsum(cost)])
+        running, spent = base[0, who] + np.arange(len(who)) - first[who] + 1, base[1, who] + before[1:] - before[first[who]]
+        changed = (running != count) | (spent != total)
+        done = at < state.getCurrentWatermarkMs() * 1000
+        np.add.at(base, (slice(None), who[done]), np.stack([np.ones(done.sum(), np.int64), cost[done]]))
+        kept = [x[~done].tolist() for x in (names[who], at, ids, cost, running, spent)]
+        some = base[0] > 0
+        state.update((names[some].tolist(), *base[:, some].tolist(), *kept))
+        state.setTimeoutTimestamp(max(int(at.max()) // 86_400_000_000 * 86_400_000 + 86_400_000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"request_id": ids, "running_requests": running, "running_tokens": spent, "allowed": (running <= max_requests) & (spent <= max_tokens)})[changed]
 
     day = F.floor(F.unix_micros("ts") / 86_400_000_000)
-    keyed = requests.withWatermark("ts", late).select("request_id", "user_id", "ts", day.alias("day"), F.unix_micros("ts").alias("at"), "tokens").groupBy("user_id", "day")
-    held = "requests long, tokens long, at array<long>, ids array<long>, each array<long>, count array<long>, total array<long>"
-    return keyed.applyInPandasWithState(decide, kind, held, "update", "EventTimeTimeout")
+    share = F.pmod(F.xxhash64("user_id"), F.lit(shares))
+    rows = requests.withWatermark("ts", late).select("request_id", F.col("user_id").cast("string").alias("who"), "ts", day.alias("day"), share.alias("share"), F.unix_micros("ts").alias("at"), "tokens")
+    held = "users array<string>, requests array<long>, spent array<long>, who array<string>, at array<long>, ids array<long>, each array<long>, count array<long>, total array<long>"
+    return rows.groupBy("share", "day").applyInPandasWithState(decide, kind, held, "update", "EventTimeTimeout")
 
 
 def feedback_stream(feedback: DataFrame, citations: DataFrame) -> DataFrame:

@@ -82,3 +82,19 @@ def test_index_takes_each_version_once(spark, tmp_path):
         jobs.index_stream(files, cut, sink, f"{at}/state").awaitTermination()
     got = sorted((r.storage_path, r.version_token, r.text) for r in sink.table(spark, spark.createDataFrame([], kind).schema).collect())
     assert got == [("a", "1", "X"), ("b", "2", "Z")] and sum(seen) == 3
+
+
+def test_quota_decides_many_users_in_one_pass(spark, tmp_path):
+    folder = f"file://{tmp_path}/in"
+    rows = [(i, None if i % 50 == 0 else i % 3000, DAY + datetime.timedelta(minutes=(i * 37) % 2880), 500) for i in range(9000)]
+    cut_into_files(spark, rows, folder, [range(0, 4000), range(4000, 9000)])
+    made = jobs.quota_stream(jobs.event_stream(spark, folder, spark.createDataFrame(rows, SCHEMA), 1), 2, 900, "3 days", shares=8)
+    sink = jobs.KeyedSink(f"file://{tmp_path}/out", ("request_id",))
+    query = jobs.run_available(made, f"file://{tmp_path}/state", sink, "update")
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(held) <= 2 * 8  # a row for each share of a day, not for each user's day
+    columns = ("request_id", "running_requests", "running_tokens", "allowed")
+    got = sorted(tuple(r[c] for c in columns) for r in sink.table(spark, made.schema).collect())
+    want = sorted(tuple(r[c] for c in columns) for r in state.quota_decisions(spark.createDataFrame(rows, SCHEMA), 2, 900).collect())
+    assert got == want
