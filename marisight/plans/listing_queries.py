@@ -232,7 +232,7 @@ def worth_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versioned names, hex links, codes, initials and decoded names of every customer."""
+    """Versioned names, hex links, codes, initials, decoded names and catalogue texts of every customer."""
     k, n = F.col("c_custkey"), F.col("c_custkey").cast("string")
     link = F.concat(F.lit(f"{BASE}/"), n)
     return table(spark, sf_dir, "customer").select(
@@ -245,6 +245,7 @@ def name_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.initials(F.concat(F.lit("ana.b"), n, F.lit("_c@h.my"))).alias("initials"),
         text.date_and_title(F.concat(F.lit("3 Mac 2024\n Title "), n, F.lit("\n\nmore"))).alias("d"),
         text.sorted_json(text.merged_map(F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), n), F.create_map(F.lit("b"), F.lit("2")))).alias("json"),
+        feeds.catalog_summary(F.concat(F.lit("T"), n), F.lit("D"), F.array(F.lit("x"), F.lit("y")), F.lit("daily"), F.lit("prices")).alias("catalogue"),
     ).select("*", F.col("d.date").alias("date"), F.col("d.title").alias("title")).drop("d")
 
 
@@ -345,7 +346,7 @@ SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count
     "name_functions": f"""
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'a.b' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN '.pdf' ELSE '' END WHEN c_custkey % 2 = 0 THEN 'a.b' || c_custkey || '_2024-02-03.pdf' ELSE 'a_2024-02-03.b' || c_custkey END AS versioned,
   '{BASE}/' || c_custkey AS link, CASE c_custkey % 3 WHEN 0 THEN 'ms' WHEN 1 THEN 'en' END AS language, '[' || printf('%.12g', c_custkey / 4.0) || ',0.1,-2]' AS vector, 'Laporan a/b' || c_custkey AS decoded, 'AB' AS initials,
-  '{{"a":"' || c_custkey || '","b":"2"}}' AS json, '3 Mac 2024' AS date, 'Title ' || c_custkey || ' more' AS title FROM customer""",
+  '{{"a":"' || c_custkey || '","b":"2"}}' AS json, 'T' || c_custkey || chr(10) || 'D' || chr(10) || 'Columns: x, y' || chr(10) || 'Frequency: daily' || chr(10) || 'Category: prices' AS catalogue, '3 Mac 2024' AS date, 'Title ' || c_custkey || ' more' AS title FROM customer""",
     "vector_pairs": """
 WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.vec_id, round(list_inner_product(a.v, b.v), 6) AS dot, round(sqrt(list_inner_product(a.v, a.v)), 6) AS norm, round(list_cosine_similarity(a.v, b.v), 6) AS cosine FROM e a JOIN e b ON b.vec_id = a.vec_id + 1""",

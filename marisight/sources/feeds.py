@@ -247,6 +247,11 @@ def catalog_text(entry: Column) -> Column:
     return F.concat_ws("\n\n", titles, field("description_en"), field("description_ms"), F.concat_ws("\n", *facts))
 
 
+def catalog_summary(title: Column, description: Column, columns: Column, frequency: Column, category: Column) -> Column:
+    """A dataset in short: its title, description, columns, frequency and category, a line each."""
+    return F.concat_ws("\n", title, description, F.concat(F.lit("Columns: "), F.array_join(columns, ", ")), F.concat(F.lit("Frequency: "), frequency), F.concat(F.lit("Category: "), category))
+
+
 def catalog_items(entries: DataFrame, prefix: str) -> DataFrame:
     """Catalogue entries as rows to index: storage path, title, text, its digest and size, source and metadata."""
     text = catalog_text(F.struct(*entries.columns))

@@ -134,3 +134,10 @@ def test_dates_of_many_labels(spark):
     rows = spark.createDataFrame([(1, "3 Mac 2024", ["x", None, "5 Jun 2020"]), (2, None, None), (3, "", []), (4, "3 Mac 2024", ["none"])], "n int, v string, lines array<string>")
     got = {r.n: (r.d, r.s) for r in rows.select("n", dates.parse_date(F.col("v")).alias("d"), dates.speech_date(F.col("v"), F.col("lines"), F.lit("2019")).alias("s")).collect()}
     assert got == {1: ("2024-03-03", "2020-06-05"), 2: ("", "2019-01-01"), 3: ("", "2019-01-01"), 4: ("2024-03-03", "2019-01-01")}
+
+
+def test_catalogue_text_of_names(spark, sf_dir):
+    from marisight.plans.listing_queries import name_functions
+
+    row = name_functions(spark, sf_dir).where("c_custkey = 1").first()
+    assert row.catalogue == "T1\nD\nColumns: x, y\nFrequency: daily\nCategory: prices"
