@@ -24,6 +24,8 @@ RRF_K = 60
 FTS_FLOOR = 0.50
 #: questions and rows that one task compares at a time
 VECTOR_QUERIES, VECTOR_ROWS = 1000, 8192
+#: what a product of matrices may be off by; rows so near to the last one are compared again
+_ROUNDING = 1e-12
 
 
 def pool_size(match_count: int) -> int:
@@ -45,7 +47,12 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 def _nearest(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Of a block of questions and a shard of rows: the n most similar rows of each question."""
+    """Of a block of questions and a shard of rows: the n most similar rows of each question.
+
+    A product of matrices may give equal vectors unequal similarities, by their place in it.  So it only tells which rows
+    are near; these are then summed component by component, and equals come by id."""
+
+    in_turn = lambda rows: np.cumsum(rows, axis=1)[:, -1]
 
     def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
         who, ids, found = np.asarray(asked["id"]), np.asarray(rows["id"]), []
@@ -53,15 +60,17 @@ def _nearest(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             width = int(max(np.max(t["embedding"].combine_chunks().value_lengths()) for t in (asked, rows)))
             by_id = np.argsort(ids, kind="stable")
             ids, dense, matrix = ids[by_id], _matrix(rows["embedding"], width)[by_id], _matrix(asked["embedding"], width)
-            scale = np.sqrt((matrix**2).sum(1))[:, None] * np.sqrt((dense**2).sum(1))[None]
+            scale = np.sqrt(in_turn(matrix**2))[:, None] * np.sqrt(in_turn(dense**2))[None]
             with np.errstate(divide="ignore", invalid="ignore"):
                 sim = np.where(scale > 0, (matrix @ dense.T) / scale, 0.0)
             m = min(n, len(ids))
             least = np.partition(sim, len(ids) - m, axis=1)[:, len(ids) - m]
             for i in range(len(who)):
-                near = np.flatnonzero(sim[i] >= least[i])  # ids ascend, so equals keep their order
-                best = near[np.argsort(-sim[i, near], kind="stable")][:m]
-                found.append((np.full(m, who[i]), ids[best], sim[i, best]))
+                near = np.flatnonzero(sim[i] >= least[i] - _ROUNDING)  # ids ascend, so equals keep their order
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    exact = np.where(scale[i, near] > 0, np.clip(in_turn(matrix[i] * dense[near]) / scale[i, near], -1, 1), 0.0)
+                best = np.argsort(-exact, kind="stable")[:m]
+                found.append((np.full(m, who[i]), ids[near[best]], exact[best]))
         made = [np.concatenate(x) for x in zip(*found)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table([pa.array(x) for x in made], names=["query_id", "id", "similarity"])
 

@@ -109,3 +109,16 @@ def test_given_vectors_reach_their_recall(spark, sf_dir):
 
     total = cell_recall(spark, sf_dir).agg(F.sum("found"), F.sum("wanted")).first()
     assert total[0] / total[1] >= 0.9
+
+
+def test_equal_vectors_have_equal_similarities():
+    import numpy as np
+    import pyarrow as pa
+
+    from marisight.operators.retrieval import _nearest
+
+    rng, table = np.random.default_rng(1), lambda x: pa.table({"id": pa.array(range(len(x))), "embedding": pa.array(x.tolist())})
+    one = rng.normal(size=64).astype(np.float32).astype(float)
+    for asked, copies in ((200, 1111), (1000, 37), (7, 8191)):
+        made = _nearest(5)(table(rng.normal(size=(asked, 64)).astype(np.float32).astype(float)), table(np.tile(one, (copies, 1))))
+        assert made["id"].to_pylist() == [0, 1, 2, 3, 4] * asked
