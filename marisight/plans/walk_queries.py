@@ -178,7 +178,8 @@ def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a series' answers, filtered as asked: by a day range of a named column and by values, newest first."""
     one = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderstatus").alias("state"), F.col("o_orderkey").alias("n"))
-    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("json"))
+    per = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", one.alias("one")))).alias("list"))
+    per = per.select("o_custkey", F.to_json(F.struct(F.col("list.one").alias("data"))).alias("json"))
     k = F.col("o_custkey")
     asked = F.struct(F.when(k % 2 == 0, "1994-01-01").otherwise("1993-06-01@date").alias("date_start"), F.when(k % 3 == 0, "1996-12-31@date").alias("date_end"), F.when(k % 5 == 0, F.array(F.lit("O@state"), F.lit("x@unknown"))).otherwise(F.array()).alias("filters"), F.when(k % 7 > 0, k % 7).cast("int").alias("row_limit"))
     return feeds.series_answers(per.withColumn("asked", asked), "date:string,state:string,n:long", "asked", ["o_custkey"]).drop("asked")

@@ -129,3 +129,16 @@ def test_batches_never_exceed_their_limit(spark):
     rows = [("d", i, "x" * n) for i, n in enumerate((6, 6, 6, 4, 12, 1))] + [(None, 0, "y" * 9), (None, 1, "y"), (None, 2, None), ("e", 0, "")]
     got = {(r.doc_id, r.chunk_index): r.embed_batch for r in chunking.embed_batches(spark.createDataFrame(rows, "doc_id string, chunk_index int, chunk_text string"), most_chars=10).collect()}
     assert [got["d", i] for i in range(6)] == [0, 1, 2, 2, 3, 4] and [got[None, i] for i in range(3)] == [0, 0, 0] and got["e", 0] == 0
+
+
+def test_series_answers_whatever_the_order_of_the_table(spark, sf_dir, tmp_path):
+    from pyspark.sql import functions as F
+
+    from marisight.plans.walk_queries import series_answers
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("o_orderdate", F.date_trunc("year", "o_orderdate"))  # many of one day
+    got = []
+    for name, order in (("up", F.asc), ("down", F.desc)):
+        orders.coalesce(1).sortWithinPartitions(order("o_orderkey")).write.parquet(f"file://{tmp_path}/{name}/orders.parquet")
+        got.append(sorted(map(tuple, series_answers(spark, f"file://{tmp_path}/{name}").collect())))
+    assert got[0] == got[1] and got[0]
