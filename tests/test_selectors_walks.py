@@ -142,3 +142,14 @@ def test_series_answers_whatever_the_order_of_the_table(spark, sf_dir, tmp_path)
         orders.coalesce(1).sortWithinPartitions(order("o_orderkey")).write.parquet(f"file://{tmp_path}/{name}/orders.parquet")
         got.append(sorted(map(tuple, series_answers(spark, f"file://{tmp_path}/{name}").collect())))
     assert got[0] == got[1] and got[0]
+
+
+def test_pages_of_one_file_are_parsed_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from marisight.sources.html_nodes import selected
+
+    pages = spark.range(0, 400, 1, 1).select(F.col("id").alias("page_id"), F.concat(F.lit("<a>"), F.col("id").cast("string"), F.lit("</a>")).alias("html"))
+    found = selected(pages, {"a": ("a", ())}).select("page_id", "text", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in found}) >= 4
+    assert sorted((r.page_id, r.text) for r in found) == [(i, str(i)) for i in range(400)]
