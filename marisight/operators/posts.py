@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, urls
@@ -136,8 +136,8 @@ def attached(pages: DataFrame, key: str = "page_id", kind: str = "wordpress", ht
     wanted = {**boxes, **more, "list": ("div.list-of-attachments", ()), "frame": ("iframe[src]", ()), "a": ("a[href]", (*boxes, "list"))}
     found = selected(pages, wanted, (key, url), html)
     is_box = F.col("name").isin(*boxes) if boxes else F.lit(False)
-    areas = found.where(is_box).groupBy(key).agg(F.min(F.struct("name", "pos", "last")).alias("area"))
-    rows = found.where(~is_box).join(areas, key, "left")
+    rows = found.select(key, url, "name", "pos", "last", "owners", "attrs", F.when(~is_box, F.col("text")).alias("text"))
+    rows = rows.withColumn("area", F.min(F.when(is_box, F.struct("name", "pos", "last"))).over(Window.partitionBy(key))).where(~is_box)
     inside = F.col("area").isNull() | ((F.col("pos") > F.col("area.pos")) & (F.col("pos") <= F.col("area.last")))
     href, src = _attribute("href"), _attribute("src")
     viewed = F.when(F.contains(F.lower(src), F.lit("viewer")), F.try_url_decode(F.regexp_extract(src, r"[?&]file=([^&]+)", 1)))

@@ -44,17 +44,15 @@ def numbered_next(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     more than the active item's.  Links to ``#`` lead nowhere."""
     wanted = {"item": ("li.page-item", ()), "next": ("li.page-item.next a[href]", ("item",)), "active": ("li.page-item.active", ()), "off": ("li.page-item.disabled a[href], li.page-item.active a[href]", ()), "link": ("li.page-item a[href]", ())}
     found = selected(pages, wanted, (url,), html).where("name <> 'item'")
-    off = found.where("name = 'off'").select(url, "pos")
-    links = found.where(F.col("name").isin("next", "active") | (F.col("name") == "link")).join(off.withColumn("_off", F.lit(True)), [url, "pos"], "left")
     good = (_href() != "#") & (_href() != "")
     is_next, is_active = (F.col("name") == "next") & good, F.col("name") == "active"
-    is_number = (F.col("name") == "link") & good & F.col("_off").isNull() & F.col("text").rlike(r"^\d+$")
-    per = links.groupBy(url).agg(
+    is_number = (F.col("name") == "link") & good & F.col("text").rlike(r"^\d+$")
+    per = found.groupBy(url).agg(
         F.min_by(F.when(is_next, _href()), F.when(is_next, F.col("pos"))).alias("marked"), F.min_by(F.when(is_active, F.col("text")), F.when(is_active, F.col("pos"))).alias("active"),
-        F.array_sort(F.collect_list(F.when(is_number, F.struct("pos", "text", _href().alias("href"))))).alias("numbers"),
+        F.array_sort(F.collect_list(F.when(is_number, F.struct("pos", "text", _href().alias("href"))))).alias("numbers"), F.collect_set(F.when(F.col("name") == "off", F.col("pos"))).alias("off"),
     )
     after = F.when(F.col("active").rlike(r"^\d+$"), (F.col("active").cast("decimal(38,0)") + 1).cast("string"))
-    href = F.coalesce("marked", F.get(F.filter("numbers", lambda x: x["text"] == after), F.lit(0))["href"])
+    href = F.coalesce("marked", F.get(F.filter("numbers", lambda x: (x["text"] == after) & ~F.array_contains("off", x["pos"])), F.lit(0))["href"])
     return per.where(href.isNotNull()).select(url, urls.absolute(href, F.col(url)).alias("next_url"))
 
 
@@ -127,8 +125,8 @@ def questions(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     wanted = {"card": ("div.question", ()), "head": (heads, ("card",)), "link": (", ".join(f"{h} a[href]" for h in heads.split(", ")), ("card", "head"))}
     found = selected(pages, wanted, (url,), html)
     own = lambda name: F.try_element_at("owners", F.lit(name))
-    first = found.where("name = 'head'").groupBy(url, own("card").alias("card")).agg(F.min("pos").alias("head"))
-    links = found.where("name = 'link'").select(url, own("card").alias("card"), own("head").alias("head"), "pos", _href().alias("href"), "text").join(first, [url, "card", "head"])
-    one = links.groupBy(url, "card").agg(F.min_by(F.struct("href", "pos", "text"), "pos").alias("a")).select(url, "a.*").where("href <> ''")
+    is_head, is_link = F.col("name") == "head", F.col("name") == "link"
+    cards = found.where(is_head | is_link).groupBy(url, own("card").alias("card")).agg(F.min(F.when(is_head, F.col("pos"))).alias("head"), F.array_sort(F.collect_list(F.when(is_link, F.struct("pos", own("head").alias("head"), _href().alias("href"), "text")))).alias("links"))
+    one = cards.select(url, F.get(F.filter("links", lambda a: a["head"] == F.col("head")), F.lit(0)).alias("a")).select(url, "a.href", "a.pos", "a.text").where("href <> ''")
     rows = one.groupBy(url, "href").agg(F.min("pos").alias("pos"), F.min_by("text", "pos").alias("title"))
     return rows.select(url, "pos", urls.absolute(F.col("href"), F.col(url)).alias("link"), "title")

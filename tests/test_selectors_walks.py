@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from marisight.operators import chunking, listings, walks
+from marisight.operators import chunking, listings, posts, walks
 from marisight.sources import feeds, selectors
 from marisight.sources.html_nodes import Tree, page_selected
 
@@ -153,3 +153,64 @@ def test_pages_of_one_file_are_parsed_by_many_tasks(spark):
     found = selected(pages, {"a": ("a", ())}).select("page_id", "text", F.spark_partition_id().alias("task")).collect()
     assert len({r.task for r in found}) >= 4
     assert sorted((r.page_id, r.text) for r in found) == [(i, str(i)) for i in range(400)]
+
+
+ODD = ("<p class=a>x", "</p>", "<DIV ID='b' a>", "</div >", "<br/>", "<img src=x/>", "<a href='/q?a=1&amp;b'>", "</a>", "t &lt; u", "a < b", "<!-- <p> -->", "<!-- c -->", "<!DOCTYPE x>", "<![CDATA[ k ]]>", "<title>A &amp; <b>", "</title>", "<script>if(a<b){'</p>'}</script>", "<style></style>", "</ x>", "<li>", "<3", "<!-- open")
+
+
+def test_plain_tags_are_read_as_the_library_reads_them():
+    from html.parser import HTMLParser
+
+    from marisight.sources.html_nodes import Scanner
+
+    def noted(kind):
+        class Noting(kind):
+            def start(self, tag, attrs):
+                self.seen.append((tag, attrs))
+
+            def handle_starttag(self, tag, attrs):
+                self.start(tag, {k: v or "" for k, v in attrs})
+
+            def handle_endtag(self, tag):
+                self.seen.append("/" + tag)
+
+            def handle_data(self, data):
+                self.seen.append((data,))
+
+            def unknown_decl(self, data):
+                self.seen.append("!" + data)
+
+        made = Noting() if kind is Scanner else Noting(convert_charrefs=True)
+        made.seen = []
+        return made
+
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "".join(rng.choices(ODD[: rng.choice((12, 21, len(ODD)))], k=rng.randrange(12)))
+        library, own = noted(HTMLParser), noted(Scanner)
+        library.feed(page)
+        library.close()
+        assert len(list(own.read(page))) >= 0 and own.seen == library.seen, page
+
+
+def test_a_large_page_is_given_in_parts():
+    """A page's nodes leave as they end, so what is held doesn't grow with the page."""
+    from marisight.sources import html_nodes
+
+    wanted = (("item", "li", ()), ("link", "a[href]", ("item",)))
+    page = "<ul>" + "".join(f"<li><a href=/{i}>{i}</a>" for i in range(5000)) + "</ul>"
+    parts, held = [], 0
+    matcher, owning, _ = html_nodes._matcher(wanted)
+    reading = html_nodes.Selection(matcher, owning)
+    for part in reading.taken(page, 100):
+        held = max(held, len(reading.texts))
+        parts.append(len(part))
+    assert sum(parts) == 10_000 and max(parts) <= 102 and held <= 2
+    assert [(r["pos"], r["text"]) for r in page_selected(page, wanted) if r["name"] == "link"] == [(2 * i + 2, str(i)) for i in range(5000)]
+
+
+def test_each_extractor_reads_a_page_once(spark):
+    pages = spark.createDataFrame([(1, "https://h/l", "<li>x</li>")], "page_id long, url string, html string")
+    once = (listings.labelled_files(pages), listings.targets(pages, "button", "a"), listings.headed_links(pages), walks.numbered_next(pages), walks.questions(pages), posts.attached(pages))
+    for found in once:
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
