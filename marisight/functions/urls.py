@@ -120,6 +120,10 @@ def same_domain(a: Column, b: Column) -> Column:
     return bare_host(a) == bare_host(b)
 
 
+#: addresses from the root without dot segments
+_ROOTED = r"^/(?!/)(?![^?#]*/\.)[^?#]*(?:[?#].*)?\z"
+
+
 def absolute(href: Column, base: Column) -> Column:
     """href resolved against base: absolute, scheme-relative, root-relative, fragment, query and relative
     forms, with dot segments removed (a native form of RFC 3986 section 5.2 for http addresses)."""
@@ -136,7 +140,8 @@ def absolute(href: Column, base: Column) -> Column:
     dots = joined.rlike(r"(^|/)\.{1,2}$")
     flat = F.concat(F.lit("/"), F.array_join(fold, "/"), F.when(dots & (F.size(fold) > 0), F.lit("/")).otherwise(F.lit("")))
     return (
-        F.when(h == "", base)
+        F.when(h.rlike(_ROOTED), F.concat(root, h))  # most links, without the fold
+        .when(h == "", base)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
         .when(h.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), h))

@@ -27,10 +27,19 @@ def _bare(xml: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(xml, r"\sxmlns(:\w+)?=(\"[^\"]*\"|'[^']*')", ""), r"^\s*<\?xml[^>]*\?>", "")
 
 
+#: an item whose children are all plain texts: no attributes, references, comments or elements in them
+_FLAT = r"^<{0}>(?:\s*<([\w.:-]+)>[^<&\r]*</\1>)*\s*</{0}>$"
+_FLAT_CHARS = 4000
+
+
 def _zipped(xml: Column, item: str, **fields: str) -> Column:
-    """Structs of an XML's items; every item has every field (an absent one gives '')."""
+    """Structs of an XML's items; every item has every field (an absent one gives '').  A path costs a parse of its item,
+    so items of plain texts are read without one."""
     items = F.regexp_extract_all(_bare(xml), F.lit(rf"(?s)(<{item}(?:\s[^>]*)?>.*?</{item}>)"), 1)
-    return F.transform(items, lambda one: F.struct(*[F.coalesce(F.trim(F.xpath_string(one, F.lit(f"{item}/{path}"))), F.lit("")).alias(name) for name, path in fields.items()]))
+    looked = F.transform(items, lambda one: F.struct(one.alias("xml"), ((F.length(one) <= _FLAT_CHARS) & one.rlike(_FLAT.format(item))).alias("flat")))
+    plain = lambda one, path: F.lit("") if "@" in path else F.regexp_extract(one, f"<{path}>([^<]*)</", 1)
+    said = lambda one, path: F.when(one["flat"], plain(one["xml"], path)).otherwise(F.xpath_string(one["xml"], F.lit(f"{item}/{path}")))
+    return F.transform(looked, lambda one: F.struct(*[F.coalesce(F.trim(said(one, path)), F.lit("")).alias(name) for name, path in fields.items()]))
 
 
 def rss_items(feeds: DataFrame, xml: str = "xml") -> DataFrame:
