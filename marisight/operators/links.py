@@ -82,12 +82,13 @@ def table_rows(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
 def crawl(start: DataFrame, links: DataFrame, most_levels: int = 1000, most_pages: int | None = None) -> DataFrame:
     """(url, level): pages reached from start over links (url, link), breadth first, until nothing new is reached or
     the page budget is full.  Each level writes what is new in it alone; more than ``most_levels`` levels are an error."""
+    links = settled(links.select("url", "link").repartition("url")).hint("merge")  # not made, nor sent to the driver for a broadcast, at every level
     edge = settled(start.select("url").distinct().withColumn("level", F.lit(0)))
     levels, n = [edge], edge.count() if most_pages is not None else 0
     for level in range(1, most_levels + 1):
         new = edge.join(links, "url").select(F.col("link").alias("url")).distinct()
         seen = reduce(DataFrame.unionByName, levels)
-        edge = settled(new.join(seen, "url", "left_anti").withColumn("level", F.lit(level)))
+        edge = settled(new.join(seen.hint("merge"), "url", "left_anti").withColumn("level", F.lit(level)))
         if edge.isEmpty():
             break
         levels.append(edge)

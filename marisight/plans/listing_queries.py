@@ -169,7 +169,7 @@ def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers reached from the first one over links to twice and three times their number."""
     n = F.col("c_custkey")
     both = table(spark, sf_dir, "customer").select(n.cast("long").alias("url"), F.explode(F.array((n * 2).cast("long"), (n * 3).cast("long"))).alias("link"))
-    edges = both.join(table(spark, sf_dir, "customer").select(n.cast("long").alias("link")), "link", "left_semi")
+    edges = both.join(table(spark, sf_dir, "customer").select(n.cast("long").alias("link")).hint("merge"), "link", "left_semi")
     return links.crawl(both.where("url = 1").select("url").distinct(), edges.select("url", "link"))
 
 

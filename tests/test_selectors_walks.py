@@ -214,3 +214,29 @@ def test_each_extractor_reads_a_page_once(spark):
     once = (listings.labelled_files(pages), listings.targets(pages, "button", "a"), listings.headed_links(pages), walks.numbered_next(pages), walks.questions(pages), posts.attached(pages))
     for found in once:
         assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_a_crawl_makes_its_links_once(spark):
+    from pyspark.sql import functions as F
+
+    from marisight.operators.links import crawl
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def after(n):
+        made.add(1)
+        return n + 1
+
+    edges = spark.range(5).select(F.col("id").alias("url"), after.asNondeterministic()("id").alias("link"))
+    got = crawl(spark.createDataFrame([(0,)], "url long"), edges).collect()
+    assert sorted((r.url, r.level) for r in got) == [(i, i) for i in range(6)] and made.value == 5
+
+
+def test_chunks_of_many_documents_leave_in_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(chunking, "CHARS_AT_ONCE", 50)  # read where the function is made
+    blocks = spark.createDataFrame([(d, i, f"h{i // 2}", f"text {d} {i}", "paragraph") for d in range(40) for i in range(4)], "doc_id long, block_idx int, section_heading string, text string, block_type string")
+    got = chunking.chunks(blocks).orderBy("doc_id", "chunk_index").collect()
+    assert [(r.doc_id, r.chunk_index, r.chunk_text) for r in got] == [(d, i, f"text {d} {2 * i}\n\ntext {d} {2 * i + 1}") for d in range(40) for i in range(2)]
