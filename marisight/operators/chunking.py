@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 TARGET, TABLE_MOST, PARENT_MOST = 1400, 3000, 3000
+#: characters of chunks and their sections that are sent together
+CHARS_AT_ONCE = 2_000_000
 
 
 def sections(blocks: DataFrame, document: str = "doc_id") -> DataFrame:
@@ -97,12 +99,18 @@ def chunks(blocks: DataFrame, document: str = "doc_id", target: int = TARGET, ta
     docs = sections(blocks, document).groupBy(document).agg(part.alias("blocks"))
     kind = docs.schema[document].dataType.simpleString()
 
+    types = (pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.string(), pa.string())
+    names = [document, "chunk_index", "chunk_text", "is_table", "block_count", "section_heading", "parent_text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            who = batch.column(0)
-            owner: list[int] = []
-            for i, doc in enumerate(batch.column(1).to_pylist()):
+            who, rows, owner, chars = batch.column(0), [], [], 0
+
+            def made() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([who.take(pa.array(owner, pa.int64())), *[pa.array(list(c), t) for c, t in zip(zip(*rows), types)]], names=names)
+
+            for i in range(batch.num_rows):  # one document at a time, whatever the batch
+                doc = batch.column(1)[i].as_py()
                 index, lo = 0, 0
                 while lo < len(doc):
                     hi = lo
@@ -113,11 +121,14 @@ def chunks(blocks: DataFrame, document: str = "doc_id", target: int = TARGET, ta
                     for c in pack(section, target, table_most):
                         rows.append((index, c["text"], c["is_table"], c["block_count"], section[0]["section_heading"], parent))
                         owner.append(i)
+                        chars += len(c["text"]) + len(parent or "")
                         index += 1
                     lo = hi
-            columns = list(zip(*rows)) if rows else [()] * 6
-            types = (pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([who.take(pa.array(owner, pa.int64())), *[pa.array(list(c), t) for c, t in zip(columns, types)]], names=[document, "chunk_index", "chunk_text", "is_table", "block_count", "section_heading", "parent_text"])
+                    if chars >= CHARS_AT_ONCE:
+                        yield made()
+                        rows, owner, chars = [], [], 0
+            if rows:
+                yield made()
 
     return docs.mapInArrow(run, f"{document} {kind}, chunk_index int, chunk_text string, is_table boolean, block_count int, section_heading string, parent_text string")
 
