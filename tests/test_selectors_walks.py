@@ -240,3 +240,22 @@ def test_chunks_of_many_documents_leave_in_parts(spark, monkeypatch):
     blocks = spark.createDataFrame([(d, i, f"h{i // 2}", f"text {d} {i}", "paragraph") for d in range(40) for i in range(4)], "doc_id long, block_idx int, section_heading string, text string, block_type string")
     got = chunking.chunks(blocks).orderBy("doc_id", "chunk_index").collect()
     assert [(r.doc_id, r.chunk_index, r.chunk_text) for r in got] == [(d, i, f"text {d} {2 * i}\n\ntext {d} {2 * i + 1}") for d in range(40) for i in range(2)]
+
+
+def test_plain_and_other_items_read_alike(spark):
+    plain = "<item><title> T </title><link>/a</link><pubDate>d</pubDate></item>"
+    inner = "<item><image><title>inner</title></image><title>T</title><link>/a</link></item>"
+    items = [plain, plain.replace("<title>", "<title x='1'>"), plain.replace(" T ", "<![CDATA[T]]>"), inner, "<item><title></title><link>/a&amp;b</link></item>", "<item></item>"]
+    got = feeds.rss_items(spark.createDataFrame([("<rss>" + "\n".join(items) + "</rss>",)], "xml string")).collect()
+    assert [(r.title, r.link, r.pub_date) for r in got] == [("T", "/a", "d")] * 3 + [("T", "/a", ""), ("Untitled", "/a&b", ""), ("Untitled", "", "")]
+
+
+def test_addresses_from_the_root(spark):
+    from urllib.parse import urljoin
+
+    from marisight.functions import urls
+    from pyspark.sql import functions as F
+
+    hrefs = ["/o/1.pdf", "/", "/a/./b", "/a/../b", "/a/..", "/.x/b", "/q?c=/../1", "/p#/./x", "/a//b", "//other/x", "/q?a=1&page=2"]
+    rows = spark.createDataFrame([(h,) for h in hrefs], "h string").select("h", urls.absolute(F.col("h"), F.lit("https://h.example/c/5?x#y")).alias("u")).collect()
+    assert {r.h: r.u for r in rows} == {h: urljoin("https://h.example/c/5?x#y", h) for h in hrefs}
