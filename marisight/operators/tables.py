@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet to the shared folder and read again: what is read several times, a few columns at a
+    time.  The files stay until the folder's owner clears it."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over as many partitions as there are cores, where its files give fewer: for costly expressions over a table in
     a single row group.  Tables of many files stay as they are."""

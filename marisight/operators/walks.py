@@ -7,13 +7,15 @@ the chains, whose pages at a distance of 1, 2, 4, … are found by joining a tab
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, urls
-from marisight.operators.listings import NEXT, SITES, Rule, listings_by, next_page
+from marisight.operators.listings import NEXT, SITES, Rule, listings_by
 from marisight.operators.tables import settled
-from marisight.sources.html_nodes import selected
+from marisight.sources.html_nodes import page_selected, page_values, selected
 
 
 def _href() -> Column:
@@ -56,6 +58,38 @@ def numbered_next(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     return per.where(href.isNotNull()).select(url, urls.absolute(href, F.col(url)).alias("next_url"))
 
 
+_MARKS = tuple((f"mark{i}", selector, ()) for i, selector in enumerate((*NEXT, "div[class*=pagination] div[class*=alignright] a[href]")))
+_NUMBERS = (("next", "li.page-item.next a[href]", ()), ("active", "li.page-item.active", ()), ("off", "li.page-item.disabled a[href], li.page-item.active a[href]", ()), ("number", "li.page-item a[href]", ()))
+
+
+def next_href(page: str) -> tuple[bool, str] | None:
+    """(whether it is by numbers, href) of the link to the page after this one: the first one marked or labelled next, as
+    ``next_page`` finds it, else what ``numbered_next`` finds; by one reading of the page."""
+    marked = after = active = None
+    numbers, off = [], set()
+    for node in page_selected(page, (*_MARKS, ("a", "a[href]", ()), *_NUMBERS)):
+        name, pos, text, href = node["name"], node["pos"], node["text"], dict(node["attrs"]).get("href")
+        if name.startswith("mark") or name == "a":
+            if href is not None and (name != "a" or text.lower() in ("next", "seterusnya", "»", "›")):
+                return False, href
+            continue
+        href = (href or "").strip(" ")
+        good = href not in ("", "#")
+        if name == "off":
+            off.add(pos)
+        elif name == "active":
+            active = text if active is None else active
+        elif name == "next" and good and marked is None:
+            marked = href
+        elif name == "number" and good and re.fullmatch("[0-9]+", text):
+            numbers.append((pos, text, href))
+    if active and re.fullmatch("[0-9]{1,37}", active):
+        number = str(int(active) + 1)
+        after = next((href for pos, text, href in numbers if text == number and pos not in off), None)
+    href = after if marked is None else marked
+    return None if href is None else (True, href)
+
+
 def chains(starts: DataFrame, nexts: DataFrame, most: int) -> DataFrame:
     """(columns of starts, step): each start's ``url`` and those reached from it by up to ``most`` - 1 steps of nexts
     (url, next_url), one of each url.  A chain that closes goes round until it has ``most`` pages."""
@@ -101,16 +135,14 @@ def listing_walk(pages: DataFrame, sections: DataFrame, rules: dict[str, tuple[R
     the one after the active number; a section takes its first ``max_pages`` pages (null or 0: ``most``), pages that
     aren't fetched end it.  Each page is read after the rules of its section's site; a link counts where it is
     mentioned first, and items dated before ``since`` drop out."""
-    keyed = pages.select(F.col("url").alias("_key"), "url", "html")
-    marked = next_page(keyed, (*NEXT, "div[class*=pagination] div[class*=alignright] a[href]"), key="_key").withColumnRenamed("_key", "url")
-    nexts = marked.unionByName(numbered_next(pages).join(marked, "url", "left_anti"))
-    nexts = settled(nexts.join(pages.select("url"), "url", "left_semi"))
+    nexts = settled(page_values(pages, next_href, "numbered boolean, href string", ("url",)).groupBy("url").agg(F.min_by("href", "numbered").alias("href")).select("url", urls.absolute(F.col("href"), F.col("url")).alias("next_url")))
     limit = F.coalesce(F.nullif("max_pages", F.lit(0)), F.lit(most))
     longest = sections.agg(F.max(limit)).first()[0] or 0
-    walked = chains(sections.select("section", "site", "url", limit.alias("_most")), nexts, min(longest, most)).join(pages.select("url"), "url", "left_semi")
+    walked = chains(sections.select("section", "site", "url", limit.alias("_most")), nexts, min(longest, most))
     walked = settled(walked.where(F.col("step") < F.col("_most")).select("section", "site", "url", (F.col("step") + 1).alias("turn")))
-    asked = keyed.join(walked.select(F.col("url").alias("_key"), "site").distinct(), "_key")
-    items = listings_by(asked, rules, "site", key="_key").withColumnRenamed("_key", "url")
+    known = {r.site for r in walked.where(F.col("site").isin(*rules)).select("site").distinct().collect()}  # of the rules' names
+    asked = pages.join(walked.select("url", "site").distinct(), "url").select(F.col("url").alias("_key"), "url", "site", "html")
+    items = listings_by(asked, {site: rule for site, rule in rules.items() if site in known} or rules, "site", key="_key").withColumnRenamed("_key", "url")
     rows = walked.join(items, ["url", "site"])
     if since is not None:
         rows = rows.where(dates.since(F.col("published_at"), F.lit(since).cast("date")))

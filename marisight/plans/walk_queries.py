@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marisight.functions import dates, sql
 from marisight.operators import chunking, listings, posts, retrieval, walks
-from marisight.operators.tables import shared_folder
+from marisight.operators.tables import shared_folder, stored
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds
 
@@ -104,7 +104,7 @@ def listing_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     to_next = lambda before, after: F.when(i < last, F.concat(F.lit(before), page(i + 1), F.lit(after))).otherwise("")
     pagers = (numbers, to_next('<a class="next page-numbers" href="', '">2</a>'), to_next('<div class="pagination clearfix"><div class="alignleft"><a href="/list/0">old</a></div><div class="alignright"><a href="', '">&raquo; Entri</a></div></div>'))
     html = F.coalesce(*[F.when(n % 3 == m, F.concat(F.array_join(F.transform(here, shape), ""), pager)) for m, (shape, pager) in enumerate(zip(shapes, pagers))])
-    pages = per.select(F.concat(F.lit(BASE), page(i)).alias("url"), html.alias("html"))
+    pages = stored(per.select(F.concat(F.lit(BASE), page(i)).alias("url"), html.alias("html")), "pages")
     site = F.element_at(F.array(F.lit("mcmc"), F.lit("dewan_selangor"), F.lit("dewan_johor")), (n % 3 + 1).cast("int"))
     sections = rows.select("o_custkey").distinct().select(n.alias("section"), site.alias("site"), F.concat(F.lit(f"{BASE}/list/"), n.cast("string")).alias("url"), F.lit(4).alias("max_pages"))
     return walks.listing_walk(pages, sections, since="1993-01-01").drop("pos", "date_text")

@@ -259,3 +259,24 @@ def test_addresses_from_the_root(spark):
     hrefs = ["/o/1.pdf", "/", "/a/./b", "/a/../b", "/a/..", "/.x/b", "/q?c=/../1", "/p#/./x", "/a//b", "//other/x", "/q?a=1&page=2"]
     rows = spark.createDataFrame([(h,) for h in hrefs], "h string").select("h", urls.absolute(F.col("h"), F.lit("https://h.example/c/5?x#y")).alias("u")).collect()
     assert {r.h: r.u for r in rows} == {h: urljoin("https://h.example/c/5?x#y", h) for h in hrefs}
+
+
+def test_one_reading_finds_the_next_page_of_either_kind(spark):
+    from pyspark.sql import functions as F
+
+    from marisight.functions import urls
+    from marisight.operators.walks import next_href, numbered_next
+    from marisight.sources.html_nodes import page_values
+
+    item = lambda n, more="": f"<li class='page-item{more}'><a href='/p{n}'>{n}</a></li>"
+    made = [
+        "", "<p>no links</p>", "<a href='/1'>one</a><a href='/n'>NEXT</a><a rel=next href='/later'>x</a>", "<link rel='next' href='/l'><a class='next' href='/m'>2</a>", "<a class=next>2</a><a href='/q'> &rsaquo; </a>",
+        "<div class='the-pagination'><div class='alignleft'><a href='/0'>old</a></div><div class='alignright'><a href='/2'>on</a></div></div>", item(1) + item(2, " active") + item(3), item(3) + item(2, " active") + item(3, " disabled"),
+        item(1, " active") + "<li class='page-item next'><a href='#'>n</a></li><li class='page-item next'><a href=' /m '>n</a></li>" + item(2), item(9) + item(9, " active"), item("x", " active") + item(2), item(1, " active") + item(2) + "<a href='/z'>Seterusnya</a>",
+        "<a title='a>b' href='/no'>x</a><a title=\"<\" class=\"x next\" href='/t'>x</a>", "<a href='/a&amp;b'>&raquo;</a>", "a < b <a href='/s' rel='next'>", "<a rel='next'>x</a>" + item(1, " active") + item(2),
+    ]
+    pages = spark.createDataFrame([(f"http://h/{i}", page) for i, page in enumerate(made)], "url string, html string")
+    marked = listings.next_page(pages.withColumn("page_id", F.col("url")), (*listings.NEXT, "div[class*=pagination] div[class*=alignright] a[href]")).withColumnRenamed("page_id", "url")
+    want = {(r.url, r.next_url) for r in marked.unionByName(numbered_next(pages).join(marked, "url", "left_anti")).collect()}
+    found = page_values(pages, next_href, "numbered boolean, href string", ("url",)).select("url", urls.absolute(F.col("href"), F.col("url")).alias("next_url"))
+    assert {(r.url, r.next_url) for r in found.collect()} == want and len(want) == 12
