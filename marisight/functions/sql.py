@@ -32,6 +32,15 @@ SQL_FUNCTIONS = (
             'total', s.total + CASE WHEN size(seen) = size(terms) AND seen[0].pos > s.previous THEN 0.1D / (1 + x.pos - seen[0].pos - (s.k - seen[0].k)) ELSE 0.0D END))[0],
           s -> s.total)""",
     ),
+    (  # cover_density of two words from their places: their covers are neighbours of different words
+        "pair_density(places ARRAY<STRUCT<pos: INT, term: BIGINT>>)",
+        "DOUBLE",
+        """aggregate(
+          array_sort(places),
+          named_struct('pos', 0, 'term', CAST(0 AS BIGINT), 'total', 0.0D),
+          (s, x) -> named_struct('pos', x.pos, 'term', x.term, 'total', s.total + CASE WHEN s.term > 0 AND s.term <> x.term THEN 0.1D / (x.pos - s.pos) ELSE 0.0D END),
+          s -> s.total)""",
+    ),
 )
 
 

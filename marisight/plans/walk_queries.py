@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marisight.functions import dates, sql
-from marisight.operators import chunking, listings, posts, retrieval, walks
-from marisight.operators.tables import shared_folder, stored
+from marisight.operators import chunking, listings, posts, retrieval, walks, word_index
+from marisight.operators.tables import shared_folder, spread, stored
 from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds
 
@@ -138,21 +138,24 @@ def _views(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame
 
 def sql_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid search as SQL text: exact cosine and cover density over the documents that have a question's label or all
-    its first two words, fused by reciprocal rank."""
+    its first two words, fused by reciprocal rank.  Where the words stand in the documents comes from posting lists, so
+    no document's words are met as a whole."""
+    views = _views(spark, sf_dir, "embeddings", "benchmark")
+    views["embeddings"] = spread(views["embeddings"])
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    two = views["benchmark"].select(F.col("item_id").alias("query_id"), F.expr("array_join(slice(array_distinct(lexemes(text)), 1, 2), ' ')").alias("query_text"))
     return spark.sql(
         """
-WITH e AS (SELECT vec_id, label, CAST(embedding AS ARRAY<DOUBLE>) AS v FROM {embeddings}),
-d AS (SELECT doc_id AS id, lexemes(coalesce(text, '')) AS words FROM {documents}),
-q AS (SELECT item_id AS query_id, slice(array_distinct(lexemes(text)), 1, 2) AS terms, v, label FROM {benchmark} JOIN e ON vec_id = item_id),
-cosines AS (SELECT query_id, e.vec_id AS id, cosine_of(q.v, e.v) AS similarity FROM q JOIN e ON e.label = q.label),
+WITH e AS (SELECT *, vector_norm(v) AS norm FROM (SELECT vec_id, label, CAST(embedding AS ARRAY<DOUBLE>) AS v FROM {embeddings})),
+q AS (SELECT item_id AS query_id, v, norm, label FROM {benchmark} JOIN e ON vec_id = item_id),
+cosines AS (SELECT query_id, e.vec_id AS id, CASE WHEN size(q.v) <= 0 OR size(e.v) <= 0 OR q.norm * e.norm = 0 THEN 0.0D ELSE inner_product(q.v, e.v) / (q.norm * e.norm) END AS similarity FROM q JOIN e ON e.label = q.label),
 vr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS vrank FROM cosines),
-held AS (SELECT id, explode(array_distinct(words)) AS word FROM d),
-met AS (SELECT /*+ MERGE(held) */ query_id, terms, id FROM q JOIN held ON word = terms[0]),
-densities AS (SELECT /*+ MERGE(d) */ query_id, id, cover_density(terms, words) AS density FROM met JOIN d USING (id) WHERE array_contains(words, terms[1])),
+densities AS (SELECT query_id, id, pair_density(places) AS density FROM {met} LEFT SEMI JOIN q USING (query_id) WHERE n_terms = 2),
 fr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(density, 9) DESC, id) AS frank FROM densities WHERE density > 0)
 SELECT query_id, id, round(coalesce(similarity, 0), 6) AS similarity, round(coalesce(density, 0), 6) AS density, round(reciprocal_rank(vrank, 60) + reciprocal_rank(frank, 60), 6) AS score
 FROM (SELECT * FROM vr WHERE vrank <= 20) FULL JOIN (SELECT * FROM fr WHERE frank <= 20) USING (query_id, id)""",
-        **_views(spark, sf_dir, "embeddings", "documents", "benchmark"),
+        met=word_index.on_the_fly(docs, two, ("text",)),
+        **views,
     )
 
 

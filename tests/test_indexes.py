@@ -122,3 +122,19 @@ def test_equal_vectors_have_equal_similarities():
     for asked, copies in ((200, 1111), (1000, 37), (7, 8191)):
         made = _nearest(5)(table(rng.normal(size=(asked, 64)).astype(np.float32).astype(float)), table(np.tile(one, (copies, 1))))
         assert made["id"].to_pylist() == [0, 1, 2, 3, 4] * asked
+
+
+def test_density_of_two_words_from_their_places(spark, sf_dir):
+    import random
+
+    from marisight.functions import sql
+    from marisight.plans import walk_queries
+
+    sql.registered(spark)
+    r = random.Random(3)
+    rows = [(i, [r.choice("aabbbcd") for _ in range(r.randrange(40))]) for i in range(200)]
+    docs = spark.createDataFrame([(i, w, [(p + 1, "ab".index(x) + 1) for p, x in enumerate(w) if x in "ab"][::-1]) for i, w in rows], "id long, words array<string>, places array<struct<pos:int,term:bigint>>")
+    got = docs.selectExpr("cover_density(array('a', 'b'), words) AS x", "pair_density(places) AS y").collect()
+    assert all(g.x == g.y for g in got) and sum(g.x > 0 for g in got) > 150
+    plan = walk_queries.sql_fusion(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan  # words are taken once, before
