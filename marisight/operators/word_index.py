@@ -28,7 +28,8 @@ from marisight.operators.tables import settled, spread
 BUCKETS = 64
 #: terms of all questions up to which they are broadcast
 BROADCAST_TERMS = 200_000
-_POSTING = "id long, term string, n int, gaps array<int>"
+#: gaps are bytes, four a number: they are only read as a whole, and Spark copies bytes at once
+_POSTING = "id long, term string, n int, gaps binary"
 
 
 def bucket_of(term: Column) -> Column:
@@ -56,7 +57,7 @@ def postings(rows: DataFrame) -> DataFrame:
                 gaps[first] = place[first]
                 n = np.diff(np.r_[first, len(key)])
                 term = coded.dictionary.take(pa.array(key[first] % max(1, len(coded.dictionary))))
-                listed = pa.ListArray.from_arrays(pa.array(np.r_[first, len(key)].astype(np.int32)), pa.array(gaps.astype(np.int32)))
+                listed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((4 * np.r_[first, len(key)]).astype("<i4")), pa.py_buffer(gaps.astype("<i4"))])
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row[order][first])), term, pa.array(n.astype(np.int32)), listed], names=["id", "term", "n", "gaps"])
 
     return rows.select(F.col("id").cast("long").alias("id"), "words").mapInArrow(run, _POSTING)
@@ -110,8 +111,8 @@ def _decoded(whole: DataFrame) -> DataFrame:
             lists = batch.column(len(names))
             terms = lists.flatten()
             gaps = terms.field("gaps")
-            size = np.asarray(pc.list_value_length(gaps), dtype=np.int64)
-            total = np.cumsum(np.asarray(gaps.flatten(), dtype=np.int64))
+            size = np.asarray(pc.binary_length(gaps), dtype=np.int64) // 4
+            total = np.cumsum(np.frombuffer(b"".join(gaps.to_pylist()), "<i4"), dtype=np.int64)
             before = np.r_[0, total][np.cumsum(size) - size]
             pos = total - np.repeat(before, size)
             number = np.repeat(np.asarray(terms.field("number"), dtype=np.int64) + 1, size)
@@ -134,17 +135,22 @@ def on_the_fly(index: DataFrame, queries: DataFrame, columns: tuple[str, ...]) -
 # --- kept ------------------------------------------------------------------------------------------
 
 
+def by_bucket(rows: DataFrame, path: str) -> None:
+    """Writes the rows of a segment, each bucket sorted by term, over what an earlier run of the segment wrote."""
+    rows.repartition("bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "segment").parquet(path)
+
+
 def update(folder: str, changed: DataFrame, segment: int, removed: DataFrame | None = None, columns: tuple[str, ...] = ("chunk_text",)) -> None:
     """Writes segment number ``segment`` with the changed rows (id, columns) and the ids of removed ones.  Rows of an id
     in an earlier segment no longer count.  The same segment written again replaces itself."""
     rows = changed.select("id", *columns)
-    found = settled(postings(tokenised(rows, columns))).withColumn("bucket", bucket_of(F.col("term"))).withColumn("segment", F.lit(segment))
-    counts = found.groupBy("bucket", "segment", "term").agg(F.count(F.lit(1)).alias("n"))
+    found = postings(tokenised(rows, columns)).withColumn("bucket", bucket_of(F.col("term"))).withColumn("segment", F.lit(segment))
+    by_bucket(found, f"{folder}/postings")
+    session = changed.sparkSession
+    counts = session.read.schema(found.schema).parquet(f"{folder}/postings").where(F.col("segment") == segment).groupBy("bucket", "segment", "term").agg(F.count(F.lit(1)).alias("n"))
+    by_bucket(counts, f"{folder}/counts")
     gone = rows.select("id").where("false") if removed is None else removed.select("id")
     state = rows.select("id", F.lit(True).alias("held")).unionByName(gone.select("id", F.lit(False).alias("held"))).groupBy("id").agg(F.max("held").alias("held"))
-    for name, frame, keys in (("postings", found, ["bucket", "segment"]), ("counts", counts, ["bucket", "segment"])):
-        spread_by = frame.repartition("bucket").sortWithinPartitions("bucket", "term")
-        spread_by.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(f"{folder}/{name}")
     state.write.mode("overwrite").parquet(f"{folder}/rows/segment={segment}")
 
 

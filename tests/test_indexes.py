@@ -138,3 +138,13 @@ def test_density_of_two_words_from_their_places(spark, sf_dir):
     assert all(g.x == g.y for g in got) and sum(g.x > 0 for g in got) > 150
     plan = walk_queries.sql_fusion(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan  # words are taken once, before
+
+
+def test_an_update_writes_its_postings_once(spark, monkeypatch, tmp_path):
+    """Postings go to their files as they are made, and what is counted is read from there."""
+    monkeypatch.setattr(word_index, "settled", lambda df: pytest.fail("written elsewhere first"))
+    word_index.update(str(tmp_path), frame(spark, TEXTS), 1)
+    kept = spark.read.parquet(f"{tmp_path}/postings")
+    assert dict(kept.dtypes)["gaps"] == "binary" and kept.where("length(gaps) <> 4 * n").count() == 0
+    counts = {r.term: r.n for r in spark.read.parquet(f"{tmp_path}/counts").collect()}
+    assert counts == {r.term: r["count"] for r in kept.groupBy("term").count().collect()} and counts
