@@ -14,6 +14,8 @@ from marisight.plans.retrieval_queries import table
 from marisight.sources import feeds
 
 BASE = "https://x.example"
+#: orders for which each priority has one feed file
+FEED_ORDERS = 1_000_000
 
 
 def _text(c: str) -> Column:
@@ -167,14 +169,26 @@ def sql_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as items of large feeds, a file for each priority and a broken one, read item by item."""
-    folder = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
+def _feed_folder(orders: DataFrame, folder: str, most: int = FEED_ORDERS) -> None:
+    """Writes orders as items of feeds, and one that breaks off.  Each priority has a file for every ``most`` orders of all,
+    or part of them; a file is written line by line, so none is ever whole in memory."""
+    parts = max(1, -(-orders.count() // most))
+    file = F.concat_ws("-", F.substring("o_orderpriority", 1, 1), F.pmod(F.xxhash64("o_orderkey"), F.lit(parts)).cast("string"))
+    rows = orders.select(file.alias("file"), F.lit(1).alias("place"), "o_orderkey", "o_orderdate")
+    edges = rows.select("file").distinct().select("file", F.explode(F.array(F.lit(0), F.lit(2))).alias("place"))
+    broken = orders.sparkSession.range(1).select(F.lit("broken").alias("file"), F.lit(3).alias("place"))
+    lines = rows.unionByName(edges, allowMissingColumns=True).unionByName(broken, allowMissingColumns=True).repartition("file").sortWithinPartitions("file", "place")
     k = _text("o_orderkey")
     item = F.concat(F.lit("<item><title>Order "), k, F.lit(" &amp; more</title><link>https://x.example/"), k, F.lit("</link>"), F.lit("<pubDate>"), F.date_format("o_orderdate", "EEE, dd MMM yyyy"), F.lit(" 08:00:00 +0000</pubDate>"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('<enclosure url="/f/'), k, F.lit('.pdf"/>'))).otherwise(""), F.lit("</item>"))
-    rows = table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.concat(F.lit('<?xml version="1.0"?><rss xmlns:x="urn:x"><channel><title>all</title>'), F.array_join(F.collect_list(item), "\n"), F.lit("</channel></rss>")).alias("value"))
-    broken = spark.createDataFrame([("<rss><channel><item><title>cut off</title><link>x",)], "value string")
-    rows.withColumn("file", F.substring("o_orderpriority", 1, 1)).select("file", "value").unionByName(broken.select(F.lit("broken").alias("file"), "value")).repartition("file").write.partitionBy("file").text(folder)
+    ends = {0: '<?xml version="1.0"?><rss xmlns:x="urn:x"><channel><title>all</title>', 2: "</channel></rss>", 3: "<rss><channel><item><title>cut off</title><link>x"}
+    line = F.coalesce(*[F.when(F.col("place") == place, said) for place, said in ends.items()], item)
+    lines.select("file", line.alias("value")).write.partitionBy("file").text(folder)
+
+
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as items of large feeds, files for each priority and a broken one, read item by item."""
+    folder = f"{shared_folder(spark)}/feeds-{uuid.uuid4().hex}"
+    _feed_folder(table(spark, sf_dir, "orders"), folder)
     return feeds.feed_files(spark, folder).select("title", "link", "enclosure", dates.feed_date(F.col("pub_date")).alias("published_at"))
 
 

@@ -280,3 +280,28 @@ def test_one_reading_finds_the_next_page_of_either_kind(spark):
     want = {(r.url, r.next_url) for r in marked.unionByName(numbered_next(pages).join(marked, "url", "left_anti")).collect()}
     found = page_values(pages, next_href, "numbered boolean, href string", ("url",)).select("url", urls.absolute(F.col("href"), F.col("url")).alias("next_url"))
     assert {(r.url, r.next_url) for r in found.collect()} == want and len(want) == 12
+
+
+def test_feed_files_are_written_line_by_line(spark, sf_dir, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from marisight.plans import walk_queries
+
+    longest, text = [], DataFrameWriter.text
+
+    def noted(writer, path, *more, **named):
+        longest.append(writer._df.agg(F.max(F.length("value"))).first()[0])
+        return text(writer, path, *more, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noted)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert len(walk_queries.feed_files(spark, sf_dir).collect()) == orders.count()
+    assert max(longest) < 500  # no row holds a file
+    walk_queries._feed_folder(orders, str(tmp_path / "feeds"), 100)
+    assert len(longest) == 2 and max(longest) < 500
+    written = {f.parent.name: f.read_text().splitlines() for f in tmp_path.glob("feeds/file=*/part-*")}
+    assert len(written) == 5 * -(-orders.count() // 100) + 1 and written.pop("file=broken")[0].endswith("<link>x")
+    assert all(lines[0].startswith("<?xml") and lines[-1] == "</channel></rss>" and all(x.startswith("<item>") for x in lines[1:-1]) for lines in written.values())
+    got = [r.link for r in feeds.feed_files(spark, str(tmp_path / "feeds")).collect()]
+    assert sorted(got) == sorted(f"https://x.example/{r.o_orderkey}" for r in orders.select("o_orderkey").collect())
