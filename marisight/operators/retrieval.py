@@ -95,21 +95,26 @@ def vector_pool(index: DataFrame, queries: DataFrame, n: int) -> DataFrame:
     return _top(near, n, F.desc("similarity"), F.asc("id")).withColumnRenamed("_r", "vrank")
 
 
+#: how densities are summed: sums have room for 10^12, and cost no places
+_DENSITY = "decimal(36,24)"
+
+
 def cover_density(positions: Column | str, terms: Column | str, n_terms: Column | str) -> Column:
-    """Sum over minimal covers of 0.1 / (1 + words in the cover that are no query term)."""
+    """Sum over minimal covers of 0.1 / (1 + words in the cover that are no query term), in decimals of 24 places, so that
+    equal densities are equal doubles wherever their covers stand."""
     positions, terms, n_terms = (F.col(c) if isinstance(c, str) else c for c in (positions, terms, n_terms))
     met = F.array_sort(F.transform(F.arrays_zip(positions.alias("pos"), terms.alias("term")), lambda x: F.struct(x["pos"].cast("int").alias("pos"), x["term"].cast("long").alias("term"))))
-    zero = F.struct(F.array().cast("array<struct<term:bigint,pos:int,k:int>>").alias("last"), F.lit(0).alias("k"), F.lit(-1).alias("previous"), F.lit(0.0).alias("total"))
+    zero = F.struct(F.array().cast("array<struct<term:bigint,pos:int,k:int>>").alias("last"), F.lit(0).alias("k"), F.lit(-1).alias("previous"), F.lit(0).cast(_DENSITY).alias("total"))
 
     def step(state: Column, x: Column) -> Column:
         # the latest place of each term met so far, the longest ago first
         last = F.concat(F.filter(state["last"], lambda y: y["term"] != x["term"]), F.array(F.struct(x["term"].alias("term"), x["pos"].alias("pos"), state["k"].alias("k"))))
         first = F.element_at(last, 1)
         cover = (F.size(last) == n_terms) & (first["pos"] > state["previous"])  # the shortest cover that starts there
-        gain = 0.1 / (1 + x["pos"] - first["pos"] - (state["k"] - first["k"]))
-        return F.struct(last.alias("last"), (state["k"] + 1).alias("k"), F.when(cover, first["pos"]).otherwise(state["previous"]).alias("previous"), (state["total"] + F.when(cover, gain).otherwise(0.0)).alias("total"))
+        gain = F.lit("0.1").cast("decimal(25,24)") / (1 + x["pos"] - first["pos"] - (state["k"] - first["k"])).cast("decimal(10,0)")
+        return F.struct(last.alias("last"), (state["k"] + 1).alias("k"), F.when(cover, first["pos"]).otherwise(state["previous"]).alias("previous"), F.when(cover, (state["total"] + gain.cast(_DENSITY)).cast(_DENSITY)).otherwise(state["total"]).alias("total"))
 
-    return F.aggregate(met, zero, step, lambda state: state["total"])
+    return F.aggregate(met, zero, step, lambda state: state["total"].cast("double"))
 
 
 def fts_matches(index: DataFrame, queries: DataFrame, columns: tuple[str, ...] = ("chunk_text",)) -> DataFrame:

@@ -148,3 +148,14 @@ def test_an_update_writes_its_postings_once(spark, monkeypatch, tmp_path):
     assert dict(kept.dtypes)["gaps"] == "binary" and kept.where("length(gaps) <> 4 * n").count() == 0
     counts = {r.term: r.n for r in spark.read.parquet(f"{tmp_path}/counts").collect()}
     assert counts == {r.term: r["count"] for r in kept.groupBy("term").count().collect()} and counts
+
+
+def test_equal_densities_are_ranked_by_id(spark):
+    rng = np.random.default_rng(5)
+    spaced = lambda q, gaps: " ".join(w for i, gap in enumerate([*gaps, 1]) for w in [f"{'ab'[i % 2]}{q}", *["x"] * (gap - 1)])  # noqa: E731  # a cover for each gap
+    gaps = [(g, g[::-1]) for g in ([int(x) for x in rng.integers(1, 30, 2 * int(rng.integers(2, 8)))] for _ in range(40))]
+    docs = [(2 * q + i, spaced(q, g)) for q, both in enumerate([*gaps, ((3, 12), (4, 6))]) for i, g in enumerate(both)]
+    questions = [(q, f"a{q} b{q}") for q in range(41)]
+    got = retrieval.fts_pool(spark.createDataFrame(docs, "id long, chunk_text string"), spark.createDataFrame(questions, "query_id long, query_text string"), 5).collect()
+    by = {(r.query_id, r.frank): r for r in got}
+    assert len(got) == 82 and all(by[q, 1].id == 2 * q and by[q, 1].fts_rank == by[q, 2].fts_rank for q in range(41))
